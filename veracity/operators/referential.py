@@ -23,8 +23,10 @@ from veracity.operators.uniqueness import KEY, SIZE, group_sizes
 REF = "__ref_key"
 
 
-def reference_keys(ref: DataFrame, ref_key: Column) -> DataFrame:
-    return ref.select(ref_key.alias(REF)).where(F.col(REF).isNotNull()).distinct()
+def reference_keys(ref: DataFrame, ref_key: Column, distinct: bool = True) -> DataFrame:
+    """Non-NULL reference keys; ``distinct`` when a join must not multiply rows."""
+    keys = ref.select(ref_key.alias(REF)).where(F.col(REF).isNotNull())
+    return keys.distinct() if distinct else keys
 
 
 def missing_reference_counts(
@@ -49,7 +51,7 @@ def orphan_rows(df: DataFrame, key: Column, ref: DataFrame, ref_key: Column, nul
     AQE splits a skewed left partition of a sort-merge anti join, so a hot
     orphan key does not land in one task.
     """
-    keys = reference_keys(ref, ref_key)
+    keys = reference_keys(ref, ref_key, distinct=False)  # an anti join never multiplies rows
     orphans = df.join(keys, key == keys[REF], "left_anti")
     if not nulls_violate:
         orphans = orphans.where(key.isNotNull())
