@@ -141,8 +141,9 @@ def generate_transactions(keys: DataFrame, key: str = "id", seed: int = 7) -> Da
         F.concat(F.lit("user"), k.cast("string"), F.lit("@example.com")).alias("email"),
         _pick(COUNTRY_CODES, k, seed + 7).alias("country_code"),
         _pick(ORDER_STATUSES, k, seed + 8).alias("order_status"),
-        start.alias("start_date"),
-        (start + F.make_dt_interval(secs=duration.cast("int"))).alias("end_date"),
+        # The reference's data model: session-time-zone TIMESTAMP columns.
+        start.cast("timestamp").alias("start_date"),
+        (start + F.make_dt_interval(secs=duration.cast("int"))).cast("timestamp").alias("end_date"),
     )
 
 
@@ -194,5 +195,5 @@ def generate_reference(
     return users.select(
         u,
         F.concat(F.lit("user_"), u.cast("string")).alias("user_name"),
-        signup.alias("signup_date"),
+        signup.cast("timestamp").alias("signup_date"),
     )
