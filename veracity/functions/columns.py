@@ -19,6 +19,8 @@ def quote(name: str) -> str:
 
 
 def col_ref(df: DataFrame, name: str) -> Column:
+    if "." not in name and "`" not in name:
+        return F.col(name)  # a plain name means the same quoted or not: no schema lookup
     if name in df.columns:
         return F.col(quote(name))
     return F.col(name)

@@ -67,9 +67,10 @@ def inject_value(df: DataFrame, column: str, selector: Column, value: Column) ->
 def inject_missing(df: DataFrame, column: str, selector: Column, nan: bool = True) -> DataFrame:
     """Selected rows become NaN (floating columns, ``nan=True``) or NULL."""
     c = col_ref(df, column)
-    dtype = df.select(c).schema[0].dataType
-    marker = F.lit(float("nan")).cast(dtype) if nan else F.lit(None).cast(dtype)
-    return df.withColumn(column, F.when(selector, marker).otherwise(c))
+    if nan:
+        return df.withColumn(column, F.when(selector, F.lit(float("nan"))).otherwise(c))
+    # NULL of the column's own type, without a schema lookup
+    return df.withColumn(column, F.when(~F.coalesce(selector, F.lit(False)), c))
 
 
 def inject_negate(df: DataFrame, column: str, selector: Column) -> DataFrame:
