@@ -60,7 +60,9 @@ def test_injected_rates_are_recovered(spark):
     assert abs(res["neg"]["metric"] - 0.0095) < 0.003  # 1 % negated, NaN stays NaN
     dup_rows = Suite([{"check_name": "u", "check_type": "uniqueness", "params": {"column": "transaction_id"}}]
                      ).results(t).first()["violations"]
-    assert 0.05 < dup_rows / N < 0.065  # each duplicated id is held by a target and its source
+    assert abs(dup_rows / N - 0.06) < 0.004  # each duplicated id is held by exactly a target and its source
+    groups = t.groupBy("transaction_id").count()
+    assert groups.where("count > 2").count() == 0  # sources and targets are disjoint
     extra = users.where(F.col("user_id") > 10**12).count()
     assert abs(extra / N - 0.005) < 0.002
 

@@ -14,6 +14,7 @@ so the expected counts are exact.  All injectors are single projections.
 from __future__ import annotations
 
 import datetime as _dt
+import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -159,11 +160,13 @@ def inject_transaction_errors(df: DataFrame, seed: int = 11, id_seed: int = 7) -
     df = inject_missing(df, "quantity", hash_selector(k, RATE_MISSING_QUANTITY, seed + 1))
     df = inject_negate(df, "price", hash_selector(k, RATE_NEGATIVE_PRICE, seed + 2))
     df = inject_bad_format(df, "email", hash_selector(k, RATE_BAD_EMAIL, seed + 3))
-    # Targets copy the id their predecessor key was generated with; the
-    # predecessor itself is a source and keeps its id.
-    df = inject_duplicate_key(
-        df, "transaction_id", hash_selector(k, RATE_DUPLICATE_ID, seed + 4), _txn_id(k - 1, id_seed)
-    )
+    # Targets copy the id their predecessor key was generated with.  Sources
+    # and targets stay disjoint: a key whose predecessor is itself picked is
+    # not a target (its predecessor's original id is gone).  Picking with
+    # rate p where p * (1 - p) = RATE keeps the expected share of targets.
+    p = (1 - math.sqrt(1 - 4 * RATE_DUPLICATE_ID)) / 2
+    target = hash_selector(k, p, seed + 4) & ~hash_selector(k - 1, p, seed + 4)
+    df = inject_duplicate_key(df, "transaction_id", target, _txn_id(k - 1, id_seed))
     return inject_swap(df, "start_date", "end_date", hash_selector(k, RATE_SWAPPED_DATES, seed + 5))
 
 
