@@ -212,3 +212,16 @@ def test_user_registered_check(spark):
     df = frame(spark, [(1,), (2,), (3,)], "x int")
     res = rows_by_name(Suite([c("even", "validity", "even", column="x")]).results(df))
     assert res["even"]["violations"] == 2
+
+
+def test_run_strategies_agree(spark, dedup):
+    from veracity.plans.flow import standard_suite
+
+    suite = Suite(standard_suite("/root/testdata/sf0.01/customer.parquet", reference_column="c_custkey",
+                                 expected_mean=255000.0, start_date_type="timestamp_ntz"))
+    cols = ["check_name", "status", "violations", "total_rows"]
+    lazy = [tuple(r) for r in suite.results(dedup).select(cols).collect()]
+    mat = [tuple(r) for r in suite.run(dedup, materialize_input=True).select(cols).collect()]
+    per = [tuple(r) for r in suite.run(dedup, persist=True).select(cols).collect()]
+    assert lazy == mat == per
+    assert not dedup.is_cached

@@ -79,11 +79,16 @@ def check_transactions(
     *,
     tiebreak: str | Sequence[str] = "row_key",
     eager: bool = False,
-    materialize_input: bool = True,
+    materialize_path: str | None = None,
 ) -> DataFrame:
-    """Clean, dedup and check ``raw``; lazy by default."""
+    """Clean, dedup and check ``raw``.
+
+    Lazy by default.  ``eager=True`` writes the cleaned, deduplicated table
+    once (to ``materialize_path`` or the shared folder) and runs the suite on
+    it, isolating runtime failures per check.
+    """
     cleaned = clean_and_dedup(raw, tiebreak)
     suite = Suite(checks)
     if eager:
-        return suite.run(cleaned, materialize_input=materialize_input)
+        return suite.run(cleaned, materialize_input=True, materialize_path=materialize_path)
     return suite.results(cleaned)

@@ -21,6 +21,7 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -145,19 +146,43 @@ class Suite:
 
     # -- eager run -------------------------------------------------------
 
-    def run(self, df: DataFrame, *, materialize_input: bool = False) -> DataFrame:
+    def run(
+        self,
+        df: DataFrame,
+        *,
+        materialize_input: bool = False,
+        materialize_path: str | None = None,
+        persist: bool = False,
+    ) -> DataFrame:
         """Execute now; returns a small local-backed DataFrame of results.
 
-        ``materialize_input`` writes ``df`` once as Parquet in the shared
-        folder first, so an expensive input (cleaning + dedup shuffle) is
-        computed once and each branch reads only its own columns.
+        The branches of the plan (fused aggregate, each group-by, each join)
+        each read ``df``.  When ``df`` is expensive (cleaning + a dedup
+        shuffle), compute it once:
+
+        * ``materialize_input`` writes it as Parquet to ``materialize_path``
+          or a fresh folder under ``spark.checkpoint.dir``; branches then read
+          only their own columns and a lost executor re-reads files instead of
+          recomputing the shuffle.  The choice for very large inputs.
+        * ``persist`` keeps it with ``MEMORY_AND_DISK`` for the duration of
+          the run (lost blocks are recomputed from lineage), unpersisted after.
         """
         spark = df.sparkSession
-        source = materialize(df, "suite-input") if materialize_input else df
+        source = df
+        ours = False  # unpersist only what this run persisted
+        if materialize_input or materialize_path:
+            source = materialize(df, "suite-input", materialize_path)
+        elif persist and not df.is_cached:
+            source = df.persist(StorageLevel.MEMORY_AND_DISK)
+            ours = True
         try:
-            rows = self.results(source).collect()
-        except Exception:
-            rows = self._run_isolated(source)
+            try:
+                rows = self.results(source).collect()
+            except Exception:
+                rows = self._run_isolated(source)
+        finally:
+            if ours:
+                source.unpersist()
         return spark.createDataFrame(rows, R.RESULTS_SCHEMA)
 
     def _run_isolated(self, df: DataFrame) -> list:
