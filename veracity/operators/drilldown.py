@@ -23,20 +23,29 @@ from veracity.operators.checks import (
     compile_check,
 )
 from veracity.operators.referential import orphan_rows
-from veracity.operators.uniqueness import KEY, duplicate_keys
+from veracity.operators.skew import HOT_ROWS, hot_keys, split_rows
+from veracity.operators.uniqueness import KEY, SIZE, group_sizes
 from veracity.spec import CheckSpec
 
 
-def rows_in_duplicate_groups(df: DataFrame, key: Column) -> DataFrame:
+def rows_in_duplicate_groups(df: DataFrame, key: Column, *, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Rows whose non-NULL ``key`` value occurs more than once.
 
-    The duplicate values are found with a partial-first aggregate, then the
-    rows are kept by a left-semi join; AQE splits a skewed (hot-key) join
-    partition, and a broadcast is used only when the measured key set is
-    under the broadcast threshold.
+    Group sizes come from a partial-first aggregate; rows are then kept by a
+    left-semi join against the duplicated values.  Values with more than
+    ``hot_rows`` rows are duplicates by definition: their rows are split off
+    by a broadcast against that checked, bounded set, so the shuffled semi
+    join never sees a hot key (``hot_rows=None`` leaves skew to AQE).
     """
-    dups = duplicate_keys(df, key).select(KEY)
-    return df.join(dups, key == dups[KEY], "left_semi")
+    sizes = group_sizes(df, key)
+    dups = sizes.where(F.col(KEY).isNotNull() & (F.col(SIZE) > 1))
+    hot = hot_keys(sizes, hot_rows) if hot_rows else None
+    if hot is None:
+        keys = dups.select(KEY)
+        return df.join(keys, key == keys[KEY], "left_semi")
+    hot_part, rest = split_rows(df, key, hot)
+    cold = dups.where(F.col(SIZE) <= hot_rows).select(KEY)
+    return hot_part.unionByName(rest.join(cold, key == cold[KEY], "left_semi"))
 
 
 def failing_rows(
@@ -45,16 +54,23 @@ def failing_rows(
     *,
     base_dir: str | None = None,
     references: Mapping[str, DataFrame] | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """The rows that violate ``check``; raises ``CheckError`` for schema-only or statistic checks."""
+    """The rows that violate ``check``; raises ``CheckError`` for schema-only or statistic checks.
+
+    For uniqueness and referential checks, keys with more than ``hot_rows``
+    rows are split off before the shuffled join (see ``operators.skew``).
+    """
     spec = check if isinstance(check, CheckSpec) else CheckSpec.from_dict(check)
     shape = compile_check(df, spec, CompileContext(df.sparkSession, base_dir, dict(references or {})))
     if isinstance(shape, RowCheck):
         return df.where(shape.predicate)
     if isinstance(shape, GroupCheck):
-        return rows_in_duplicate_groups(df, shape.key)
+        return rows_in_duplicate_groups(df, shape.key, hot_rows=hot_rows)
     if isinstance(shape, AntiJoinCheck):
-        return orphan_rows(df, shape.key, shape.reference, shape.reference_key, shape.nulls_violate)
+        return orphan_rows(
+            df, shape.key, shape.reference, shape.reference_key, shape.nulls_violate, hot_rows=hot_rows
+        )
     raise CheckError(f"check '{spec.name}' ({spec.kind}) has no row-level violations")
 
 

@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veracity.operators.skew import HOT_ROWS, hot_keys, split_rows
 from veracity.operators.uniqueness import KEY, SIZE, group_sizes
 
 REF = "__ref_key"
@@ -45,14 +46,35 @@ def missing_reference_counts(
     )
 
 
-def orphan_rows(df: DataFrame, key: Column, ref: DataFrame, ref_key: Column, nulls_violate: bool = True) -> DataFrame:
+def orphan_rows(
+    df: DataFrame,
+    key: Column,
+    ref: DataFrame,
+    ref_key: Column,
+    nulls_violate: bool = True,
+    *,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
     """The rows of ``df`` whose key has no partner (left anti join).
 
-    AQE splits a skewed left partition of a sort-merge anti join, so a hot
-    orphan key does not land in one task.
+    NULL keys never find a partner: their rows are taken by a filter and
+    never enter the join's shuffle (where they would all hash to one task).
+    Keys with more than ``hot_rows`` rows are split off (``skew.split_rows``)
+    and decided against the reference by a small join of the keys alone;
+    ``hot_rows=None`` skips that check and leaves skew to AQE.
     """
     keys = reference_keys(ref, ref_key, distinct=False)  # an anti join never multiplies rows
-    orphans = df.join(keys, key == keys[REF], "left_anti")
-    if not nulls_violate:
-        orphans = orphans.where(key.isNotNull())
+    present = df.where(key.isNotNull())
+    hot = hot_keys(group_sizes(present, key), hot_rows) if hot_rows else None
+    if hot is None:
+        orphans = present.join(keys, key == keys[REF], "left_anti")
+    else:
+        hot_orphans = hot.join(keys, hot[KEY] == keys[REF], "left_anti")
+        hot_part, rest = split_rows(present, key, hot)
+        small = F.broadcast(hot_orphans)  # a subset of the checked hot set
+        orphans = hot_part.join(small, key == small[KEY], "left_semi").unionByName(
+            rest.join(keys, key == keys[REF], "left_anti")
+        )
+    if nulls_violate:
+        orphans = orphans.unionByName(df.where(key.isNull()))
     return orphans
