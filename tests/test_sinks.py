@@ -54,6 +54,10 @@ def test_report_and_log(spark, results):
     assert [r["run_id"] for r in failing] == ["r1", "r2"]
     latest = history.latest_results(log, 2).collect()
     assert {r["run_id"] for r in latest} == {"r2"}
+    recent = history.run_history(log, since="2024-01-02")
+    assert [r["run_id"] for r in recent.collect()] == ["r2"]
+    text = recent._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in text and "run_date" in text
 
 
 def test_readers_fallback(spark, results, tmp_path_factory):

@@ -26,8 +26,10 @@ LOG_SCHEMA = T.StructType(
         T.StructField("run_ts", T.TimestampType()),
         T.StructField("data_source", T.StringType()),
         *RESULTS_SCHEMA.fields,
+        T.StructField("run_date", T.DateType()),
     ]
 )
+LOG_PARTITION = "run_date"
 
 
 def sanitize(results: DataFrame) -> DataFrame:
@@ -131,15 +133,21 @@ def append_results_log(
 ) -> DataFrame:
     """Append one run to the results log and return the appended rows.
 
-    ``kind``: ``parquet`` (``target`` is a path), ``table`` (catalog table,
-    created on first append) or ``jdbc`` (``target`` is ``url|table``; rows
-    are coalesced to one partition so the append commits in one transaction).
+    ``kind``: ``parquet`` (``target`` is a path) or ``table`` (catalog
+    table, created on first append), both partitioned by ``run_date``; or
+    ``jdbc`` (``target`` is ``url|table``; rows are coalesced to one
+    partition so the append commits in one transaction).
     """
     rows = with_run_columns(results, run_id, run_ts, data_source)
-    if kind == "parquet":
-        rows.write.mode("append").parquet(target)
-    elif kind == "table":
-        rows.write.mode("append").saveAsTable(target)
+    if kind in ("parquet", "table"):
+        # Partitioned by run date: history queries over a date range read
+        # only those folders, however long the log grows.
+        dated = rows.withColumn(LOG_PARTITION, F.to_date("run_ts"))
+        writer = dated.write.mode("append").partitionBy(LOG_PARTITION)
+        if kind == "parquet":
+            writer.parquet(target)
+        else:
+            writer.saveAsTable(target)
     elif kind == "jdbc":
         url, _, table = target.partition("|")
         rows.coalesce(1).write.jdbc(url, table, mode="append", properties=dict(jdbc_properties or {}))
