@@ -57,35 +57,56 @@ def hash_selector(key: Column, rate: float, seed: int = 42) -> Column:
 
 
 # --- injectors -------------------------------------------------------------
+#
+# Each injection is first a Column expression (``*_value``): the value of a
+# column after corrupting the selected rows.  Expressions compose, so a whole
+# fixture can be built as one projection; the DataFrame-level injectors
+# below apply one expression to one column.
+
+
+def _on(selector: Column) -> Column:
+    """A NULL selector selects nothing."""
+    return F.coalesce(selector, F.lit(False))
+
+
+def value_where(current: Column, selector: Column, value: Column) -> Column:
+    return F.when(_on(selector), value).otherwise(current)
+
+
+def missing_value(current: Column, selector: Column, nan: bool = True) -> Column:
+    if nan:
+        return F.when(_on(selector), F.lit(float("nan"))).otherwise(current)
+    return F.when(~_on(selector), current)  # NULL of the column's own type
+
+
+def negated_value(current: Column, selector: Column) -> Column:
+    return F.when(_on(selector), -current).otherwise(current)
+
+
+def bad_format_value(current: Column, selector: Column, bad: Column | None = None) -> Column:
+    if bad is None:
+        bad = F.concat(F.regexp_replace(current, "@.*$", ""), F.lit("_invalid-format"))
+    return F.when(_on(selector), bad).otherwise(current)
 
 
 def inject_value(df: DataFrame, column: str, selector: Column, value: Column) -> DataFrame:
     """Selected rows take ``value``."""
-    c = col_ref(df, column)
-    return df.withColumn(column, F.when(selector, value).otherwise(c))
+    return df.withColumn(column, value_where(col_ref(df, column), selector, value))
 
 
 def inject_missing(df: DataFrame, column: str, selector: Column, nan: bool = True) -> DataFrame:
     """Selected rows become NaN (floating columns, ``nan=True``) or NULL."""
-    c = col_ref(df, column)
-    if nan:
-        return df.withColumn(column, F.when(selector, F.lit(float("nan"))).otherwise(c))
-    # NULL of the column's own type, without a schema lookup
-    return df.withColumn(column, F.when(~F.coalesce(selector, F.lit(False)), c))
+    return df.withColumn(column, missing_value(col_ref(df, column), selector, nan))
 
 
 def inject_negate(df: DataFrame, column: str, selector: Column) -> DataFrame:
     """Selected rows are multiplied by −1 (NaN stays NaN, NULL stays NULL)."""
-    c = col_ref(df, column)
-    return df.withColumn(column, F.when(selector, -c).otherwise(c))
+    return df.withColumn(column, negated_value(col_ref(df, column), selector))
 
 
 def inject_bad_format(df: DataFrame, column: str, selector: Column, bad: Column | None = None) -> DataFrame:
     """Selected rows get a malformed value; default: e-mail local part + ``_invalid-format``."""
-    c = col_ref(df, column)
-    if bad is None:
-        bad = F.concat(F.regexp_replace(c, "@.*$", ""), F.lit("_invalid-format"))
-    return df.withColumn(column, F.when(selector, bad).otherwise(c))
+    return df.withColumn(column, bad_format_value(col_ref(df, column), selector, bad))
 
 
 def inject_duplicate_key(df: DataFrame, column: str, selector: Column, source_key: Column) -> DataFrame:
@@ -95,14 +116,18 @@ def inject_duplicate_key(df: DataFrame, column: str, selector: Column, source_ke
     id), so sources and targets never need to meet in a join or a global
     ranking — the injection stays a projection at any scale.
     """
-    c = col_ref(df, column)
-    return df.withColumn(column, F.when(selector, source_key).otherwise(c))
+    return df.withColumn(column, value_where(col_ref(df, column), selector, source_key))
+
+
+def swapped_values(a: Column, b: Column, selector: Column) -> tuple[Column, Column]:
+    """(new a, new b): both read from the pre-image."""
+    return value_where(a, selector, b), value_where(b, selector, a)
 
 
 def inject_swap(df: DataFrame, a: str, b: str, selector: Column) -> DataFrame:
     """Selected rows exchange the values of ``a`` and ``b`` (both read before writing)."""
-    ca, cb = col_ref(df, a), col_ref(df, b)
-    return df.withColumns({a: F.when(selector, cb).otherwise(ca), b: F.when(selector, ca).otherwise(cb)})
+    new_a, new_b = swapped_values(col_ref(df, a), col_ref(df, b), selector)
+    return df.withColumns({a: new_a, b: new_b})
 
 
 # --- generators ------------------------------------------------------------

@@ -1,12 +1,13 @@
 """The deterministic dirty transactions fixture, derived from ``orders``.
 
 Base columns follow the reference's transaction schema; errors are injected
-with the library's own injectors using *modulus* selectors on the order key,
-so every count is exact and a SQL engine can reproduce the table.  It is one
-projection over ``orders`` — it grows with the table and never shuffles.
+with the library's own injection expressions using *modulus* selectors on the
+order key, so every count is exact and a SQL engine can reproduce the table.
+It is one projection over ``orders`` — it grows with the table and never
+shuffles.
 
-Injection order matters where two injections touch one column: the later
-injector wins, so the rarer override (NULL) is applied last.
+Where two injections touch one column the outer expression wins, so the
+rarer override (NULL) wraps the other.
 """
 
 from __future__ import annotations
@@ -28,38 +29,34 @@ def _mod(k, m: int, r: int):
 
 
 def transactions_from_orders(orders: DataFrame) -> DataFrame:
+    """One projection over ``orders``: base columns with the injections composed in."""
     k = F.col("o_orderkey")
-    days = (F.lit(1) + k % 60).cast("int")
-    base = orders.select(
-        F.col("o_custkey").alias("user_id"),
-        F.concat(F.lit("txn_"), k.cast("string")).alias("transaction_id"),
+    date = F.col("o_orderdate")
+    later = date + F.make_dt_interval(days=(F.lit(1) + k % 60).cast("int"))
+    start, end = synth.swapped_values(date, later, _mod(k, 10, 4))
+    user = synth.value_where(F.col("o_custkey"), _mod(k, 50, 9), F.col("o_custkey") + ORPHAN_OFFSET)
+    txn_id = synth.value_where(
+        F.concat(F.lit("txn_"), k.cast("string")), _mod(k, 33, 32), F.concat(F.lit("txn_"), (k - 1).cast("string"))
+    )
+    date_text = synth.value_where(F.lit(GOOD_DATE_TEXT), _mod(k, 40, 1), F.lit("2024/01/05"))
+    date_text = synth.value_where(date_text, _mod(k, 40, 2), F.lit("2024-02-30"))
+    return orders.select(
+        synth.missing_value(user, _mod(k, 1000, 13), nan=False).alias("user_id"),
+        synth.missing_value(txn_id, _mod(k, 500, 7), nan=False).alias("transaction_id"),
         k.alias("row_key"),
-        F.concat(F.lit("P"), (F.lit(100) + k % 100).cast("string")).alias("product_id"),
-        F.col("o_totalprice").alias("price"),
-        (F.lit(1) + k % 9).cast("double").alias("quantity"),
-        F.concat(F.lit("user"), k.cast("string"), F.lit("@example.com")).alias("email"),
+        synth.bad_format_value(
+            F.concat(F.lit("P"), (F.lit(100) + k % 100).cast("string")), _mod(k, 200, 5), F.lit("P9")
+        ).alias("product_id"),
+        synth.missing_value(synth.negated_value(F.col("o_totalprice"), _mod(k, 100, 8)), _mod(k, 20, 3)).alias(
+            "price"
+        ),
+        synth.missing_value((F.lit(1) + k % 9).cast("double"), _mod(k, 20, 6), nan=False).alias("quantity"),
+        synth.bad_format_value(F.concat(F.lit("user"), k.cast("string"), F.lit("@example.com")), _mod(k, 50, 11)).alias(
+            "email"
+        ),
         F.element_at(F.array(*[F.lit(v) for v in FIXTURE_COUNTRIES]), (k % 7 + 1).cast("int")).alias("country_code"),
         F.element_at(F.array(*[F.lit(v) for v in FIXTURE_STATUSES]), (k % 5 + 1).cast("int")).alias("order_status"),
-        F.col("o_orderdate").alias("start_date"),
-        (F.col("o_orderdate") + F.make_dt_interval(days=days)).alias("end_date"),
-        F.lit(GOOD_DATE_TEXT).alias("date_text"),
-    )
-    key = F.col("row_key")
-    df = base
-    df = synth.inject_value(df, "user_id", _mod(key, 50, 9), F.col("user_id") + ORPHAN_OFFSET)
-    df = synth.inject_missing(df, "user_id", _mod(key, 1000, 13), nan=False)
-    df = synth.inject_duplicate_key(
-        df, "transaction_id", _mod(key, 33, 32), F.concat(F.lit("txn_"), (key - 1).cast("string"))
+        synth.missing_value(start, _mod(k, 300, 17), nan=False).alias("start_date"),
+        end.alias("end_date"),
+        synth.missing_value(date_text, _mod(k, 40, 3), nan=False).alias("date_text"),
     )
-    df = synth.inject_missing(df, "transaction_id", _mod(key, 500, 7), nan=False)
-    df = synth.inject_bad_format(df, "product_id", _mod(key, 200, 5), F.lit("P9"))
-    df = synth.inject_negate(df, "price", _mod(key, 100, 8))
-    df = synth.inject_missing(df, "price", _mod(key, 20, 3), nan=True)
-    df = synth.inject_missing(df, "quantity", _mod(key, 20, 6), nan=False)
-    df = synth.inject_bad_format(df, "email", _mod(key, 50, 11))
-    df = synth.inject_swap(df, "start_date", "end_date", _mod(key, 10, 4))
-    df = synth.inject_missing(df, "start_date", _mod(key, 300, 17), nan=False)
-    df = synth.inject_value(df, "date_text", _mod(key, 40, 1), F.lit("2024/01/05"))
-    df = synth.inject_value(df, "date_text", _mod(key, 40, 2), F.lit("2024-02-30"))
-    df = synth.inject_missing(df, "date_text", _mod(key, 40, 3), nan=False)
-    return df
