@@ -54,15 +54,18 @@ def test_uniqueness_is_partial_aggregate(spark):
     assert "ReadSchema: struct<l_orderkey:bigint>" in text
 
 
-def test_referential_pre_aggregates_keys(spark):
+def test_referential_count_is_a_cogroup_not_a_join(spark):
     orders = spark.read.parquet(f"{SF01}/orders.parquet")
     cust = spark.read.parquet(f"{SF01}/customer.parquet")
     text = plan(Suite([c("ri", "consistency", "referential_integrity", column="o_custkey",
                          reference=cust, reference_column="c_custkey")]).results(orders))
-    join = text.index("Join")
-    # Both join inputs are aggregates (one row per key), never raw rows.
-    assert "HashAggregate" in text[join:text.index("Scan parquet")]
-    assert "LeftOuter" in text
+    tree = [ln.strip(" +-:") for ln in text.split("\n\n")[0].splitlines()]
+    assert not any("Join" in ln for ln in tree)
+    union = next(i for i, ln in enumerate(tree) if ln.startswith("Union"))
+    assert tree[union - 1].startswith("HashAggregate")  # partial aggregate over both sides' keys
+    assert tree[union - 2].startswith("Exchange")
+    assert sum(ln.startswith("Exchange") for ln in tree) == 2  # key co-group + the one-row total
+    assert "ReadSchema: struct<o_custkey:bigint>" in text and "ReadSchema: struct<c_custkey:bigint>" in text
 
 
 def test_keep_latest_trims_before_shuffle(spark):

@@ -1,13 +1,10 @@
 """Referential integrity: keys absent from a reference table.
 
-Counting plan: pre-aggregate the checked table to one row per key value
-(partial-first hash aggregate, so a hot key costs one row per map task),
-then left-join those key counts to the distinct reference keys and sum the
-counts that found no partner.  The join therefore moves at most one row per
-distinct key on each side, whatever the skew.  Catalyst / AQE choose a
-broadcast hash join only when the measured reference side is under
-``spark.sql.autoBroadcastJoinThreshold``; otherwise a sort-merge join that
-reuses the aggregates' hash partitioning.
+Counting plan: the checked keys and the reference keys are unioned and
+counted per key in one partial-first aggregate (a co-group), so the count
+needs no join at all: one shuffle of pre-aggregated keys, whatever the skew
+or the size of either side.  Drill-down to the orphan *rows* is a left anti
+join (see ``orphan_rows``).
 
 A NULL key never equals anything, so by default it counts as missing (the
 reference's left-anti semantics); ``nulls_violate=False`` ignores NULL keys.
@@ -33,16 +30,30 @@ def reference_keys(ref: DataFrame, ref_key: Column, distinct: bool = True) -> Da
 def missing_reference_counts(
     df: DataFrame, key: Column, ref: DataFrame, ref_key: Column, nulls_violate: bool = True
 ) -> DataFrame:
-    """One row: ``violations``, ``total_rows``, ``missing_keys`` (distinct absent non-NULL keys)."""
-    sizes = group_sizes(df, key)
-    keys = reference_keys(ref, ref_key)
-    joined = sizes.join(keys, sizes[KEY] == keys[REF], "left")
-    absent = F.col(REF).isNull()
-    counted = absent & (F.col(KEY).isNotNull() | F.lit(bool(nulls_violate)))
-    return joined.agg(
-        F.coalesce(F.sum(F.when(counted, F.col(SIZE))), F.lit(0)).cast("bigint").alias("violations"),
-        F.coalesce(F.sum(F.col(SIZE)), F.lit(0)).cast("bigint").alias("total_rows"),
-        F.count_if(absent & F.col(KEY).isNotNull()).alias("missing_keys"),
+    """One row: ``violations``, ``total_rows``, ``missing_keys`` (distinct absent non-NULL keys).
+
+    A co-grouped aggregate instead of a join: the checked keys (side 0) and
+    the reference keys (side 1, cast to the checked key's type) are unioned
+    and counted per key in one partial-first aggregate.  A key is missing when
+    it has checked rows but no reference rows.  One shuffle of pre-aggregated
+    keys, no broadcast decision, and a hot key on either side collapses to one
+    row per map task.
+    """
+    key_type = df.select(key).schema[0].dataType
+    side = "__side"
+    main = df.select(key.alias(KEY), F.lit(0).alias(side))
+    refs = ref.select(ref_key.try_cast(key_type).alias(KEY), F.lit(1).alias(side)).where(F.col(KEY).isNotNull())
+    counts = main.unionByName(refs).groupBy(KEY).agg(
+        F.count_if(F.col(side) == 0).alias(SIZE),
+        F.count_if(F.col(side) == 1).alias("__ref_rows"),
+    )
+    k, n = F.col(KEY), F.col(SIZE)
+    absent = (n > 0) & k.isNotNull() & (F.col("__ref_rows") == 0)
+    counted = absent | (k.isNull() & F.lit(bool(nulls_violate)))
+    return counts.agg(
+        F.coalesce(F.sum(F.when(counted, n)), F.lit(0)).cast("bigint").alias("violations"),
+        F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("total_rows"),
+        F.count_if(absent).alias("missing_keys"),
     )
 
 
