@@ -311,10 +311,12 @@ RUNS = (("run-raw", "2024-01-01 00:00:00"), ("run-clean", "2024-01-01 00:05:00")
 
 
 def _log(spark, sf):
+    """Two suite runs (raw and cleaned) appended to a results log, read back from storage."""
     suite = Suite(_full_suite(sf))
-    raw = sinks.with_run_columns(suite.results(_txn(spark, sf)), RUNS[0][0], RUNS[0][1], "txn")
-    clean = sinks.with_run_columns(suite.results(_dedup(spark, sf)), RUNS[1][0], RUNS[1][1], "dedup")
-    return raw.unionByName(clean)
+    path = scratch_path(spark, "results-log")
+    sinks.append_results_log(suite.results(_txn(spark, sf)), path, RUNS[0][0], RUNS[0][1], "txn")
+    sinks.append_results_log(suite.results(_dedup(spark, sf)), path, RUNS[1][0], RUNS[1][1], "dedup")
+    return sinks.read_results_log(spark, path)
 
 
 def _ts_text(df: DataFrame) -> DataFrame:
