@@ -34,7 +34,7 @@ from veracity.plans.flow import clean_and_dedup, standard_suite  # noqa: E402
 from veracity.session import scratch_path  # noqa: E402
 from veracity.sources import sinks  # noqa: E402
 from veracity.sources.readers import read_table  # noqa: E402
-from veracity.streaming.microbatch import run_suite_on_stream  # noqa: E402
+from veracity.streaming.microbatch import run_running_results, run_suite_on_stream  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -421,6 +421,21 @@ def q_microbatch_suite(spark, sf):
                       F.round("metric", 6).alias("metric"))
 
 
+STREAM_RUNNING = [
+    _c("custkey_not_null", "completeness", column="o_custkey"),
+    _c("totalprice_min_100k", "validity", "range", column="o_totalprice", min_value=100000.0, threshold=0.25),
+    _c("status_known", "validity", "categorical", column="o_orderstatus", allowed_values=["O", "F", "P"]),
+    _c("totalprice_mean", "stats", "mean_deviation", column="o_totalprice", expected_mean=150000.0,
+       max_deviation_stddevs=1.0),
+    _c("orderkey_unique", "uniqueness", column="o_orderkey"),
+]
+
+
+def q_streaming_running_totals(spark, sf):
+    out = run_running_results(spark, f"{sf.rstrip('/')}/orders.parquet", STREAM_RUNNING)
+    return compact(out)
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "completeness": q_completeness,
     "uniqueness": q_uniqueness,
@@ -471,6 +486,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gate_split": q_gate_split,
     "castability": q_castability,
     "microbatch_suite": q_microbatch_suite,
+    "streaming_running_totals": q_streaming_running_totals,
 }
 
 
