@@ -46,7 +46,10 @@ def test_report_and_log(spark, results):
     t1, t2 = dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 2, 0, 0)
     sinks.append_results_log(results, f"{base}/log", "r1", t1, "src")
     sinks.append_results_log(results, f"{base}/log", "r2", t2, "src")
+    sinks.append_results_log(results, f"{base}/log", "r2", t2, "src")  # a retried run replaces itself
     log = sinks.read_results_log(spark, f"{base}/log")
+    assert log.columns == sinks.LOG_SCHEMA.fieldNames()
+    assert log.count() == 6
     runs = history.run_history(log).collect()
     assert [(r["run_id"], r["check_count"]) for r in runs] == [("r2", 3), ("r1", 3)]
     failing = history.non_passing(log).collect()

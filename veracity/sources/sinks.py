@@ -131,7 +131,7 @@ def append_results_log(
     kind: str = "parquet",
     jdbc_properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Append one run to the results log and return the appended rows.
+    """Append one run to the results log (idempotent per ``run_id``) and return its rows.
 
     ``kind``: ``parquet`` (``target`` is a path) or ``table`` (catalog
     table, created on first append), both partitioned by ``run_date``; or
@@ -140,10 +140,16 @@ def append_results_log(
     """
     rows = with_run_columns(results, run_id, run_ts, data_source)
     if kind in ("parquet", "table"):
-        # Partitioned by run date: history queries over a date range read
-        # only those folders, however long the log grows.
+        # Partitioned by run date (history queries over a date range read only
+        # those folders, however long the log grows) and by run id, written
+        # with dynamic partition overwrite: re-running a failed or repeated
+        # run replaces its own partition instead of appending duplicates.
         dated = rows.withColumn(LOG_PARTITION, F.to_date("run_ts"))
-        writer = dated.write.mode("append").partitionBy(LOG_PARTITION)
+        writer = (
+            dated.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(LOG_PARTITION, "run_id")
+        )
         if kind == "parquet":
             writer.parquet(target)
         else:
@@ -157,4 +163,5 @@ def append_results_log(
 
 
 def read_results_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(LOG_SCHEMA).parquet(path)
+    """The log with its declared schema and column order (partition columns included)."""
+    return spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_SCHEMA.fieldNames())
