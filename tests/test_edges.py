@@ -225,3 +225,19 @@ def test_run_strategies_agree(spark, dedup):
     per = [tuple(r) for r in suite.run(dedup, persist=True).select(cols).collect()]
     assert lazy == mat == per
     assert not dedup.is_cached
+
+
+def test_reference_forms(spark):
+    from conftest import SF001
+
+    df = spark.read.parquet(f"{SF001}/orders.parquet")
+    base = {"check_name": "ri", "check_type": "consistency", "sub_type": "referential_integrity"}
+    forms = [
+        {"column": "o_custkey", "reference": f"{SF001}/customer.parquet", "reference_column": "c_custkey"},
+        {"column": "o_custkey", "reference_data_path": "customer.parquet", "reference_column": "c_custkey"},
+        {"column": "o_custkey", "reference": "no_such_table", "reference_column": "c_custkey"},
+    ]
+    got = [Suite([dict(base, params=p)], base_dir=SF001).results(df).first() for p in forms]
+    assert got[0]["status"] == got[1]["status"] != "ERROR"
+    assert got[0]["violations"] == got[1]["violations"]
+    assert got[2]["status"] == "ERROR"

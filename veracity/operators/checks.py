@@ -198,9 +198,12 @@ def _reference_frame(spec: CheckSpec, ctx: CompileContext) -> tuple[DataFrame, s
         return ref, "<DataFrame>"
     if isinstance(ref, str) and ref in ctx.references:
         return ctx.references[ref], ref
-    if isinstance(ref, str) and ref:
-        return ctx.spark.table(ref), ref
-    path = spec.param("reference_data_path")
+    if isinstance(ref, str) and ref and "/" not in ref and not ref.endswith(".parquet"):
+        try:
+            return ctx.spark.table(ref), ref
+        except Exception as exc:  # AnalysisException: no such table
+            raise CheckError(f"reference table '{ref}' does not exist") from exc
+    path = ref if isinstance(ref, str) and ref else spec.param("reference_data_path")
     if not isinstance(path, str) or not path:
         raise CheckError("referential integrity needs 'reference' or 'reference_data_path'")
     if path in ctx.references:
