@@ -49,11 +49,27 @@ def test_uniqueness_is_partial_aggregate(spark):
     text = plan(Suite([c("u", "uniqueness", column="l_orderkey")]).results(li))
     tree = [ln.strip(" +-:") for ln in text.split("\n\n")[0].splitlines()]
     scan = next(i for i, ln in enumerate(tree) if ln.startswith("Scan parquet"))
-    assert tree[scan - 1].startswith("HashAggregate")  # partial aggregate right above the scan
-    assert tree[scan - 2].startswith("Exchange")
+    above = [ln for ln in reversed(tree[:scan]) if not ln.startswith("Project")]
+    assert above[0].startswith("HashAggregate")  # partial aggregate right above the scan
+    assert above[1].startswith("Exchange")
     assert "ReadSchema: struct<l_orderkey:bigint>" in text
 
 
+def test_unique_and_referential_on_one_column_share_a_shuffle(spark):
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    cust = spark.read.parquet(f"{SF01}/customer.parquet")
+    text = plan(Suite([
+        c("u", "uniqueness", column="o_custkey"),
+        c("ri", "consistency", "referential_integrity", column="o_custkey", reference=cust,
+          reference_column="c_custkey"),
+        c("ri2", "consistency", "referential_integrity", column="o_custkey", reference=cust,
+          reference_column="c_custkey", nulls_are_violations=False),
+    ]).results(orders))
+    tree = text.split("\n\n")[0]
+    assert tree.count("Scan parquet") == 2  # the checked column once, the reference once
+    assert tree.count("Exchange") == 2  # one key co-group, one single-row total
+
+
 def test_referential_count_is_a_cogroup_not_a_join(spark):
     orders = spark.read.parquet(f"{SF01}/orders.parquet")
     cust = spark.read.parquet(f"{SF01}/customer.parquet")

@@ -16,7 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracity.operators.skew import HOT_ROWS, hot_keys, split_rows
-from veracity.operators.uniqueness import KEY, SIZE, group_sizes
+from veracity.operators.keyed import side_counts
+from veracity.operators.uniqueness import KEY, group_sizes
 
 REF = "__ref_key"
 
@@ -32,23 +33,13 @@ def missing_reference_counts(
 ) -> DataFrame:
     """One row: ``violations``, ``total_rows``, ``missing_keys`` (distinct absent non-NULL keys).
 
-    A co-grouped aggregate instead of a join: the checked keys (side 0) and
-    the reference keys (side 1, cast to the checked key's type) are unioned
-    and counted per key in one partial-first aggregate.  A key is missing when
-    it has checked rows but no reference rows.  One shuffle of pre-aggregated
-    keys, no broadcast decision, and a hot key on either side collapses to one
-    row per map task.
+    The checked keys and the reference keys (cast to the checked type) are
+    co-grouped in one partial-first aggregate (``keyed.side_counts``); a key
+    is missing when it has checked rows and no reference rows.
     """
-    key_type = df.select(key).schema[0].dataType
-    side = "__side"
-    main = df.select(key.alias(KEY), F.lit(0).alias(side))
-    refs = ref.select(ref_key.try_cast(key_type).alias(KEY), F.lit(1).alias(side)).where(F.col(KEY).isNotNull())
-    counts = main.unionByName(refs).groupBy(KEY).agg(
-        F.count_if(F.col(side) == 0).alias(SIZE),
-        F.count_if(F.col(side) == 1).alias("__ref_rows"),
-    )
-    k, n = F.col(KEY), F.col(SIZE)
-    absent = (n > 0) & k.isNotNull() & (F.col("__ref_rows") == 0)
+    counts = side_counts(df, key, [(ref, ref_key)])
+    k, n = F.col(KEY), F.col("__n0")
+    absent = k.isNotNull() & (n > 0) & (F.col("__n1") == 0)
     counted = absent | (k.isNull() & F.lit(bool(nulls_violate)))
     return counts.agg(
         F.coalesce(F.sum(F.when(counted, n)), F.lit(0)).cast("bigint").alias("violations"),

@@ -5,8 +5,9 @@ check, in suite order) whose plan is
 
 * one fused global aggregate for all row checks, statistics, schema checks
   and build-time errors,
-* one group-by per uniqueness check,
-* one key-count ⋈ reference-key join per referential check,
+* one co-grouped key count per distinct column under uniqueness or
+  referential checks (the column's values unioned with each reference's
+  keys, counted per key and side),
 
 unioned together.  Nothing runs until an action.  ``Suite.run(df)`` is the
 eager form: it optionally materializes the input once in the shared folder,
@@ -36,8 +37,7 @@ from veracity.operators.checks import (
     compile_check,
 )
 from veracity.operators.fused import fused_results
-from veracity.operators.referential import missing_reference_counts
-from veracity.operators.uniqueness import uniqueness_counts
+from veracity.operators.keyed import keyed_results
 from veracity.session import materialize
 from veracity.spec import CheckSpec, build_specs
 
@@ -102,40 +102,14 @@ class Suite:
         branches: list[DataFrame] = []
         if fused_items:
             branches.append(fused_results(df, fused_items))
+        # Uniqueness and referential checks on the same column share one
+        # co-grouped key count (one shuffle per distinct checked column).
+        keyed: dict[str, list] = {}
         for ordinal, spec, shape in compiled:
-            if isinstance(shape, GroupCheck):
-                counts = uniqueness_counts(df, shape.key)
-                branches.append(
-                    _one_row(
-                        counts,
-                        R.ratio_result(
-                            spec,
-                            ordinal,
-                            "violations",
-                            "total_rows",
-                            f"hold values that occur more than once in '{shape.column}'",
-                            {"duplicate_values": "duplicate_values"},
-                        ),
-                    )
-                )
-            elif isinstance(shape, AntiJoinCheck):
-                counts = missing_reference_counts(
-                    df, shape.key, shape.reference, shape.reference_key, shape.nulls_violate
-                )
-                nulls = "" if shape.nulls_violate else " (NULL keys ignored)"
-                branches.append(
-                    _one_row(
-                        counts,
-                        R.ratio_result(
-                            spec,
-                            ordinal,
-                            "violations",
-                            "total_rows",
-                            f"have a '{shape.column}' not found in {shape.reference_label}{nulls}",
-                            {"missing_keys": "missing_keys"},
-                        ),
-                    )
-                )
+            if isinstance(shape, (GroupCheck, AntiJoinCheck)):
+                keyed.setdefault(shape.column, []).append((ordinal, spec, shape))
+        for column, items in keyed.items():
+            branches.append(keyed_results(df, column, items))
         if not branches:
             return df.sparkSession.createDataFrame([], R.RESULTS_SCHEMA)
         union = reduce(lambda a, b: a.unionByName(b), branches)
@@ -221,10 +195,6 @@ def _expression(shape: object):
     return None
 
 
-def _one_row(counts: DataFrame, struct_sql: str) -> DataFrame:
-    return counts.selectExpr(f"{struct_sql} AS __r").select("__r.*")
-
-
 def run_checks(df: DataFrame, checks: Iterable[CheckSpec | Mapping[str, Any]], **kwargs: Any) -> DataFrame:
     """Lazy results for ``checks`` on ``df`` (shorthand for ``Suite(checks).results(df)``)."""
     return Suite(checks, **kwargs).results(df)
