@@ -19,10 +19,16 @@ def shared_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; set a local one only when none is configured."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+        try:
+            configured = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext on this client (e.g. Spark Connect)
+            configured = None
     if not configured:
         configured = tempfile.mkdtemp(prefix="veracity-checkpoints-")
-        spark.sparkContext.setCheckpointDir(configured)
+        try:
+            spark.sparkContext.setCheckpointDir(configured)
+        except Exception:
+            pass  # the folder is still returned; later calls create their own
     return configured.rstrip("/")
 
 
