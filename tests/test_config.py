@@ -49,3 +49,28 @@ def test_run_config_default_tiebreak_is_deterministic(spark, txn):
     a = run_config(spark, cfg).first()
     b = run_config(spark, cfg).first()
     assert a["violations"] == b["violations"] == 10
+
+
+def test_command_line(spark, txn, capsys):
+    import json
+
+    from veracity.__main__ import main
+
+    base = scratch_path(spark, "cli")
+    txn.write.parquet(f"{base}/data.parquet")
+    cfg = {
+        "data_source": "data.parquet",
+        "cleaning": False,
+        "checks": [
+            {"check_name": "price_min", "check_type": "validity", "sub_type": "range",
+             "params": {"column": "price", "min_value": 0.0, "threshold": 0.5}},
+            {"check_name": "ids_unique", "check_type": "uniqueness", "params": {"column": "transaction_id"}},
+        ],
+    }
+    with open(f"{base}/pipeline.json", "w") as fh:
+        json.dump(cfg, fh)
+    assert main(["run", f"{base}/pipeline.json"], spark=spark) == 1  # ids_unique fails
+    out = capsys.readouterr().out
+    assert "price_min" in out and "ids_unique" in out
+    assert main(["failures", f"{base}/pipeline.json", "price_min", "--limit", "3"], spark=spark) == 0
+    assert "150 failing rows for 'price_min'" in capsys.readouterr().out
