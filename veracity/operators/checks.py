@@ -7,7 +7,7 @@ few *shapes*; the suite planner fuses shapes that share a pass:
 * ``StatCheck``    — a value column whose mean / stddev_pop the fused aggregate computes
 * ``SchemaCheck``  — answered from the schema alone (no data read)
 * ``GroupCheck``   — needs a group-by on one column (uniqueness)
-* ``AntiJoinCheck``— needs a join against reference keys (referential integrity)
+* ``ReferenceCheck``— needs the keys of a reference table (referential integrity)
 
 Compilers raise on bad parameters, missing columns or wrong types; the suite
 turns that into an ERROR row for that check only.  Users extend the engine
@@ -62,7 +62,7 @@ class GroupCheck:
 
 
 @dataclass(frozen=True)
-class AntiJoinCheck:
+class ReferenceCheck:
     key: Column
     column: str
     reference: DataFrame
@@ -71,7 +71,7 @@ class AntiJoinCheck:
     nulls_violate: bool = True
 
 
-Shape = RowCheck | StatCheck | SchemaCheck | GroupCheck | AntiJoinCheck
+Shape = RowCheck | StatCheck | SchemaCheck | GroupCheck | ReferenceCheck
 
 
 @dataclass
@@ -231,7 +231,7 @@ def _referential(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     except Exception as exc:
         raise CheckError(f"reference column '{ref_col}' does not exist in {label}") from exc
     nulls = spec.param("nulls_are_violations", True)
-    return AntiJoinCheck(c, name, ref, rc, f"{label}.{ref_col}", bool(nulls))
+    return ReferenceCheck(c, name, ref, rc, f"{label}.{ref_col}", bool(nulls))
 
 
 # --- format ---------------------------------------------------------------

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracity.operators.checks import (
-    AntiJoinCheck,
+    ReferenceCheck,
     CheckError,
     CompileContext,
     GroupCheck,
@@ -67,7 +67,7 @@ def failing_rows(
         return df.where(shape.predicate)
     if isinstance(shape, GroupCheck):
         return rows_in_duplicate_groups(df, shape.key, hot_rows=hot_rows)
-    if isinstance(shape, AntiJoinCheck):
+    if isinstance(shape, ReferenceCheck):
         return orphan_rows(
             df, shape.key, shape.reference, shape.reference_key, shape.nulls_violate, hot_rows=hot_rows
         )

@@ -23,12 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracity.functions import render as R
-from veracity.operators.checks import AntiJoinCheck, GroupCheck
+from veracity.operators.checks import ReferenceCheck, GroupCheck
 from veracity.spec import CheckSpec
 
 KEY, SIDE = "__key", "__side"
 
-KeyedItem = tuple[int, CheckSpec, GroupCheck | AntiJoinCheck]
+KeyedItem = tuple[int, CheckSpec, GroupCheck | ReferenceCheck]
 
 
 def side_counts(df: DataFrame, key: Column, references: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
@@ -54,7 +54,7 @@ def keyed_results(df: DataFrame, column: str, items: Sequence[KeyedItem]) -> Dat
     side_of: dict[int, int] = {}
     sides: dict[object, int] = {}  # the same reference key column is read once
     for ordinal, _, shape in items:
-        if isinstance(shape, AntiJoinCheck):
+        if isinstance(shape, ReferenceCheck):
             ident = id(shape.reference) if shape.reference_label.startswith("<") else shape.reference_label
             if ident not in sides:
                 refs.append((shape.reference, shape.reference_key))

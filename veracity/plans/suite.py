@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from veracity.functions import render as R
 from veracity.operators.checks import (
-    AntiJoinCheck,
+    ReferenceCheck,
     CheckError,
     CompileContext,
     GroupCheck,
@@ -122,7 +122,7 @@ class Suite:
     def results(self, df: DataFrame) -> DataFrame:
         """The results DataFrame (lazy), ordered by suite position."""
         compiled = self.compile(df)
-        fused_items = [c for c in compiled if not isinstance(c[2], (GroupCheck, AntiJoinCheck))]
+        fused_items = [c for c in compiled if not isinstance(c[2], (GroupCheck, ReferenceCheck))]
         branches: list[DataFrame] = []
         if fused_items:
             branches.append(fused_results(df, fused_items))
@@ -130,7 +130,7 @@ class Suite:
         # co-grouped key count (one shuffle per distinct checked column).
         keyed: dict[str, list] = {}
         for ordinal, spec, shape in compiled:
-            if isinstance(shape, (GroupCheck, AntiJoinCheck)):
+            if isinstance(shape, (GroupCheck, ReferenceCheck)):
                 keyed.setdefault(shape.column, []).append((ordinal, spec, shape))
         for column, items in keyed.items():
             branches.append(keyed_results(df, column, items))
@@ -154,7 +154,7 @@ class Suite:
     ) -> DataFrame:
         """Execute now; returns a small local-backed DataFrame of results.
 
-        The branches of the plan (fused aggregate, each group-by, each join)
+        The branches of the plan (the fused aggregate, each keyed co-group)
         each read ``df``.  When ``df`` is expensive (cleaning + a dedup
         shuffle), compute it once:
 

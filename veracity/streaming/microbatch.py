@@ -84,13 +84,13 @@ def running_results(stream: DataFrame, checks: Sequence[CheckSpec | Mapping[str,
     all keys ever seen (uniqueness, referential) are reported as ERROR here;
     run them per batch with ``check_stream``.
     """
-    from veracity.operators.checks import AntiJoinCheck, CheckError, GroupCheck
+    from veracity.operators.checks import ReferenceCheck, CheckError, GroupCheck
     from veracity.operators.fused import fused_results
 
     suite = Suite(checks)
     items = []
     for ordinal, spec, shape in suite.compile(stream):
-        if isinstance(shape, (GroupCheck, AntiJoinCheck)):
+        if isinstance(shape, (GroupCheck, ReferenceCheck)):
             shape = CheckError("needs every key seen so far; run it per micro-batch (check_stream)")
         items.append((ordinal, spec, shape))
     return fused_results(stream, items)
