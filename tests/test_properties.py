@@ -103,3 +103,72 @@ def test_mean_deviation_matches_brute_force(spark, values, expected, k):
     assert math.isclose(got["metric"], dev, rel_tol=1e-6, abs_tol=1e-9)
     if not math.isclose(dev, k, rel_tol=1e-9):
         assert got["status"] == ("FAIL" if dev > k else "PASS")
+
+
+TXN_ROWS = st.lists(
+    st.tuples(
+        st.one_of(st.none(), st.sampled_from(["t1", "t2", "t3"])),  # transaction_id
+        st.one_of(st.none(), st.integers(min_value=0, max_value=3)),  # start day
+        st.one_of(st.none(), st.integers(min_value=0, max_value=3)),  # end day
+        st.one_of(st.none(), st.just(float("nan")), st.sampled_from([-5.0, 0.0, 7.5])),  # price
+        st.one_of(st.none(), st.sampled_from(["a@b.io", "bad", "x@y"])),  # email
+        st.one_of(st.none(), st.sampled_from(["US", "XX", "FR"])),  # country
+        st.one_of(st.none(), st.sampled_from(["PENDING", "UNK"])),  # status
+    ),
+    max_size=15,
+)
+
+
+def py_clean(r):
+    import datetime as dt
+
+    txn_id, s, e, price, email, country, status = r
+    day = lambda d: None if d is None else dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    start, end = day(s), day(e)
+    import re as _re
+
+    ok_email = email is not None and _re.search(r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$", email)
+    return {
+        "transaction_id": txn_id, "start_date": start, "end_date": end,
+        "price": None if price is None else (0.0 if price < 0 else price),
+        "email": email if ok_email else None,
+        "country_code": None if country is None else (country if country in ("US", "FR") else "UNKNOWN"),
+        "order_status": None if status is None else (status if status == "PENDING" else "UNKNOWN"),
+        "dates_marked_inconsistent": bool(start is not None and end is not None and end < start),
+    }
+
+
+@settings(max_examples=20, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=TXN_ROWS)
+def test_clean_and_dedup_match_brute_force(spark, rows):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from veracity.plans.flow import clean_and_dedup
+
+    day = lambda d: None if d is None else dt.datetime(2024, 1, 1) + dt.timedelta(days=d)
+    data = [(i, r[0], day(r[1]), day(r[2]), r[3], r[4], r[5], r[6]) for i, r in enumerate(rows)]
+    df = spark.createDataFrame(
+        data, "row_key long, transaction_id string, start_date timestamp_ntz, end_date timestamp_ntz, "
+              "price double, email string, country_code string, order_status string")
+    got = {r["row_key"]: r.asDict() for r in clean_and_dedup(df).collect()}
+
+    cleaned = {i: py_clean(r) for i, r in enumerate(rows)}
+    keep = {i for i, c in cleaned.items() if c["transaction_id"] is None or c["start_date"] is None}
+    groups: dict = {}
+    for i, c in cleaned.items():
+        if i not in keep:
+            groups.setdefault(c["transaction_id"], []).append(i)
+    for members in groups.values():
+        keep.add(max(members, key=lambda i: (cleaned[i]["start_date"], i)))  # latest start, then row_key
+    assert set(got) == keep
+    for i in keep:
+        want, have = cleaned[i], got[i]
+        for col, v in want.items():
+            h = have[col]
+            if isinstance(v, float) and math.isnan(v):
+                assert isinstance(h, float) and math.isnan(h), col
+            else:
+                assert h == v, (col, h, v)
+        assert (have["price_original"] is None) == (rows[i][3] is None)
