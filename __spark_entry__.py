@@ -26,7 +26,7 @@ from veracity import Suite, compact  # noqa: E402
 from veracity.operators import synth  # noqa: E402
 from veracity.operators.clean import EMAIL_PATTERN, clean_transactions  # noqa: E402
 from veracity.operators.dedup import keep_latest  # noqa: E402
-from veracity.operators.drilldown import failing_rows  # noqa: E402
+from veracity.operators.drilldown import failing_rows, preview  # noqa: E402
 from veracity.operators.extensions import castable_check, gate_split, repair_audit  # noqa: E402
 from veracity.plans import history  # noqa: E402
 from veracity.plans.fixtures import transactions_from_orders  # noqa: E402
@@ -290,6 +290,11 @@ def q_failing_rows_range(spark, sf):
     return failing_rows(_txn(spark, sf), FUSED[4])
 
 
+def q_failing_rows_preview(spark, sf):
+    """The first 20 failing rows by key — a preview, where the limit is the feature (S10, L1)."""
+    return preview(failing_rows(_txn(spark, sf), FUSED[6]), 20, order_by=["row_key"])
+
+
 def q_failing_rows_ref(spark, sf):
     return failing_rows(_txn(spark, sf), _c("user_in_customer", "consistency", "referential_integrity",
                                             column="user_id", reference=_t(spark, sf, "customer"),
@@ -470,6 +475,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedup_all_null": q_dedup_all_null,
     "dedup_events": q_dedup_events,
     "failing_rows_range": q_failing_rows_range,
+    "failing_rows_preview": q_failing_rows_preview,
     "failing_rows_ref": q_failing_rows_ref,
     "report_roundtrip": q_report_roundtrip,
     "results_log_runs": q_results_log_runs,
