@@ -74,3 +74,15 @@ def test_command_line(spark, txn, capsys):
     assert "price_min" in out and "ids_unique" in out
     assert main(["failures", f"{base}/pipeline.json", "price_min", "--limit", "3"], spark=spark) == 0
     assert "150 failing rows for 'price_min'" in capsys.readouterr().out
+
+
+def test_command_line_generate(spark, capsys):
+    from veracity.__main__ import main
+
+    base = scratch_path(spark, "gen")
+    assert main(["generate", base, "--rows", "20000", "--partitions", "2"], spark=spark) == 0
+    txn = spark.read.parquet(f"{base}/transactions")
+    users = spark.read.parquet(f"{base}/users")
+    assert txn.count() == 20000
+    assert 19000 < users.count() < 20000
+    assert len(txn.inputFiles()) == 2

@@ -1,8 +1,10 @@
-"""Command line: ``python -m veracity run CONFIG`` and ``python -m veracity failures CONFIG CHECK``.
+"""Command line: ``run``, ``failures`` and ``generate``.
 
-``run`` executes a configured pipeline (read → clean → dedup → checks →
+``run CONFIG`` executes a configured pipeline (read → clean → dedup → checks →
 report → results log, see ``plans/config.py``) and prints the results;
-``failures`` shows the failing rows of one configured check on the raw data.
+``failures CONFIG CHECK`` shows the failing rows of one configured check on the
+raw data; ``generate OUT_DIR`` writes synthetic transactions with the
+reference's error rates and a users table with holes and extras.
 The command line owns the session (``--master``, default: the environment's
 ``spark-submit`` / ``local[*]``); the library itself never creates one.
 """
@@ -31,6 +33,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     run.add_argument("config")
     run.add_argument("--base-dir", default=None, help="resolve relative paths here (default: the config's folder)")
     run.add_argument("--run-id", default=None)
+    gen = sub.add_parser("generate", help="write synthetic transactions (with errors) and a users table")
+    gen.add_argument("out_dir")
+    gen.add_argument("--rows", type=int, default=1_000_000)
+    gen.add_argument("--partitions", type=int, default=None, help="output files per table (default: Spark's)")
+    gen.add_argument("--seed", type=int, default=7)
     fail = sub.add_parser("failures", help="show the failing rows of one configured check")
     fail.add_argument("config")
     fail.add_argument("check_name")
@@ -43,6 +50,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     from veracity.sources.readers import read_with_single_file_fallback
 
     spark = spark or _session(args.master)
+    if args.command == "generate":
+        from veracity.operators import synth
+
+        keys = spark.range(1, args.rows + 1)
+        txn = synth.inject_transaction_errors(synth.generate_transactions(keys, "id", seed=args.seed),
+                                              id_seed=args.seed)
+        users = synth.generate_reference(spark.range(1, args.rows + 1).withColumnRenamed("id", "user_id"),
+                                         distinct=False)
+        out = args.out_dir.rstrip("/")
+        for name, df in (("transactions", txn), ("users", users)):
+            if args.partitions:
+                df = df.repartition(args.partitions)
+            df.write.mode("overwrite").parquet(f"{out}/{name}")
+        print(f"wrote {out}/transactions and {out}/users")
+        return 0
     config = load_config(args.config)
     base_dir = args.base_dir or os.path.dirname(os.path.abspath(args.config))
     if args.command == "run":
