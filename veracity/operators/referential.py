@@ -1,10 +1,9 @@
 """Referential integrity: keys absent from a reference table.
 
-Counting plan: the checked keys and the reference keys are unioned and
-counted per key in one partial-first aggregate (a co-group), so the count
-needs no join at all: one shuffle of pre-aggregated keys, whatever the skew
-or the size of either side.  Drill-down to the orphan *rows* is a left anti
-join (see ``orphan_rows``).
+Counting lives in ``keyed.py``: the checked keys and the reference keys are
+co-grouped in one partial-first aggregate, so the count needs no join.  This
+module returns the orphan *rows* (a left anti join, with NULL keys and hot
+keys kept out of the shuffle).
 
 A NULL key never equals anything, so by default it counts as missing (the
 reference's left-anti semantics); ``nulls_violate=False`` ignores NULL keys.
@@ -16,36 +15,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veracity.operators.skew import HOT_ROWS, hot_keys, split_rows
-from veracity.operators.keyed import side_counts
 from veracity.operators.uniqueness import KEY, group_sizes
 
 REF = "__ref_key"
 
 
-def reference_keys(ref: DataFrame, ref_key: Column, distinct: bool = True) -> DataFrame:
-    """Non-NULL reference keys; ``distinct`` when a join must not multiply rows."""
-    keys = ref.select(ref_key.alias(REF)).where(F.col(REF).isNotNull())
-    return keys.distinct() if distinct else keys
-
-
-def missing_reference_counts(
-    df: DataFrame, key: Column, ref: DataFrame, ref_key: Column, nulls_violate: bool = True
-) -> DataFrame:
-    """One row: ``violations``, ``total_rows``, ``missing_keys`` (distinct absent non-NULL keys).
-
-    The checked keys and the reference keys (cast to the checked type) are
-    co-grouped in one partial-first aggregate (``keyed.side_counts``); a key
-    is missing when it has checked rows and no reference rows.
-    """
-    counts = side_counts(df, key, [(ref, ref_key)])
-    k, n = F.col(KEY), F.col("__n0")
-    absent = k.isNotNull() & (n > 0) & (F.col("__n1") == 0)
-    counted = absent | (k.isNull() & F.lit(bool(nulls_violate)))
-    return counts.agg(
-        F.coalesce(F.sum(F.when(counted, n)), F.lit(0)).cast("bigint").alias("violations"),
-        F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("total_rows"),
-        F.count_if(absent).alias("missing_keys"),
-    )
+def reference_keys(ref: DataFrame, ref_key: Column) -> DataFrame:
+    """Non-NULL reference keys (no ``distinct``: an anti or semi join never multiplies rows)."""
+    return ref.select(ref_key.alias(REF)).where(F.col(REF).isNotNull())
 
 
 def orphan_rows(
@@ -65,7 +42,7 @@ def orphan_rows(
     and decided against the reference by a small join of the keys alone;
     ``hot_rows=None`` skips that check and leaves skew to AQE.
     """
-    keys = reference_keys(ref, ref_key, distinct=False)  # an anti join never multiplies rows
+    keys = reference_keys(ref, ref_key)
     present = df.where(key.isNotNull())
     hot = hot_keys(group_sizes(present, key), hot_rows) if hot_rows else None
     if hot is None:

@@ -1,11 +1,10 @@
-"""Uniqueness: rows whose value occurs more than once.
+"""Group sizes: rows per distinct value of a column.
 
-One hash aggregate per checked column.  Spark runs it partial-first, so a
-hot value (even a third of all rows) collapses to one row per map task before
-the shuffle; the reduce side then sees one row per distinct value.  The
-reference's inner back-join to count rows in duplicate groups is replaced by
-summing the group sizes, and the NULL group supplies its rows to the total
-instead of a separate count job.
+The building block for duplicate drill-down and the hot-key check.  It is a
+partial-first hash aggregate, so a hot value (even a third of all rows)
+collapses to one row per map task before the shuffle; the NULL group is kept
+as its own row.  Counting for the uniqueness *check* happens in
+``keyed.py``, shared with referential checks on the same column.
 """
 
 from __future__ import annotations
@@ -19,19 +18,3 @@ KEY, SIZE = "__key", "__size"
 def group_sizes(df: DataFrame, key: Column) -> DataFrame:
     """``(__key, __size)``: one row per distinct value, NULL included."""
     return df.groupBy(key.alias(KEY)).agg(F.count(F.lit(1)).alias(SIZE))
-
-
-def uniqueness_counts(df: DataFrame, key: Column) -> DataFrame:
-    """One row: ``violations`` (rows in groups of size > 1, NULLs excluded),
-    ``total_rows`` (all rows) and ``duplicate_values`` (number of such groups)."""
-    dup = F.col(KEY).isNotNull() & (F.col(SIZE) > 1)
-    return group_sizes(df, key).agg(
-        F.coalesce(F.sum(F.when(dup, F.col(SIZE))), F.lit(0)).cast("bigint").alias("violations"),
-        F.coalesce(F.sum(F.col(SIZE)), F.lit(0)).cast("bigint").alias("total_rows"),
-        F.count_if(dup).alias("duplicate_values"),
-    )
-
-
-def duplicate_keys(df: DataFrame, key: Column) -> DataFrame:
-    """Values that occur more than once, with their counts (HAVING count > 1)."""
-    return group_sizes(df, key).where(F.col(KEY).isNotNull() & (F.col(SIZE) > 1))
