@@ -25,19 +25,25 @@ from veracity.operators.checks import (
 from veracity.operators.referential import orphan_rows
 from veracity.operators.skew import HOT_ROWS, hot_keys, split_rows
 from veracity.operators.uniqueness import KEY, SIZE, group_sizes
+from veracity.session import materialize
 from veracity.spec import CheckSpec
 
 
 def rows_in_duplicate_groups(df: DataFrame, key: Column, *, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Rows whose non-NULL ``key`` value occurs more than once.
 
-    Group sizes come from a partial-first aggregate; rows are then kept by a
-    left-semi join against the duplicated values.  Values with more than
+    Group sizes come from a partial-first aggregate (written once to the
+    shared folder when the hot-key check also needs them); rows are then kept
+    by a left-semi join against the duplicated values.  Values with more than
     ``hot_rows`` rows are duplicates by definition: their rows are split off
     by a broadcast against that checked, bounded set, so the shuffled semi
     join never sees a hot key (``hot_rows=None`` leaves skew to AQE).
     """
     sizes = group_sizes(df, key)
+    if hot_rows:
+        # Read twice (hot-key check, duplicate set): write it once to the
+        # shared folder instead of aggregating the table twice.
+        sizes = materialize(sizes, "key-sizes")
     dups = sizes.where(F.col(KEY).isNotNull() & (F.col(SIZE) > 1))
     hot = hot_keys(sizes, hot_rows) if hot_rows else None
     if hot is None:
