@@ -86,3 +86,15 @@ def test_command_line_generate(spark, capsys):
     assert txn.count() == 20000
     assert 19000 < users.count() < 20000
     assert len(txn.inputFiles()) == 2
+
+
+def test_quickstart_example(spark):
+    import importlib.util
+
+    from conftest import ROOT, SF001
+
+    spec = importlib.util.spec_from_file_location("quickstart", f"{ROOT}/examples/quickstart.py")
+    mod = importlib.util.module_from_spec(spec)
+    spec.loader.exec_module(mod)
+    out = mod.main(SF001, spark=spark)
+    assert out["checks"] == 18 and out["orphans"] > 0
