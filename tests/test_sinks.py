@@ -43,6 +43,7 @@ def test_report_and_log(spark, results):
     base = scratch_path(spark, "log")
     written = sinks.write_report(results, f"{base}/report", ("json", "csv"))
     assert spark.read.json(written["json"]).count() == 3
+    assert len(spark.read.json(written["json"]).inputFiles()) == 1  # one report file
     t1, t2 = dt.datetime(2024, 1, 1, 0, 0), dt.datetime(2024, 1, 2, 0, 0)
     sinks.append_results_log(results, f"{base}/log", "r1", t1, "src")
     sinks.append_results_log(results, f"{base}/log", "r2", t2, "src")

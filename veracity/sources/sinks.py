@@ -110,13 +110,18 @@ def write_report(
     directory: str,
     formats: Sequence[str] = ("json",),
     run_ts: _dt.datetime | None = None,
+    partitions: int | None = 1,
 ) -> dict[str, str]:
-    """Write the report entries once per format under ``directory/<format>``."""
+    """Write the report entries once per format under ``directory/<format>``.
+
+    A report has one row per check, so by default it is one file per format
+    (``partitions=None`` keeps the frame's own partitioning).
+    """
     report = report_frame(results, run_ts)
     written = {}
     for fmt in formats:
         target = f"{directory.rstrip('/')}/{fmt}"
-        write_results(report, target, fmt)
+        write_results(report, target, fmt, partitions=partitions)
         written[fmt] = target
     return written
 
