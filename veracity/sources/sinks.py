@@ -149,7 +149,9 @@ def append_results_log(
         # those folders, however long the log grows) and by run id, written
         # with dynamic partition overwrite: re-running a failed or repeated
         # run replaces its own partition instead of appending duplicates.
-        dated = rows.withColumn(LOG_PARTITION, F.to_date("run_ts"))
+        # One run is one row per check: a single file per run keeps the log
+        # free of small files however many runs accumulate.
+        dated = rows.withColumn(LOG_PARTITION, F.to_date("run_ts")).coalesce(1)
         writer = (
             dated.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
