@@ -67,3 +67,16 @@ def test_keep_latest_hot_key(spark, skewed):
     assert out.where(F.col("k").isNull()).count() == skewed.where(F.col("k").isNull()).count()
     best = skewed.where(F.col("k") == 7).orderBy(F.col("v").desc(), F.col("row").desc()).first()["row"]
     assert out.where(F.col("k") == 7).first()["row"] == best
+
+
+def test_hot_set_is_capped_by_raising_the_threshold(spark):
+    from veracity.operators.skew import hot_keys
+    from veracity.operators.uniqueness import KEY, SIZE
+
+    sizes = spark.createDataFrame([(k, 10 * k) for k in range(1, 101)] + [(None, 10_000)],
+                                  f"{KEY} int, {SIZE} long")
+    hot = hot_keys(sizes, hot_rows=5, max_hot_keys=10)
+    keys = sorted(r[0] for r in hot.collect())
+    assert 0 < len(keys) <= 10
+    assert keys == list(range(101 - len(keys), 101))  # always the largest keys
+    assert hot_keys(sizes, hot_rows=10_000) is None  # NULL is never hot

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from veracity.operators.skew import HOT_ROWS, hot_keys, split_rows
 from veracity.operators.uniqueness import KEY, group_sizes
+from veracity.session import materialize
 
 REF = "__ref_key"
 
@@ -44,7 +45,7 @@ def orphan_rows(
     """
     keys = reference_keys(ref, ref_key)
     present = df.where(key.isNotNull())
-    hot = hot_keys(group_sizes(present, key), hot_rows) if hot_rows else None
+    hot = hot_keys(materialize(group_sizes(present, key), "key-sizes"), hot_rows) if hot_rows else None
     if hot is None:
         orphans = present.join(keys, key == keys[REF], "left_anti")
     else:
