@@ -253,3 +253,25 @@ def test_referenced_columns(spark, dedup):
     df = frame(spark, [(1, 2, 3)], "a int, `b c` int, d int")
     s2 = Suite([c("x", "consistency", condition_sql="A > `b c`")])
     assert s2.referenced_columns(df) == ["a", "b c"]
+
+
+def test_invalid_date_pattern_is_an_error_row_in_the_lazy_plan(spark):
+    df = frame(spark, [("2024-01-05",), ("x",)], "d string")
+    res = rows_by_name(Suite([
+        c("ok", "completeness", column="d"),
+        c("bad", "format", "date_format", column="d", expected_format="yyyy-MM-dd'"),
+        c("good", "format", "date_format", column="d", expected_format="yyyy-MM-dd"),
+    ]).results(df))
+    assert res["ok"]["status"] == "PASS"
+    assert res["bad"]["status"] == "ERROR"
+    assert res["good"]["violations"] == 1
+
+
+def test_invalid_regex_is_an_error_row_in_the_lazy_plan(spark):
+    df = frame(spark, [("a@b",), ("x",)], "s string")
+    res = rows_by_name(Suite([
+        c("bad", "validity", "regex", column="s", pattern="([a-z"),
+        c("good", "validity", "regex", column="s", pattern="@"),
+    ]).results(df))
+    assert res["bad"]["status"] == "ERROR"
+    assert res["good"]["violations"] == 1
