@@ -106,3 +106,15 @@ def test_cleaning_is_one_projection(spark, txn):
 
     text = plan(clean_transactions(txn).where(F.col("dates_marked_inconsistent")))
     assert "Exchange" not in text and "Window" not in text
+
+
+def test_orphan_rows_are_a_left_anti_join_with_null_bypass(spark):
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    cust = spark.read.parquet(f"{SF01}/customer.parquet")
+    rows = failing_rows(orders, c("ri", "consistency", "referential_integrity", column="o_custkey",
+                                  reference=cust, reference_column="c_custkey"))
+    text = plan(rows)
+    tree = text.split("\n\n")[0]
+    assert "LeftAnti" in tree
+    assert "Union" in tree  # NULL-key rows come from a filter, outside the join
+    assert "IsNull(o_custkey)" in text and "IsNotNull(o_custkey)" in text  # both pushed to the scans
