@@ -275,3 +275,16 @@ def test_invalid_regex_is_an_error_row_in_the_lazy_plan(spark):
     ]).results(df))
     assert res["bad"]["status"] == "ERROR"
     assert res["good"]["violations"] == 1
+
+
+def test_uncastable_reference_is_an_error_row_and_maps_group(spark):
+    df = spark.createDataFrame([({"a": 1}, 1), ({"a": 1}, 2), ({"b": 2}, 3)], "m map<string,int>, k int")
+    ref = spark.createDataFrame([((1, 2),)], "r struct<x:int,y:int>")
+    res = rows_by_name(Suite([
+        c("u_map", "uniqueness", column="m"),
+        c("u_k", "uniqueness", column="k"),
+        c("ri_struct", "consistency", "referential_integrity", column="k", reference=ref, reference_column="r"),
+    ]).results(df))
+    assert res["u_map"]["violations"] == 2  # Spark 4.1 groups by map values
+    assert res["ri_struct"]["status"] == "ERROR"  # struct keys do not cast to int
+    assert res["u_k"]["status"] == "PASS" and res["u_k"]["total_rows"] == 3

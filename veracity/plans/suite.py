@@ -122,18 +122,32 @@ class Suite:
     def results(self, df: DataFrame) -> DataFrame:
         """The results DataFrame (lazy), ordered by suite position."""
         compiled = self.compile(df)
-        fused_items = [c for c in compiled if not isinstance(c[2], (GroupCheck, ReferenceCheck))]
-        branches: list[DataFrame] = []
-        if fused_items:
-            branches.append(fused_results(df, fused_items))
         # Uniqueness and referential checks on the same column share one
         # co-grouped key count (one shuffle per distinct checked column).
         keyed: dict[str, list] = {}
         for ordinal, spec, shape in compiled:
             if isinstance(shape, (GroupCheck, ReferenceCheck)):
                 keyed.setdefault(shape.column, []).append((ordinal, spec, shape))
+        keyed_branches: list[DataFrame] = []
+        failed: list[tuple[int, CheckSpec, object]] = []
         for column, items in keyed.items():
-            branches.append(keyed_results(df, column, items))
+            # Building the branch analyzes it (no job): a column that cannot be
+            # grouped, or a reference key that cannot be cast, is an ERROR row.
+            try:
+                keyed_branches.append(keyed_results(df, column, items))
+                continue
+            except Exception:
+                pass
+            for item in items:
+                try:
+                    keyed_branches.append(keyed_results(df, column, [item]))
+                except Exception as exc:
+                    failed.append((item[0], item[1], CheckError(_describe_error(exc))))
+        fused_items = [c for c in compiled if not isinstance(c[2], (GroupCheck, ReferenceCheck))] + failed
+        branches: list[DataFrame] = []
+        if fused_items:
+            branches.append(fused_results(df, fused_items))
+        branches += keyed_branches
         if not branches:
             return df.sparkSession.createDataFrame([], R.RESULTS_SCHEMA)
         union = reduce(lambda a, b: a.unionByName(b), branches)
