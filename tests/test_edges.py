@@ -288,3 +288,11 @@ def test_uncastable_reference_is_an_error_row_and_maps_group(spark):
     assert res["u_map"]["violations"] == 2  # Spark 4.1 groups by map values
     assert res["ri_struct"]["status"] == "ERROR"  # struct keys do not cast to int
     assert res["u_k"]["status"] == "PASS" and res["u_k"]["total_rows"] == 3
+
+
+def test_keep_latest_keeps_user_columns_with_helper_like_names(spark):
+    from veracity import keep_latest
+
+    df = frame(spark, [("a", 1, 10), ("a", 2, 20), (None, 3, 30)], "k string, o int, __rn int")
+    out = {tuple(r) for r in keep_latest(df, "k", "o", "__rn").collect()}
+    assert out == {("a", 2, 20), (None, 3, 30)}

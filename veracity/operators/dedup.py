@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from veracity.functions.columns import col_ref
 
-RN = "__rn"
+RN = "__veracity_row_number"
 
 
 def _cols(df: DataFrame, names: str | Sequence[str]) -> list[Column]:
@@ -45,6 +45,8 @@ def keep_latest(
     eligible = F.lit(True)
     for c in keys + orders:
         eligible = eligible & c.isNotNull()
+    if RN in df.columns:
+        raise ValueError(f"column name '{RN}' is reserved for the row number")
     window = Window.partitionBy(*keys).orderBy(*[c.desc() for c in orders + ties])
     survivors = (
         df.where(eligible).withColumn(RN, F.row_number().over(window)).where(F.col(RN) == 1).drop(RN)

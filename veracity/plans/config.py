@@ -75,10 +75,10 @@ def prepare(raw: DataFrame, cleaning: Any) -> DataFrame:
         return cleaned
     tiebreak = dedup.get("tiebreak")
     if not tiebreak:
-        cleaned = cleaned.withColumn("__row_hash", row_hash(cleaned))
-        tiebreak = "__row_hash"
+        cleaned = cleaned.withColumn("__veracity_row_hash", row_hash(cleaned))
+        tiebreak = "__veracity_row_hash"
     out = keep_latest(cleaned, dedup.get("key", "transaction_id"), dedup.get("order_by", "start_date"), tiebreak)
-    return out.drop("__row_hash")
+    return out.drop("__veracity_row_hash")
 
 
 def run_config(
