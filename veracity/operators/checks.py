@@ -130,17 +130,24 @@ def _resolve(df: DataFrame, name: str):
         raise CheckError(f"column '{name}' does not exist") from exc
 
 
-def _probe(ctx: CompileContext, expr: Column, what: str) -> None:
+_PROBED: set[tuple] = set()
+
+
+def _probe(ctx: CompileContext, expr: Column, what: str, key: tuple) -> None:
     """Evaluate ``expr`` on one row now.
 
     Some user-supplied literals (a date pattern, a regex) are only compiled
     when a task runs, and a bad one would fail the whole fused job; a
     one-row job at build time turns that into an ERROR row for this check.
+    A literal that passed is remembered (``key`` includes the parser policy).
     """
+    if key in _PROBED:
+        return
     try:
         ctx.spark.range(1).select(expr.alias("__probe")).collect()
     except Exception as exc:
         raise CheckError(f"{what}: {str(exc).strip().splitlines()[0][:200]}") from exc
+    _PROBED.add(key)
 
 
 def _wrap(fn: Callable[[], Any]) -> Any:
@@ -182,7 +189,7 @@ def _regex(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     c, dtype = _resolve(df, name)
     pattern = spec.param("pattern")
     pred = _wrap(lambda: P.regex_miss(c, dtype, pattern))
-    _probe(ctx, F.lit("x").rlike(pattern), f"invalid regex '{pattern}'")
+    _probe(ctx, F.lit("x").rlike(pattern), f"invalid regex '{pattern}'", ("regex", pattern))
     return RowCheck(pred, f"do not match regex '{pattern}' in '{name}'", name)
 
 
@@ -272,7 +279,9 @@ def _date_format(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     c, dtype = _resolve(df, name)
     fmt = spec.param("expected_format")
     pred = _wrap(lambda: P.unparseable_timestamp(c, dtype, fmt))
-    _probe(ctx, F.try_to_timestamp(F.lit("2000-01-01"), F.lit(fmt)), f"invalid date format '{fmt}'")
+    policy = ctx.spark.conf.get("spark.sql.legacy.timeParserPolicy", "CORRECTED")
+    _probe(ctx, F.try_to_timestamp(F.lit("2000-01-01"), F.lit(fmt)), f"invalid date format '{fmt}'",
+           ("date", fmt, policy))
     return RowCheck(pred, f"cannot be parsed as '{fmt}' in '{name}'", name)
 
 
