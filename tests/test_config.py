@@ -98,3 +98,24 @@ def test_quickstart_example(spark):
     spec.loader.exec_module(mod)
     out = mod.main(SF001, spark=spark)
     assert out["checks"] == 18 and out["orphans"] > 0
+
+
+def test_example_yaml_through_the_command_line(spark, capsys):
+    from conftest import ROOT, SF001
+
+    from veracity.__main__ import main
+    from veracity.plans.config import load_config
+
+    path = f"{ROOT}/examples/orders_checks.yaml"
+    cfg = load_config(path)
+    cfg["reporting"] = {"output_formats": ["json"], "report_dir": scratch_path(spark, "example-reports")}
+    import json
+
+    local = scratch_path(spark, "example-config") + ".json"
+    with open(local, "w") as fh:
+        json.dump(cfg, fh)
+    code = main(["run", local, "--base-dir", SF001], spark=spark)
+    out = capsys.readouterr().out
+    assert code in (0, 1)
+    for check in cfg["checks"]:
+        assert check["check_name"] in out
