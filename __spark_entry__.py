@@ -6,7 +6,8 @@ library; the oracle side is plain DuckDB SQL written independently from the
 check semantics (NULL / NaN rules, inclusive thresholds, all-row
 denominators), so agreement is evidence, not tautology.  Results are compared
 on ``check_name, status, violations, total_rows, metric`` (metric rounded to
-6 places; ratios of counts are exact anyway).
+6 places; violations -1 where a check has no count, e.g. ERROR rows and
+statistics).
 """
 
 from __future__ import annotations
