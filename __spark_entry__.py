@@ -497,6 +497,25 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _llm_module(name: str):
+    """A module of the training-data subpackage, or None where the subpackage is not installed."""
+    import importlib
+
+    try:
+        return importlib.import_module(name)
+    except ModuleNotFoundError as missing:
+        if (missing.name or "").startswith(("veracity.llm", "corpus_pipeline")):
+            return None
+        raise
+
+
+_LLM, _PIPELINE = _llm_module("veracity.llm.queries"), _llm_module("corpus_pipeline")
+if _LLM:
+    _QUERIES |= _LLM.QUERIES
+if _PIPELINE:
+    _QUERIES["pipeline"] = _PIPELINE.run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: clean + dedup + the 18-check suite on the sf0.001 fixture."""
     return q_suite_full(spark, SMOKE_DIR)
