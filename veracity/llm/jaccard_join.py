@@ -4,15 +4,18 @@ Documents link when the Jaccard similarity of their sets of word shingles
 reaches the threshold.  Copies with equal sets are one *class* from the start.
 
 * **Groups.** Classes are partitioned into groups of similar sets (equal least
-  shingle hash), dealt into blocks of at most ``BLOCK`` members or ``BLOCK_WORK``
+  shingles under two hashes), dealt into blocks of at most ``BLOCK`` members or ``BLOCK_WORK``
   shingles, so no group is ever held whole.
 * **Token-group matrix.** A group stores the union of its members' *prefix*
   tokens.  Two sets over the threshold share a prefix token under any common
-  order; shingles frequent in the corpus come last in that order.
+  order.  The order puts shingles of rare words first and shingles found in
+  many documents last, so few unrelated sets meet; it affects cost only.
 * **Bound and open.** A class asks the groups that hold one of its prefix
-  tokens.  A task opens such a group only if the overlap of the class with the
-  union of the group's whole sets reaches the least overlap the threshold
-  allows; then members are compared exactly.
+  tokens.  The union of a group's whole sets is kept as a bitmap, and so is
+  each set: bits of the class missing from the union bound their overlap from
+  above.  Only groups whose bound reaches the least overlap the threshold
+  allows are opened: sets are then built from the texts (of these classes
+  alone), the bound is taken exactly, and members are compared exactly.
 
 Only components are asked for, so links inside one known component need no
 further proof: groups are settled first, then least members of settled
@@ -36,25 +39,41 @@ from pyspark.sql import functions as F
 from veracity.llm.bloom import maybe_in
 from veracity.llm.columns import doc_columns
 from veracity.llm.components import connected_components
-from veracity.llm.words import NULL_ID, Docs, RangeHash, arrow_map, lists, mix, segments
+from veracity.llm.words import NULL_ID, Docs, HashIndex, RangeHash, arrow_map, lists, mix, segments, top_words
 from veracity.session import materialize
 
 BLOCK, BLOCK_WORK, LEVELS = 256, 1 << 18, 6
-FREQUENT, LOCAL_SHARE, MAX_FREQUENT = 32, 0.004, 1 << 17
+FREQUENT, LOCAL_SHARE, MAX_FREQUENT, RANKED_WORDS = 16, 0.004, 1 << 17, 1 << 16
+LEAST_WORDS, MOST_WORDS = 4, 1 << 12  # 64-bit words of a bitmap: two bits or more for each shingle in between
 
 
-def _sets(docs: Docs, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes per document, ascending, flat; and their number per document."""
+def _sets(docs: Docs, size: int, common=None) -> tuple[np.ndarray, ...]:
+    """Distinct shingle hashes per document, ascending, flat; their number per document; how common their words are."""
     n = docs.n_words
     n_sh = np.where(n >= size, n - size + 1, np.minimum(n, 1))
     at = np.repeat(docs.first[:-1], n_sh) + segments(n_sh)
     owner = np.repeat(np.arange(len(n)), n_sh)
-    tokens = RangeHash(docs.hashes(0), 2)(at, np.minimum(at + size, docs.first[1:][owner]))
+    words, end = docs.hashes(0), np.minimum(at + size, docs.first[1:][owner])
+    tokens = RangeHash(words, 2)(at, end)
     order = np.lexsort((tokens, owner))
-    tokens, owner = tokens[order], owner[order]
     new = np.ones(len(tokens), dtype=bool)
-    new[1:] = (tokens[1:] != tokens[:-1]) | (owner[1:] != owner[:-1])
-    return tokens[new], np.bincount(owner[new], minlength=len(n))
+    new[1:] = (tokens[order[1:]] != tokens[order[:-1]]) | (owner[order[1:]] != owner[order[:-1]])
+    order = order[new]
+    counts = np.bincount(owner[order], minlength=len(n))
+    if common is None:
+        return tokens[order], counts
+    sums = np.concatenate([[0], np.cumsum(common(words))])
+    return tokens[order], counts, (sums[end] - sums[at])[order]
+
+
+class Commonness:
+    """How often the words of a shingle occur: a sum of rounded logarithms, 0 for words beyond the top ones."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray):
+        self.place, self.level = HashIndex(words), np.append(np.round(16 * np.log2(1 + counts)).astype(np.int64), 0)
+
+    def __call__(self, words: np.ndarray) -> np.ndarray:
+        return self.level[self.place(words)]
 
 
 def _frequent(size: int):
@@ -69,7 +88,7 @@ def _frequent(size: int):
 
 
 _SIGNED = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.binary()), ("gkey", pa.int64()),
-                     ("prefix", pa.list_(pa.int64()))])
+                     ("prefix", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
 
 def _digests(tokens: np.ndarray, counts: np.ndarray) -> list[bytes | None]:
@@ -85,22 +104,28 @@ def _digests(tokens: np.ndarray, counts: np.ndarray) -> list[bytes | None]:
 
 def _signature(size: int, percent: int, shared):
     def fn(batch: pa.RecordBatch):
-        frequent, rank = shared.value
-        tokens, counts = _sets(Docs(batch.column("text"), lower=True), size)
+        frequent, rank, common = shared.value
+        tokens, counts, level = _sets(Docs(batch.column("text"), lower=True), size, common)
         some, owner = counts > 0, np.repeat(np.arange(len(counts)), counts)
         gkey = np.zeros(len(counts), dtype=np.uint64)
-        gkey[some] = tokens[(np.cumsum(counts) - counts)[some]]
-        place = np.zeros(len(tokens), dtype=np.int64)
-        if len(frequent) and len(tokens):
-            at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-            place = np.where(frequent[at] == tokens, rank[at], 0)
-        order = np.lexsort((tokens, place, owner))
+        size_class = 1 << np.ceil(np.log2(np.maximum(counts / 32, 1))).astype(np.int64)
+        size_class = np.where(some, np.clip(size_class, LEAST_WORDS, MOST_WORDS), 0)
+        flags = np.zeros(64 * int(size_class.sum()), dtype=bool)
+        if len(tokens):
+            starts = (np.cumsum(counts) - counts)[some]
+            least = mix(tokens[starts] ^ np.minimum.reduceat(mix(tokens + np.uint64(9)), starts))
+            gkey[some] = mix(least + size_class[some].astype(np.uint64))
+            spot = (mix(tokens + np.uint64(5)) >> np.uint64(40)).astype(np.int64) & (64 * size_class[owner] - 1)
+            flags[64 * (np.cumsum(size_class) - size_class)[owner] + spot] = True
+        bits = np.packbits(flags, bitorder="little").view(np.int64)
+        order = np.lexsort((tokens, level, rank[frequent(tokens)], owner))
         need = counts - (counts * percent + 99) // 100 + 1  # a prefix this long meets every partner's prefix
         keep = segments(counts) < np.repeat(need, counts)
         return {
             "doc_id": batch.column("doc_id"), "th": batch.column("th"), "n_shingles": counts,
             "cls": pa.array(_digests(tokens, counts), pa.binary()),
             "gkey": gkey.view(np.int64), "prefix": lists(tokens[order][keep].view(np.int64), np.where(some, need, 0), pa.int64()),
+            "bits": lists(bits, size_class, pa.int64()),
         }
 
     return arrow_map(fn, _SIGNED)
@@ -201,28 +226,37 @@ def _blocked(members: DataFrame) -> DataFrame:
 _LINKS = "a long, b long"
 
 
-def linked_classes(members: DataFrame, postings: DataFrame, percent: int) -> DataFrame:
-    """``(num, root)`` for every candidate class: the least class of its component."""
-    # Settle blocks of each group; then the components' least members, again in blocks, until each key fits one.
-    roots, level, standing = members.select("num", F.col("num").alias("root")), 0, members
+def _whole_sets(keyed: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """``(num, gkey, n, tokens)`` of the given classes, from the text of the row that stands for each."""
+    rows = classes.select("ord", "th", "num", "cls", "gkey")
+    near = maybe_in(keyed, ["ord", "th"], rows).join(rows, ["ord", "th"])
+    sets = near.select("text", "cls", "num", "gkey").mapInArrow(
+        _members(shingle), "cls binary, num long, gkey long, n long, tokens binary")
+    return materialize(sets.dropDuplicates(["num"]).drop("cls"), "shingle-sets")
+
+
+def _settled(wanted: DataFrame, keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``(num, root)``: blocks of each group first, then their components' least members, until each key fits one block."""
+    dealt, level = _blocked(wanted), 0
+    standing = _whole_sets(keyed, dealt.where("members > 1"), shingle)
+    roots = wanted.select("num", F.col("num").alias("root"))
     while True:
         dealt = _blocked(standing)
-        inner = materialize(dealt.where("members > 1").select("gkey", "block", "num", "tokens").groupBy("gkey", "block")
+        inner = materialize(dealt.select("gkey", "block", "num", "tokens").groupBy("gkey", "block")
                             .applyInPandas(_settle(percent), _LINKS), "group-links")
         up = inner.distinct().select(F.col("a").alias("root"), F.col("b").alias("up"))
-        roots = materialize(roots.join(up, "root", "left").select("num", F.coalesce("up", "root").alias("root")),
-                            "class-roots")
-        level += 1
-        split = dealt.where("blocks > 1").select("gkey").distinct()
+        roots = materialize(roots.join(up, "root", "left").select("num", F.coalesce("up", "root").alias("root")), "class-roots")
+        split, level = dealt.where("blocks > 1").select("gkey").distinct(), level + 1
         if level >= LEVELS or up.isEmpty() or split.isEmpty():
-            break
+            return roots
         standing = materialize(standing.join(split, "gkey", "left_semi")
                                .join(up.select(F.col("root").alias("num")), "num", "left_anti"), "group-pivots")
 
-    # What is left: classes that share a prefix token with a group of another component.
+
+def _asked(wanted: DataFrame, postings: DataFrame, roots: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Where each class is placed, and ``(asker, gkey, block)``: the groups of other components it must open."""
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    placed = _blocked(members).select("num", "gkey", "block").join(roots.join(sizes, "root"), "num")
-    placed = materialize(placed.distinct(), "group-places")
+    placed = materialize(_blocked(wanted).select("num", "gkey", "block").join(roots.join(sizes, "root"), "num"), "group-places")
     at = postings.join(placed, "num")
     mixed = at.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
     at = at.join(mixed, "token", "left_semi")
@@ -230,16 +264,38 @@ def linked_classes(members: DataFrame, postings: DataFrame, percent: int) -> Dat
     ask = at.select("token", F.col("num").alias("asker"), F.col("root").alias("own"), F.col("size").alias("own_size"))
     pairs = ask.join(matrix, "token").where(
         "own <> root and (own_size < size or (own_size = size and own < root))").select("asker", "gkey", "block").distinct()
-    pairs = materialize(pairs, "group-pairs")
+
+    sets = wanted.select("num", "n", "bits")
+    held = placed.select("num", "gkey", "block").join(sets, "num")
+    span = held.groupBy("gkey", "block").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    words = held.select("gkey", "block", F.posexplode("bits").alias("at", "word")).groupBy("gkey", "block", "at").agg(
+        F.bit_or("word").alias("word"))
+    unions = words.groupBy("gkey", "block").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]).alias("union_bits"))
+    sized = pairs.join(sets.withColumnRenamed("num", "asker"), "asker").join(span, ["gkey", "block"]).where(
+        f"100 * most_n >= {percent} * n and 100 * n >= {percent} * least_n")
+    missing = "aggregate(zip_with(bits, union_bits, (x, y) -> bit_count(x & ~y)), 0, (s, v) -> s + v)"
+    bound = sized.join(unions, ["gkey", "block"]).where(  # bitmaps of unlike length (sizes astride a power of two) pass
+        f"size(bits) <> size(union_bits) or 100 * {missing} <= n * {100 - percent}")
+    return placed, materialize(bound.select("asker", "gkey", "block"), "group-pairs")
+
+
+def linked_classes(wanted: DataFrame, postings: DataFrame, keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``(num, root)`` for every candidate class: the least class of its component."""
+    roots = _settled(wanted, keyed, shingle, percent)
+    placed, pairs = _asked(wanted, postings, roots, percent)
     if pairs.isEmpty():
-        return roots.select("num", "root")
+        return roots
+    places = placed.select("num", "gkey", "block")
+    opened = pairs.select("gkey", "block").distinct().join(places, ["gkey", "block"]).select("num")
+    needed = opened.union(pairs.select(F.col("asker").alias("num"))).distinct()
+    sets = _whole_sets(keyed, wanted.join(needed, "num"), shingle).select("num", "tokens").join(roots, "num")
+
     load = pairs.groupBy("gkey", "block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts"))
-    sets = members.select("num", "tokens").join(roots, "num")
     asking = pairs.join(load, ["gkey", "block"]).withColumn("part", _block("asker", F.col("parts"))).select(
         "gkey", "block", "part", F.col("asker").alias("num")).join(sets, "num")
     opened = load.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).join(
-        placed.select("gkey", "block", "num"), ["gkey", "block"]).join(sets, "num").select(
-        "gkey", "block", "part", "num", "root", "tokens")
+        places, ["gkey", "block"]).join(sets, "num").select("gkey", "block", "part", "num", "root", "tokens")
     keys = ["gkey", "block", "part"]
     asking = asking.toDF(*asking.columns)  # names of its own: both sides come from one table
     links = opened.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(_open(percent), _LINKS)
@@ -254,29 +310,28 @@ def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     common = docs.select("text").mapInArrow(_frequent(shingle), "token long, df long").groupBy("token").agg(
         F.sum("df").alias("df")).where(F.col("df") >= FREQUENT).orderBy(F.desc("df"), "token").limit(MAX_FREQUENT).collect()
     tokens = np.array([r["token"] for r in common], dtype=np.int64).view(np.uint64)
-    rank, by = np.arange(len(tokens), 0, -1), np.argsort(tokens)
-    shared = spark.sparkContext.broadcast((tokens[by], rank[by]))  # order only: at most MAX_FREQUENT entries
+    rank = np.append(np.arange(len(tokens), 0, -1)[np.argsort(tokens)], 0)  # the last stands for all other shingles
+    order = (HashIndex(tokens), rank, Commonness(*top_words(docs, RANKED_WORDS)))
+    shared = spark.sparkContext.broadcast(order)  # fixed sizes: MAX_FREQUENT shingles, RANKED_WORDS words
 
     signed = materialize(docs.mapInArrow(
         _signature(shingle, percent, shared),
-        "doc_id long, th long, n_shingles long, cls binary, gkey long, prefix array<long>"), "shingle-signatures")
+        "doc_id long, th long, n_shingles long, cls binary, gkey long, prefix array<long>, bits array<long>"),
+        "shingle-signatures")
     row = F.struct(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("ord"), "th")
     classes = materialize(signed.where("cls is not null").groupBy("cls").agg(
-        F.min(row).alias("least"), F.first("gkey").alias("gkey"), F.first("prefix").alias("prefix")).withColumn(
+        F.min(row).alias("least"), F.first("gkey").alias("gkey"), F.first("prefix").alias("prefix"),
+        F.first("bits").alias("bits"), F.first("n_shingles").alias("n")).withColumn(
         "num", F.monotonically_increasing_id()), "shingle-classes")
 
     postings = classes.select("num", F.explode("prefix").alias("token"))
-    several = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token")
-    postings = materialize(postings.join(several, "token", "left_semi"), "shared-postings")
-    wanted = classes.join(postings.select("num").distinct(), "num").select("num", "cls", "gkey", "least.ord", "least.th")
-    wanted = materialize(wanted, "shingle-wanted")
-
+    several = materialize(postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"),
+                          "shared-tokens")
+    postings = materialize(maybe_in(postings, ["token"], several).join(several, "token", "left_semi"), "shared-postings")
+    wanted = materialize(classes.join(postings.select("num").distinct(), "num").select(
+        "num", "cls", "gkey", "n", "bits", "least.ord", "least.th"), "shingle-wanted")
     keyed = docs.withColumn("ord", F.coalesce("doc_id", F.lit(int(NULL_ID))))
-    near = maybe_in(keyed, ["ord", "th"], wanted).join(wanted, ["ord", "th"])
-    members = materialize(near.select("text", "cls", "num", "gkey").mapInArrow(
-        _members(shingle), "cls binary, num long, gkey long, n long, tokens binary").dropDuplicates(["num"]).drop("cls"),
-        "shingle-sets")
-    roots = materialize(linked_classes(members, postings, percent), "shingle-roots")
+    roots = materialize(linked_classes(wanted, postings, keyed, shingle, percent), "shingle-roots")
 
     least = classes.select("num", "cls", "least")
     heads = roots.join(least.select("num", "least"), "num").groupBy("root").agg(F.min("least").alias("head"))

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veracity.llm.columns import crc_bucket, doc_columns
-from veracity.llm.words import Docs, arrow_map, byte_slices
+from veracity.llm.words import Docs, HashIndex, arrow_map, byte_slices
 from veracity.session import materialize
 
 TOP, HEAD, SUFFIXES = 65_536, 192, 62
@@ -83,10 +83,10 @@ class Vocabulary:
     """The fixed-size part every task holds: top words with counts, suffix classes, class masses."""
 
     def __init__(self, top: list, suffix_mass: list, n_train: int, distinct: int, tokens: int):
-        words = np.array([r["word"] for r in top], dtype=np.int64)
+        words = np.array([r["word"] for r in top], dtype=np.int64).view(np.uint64)
         order = np.argsort(words)
-        self.words = words[order]
-        self.counts = np.array([r["c"] for r in top], dtype=np.int64)[order]
+        self.place = HashIndex(words)
+        self.counts = np.array([r["c"] for r in top], dtype=np.int64)[order]  # in the order of the index
         rank, codes = np.arange(len(top))[order], np.array([r["suffix"] for r in top], dtype=np.int64)[order]
         mass, kinds = np.zeros(1 << 16), np.zeros(1 << 16)
         for r in suffix_mass:
@@ -108,18 +108,16 @@ class Vocabulary:
         np.add.at(z, self.by_suffix, 0.1 * kinds)
         z[HEAD:OTHER + 1] += 0.1  # one unseen word in each suffix class
         z[END] += 0.1
+        self.counts, self.classes = np.append(self.counts, -1), np.append(self.classes, -1)  # the last stands for other words
         self.log_z = np.log10(np.maximum(z, 0.1))
         self.noise = (seen + 0.5) / (seen + 0.5).sum()
 
     def look_up(self, docs: Docs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word hashes, counts (-1 beyond the top words) and classes."""
-        hashes = docs.hashes().view(np.int64)
-        classes = self.by_suffix[_suffix(docs)]
-        if not len(self.words):
-            return hashes, np.full(len(hashes), -1), classes
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        hit = self.words[at] == hashes
-        return hashes, np.where(hit, self.counts[at], -1), np.where(hit, self.classes[at], classes)
+        hashes = docs.hashes()
+        at = self.place(hashes)
+        classes = self.classes[at]
+        return hashes.view(np.int64), self.counts[at], np.where(classes < 0, self.by_suffix[_suffix(docs)], classes)
 
 
 def _with_ends(docs: Docs, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -138,6 +136,16 @@ def _contexts(tokens: np.ndarray, place: np.ndarray, at: np.ndarray) -> np.ndarr
     return np.where(place[at][:, None] >= back, tokens[np.maximum(at[:, None] - back, 0)], END)
 
 
+def _by_class(classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sum of the rows of each class."""
+    order = np.argsort(classes.astype(np.uint8 if CLASSES <= 256 else np.uint16), kind="stable")
+    sorted_ = classes[order]
+    head = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    out = np.zeros((CLASSES, rows.shape[1]), dtype=np.float32)
+    out[sorted_[head]] = np.add.reduceat(rows[order], head, axis=0)
+    return out
+
+
 class LogBilinear:
     def __init__(self, noise: np.ndarray):
         rng = np.random.default_rng(11)
@@ -152,13 +160,18 @@ class LogBilinear:
     def predicted(self, ctx: np.ndarray) -> np.ndarray:
         return sum(self.context[ctx[:, i]] * self.position[i] for i in range(CONTEXT))
 
-    def log10_probs(self, ctx: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-        out = np.empty(len(tokens))
-        for lo in range(0, len(tokens), 4096):
-            score = self.predicted(ctx[lo:lo + 4096]) @ self.target.T + self.bias
-            score -= score.max(axis=1, keepdims=True)
-            own = score[np.arange(len(score)), tokens[lo:lo + 4096]]
-            out[lo:lo + 4096] = own - np.log(np.exp(score).sum(axis=1))
+    def log10_probs(self, ctx: np.ndarray, tokens: np.ndarray, block: int = 2048) -> np.ndarray:
+        out, ones, target = np.empty(len(tokens)), np.ones(CLASSES, dtype=np.float32), np.ascontiguousarray(self.target.T)
+        weighted = [self.context * p for p in self.position]
+        for lo in range(0, len(tokens), block):
+            c = ctx[lo:lo + block]
+            score = sum(w[c[:, i]] for i, w in enumerate(weighted)) @ target
+            score += self.bias
+            score -= min(float(score.max()), 60.0)  # one shift per block: rows of a normalised model differ little
+            np.clip(score, -80, 80, out=score)
+            own = score[np.arange(len(score)), tokens[lo:lo + block]]
+            np.exp(score, out=score)
+            out[lo:lo + block] = own - np.log(score @ ones)
         return out / np.log(10)
 
     def train(self, ctx: np.ndarray, tokens: np.ndarray, state: dict, rng) -> None:
@@ -172,20 +185,14 @@ class LogBilinear:
             fake = h @ self.target[drawn].T + self.bias[drawn] - log_noise[drawn]
             e_real = -1 / (1 + np.exp(np.clip(real, -30, 30)))
             e_fake = 1 / (1 + np.exp(-np.clip(fake, -30, 30)))
-            pick, size = np.arange(len(w)), np.float32(1 / len(w))
-            hot = np.zeros((len(w), CLASSES), dtype=np.float32)  # error per class: real word and noise
-            hot[pick, w] = e_real
-            spread = np.zeros((NOISE, CLASSES), dtype=np.float32)
-            spread[np.arange(NOISE), drawn] = 1
-            hot += e_fake @ spread
-            g = {"target": hot.T @ h, "bias": hot.sum(axis=0), "context": np.zeros_like(self.context),
-                 "position": np.empty_like(self.position)}
-            d = hot @ self.target
+            size = np.float32(1 / len(w))
+            d = e_real[:, None] * self.target[w] + e_fake @ self.target[drawn]
+            g = {"target": _by_class(w, e_real[:, None] * h) + _by_class(drawn, e_fake.T @ h),
+                 "bias": (np.bincount(w, e_real, CLASSES) + np.bincount(drawn, e_fake.sum(axis=0), CLASSES)),
+                 "context": 0, "position": np.empty_like(self.position)}
             for i in range(CONTEXT):
-                one = np.zeros((len(w), CLASSES), dtype=np.float32)
-                one[pick, c[:, i]] = 1
-                g["context"] += one.T @ (d * self.position[i])
-                g["position"][i] = (d * self.context[c[:, i]]).sum(axis=0)
+                g["context"] = g["context"] + _by_class(c[:, i], d * self.position[i])
+                g["position"][i] = np.einsum("ij,ij->j", d, self.context[c[:, i]])
             for k, v in g.items():
                 v = v * size
                 state[k] = state.get(k, 1e-6) + v * v

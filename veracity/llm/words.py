@@ -158,3 +158,55 @@ def lists(values: np.ndarray, counts: np.ndarray, value_type: pa.DataType) -> pa
     offsets = np.zeros(len(counts) + 1, dtype=np.int32)
     np.cumsum(counts, out=offsets[1:])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, type=value_type))
+
+
+class HashIndex:
+    """Position of 64-bit hashes in a sorted table, by a directory on their leading bits."""
+
+    def __init__(self, table: np.ndarray):
+        self.table = np.sort(table.view(np.uint64))
+        self.shift = np.uint64(64 - max(4, min(22, int(len(table)).bit_length() + 3)))
+        slots = np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64)
+        slot_of = self.table >> self.shift
+        self.start = np.searchsorted(slot_of, slots).astype(np.int32)
+        self.depth = int(np.diff(self.start).max()) if len(table) else 0
+
+    def __call__(self, hashes: np.ndarray) -> np.ndarray:
+        """Index of each hash in the sorted table; its length for a hash it does not hold."""
+        n = len(self.table)
+        out = np.full(len(hashes), n, dtype=np.int64)
+        if not n or not len(hashes):
+            return out
+        slot = (hashes >> self.shift).astype(np.int64)
+        at, end, rows = self.start[slot], self.start[slot + 1], None
+        for _ in range(self.depth):
+            if rows is None:
+                rows = np.flatnonzero(at < end)
+                at, end, wanted = at[rows], end[rows], hashes[rows]
+            else:
+                more = at < end
+                rows, at, end, wanted = rows[more], at[more], end[more], wanted[more]
+            hit = self.table[at] == wanted
+            out[rows[hit]] = at[hit]
+            at = at + 1
+        return out
+
+
+_COUNTED = pa.schema([("word", pa.int64()), ("c", pa.int64())])
+
+
+def _repeated_words(batch: pa.RecordBatch):
+    words, counts = np.unique(Docs(batch.column("text"), lower=True).hashes(), return_counts=True)
+    often = counts > 1  # a word among the most frequent of the corpus repeats within some slice
+    return {"word": words[often].view(np.int64), "c": counts[often]} if often.any() else None
+
+
+def top_words(texts, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (ascending) and counts of the ``n`` most frequent lower-cased words of all ``text``: a fixed size."""
+    from pyspark.sql import functions as F
+
+    counted = texts.select("text").mapInArrow(arrow_map(_repeated_words, _COUNTED), "word long, c long")
+    rows = counted.groupBy("word").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "word").limit(n).collect()
+    words = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
+    order = np.argsort(words)
+    return words[order], np.array([r["c"] for r in rows], dtype=np.int64)[order]
