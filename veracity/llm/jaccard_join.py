@@ -43,10 +43,20 @@ from veracity.llm.words import NULL_ID, Docs, HashIndex, RangeHash, arrow_map, l
 from veracity.session import materialize
 
 BLOCK, BLOCK_WORK, LEVELS = 256, 1 << 18, 6
-FREQUENT, LOCAL_SHARE, MAX_FREQUENT, RANKED_WORDS = 16, 0.004, 1 << 17, 1 << 16
+FREQUENT, MAX_FREQUENT, REORDERINGS, RANKED_WORDS = 12, 1 << 17, 2, 1 << 16
 LEAST_WORDS, MOST_WORDS = 4, 1 << 12  # 64-bit words of a bitmap: two bits or more for each shingle in between
 
 
+def _sorted_within(keys: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Order that sorts each document's run of keys; equal keys keep their order."""
+    out, at = np.empty(len(keys), dtype=np.int64), 0
+    for n in counts.tolist():
+        if n:
+            out[at:at + n] = at + np.argsort(keys[at:at + n], kind="stable")
+            at += n
+    return out
+
+
 def _sets(docs: Docs, size: int, common=None) -> tuple[np.ndarray, ...]:
     """Distinct shingle hashes per document, ascending, flat; their number per document; how common their words are."""
     n = docs.n_words
@@ -55,7 +65,7 @@ def _sets(docs: Docs, size: int, common=None) -> tuple[np.ndarray, ...]:
     owner = np.repeat(np.arange(len(n)), n_sh)
     words, end = docs.hashes(0), np.minimum(at + size, docs.first[1:][owner])
     tokens = RangeHash(words, 2)(at, end)
-    order = np.lexsort((tokens, owner))
+    order = _sorted_within(tokens, n_sh)
     new = np.ones(len(tokens), dtype=bool)
     new[1:] = (tokens[order[1:]] != tokens[order[:-1]]) | (owner[order[1:]] != owner[order[:-1]])
     order = order[new]
@@ -76,19 +86,34 @@ class Commonness:
         return self.level[self.place(words)]
 
 
-def _frequent(size: int):
-    """Shingles held by several documents of one slice, with the number of those documents."""
+_SIGNED = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.binary()), ("gkey", pa.int64()),
+                     ("prefix", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
 
-    def fn(batch: pa.RecordBatch):
-        tokens, counts = np.unique(_sets(Docs(batch.column("text"), lower=True), size)[0], return_counts=True)
-        often = counts >= max(2, LOCAL_SHARE * batch.num_rows)
-        return {"token": tokens[often].view(np.int64), "df": counts[often]} if often.any() else None
 
-    return arrow_map(fn, pa.schema([("token", pa.int64()), ("df", pa.int64())]))
+def _prefixes(tokens, counts, level, percent: int, frequent: HashIndex, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first tokens of each set in the common order, as many as meet every partner's prefix; and their number."""
+    place = np.maximum(level, rank[frequent(tokens)]).astype(np.uint64)
+    order = _sorted_within(place << np.uint64(32) | tokens >> np.uint64(32), counts)  # ties: by token, as they stand
+    need = np.where(counts > 0, counts - (counts * percent + 99) // 100 + 1, 0)
+    return tokens[order][segments(counts) < np.repeat(need, counts)], need
 
 
-_SIGNED = pa.schema([("doc_id", pa.int64()), ("th", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.binary()), ("gkey", pa.int64()),
-                     ("prefix", pa.list_(pa.int64())), ("bits", pa.list_(pa.int64()))])
+_PREFIX = pa.schema([("num", pa.int64()), ("token", pa.int64())])
+
+
+def _reordered(size: int, percent: int, shared):
+    """Prefix tokens of the given classes under the present order."""
+
+    def fn(batch: pa.RecordBatch):
+        frequent, rank, common = shared.value
+        tokens, counts, level = _sets(Docs(batch.column("text"), lower=True), size, common)
+        wanted = batch.column("cls").to_pylist()
+        same = np.array([c == d for c, d in zip(wanted, _digests(tokens, counts))])
+        prefix, need = _prefixes(tokens, counts, level, percent, frequent, rank)
+        mine = np.repeat(same, need)
+        return {"num": np.repeat(np.asarray(batch.column("num")), need)[mine], "token": prefix[mine].view(np.int64)}
+
+    return arrow_map(fn, _PREFIX)
 
 
 def _digests(tokens: np.ndarray, counts: np.ndarray) -> list[bytes | None]:
@@ -118,13 +143,11 @@ def _signature(size: int, percent: int, shared):
             spot = (mix(tokens + np.uint64(5)) >> np.uint64(40)).astype(np.int64) & (64 * size_class[owner] - 1)
             flags[64 * (np.cumsum(size_class) - size_class)[owner] + spot] = True
         bits = np.packbits(flags, bitorder="little").view(np.int64)
-        order = np.lexsort((tokens, level, rank[frequent(tokens)], owner))
-        need = counts - (counts * percent + 99) // 100 + 1  # a prefix this long meets every partner's prefix
-        keep = segments(counts) < np.repeat(need, counts)
+        prefix, need = _prefixes(tokens, counts, level, percent, frequent, rank)
         return {
             "doc_id": batch.column("doc_id"), "th": batch.column("th"), "n_shingles": counts,
             "cls": pa.array(_digests(tokens, counts), pa.binary()),
-            "gkey": gkey.view(np.int64), "prefix": lists(tokens[order][keep].view(np.int64), np.where(some, need, 0), pa.int64()),
+            "gkey": gkey.view(np.int64), "prefix": lists(prefix.view(np.int64), need, pa.int64()),
             "bits": lists(bits, size_class, pa.int64()),
         }
 
@@ -256,26 +279,27 @@ def _settled(wanted: DataFrame, keyed: DataFrame, shingle: int, percent: int) ->
 def _asked(wanted: DataFrame, postings: DataFrame, roots: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Where each class is placed, and ``(asker, gkey, block)``: the groups of other components it must open."""
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    placed = materialize(_blocked(wanted).select("num", "gkey", "block").join(roots.join(sizes, "root"), "num"), "group-places")
+    placed = materialize(_blocked(wanted).select("num", "gkey", "block", "n").join(roots.join(sizes, "root"), "num"), "group-places")
     at = postings.join(placed, "num")
     mixed = at.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
     at = at.join(mixed, "token", "left_semi")
-    matrix = at.groupBy("token", "gkey", "block", "root").agg(F.first("size").alias("size"))
-    ask = at.select("token", F.col("num").alias("asker"), F.col("root").alias("own"), F.col("size").alias("own_size"))
+    matrix = at.groupBy("token", "gkey", "block", "root").agg(
+        F.first("size").alias("size"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    ask = at.select("token", F.col("num").alias("asker"), F.col("root").alias("own"), F.col("size").alias("own_size"),
+                    F.col("n").alias("own_n"))
     pairs = ask.join(matrix, "token").where(
-        "own <> root and (own_size < size or (own_size = size and own < root))").select("asker", "gkey", "block").distinct()
+        "own <> root and (own_size < size or (own_size = size and own < root)) and "
+        f"100 * most_n >= {percent} * own_n and 100 * own_n >= {percent} * least_n").select("asker", "gkey", "block").distinct()
+    pairs = materialize(pairs, "asking-classes")
 
     sets = wanted.select("num", "n", "bits")
-    held = placed.select("num", "gkey", "block").join(sets, "num")
-    span = held.groupBy("gkey", "block").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    held = placed.select("num", "gkey", "block").join(sets.select("num", "bits"), "num")
     words = held.select("gkey", "block", F.posexplode("bits").alias("at", "word")).groupBy("gkey", "block", "at").agg(
         F.bit_or("word").alias("word"))
     unions = words.groupBy("gkey", "block").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]).alias("union_bits"))
-    sized = pairs.join(sets.withColumnRenamed("num", "asker"), "asker").join(span, ["gkey", "block"]).where(
-        f"100 * most_n >= {percent} * n and 100 * n >= {percent} * least_n")
     missing = "aggregate(zip_with(bits, union_bits, (x, y) -> bit_count(x & ~y)), 0, (s, v) -> s + v)"
-    bound = sized.join(unions, ["gkey", "block"]).where(  # bitmaps of unlike length (sizes astride a power of two) pass
+    bound = pairs.join(sets.withColumnRenamed("num", "asker"), "asker").join(unions, ["gkey", "block"]).where(  # bitmaps of unlike length (sizes astride a power of two) pass
         f"size(bits) <> size(union_bits) or 100 * {missing} <= n * {100 - percent}")
     return placed, materialize(bound.select("asker", "gkey", "block"), "group-pairs")
 
@@ -307,15 +331,15 @@ def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``doc_id, th, n_shingles, head`` per row of ``(doc_id, text, th)``; head is the least (id, text hash) of the component."""
     spark = docs.sparkSession
 
-    common = docs.select("text").mapInArrow(_frequent(shingle), "token long, df long").groupBy("token").agg(
-        F.sum("df").alias("df")).where(F.col("df") >= FREQUENT).orderBy(F.desc("df"), "token").limit(MAX_FREQUENT).collect()
-    tokens = np.array([r["token"] for r in common], dtype=np.int64).view(np.uint64)
-    rank = np.append(np.arange(len(tokens), 0, -1)[np.argsort(tokens)], 0)  # the last stands for all other shingles
-    order = (HashIndex(tokens), rank, Commonness(*top_words(docs, RANKED_WORDS)))
-    shared = spark.sparkContext.broadcast(order)  # fixed sizes: MAX_FREQUENT shingles, RANKED_WORDS words
+    common = Commonness(*top_words(docs, RANKED_WORDS))  # fixed sizes: RANKED_WORDS words, MAX_FREQUENT shingles
+    frequent, ranks = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+
+    def order():
+        by = np.argsort(frequent)
+        return spark.sparkContext.broadcast((HashIndex(frequent), np.append(ranks[by], 0), common))
 
     signed = materialize(docs.mapInArrow(
-        _signature(shingle, percent, shared),
+        _signature(shingle, percent, order()),
         "doc_id long, th long, n_shingles long, cls binary, gkey long, prefix array<long>, bits array<long>"),
         "shingle-signatures")
     row = F.struct(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("ord"), "th")
@@ -323,14 +347,36 @@ def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         F.min(row).alias("least"), F.first("gkey").alias("gkey"), F.first("prefix").alias("prefix"),
         F.first("bits").alias("bits"), F.first("n_shingles").alias("n")).withColumn(
         "num", F.monotonically_increasing_id()), "shingle-classes")
+    keyed = docs.withColumn("ord", F.coalesce("doc_id", F.lit(int(NULL_ID))))
 
-    postings = classes.select("num", F.explode("prefix").alias("token"))
-    several = materialize(postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("token"),
-                          "shared-tokens")
-    postings = materialize(maybe_in(postings, ["token"], several).join(several, "token", "left_semi"), "shared-postings")
+    def met(postings: DataFrame) -> DataFrame:
+        """Postings of tokens that several classes hold, with the number of those classes."""
+        several = materialize(postings.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "shared-tokens")
+        return materialize(maybe_in(postings, ["token"], several).join(several, "token"), "shared-postings")
+
+    # Shingles that turn out to be in many prefixes go to the end of the order; only classes that held one get a new prefix.
+    every = classes.select("num", F.explode("prefix").alias("token"))
+    postings = met(every)
+    for turn in range(REORDERINGS):
+        hot = postings.where(F.col("held") >= FREQUENT).groupBy("token").agg(F.first("held").alias("held"))
+        hot = hot.orderBy(F.desc("held"), "token").limit(MAX_FREQUENT).collect()
+        new = np.array([r["token"] for r in hot], dtype=np.int64).view(np.uint64)
+        fresh = ~np.isin(new, frequent)
+        if not fresh.any():
+            break
+        new = new[fresh][:MAX_FREQUENT - len(frequent)]
+        frequent, ranks = np.append(frequent, new), np.append(
+            ranks, (REORDERINGS - turn) * 2 * MAX_FREQUENT + np.arange(len(new), 0, -1))
+        names = spark.createDataFrame([(int(t),) for t in new.view(np.int64)], "token long")
+        moved = materialize(postings.join(F.broadcast(names), "token", "left_semi").select("num").distinct(), "moved-classes")
+        again = classes.join(moved, "num").select("num", "cls", "least.ord", "least.th")
+        texts = maybe_in(keyed, ["ord", "th"], again).join(again, ["ord", "th"]).select("text", "cls", "num")
+        signed_again = texts.mapInArrow(_reordered(shingle, percent, order()), "num long, token long").distinct()
+        every = materialize(every.join(moved, "num", "left_anti").unionByName(signed_again), "prefix-postings")
+        postings = met(every)
+    postings = postings.select("num", "token")
     wanted = materialize(classes.join(postings.select("num").distinct(), "num").select(
         "num", "cls", "gkey", "n", "bits", "least.ord", "least.th"), "shingle-wanted")
-    keyed = docs.withColumn("ord", F.coalesce("doc_id", F.lit(int(NULL_ID))))
     roots = materialize(linked_classes(wanted, postings, keyed, shingle, percent), "shingle-roots")
 
     least = classes.select("num", "cls", "least")
