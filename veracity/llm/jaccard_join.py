@@ -3,8 +3,8 @@
 Documents link when the Jaccard similarity of their sets of word shingles
 reaches the threshold.  Copies with equal sets are one *class* from the start.
 
-* **Groups.** Classes are partitioned into groups of similar sets (equal least
-  shingles under two hashes), dealt into blocks of at most ``BLOCK`` members or ``BLOCK_WORK``
+* **Groups.** Classes are partitioned into groups of similar sets (one frequent
+  prefix token, or equal least shingles under two hashes), dealt into blocks of at most ``BLOCK`` members or ``BLOCK_WORK``
   shingles, so no group is ever held whole.
 * **Token-group matrix.** A group stores the union of its members' *prefix*
   tokens.  Two sets over the threshold share a prefix token under any common
@@ -283,13 +283,11 @@ def _asked(wanted: DataFrame, postings: DataFrame, roots: DataFrame, percent: in
     at = postings.join(placed, "num")
     mixed = at.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("token")
     at = at.join(mixed, "token", "left_semi")
-    matrix = at.groupBy("token", "gkey", "block", "root").agg(
-        F.first("size").alias("size"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    ask = at.select("token", F.col("num").alias("asker"), F.col("root").alias("own"), F.col("size").alias("own_size"),
-                    F.col("n").alias("own_n"))
-    pairs = ask.join(matrix, "token").where(
-        "own <> root and (own_size < size or (own_size = size and own < root)) and "
-        f"100 * most_n >= {percent} * own_n and 100 * own_n >= {percent} * least_n").select("asker", "gkey", "block").distinct()
+    matrix = at.groupBy("token", "gkey", "block").agg(
+        F.max(F.struct("size", "root")).alias("largest"), F.min("n").alias("least_n"), F.max("n").alias("most_n"))
+    ask = at.select("token", F.col("num").alias("asker"), F.struct("size", "root").alias("own"), F.col("n").alias("own_n"))
+    pairs = ask.join(matrix, "token").where(  # of two components, the smaller asks
+        f"own < largest and 100 * most_n >= {percent} * own_n and 100 * own_n >= {percent} * least_n").select("asker", "gkey", "block").distinct()
     pairs = materialize(pairs, "asking-classes")
 
     sets = wanted.select("num", "n", "bits")
@@ -374,9 +372,13 @@ def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
         signed_again = texts.mapInArrow(_reordered(shingle, percent, order()), "num long, token long").distinct()
         every = materialize(every.join(moved, "num", "left_anti").unionByName(signed_again), "prefix-postings")
         postings = met(every)
+    # Classes of one family hold the same frequent token, which makes them one group; others group by their least shingles.
+    family = postings.groupBy("num").agg(F.max(F.struct("held", "token")).alias("most")).select(
+        "num", F.when(F.col("most.held") >= FREQUENT, F.col("most.token")).alias("family"))
+    wanted = materialize(classes.join(family, "num").select(
+        "num", "cls", F.when(F.col("family").isNull(), F.col("gkey")).otherwise(F.xxhash64("family", F.size("bits"))).alias("gkey"),
+        "n", "bits", "least.ord", "least.th"), "shingle-wanted")
     postings = postings.select("num", "token")
-    wanted = materialize(classes.join(postings.select("num").distinct(), "num").select(
-        "num", "cls", "gkey", "n", "bits", "least.ord", "least.th"), "shingle-wanted")
     roots = materialize(linked_classes(wanted, postings, keyed, shingle, percent), "shingle-roots")
 
     least = classes.select("num", "cls", "least")
