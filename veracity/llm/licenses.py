@@ -59,12 +59,12 @@ def _template_lines(spark: SparkSession) -> DataFrame:
 
 
 def _best_match(lines: DataFrame) -> DataFrame:
-    """``(line, licence, cosine)`` of each distinct candidate line that reaches the threshold."""
+    """``(key, licence, cosine)`` of each distinct candidate ``(key, line)`` that reaches the threshold; keys digest lines."""
     spark = lines.sparkSession
     templates = _template_lines(spark)
     tf = lambda df, *keys: df.select(*keys, F.explode(_terms(F.col("line"))).alias("term")).groupBy(*keys, "term").agg(
         F.count(F.lit(1)).alias("tf"))
-    line_terms = materialize(tf(lines.select("line"), "line"), "licence-terms")
+    line_terms = materialize(tf(lines, "key"), "licence-terms")
     template_terms = tf(templates, "licence", "line")
     total = lines.count() + sum(map(len, TEMPLATES.values()))
     df = line_terms.select("term").unionByName(template_terms.select("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
@@ -76,13 +76,13 @@ def _best_match(lines: DataFrame) -> DataFrame:
     own = own.join(length, ["licence", "line"]).select("licence", F.col("line").alias("template"), "term",
                                                        (F.col("w") / F.col("length")).alias("share"))
     weighed = weigh(line_terms)
-    lengths = weighed.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    dots = weighed.join(F.broadcast(own), "term").groupBy("line", "licence", "template").agg(
+    lengths = weighed.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+    dots = weighed.join(F.broadcast(own), "term").groupBy("key", "licence", "template").agg(
         F.sum(F.col("w") * F.col("share")).alias("dot"))  # a few hundred template terms: a fixed size
-    best = dots.join(lengths, "line").select(
-        "line", F.struct((-F.round(F.col("dot") / F.col("length"), 6)).alias("minus"), "licence").alias("m")).groupBy("line").agg(
+    best = dots.join(lengths, "key").select(
+        "key", F.struct((-F.round(F.col("dot") / F.col("length"), 6)).alias("minus"), "licence").alias("m")).groupBy("key").agg(
         F.min("m").alias("m"))
-    return best.select("line", F.col("m.licence").alias("licence"), (-F.col("m.minus")).alias("cosine")).where(
+    return best.select("key", F.col("m.licence").alias("licence"), (-F.col("m.minus")).alias("cosine")).where(
         F.col("cosine") >= COSINE)
 
 
@@ -103,9 +103,10 @@ def scan_licenses(files: DataFrame, path: Column, id_col: str = "doc_id", text_c
     cues = rows.where("headers is not null").select("rid", "dir", F.explode(F.filter(F.concat(
         F.transform("headers", lambda x: F.struct(x.alias("line"), F.lit(False).alias("file"))),
         F.array(F.struct(F.col("whole").alias("line"), F.lit(True).alias("file")))), lambda x: x["line"].isNotNull())).alias("c"))
-    cues = cues.select("rid", "dir", "c.line", "c.file")
-    best = materialize(_best_match(cues.select("line").distinct()), "licence-matches")
-    hits = cues.join(best, "line")
+    cues = cues.select("rid", "dir", F.unhex(F.md5("c.line")).alias("key"), "c.line", "c.file")
+    lines = materialize(cues.groupBy("key").agg(F.first("line").alias("line")), "licence-lines")
+    best = materialize(_best_match(lines), "licence-matches")
+    hits = cues.drop("line").join(best, "key")
     own = hits.groupBy("rid").agg(F.min(F.struct(
         (-F.col("cosine")).alias("minus"), (~F.col("file")).alias("header"), "licence")).alias("own"))
 
