@@ -354,24 +354,30 @@ def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
 
     # Shingles that turn out to be in many prefixes go to the end of the order; only classes that held one get a new prefix.
     every = classes.select("num", F.explode("prefix").alias("token"))
-    postings = met(every)
+    postings, earlier, fresh = met(every), None, None
     for turn in range(REORDERINGS):
         hot = postings.where(F.col("held") >= FREQUENT).groupBy("token").agg(F.first("held").alias("held"))
         hot = hot.orderBy(F.desc("held"), "token").limit(MAX_FREQUENT).collect()
-        new = np.array([r["token"] for r in hot], dtype=np.int64).view(np.uint64)
-        fresh = ~np.isin(new, frequent)
-        if not fresh.any():
+        found = np.array([r["token"] for r in hot], dtype=np.int64).view(np.uint64)
+        found = found[~np.isin(found, frequent)][:MAX_FREQUENT - len(frequent)]
+        if not len(found):
             break
-        new = new[fresh][:MAX_FREQUENT - len(frequent)]
-        frequent, ranks = np.append(frequent, new), np.append(
-            ranks, (REORDERINGS - turn) * 2 * MAX_FREQUENT + np.arange(len(new), 0, -1))
-        names = spark.createDataFrame([(int(t),) for t in new.view(np.int64)], "token long")
+        frequent, ranks = np.append(frequent, found), np.append(
+            ranks, (REORDERINGS - turn) * 2 * MAX_FREQUENT + np.arange(len(found), 0, -1))
+        names = spark.createDataFrame([(int(t),) for t in found.view(np.int64)], "token long")
         moved = materialize(postings.join(F.broadcast(names), "token", "left_semi").select("num").distinct(), "moved-classes")
         again = classes.join(moved, "num").select("num", "cls", "least.ord", "least.th")
         texts = maybe_in(keyed, ["ord", "th"], again).join(again, ["ord", "th"]).select("text", "cls", "num")
-        signed_again = texts.mapInArrow(_reordered(shingle, percent, order()), "num long, token long").distinct()
-        every = materialize(every.join(moved, "num", "left_anti").unionByName(signed_again), "prefix-postings")
-        postings = met(every)
+        new = materialize(texts.mapInArrow(_reordered(shingle, percent, order()), "num long, token long").distinct(),
+                          "moved-postings")
+        # Only tokens new to a prefix can have gained holders: recount those, with all who hold them.
+        stay = postings.select("num", "token").join(moved, "num", "left_anti")
+        gone = moved if earlier is None else earlier.unionByName(moved).distinct()
+        others = maybe_in(every, ["token"], new.select("token").distinct()).join(gone, "num", "left_anti")
+        if fresh is not None:
+            others = others.unionByName(fresh.join(moved, "num", "left_anti"))
+            new = new.unionByName(fresh.join(moved, "num", "left_anti"))
+        postings, earlier, fresh = met(stay.unionByName(others).unionByName(new).distinct()), gone, new
     # Classes of one family hold the same frequent token, which makes them one group; others group by their least shingles.
     family = postings.groupBy("num").agg(F.max(F.struct("held", "token")).alias("most")).select(
         "num", F.when(F.col("most.held") >= FREQUENT, F.col("most.token")).alias("family"))
