@@ -31,7 +31,7 @@ from veracity.llm.words import arrow_map
 
 #: Fixed value: how byte-level vocabularies split text before merging.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MAX_PRETOKENS, MAX_UNITS = 600_000, 250_000
+MAX_PRETOKENS, MAX_UNITS = 320_000, 160_000
 _NONE = 1 << 62
 
 

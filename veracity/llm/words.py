@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 NULL_ID = np.iinfo(np.int64).max
 
 _SPACE = np.zeros(256, dtype=bool)
