@@ -243,18 +243,6 @@ def test_reference_forms(spark):
     assert got[2]["status"] == "ERROR"
 
 
-def test_referenced_columns(spark, dedup):
-    from veracity.plans.flow import standard_suite
-
-    suite = Suite(standard_suite("/root/testdata/sf0.01/customer.parquet", reference_column="c_custkey"))
-    cols = suite.referenced_columns(dedup)
-    assert set(cols) == {"user_id", "price", "quantity", "transaction_id", "email", "country_code", "order_status",
-                         "end_date", "start_date", "product_id", "dates_marked_inconsistent"}
-    df = frame(spark, [(1, 2, 3)], "a int, `b c` int, d int")
-    s2 = Suite([c("x", "consistency", condition_sql="A > `b c`")])
-    assert s2.referenced_columns(df) == ["a", "b c"]
-
-
 def test_invalid_date_pattern_is_an_error_row_in_the_lazy_plan(spark):
     df = frame(spark, [("2024-01-05",), ("x",)], "d string")
     res = rows_by_name(Suite([

@@ -146,7 +146,7 @@ def _probe(ctx: CompileContext, expr: Column, what: str, key: tuple) -> None:
     try:
         ctx.spark.range(1).select(expr.alias("__probe")).collect()
     except Exception as exc:
-        raise CheckError(f"{what}: {str(exc).strip().splitlines()[0][:200]}") from exc
+        raise CheckError(f"{what}: {str(exc).strip().splitlines()[0]}") from exc
     _PROBED.add(key)
 
 

@@ -50,7 +50,8 @@ def rows_in_duplicate_groups(df: DataFrame, key: Column, *, hot_rows: int | None
         keys = dups.select(KEY)
         return df.join(keys, key == keys[KEY], "left_semi")
     hot_part, rest = split_rows(df, key, hot)
-    cold = dups.where(F.col(SIZE) <= hot_rows).select(KEY)
+    # The hot threshold may have been raised to keep the set small: cold is whatever is not in it.
+    cold = dups.select(KEY).join(F.broadcast(hot), KEY, "left_anti")
     return hot_part.unionByName(rest.join(cold, key == cold[KEY], "left_semi"))
 
 

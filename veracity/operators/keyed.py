@@ -55,7 +55,8 @@ def keyed_results(df: DataFrame, column: str, items: Sequence[KeyedItem]) -> Dat
     sides: dict[object, int] = {}  # the same reference key column is read once
     for ordinal, _, shape in items:
         if isinstance(shape, ReferenceCheck):
-            ident = id(shape.reference) if shape.reference_label.startswith("<") else shape.reference_label
+            table = id(shape.reference) if shape.reference_label.startswith("<") else shape.reference_label
+            ident = (table, str(shape.reference_key))  # two columns of one table are two sides
             if ident not in sides:
                 refs.append((shape.reference, shape.reference_key))
                 sides[ident] = len(refs)

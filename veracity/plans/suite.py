@@ -19,7 +19,6 @@ only the failing check becomes an ERROR row.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-import re
 from functools import reduce
 from typing import Any
 
@@ -44,8 +43,7 @@ from veracity.spec import CheckSpec, build_specs
 
 
 def _describe_error(exc: BaseException) -> str:
-    text = str(exc).strip().splitlines()[0] if str(exc).strip() else type(exc).__name__
-    return text[:500]
+    return str(exc).strip() or type(exc).__name__
 
 
 class Suite:
@@ -94,29 +92,6 @@ class Suite:
                         out[i] = (ordinal, spec, CheckError(_describe_error(exc)))
         return out
 
-    def referenced_columns(self, df: DataFrame) -> list[str]:
-        """Top-level columns the suite can read: a conservative superset.
-
-        Every ``column`` parameter (its top-level part for nested fields) and
-        every column whose name appears as a word in a custom SQL condition.
-        Used to write only those columns when materializing the input.
-        """
-        lowered = {c.lower(): c for c in df.columns}
-        keep: set[str] = set()
-        for spec in self.specs:
-            col = spec.param("column")
-            if isinstance(col, str) and col:
-                if col in df.columns:
-                    keep.add(col)
-                elif col.split(".")[0].strip("`").lower() in lowered:
-                    keep.add(lowered[col.split(".")[0].strip("`").lower()])
-            cond = spec.param("condition_sql")
-            if isinstance(cond, str):
-                words = {w.lower() for w in re.findall(r"[A-Za-z_][A-Za-z0-9_]*", cond)}
-                quoted = {w.lower() for w in re.findall(r"`([^`]+)`", cond)}
-                keep |= {lowered[w] for w in words | quoted if w in lowered}
-        return [c for c in df.columns if c in keep]
-
     # -- lazy plan -------------------------------------------------------
 
     def results(self, df: DataFrame) -> DataFrame:
@@ -184,8 +159,8 @@ class Suite:
         source = df
         ours = False  # unpersist only what this run persisted
         if materialize_input or materialize_path:
-            needed = self.referenced_columns(df) or df.columns
-            source = materialize(df.select(*[F.col(R.ident(c)) for c in needed]), "suite-input", materialize_path)
+            # Every column: a check may read any of them (size(array(*)), registered checks with own parameters).
+            source = materialize(df, "suite-input", materialize_path)
         elif persist and not df.is_cached:
             source = df.persist(StorageLevel.MEMORY_AND_DISK)
             ours = True

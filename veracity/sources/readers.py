@@ -8,7 +8,6 @@ cluster.  Schemas come from the Parquet footers.
 from __future__ import annotations
 
 import os
-import weakref
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -53,20 +52,6 @@ def read_dir_or_file(spark: SparkSession, directory: str, single_file: str = DEF
     return read_parquet(spark, directory, f"{directory.rstrip('/')}/{single_file}")
 
 
-_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """``<sf_dir>/<name>.parquet``, one DataFrame per session and path.
-
-    A DataFrame is an immutable plan, so holding one per table saves the file
-    listing and footer read on every use; a new session reads afresh.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    try:
-        tables = _TABLES.setdefault(spark, {})
-    except TypeError:  # a session that cannot be weakly referenced: no cache
-        return spark.read.parquet(path)
-    if path not in tables:
-        tables[path] = spark.read.parquet(path)
-    return tables[path]
+    """``<sf_dir>/<name>.parquet``, listed afresh on every call, so files added meanwhile are read."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -136,7 +136,7 @@ def append_results_log(
     kind: str = "parquet",
     jdbc_properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Append one run to the results log (idempotent per ``run_id``) and return its rows.
+    """Append one run to the results log (idempotent per ``run_id`` and run date) and return its rows.
 
     ``kind``: ``parquet`` (``target`` is a path) or ``table`` (catalog
     table, created on first append), both partitioned by ``run_date``; or
@@ -152,15 +152,22 @@ def append_results_log(
         # One run is one row per check: a single file per run keeps the log
         # free of small files however many runs accumulate.
         dated = rows.withColumn(LOG_PARTITION, F.to_date("run_ts")).coalesce(1)
-        writer = (
-            dated.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(LOG_PARTITION, "run_id")
-        )
+        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        catalog = results.sparkSession.catalog
         if kind == "parquet":
-            writer.parquet(target)
+            writer.partitionBy(LOG_PARTITION, "run_id").parquet(target)
+        elif catalog.tableExists(target):
+            # insertInto replaces only this run's partition; saveAsTable would replace the table.  It takes the
+            # overwrite mode from the session alone, so that is set for this one write.
+            conf, mode = results.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+            before = conf.get(mode)
+            conf.set(mode, "dynamic")
+            try:
+                dated.select(*results.sparkSession.table(target).columns).write.insertInto(target, overwrite=True)
+            finally:
+                conf.set(mode, before)
         else:
-            writer.saveAsTable(target)
+            dated.write.partitionBy(LOG_PARTITION, "run_id").saveAsTable(target)
     elif kind == "jdbc":
         url, _, table = target.partition("|")
         rows.coalesce(1).write.jdbc(url, table, mode="append", properties=dict(jdbc_properties or {}))
