@@ -1,34 +1,38 @@
-"""Session-level helpers: the shared folder and lineage cuts.
+"""Session-level helpers: the shared folder, lineage cuts and scratch tables.
 
 Intermediate tables go to the shared folder the cluster names in
 ``spark.checkpoint.dir`` — never to a machine-local temporary folder, which
-other executors cannot see and which disappears with the node.  Only when the
-session names no folder at all (unit tests, a laptop) do we create one and
-register it, so later calls agree on it.
+other executors cannot see and which disappears with the node.  Only a
+session whose master is local (unit tests, a laptop) gets a folder of its own
+when it names none; any other raises ``NoSharedFolder``.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Spark's own setting: shuffle files go when the query that made them ends, not at some later collection.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+class NoSharedFolder(RuntimeError):
+    """The session runs on a cluster but names no folder that its executors share."""
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; set a local one only when none is configured."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The session's checkpoint folder; a local session without one gets a temporary folder."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
-        try:
-            configured = spark.sparkContext.getCheckpointDir()
-        except Exception:  # no SparkContext on this client (e.g. Spark Connect)
-            configured = None
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="veracity-checkpoints-")
-        try:
-            spark.sparkContext.setCheckpointDir(configured)
-        except Exception:
-            pass  # the folder is still returned; later calls create their own
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
+            raise NoSharedFolder(f"set spark.checkpoint.dir to a folder all executors share (master is '{master}')")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="veracity-checkpoints-"))
+        configured = spark.sparkContext.getCheckpointDir()
     return configured.rstrip("/")
 
 
@@ -37,15 +41,82 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/veracity-{label}-{uuid.uuid4().hex}"
 
 
+class Scratch:
+    """The scratch tables written in one block (see ``scratch_tables``)."""
+
+    def __init__(self) -> None:
+        self.tables: list[tuple[DataFrame, str]] = []
+
+    def take(self, df: DataFrame) -> list[tuple[DataFrame, str]]:
+        mine = [t for t in self.tables if t[0] is df]
+        self.tables = [t for t in self.tables if t[0] is not df]
+        return mine
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that nothing unwritten reads any more."""
+        for df in tables:
+            for _, path in self.take(df):
+                delete_path(df.sparkSession, path)
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        """Hand a table to the enclosing block, or to the caller where there is none."""
+        mine, outer = self.take(df), self.outer
+        if outer is not None:
+            outer.tables += mine
+        return df
+
+    outer: "Scratch | None" = None
+
+
+_SCRATCH: ContextVar[Scratch | None] = ContextVar("scratch tables", default=None)
+
+
+@contextmanager
+def scratch_tables():
+    """A block whose ``materialize`` tables are deleted at its end, also on failure, but for those kept.
+
+    What the block returns must be a table given to ``keep``: a lazy frame
+    over any other table would find its files gone.
+    """
+    block = Scratch()
+    block.outer = _SCRATCH.get()
+    token = _SCRATCH.set(block)
+    try:
+        yield block
+    finally:
+        _SCRATCH.reset(token)
+        block.drop(*[df for df, _ in block.tables])
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whichever file system holds it."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def materialize(df: DataFrame, label: str = "table", path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
     This cuts lineage (a lost executor re-reads files instead of recomputing
     a shuffle) and keeps the table columnar, so every later branch reads
     only the columns it needs — unlike an in-memory cache, which holds whole
-    rows and is bounded by executor memory.
+    rows and is bounded by executor memory.  The shuffle files of the write go
+    when it ends.  Inside ``scratch_tables`` the table belongs to that block.
     """
     spark = df.sparkSession
     target = path or scratch_path(spark, label)
-    df.write.mode("overwrite").parquet(target)
-    return spark.read.parquet(target)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.mode("overwrite").parquet(target)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    table = spark.read.parquet(target)
+    block = _SCRATCH.get()
+    if block is not None and path is None:
+        block.tables.append((table, target))
+    return table
