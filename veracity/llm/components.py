@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veracity.session import materialize
+from veracity.session import materialize, scratch_tables
 
 MAX_ROUNDS = 64
 
@@ -19,17 +19,18 @@ def connected_components(links: DataFrame) -> DataFrame:
     group; the number of rounds grows with the logarithm of the longest path.
     Rounds end when the links no longer change.
     """
-    links = _clean(links)
-    links = materialize(links, "links")
-    before = None
-    for _ in range(MAX_ROUNDS):
-        links = materialize(_small_star(_large_star(links)), "links")
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
-            return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
-                links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        before = now
-    raise RuntimeError("the links did not settle")
+    with scratch_tables() as scratch:
+        links, before = materialize(_clean(links), "links"), None
+        for _ in range(MAX_ROUNDS):
+            earlier, links = links, materialize(_small_star(_large_star(links)), "links")
+            scratch.drop(earlier)
+            now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
+            if now == before:
+                scratch.keep(links)
+                return links.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(
+                    links.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+            before = now
+        raise RuntimeError("the links did not settle")
 
 
 def _clean(links: DataFrame) -> DataFrame:

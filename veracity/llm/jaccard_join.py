@@ -40,7 +40,7 @@ from veracity.llm.bloom import maybe_in
 from veracity.llm.columns import doc_columns
 from veracity.llm.components import connected_components
 from veracity.llm.words import NULL_ID, Docs, HashIndex, RangeHash, arrow_map, lists, mix, segments, top_words
-from veracity.session import materialize
+from veracity.session import materialize, scratch_tables
 
 BLOCK, BLOCK_WORK, LEVELS = 256, 1 << 18, 6
 FREQUENT, MAX_FREQUENT, REORDERINGS, RANKED_WORDS = 12, 1 << 17, 2, 1 << 16
@@ -260,20 +260,23 @@ def _whole_sets(keyed: DataFrame, classes: DataFrame, shingle: int) -> DataFrame
 
 def _settled(wanted: DataFrame, keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``(num, root)``: blocks of each group first, then their components' least members, until each key fits one block."""
-    dealt, level = _blocked(wanted), 0
-    standing = _whole_sets(keyed, dealt.where("members > 1"), shingle)
-    roots = wanted.select("num", F.col("num").alias("root"))
-    while True:
-        dealt = _blocked(standing)
-        inner = materialize(dealt.select("gkey", "block", "num", "tokens").groupBy("gkey", "block")
-                            .applyInPandas(_settle(percent), _LINKS), "group-links")
-        up = inner.distinct().select(F.col("a").alias("root"), F.col("b").alias("up"))
-        roots = materialize(roots.join(up, "root", "left").select("num", F.coalesce("up", "root").alias("root")), "class-roots")
-        split, level = dealt.where("blocks > 1").select("gkey").distinct(), level + 1
-        if level >= LEVELS or up.isEmpty() or split.isEmpty():
-            return roots
-        standing = materialize(standing.join(split, "gkey", "left_semi")
-                               .join(up.select(F.col("root").alias("num")), "num", "left_anti"), "group-pivots")
+    with scratch_tables() as scratch:
+        dealt, level = _blocked(wanted), 0
+        standing = _whole_sets(keyed, dealt.where("members > 1"), shingle)
+        roots = wanted.select("num", F.col("num").alias("root"))
+        while True:
+            dealt = _blocked(standing)
+            inner = materialize(dealt.select("gkey", "block", "num", "tokens").groupBy("gkey", "block")
+                                .applyInPandas(_settle(percent), _LINKS), "group-links")
+            up = inner.distinct().select(F.col("a").alias("root"), F.col("b").alias("up"))
+            roots = materialize(roots.join(up, "root", "left").select("num", F.coalesce("up", "root").alias("root")), "class-roots")
+            split, level = dealt.where("blocks > 1").select("gkey").distinct(), level + 1
+            if level >= LEVELS or up.isEmpty() or split.isEmpty():
+                return scratch.keep(roots)
+            earlier, standing = standing, materialize(
+                standing.join(split, "gkey", "left_semi")
+                .join(up.select(F.col("root").alias("num")), "num", "left_anti"), "group-pivots")
+            scratch.drop(earlier)
 
 
 def _asked(wanted: DataFrame, postings: DataFrame, roots: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -304,97 +307,116 @@ def _asked(wanted: DataFrame, postings: DataFrame, roots: DataFrame, percent: in
 
 def linked_classes(wanted: DataFrame, postings: DataFrame, keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``(num, root)`` for every candidate class: the least class of its component."""
-    roots = _settled(wanted, keyed, shingle, percent)
-    placed, pairs = _asked(wanted, postings, roots, percent)
-    if pairs.isEmpty():
-        return roots
-    places = placed.select("num", "gkey", "block")
-    opened = pairs.select("gkey", "block").distinct().join(places, ["gkey", "block"]).select("num")
-    needed = opened.union(pairs.select(F.col("asker").alias("num"))).distinct()
-    sets = _whole_sets(keyed, wanted.join(needed, "num"), shingle).select("num", "tokens").join(roots, "num")
-
-    load = pairs.groupBy("gkey", "block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts"))
-    asking = pairs.join(load, ["gkey", "block"]).withColumn("part", _block("asker", F.col("parts"))).select(
-        "gkey", "block", "part", F.col("asker").alias("num")).join(sets, "num")
-    opened = load.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).join(
-        places, ["gkey", "block"]).join(sets, "num").select("gkey", "block", "part", "num", "root", "tokens")
-    keys = ["gkey", "block", "part"]
-    asking = asking.toDF(*asking.columns)  # names of its own: both sides come from one table
-    links = opened.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(_open(percent), _LINKS)
-    over = connected_components(links).select(F.col("node").alias("root"), F.col("root").alias("up"))
-    return roots.join(over, "root", "left").select("num", F.coalesce("up", "root").alias("root"))
+    with scratch_tables() as scratch:
+        roots = _settled(wanted, keyed, shingle, percent)
+        placed, pairs = _asked(wanted, postings, roots, percent)
+        if pairs.isEmpty():
+            return scratch.keep(roots)
+        places = placed.select("num", "gkey", "block")
+        opened = pairs.select("gkey", "block").distinct().join(places, ["gkey", "block"]).select("num")
+        needed = opened.union(pairs.select(F.col("asker").alias("num"))).distinct()
+        sets = _whole_sets(keyed, wanted.join(needed, "num"), shingle).select("num", "tokens").join(roots, "num")
+
+        load = pairs.groupBy("gkey", "block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts"))
+        asking = pairs.join(load, ["gkey", "block"]).withColumn("part", _block("asker", F.col("parts"))).select(
+            "gkey", "block", "part", F.col("asker").alias("num")).join(sets, "num")
+        opened = load.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).join(
+            places, ["gkey", "block"]).join(sets, "num").select("gkey", "block", "part", "num", "root", "tokens")
+        keys = ["gkey", "block", "part"]
+        asking = asking.toDF(*asking.columns)  # names of its own: both sides come from one table
+        links = opened.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(_open(percent), _LINKS)
+        over = connected_components(links).select(F.col("node").alias("root"), F.col("root").alias("up"))
+        return scratch.keep(materialize(
+            roots.join(over, "root", "left").select("num", F.coalesce("up", "root").alias("root")), "shingle-roots"))
+
+
+def _met(postings: DataFrame) -> DataFrame:
+    """``postings`` of tokens that several classes hold, with the number of those classes."""
+    with scratch_tables() as scratch:
+        several = materialize(postings.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "shared-tokens")
+        return scratch.keep(materialize(maybe_in(postings, ["token"], several).join(several, "token"), "shared-postings"))
 
 
-def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """``doc_id, th, n_shingles, head`` per row of ``(doc_id, text, th)``; head is the least (id, text hash) of the component."""
-    spark = docs.sparkSession
+def _shared_postings(classes: DataFrame, keyed: DataFrame, common: Commonness, shingle: int, percent: int) -> DataFrame:
+    """``(num, token, held)`` of prefix tokens that several classes hold, under the final order.
 
-    common = Commonness(*top_words(docs, RANKED_WORDS))  # fixed sizes: RANKED_WORDS words, MAX_FREQUENT shingles
+    Shingles that turn out to be in many prefixes go to the end of the order;
+    only classes that held one get a new prefix.
+    """
+    spark = classes.sparkSession
     frequent, ranks = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
+    every = classes.select("num", F.explode("prefix").alias("token"))
+    with scratch_tables() as scratch:
+        postings, earlier, fresh = _met(every), None, None
+        for turn in range(REORDERINGS):
+            hot = postings.where(F.col("held") >= FREQUENT).groupBy("token").agg(F.first("held").alias("held"))
+            hot = hot.orderBy(F.desc("held"), "token").limit(MAX_FREQUENT).collect()
+            found = np.array([r["token"] for r in hot], dtype=np.int64).view(np.uint64)
+            found = found[~np.isin(found, frequent)][:MAX_FREQUENT - len(frequent)]
+            if not len(found):
+                break
+            frequent, ranks = np.append(frequent, found), np.append(
+                ranks, (REORDERINGS - turn) * 2 * MAX_FREQUENT + np.arange(len(found), 0, -1))
+            names = spark.createDataFrame([(int(t),) for t in found.view(np.int64)], "token long")
+            moved = materialize(postings.join(F.broadcast(names), "token", "left_semi").select("num").distinct(), "moved-classes")
+            again = classes.join(moved, "num").select("num", "cls", "least.ord", "least.th")
+            texts = maybe_in(keyed, ["ord", "th"], again).join(again, ["ord", "th"]).select("text", "cls", "num")
+            new = materialize(texts.mapInArrow(_reordered(shingle, percent, _order(spark, frequent, ranks, common)),
+                                               "num long, token long").distinct(), "moved-postings")
+            # Only tokens new to a prefix can have gained holders: recount those, with all who hold them.
+            stay = postings.select("num", "token").join(moved, "num", "left_anti")
+            gone = moved if earlier is None else earlier.unionByName(moved).distinct()
+            others = maybe_in(every, ["token"], new.select("token").distinct()).join(gone, "num", "left_anti")
+            if fresh is not None:
+                others = others.unionByName(fresh.join(moved, "num", "left_anti"))
+                new = new.unionByName(fresh.join(moved, "num", "left_anti"))
+            before, postings = postings, _met(stay.unionByName(others).unionByName(new).distinct())
+            scratch.drop(before)
+            earlier, fresh = gone, new
+        return scratch.keep(postings)
+
+
+def _order(spark, frequent: np.ndarray, ranks: np.ndarray, common: Commonness):
+    """The common order of tokens, as every task needs it: of a fixed size at most."""
+    return spark.sparkContext.broadcast((HashIndex(frequent), np.append(ranks[np.argsort(frequent)], 0), common))
 
-    def order():
-        by = np.argsort(frequent)
-        return spark.sparkContext.broadcast((HashIndex(frequent), np.append(ranks[by], 0), common))
-
-    signed = materialize(docs.mapInArrow(
-        _signature(shingle, percent, order()),
-        "doc_id long, th long, n_shingles long, cls binary, gkey long, prefix array<long>, bits array<long>"),
-        "shingle-signatures")
-    row = F.struct(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("ord"), "th")
-    classes = materialize(signed.where("cls is not null").groupBy("cls").agg(
-        F.min(row).alias("least"), F.first("gkey").alias("gkey"), F.first("prefix").alias("prefix"),
-        F.first("bits").alias("bits"), F.first("n_shingles").alias("n")).withColumn(
-        "num", F.monotonically_increasing_id()), "shingle-classes")
-    keyed = docs.withColumn("ord", F.coalesce("doc_id", F.lit(int(NULL_ID))))
-
-    def met(postings: DataFrame) -> DataFrame:
-        """Postings of tokens that several classes hold, with the number of those classes."""
-        several = materialize(postings.groupBy("token").agg(F.count(F.lit(1)).alias("held")).where("held > 1"), "shared-tokens")
-        return materialize(maybe_in(postings, ["token"], several).join(several, "token"), "shared-postings")
 
-    # Shingles that turn out to be in many prefixes go to the end of the order; only classes that held one get a new prefix.
-    every = classes.select("num", F.explode("prefix").alias("token"))
-    postings, earlier, fresh = met(every), None, None
-    for turn in range(REORDERINGS):
-        hot = postings.where(F.col("held") >= FREQUENT).groupBy("token").agg(F.first("held").alias("held"))
-        hot = hot.orderBy(F.desc("held"), "token").limit(MAX_FREQUENT).collect()
-        found = np.array([r["token"] for r in hot], dtype=np.int64).view(np.uint64)
-        found = found[~np.isin(found, frequent)][:MAX_FREQUENT - len(frequent)]
-        if not len(found):
-            break
-        frequent, ranks = np.append(frequent, found), np.append(
-            ranks, (REORDERINGS - turn) * 2 * MAX_FREQUENT + np.arange(len(found), 0, -1))
-        names = spark.createDataFrame([(int(t),) for t in found.view(np.int64)], "token long")
-        moved = materialize(postings.join(F.broadcast(names), "token", "left_semi").select("num").distinct(), "moved-classes")
-        again = classes.join(moved, "num").select("num", "cls", "least.ord", "least.th")
-        texts = maybe_in(keyed, ["ord", "th"], again).join(again, ["ord", "th"]).select("text", "cls", "num")
-        new = materialize(texts.mapInArrow(_reordered(shingle, percent, order()), "num long, token long").distinct(),
-                          "moved-postings")
-        # Only tokens new to a prefix can have gained holders: recount those, with all who hold them.
-        stay = postings.select("num", "token").join(moved, "num", "left_anti")
-        gone = moved if earlier is None else earlier.unionByName(moved).distinct()
-        others = maybe_in(every, ["token"], new.select("token").distinct()).join(gone, "num", "left_anti")
-        if fresh is not None:
-            others = others.unionByName(fresh.join(moved, "num", "left_anti"))
-            new = new.unionByName(fresh.join(moved, "num", "left_anti"))
-        postings, earlier, fresh = met(stay.unionByName(others).unionByName(new).distinct()), gone, new
-    # Classes of one family hold the same frequent token, which makes them one group; others group by their least shingles.
-    family = postings.groupBy("num").agg(F.max(F.struct("held", "token")).alias("most")).select(
-        "num", F.when(F.col("most.held") >= FREQUENT, F.col("most.token")).alias("family"))
-    wanted = materialize(classes.join(family, "num").select(
-        "num", "cls", F.when(F.col("family").isNull(), F.col("gkey")).otherwise(F.xxhash64("family", F.size("bits"))).alias("gkey"),
-        "n", "bits", "least.ord", "least.th"), "shingle-wanted")
-    postings = postings.select("num", "token")
-    roots = materialize(linked_classes(wanted, postings, keyed, shingle, percent), "shingle-roots")
-
-    least = classes.select("num", "cls", "least")
-    heads = roots.join(least.select("num", "least"), "num").groupBy("root").agg(F.min("least").alias("head"))
-    heads = roots.join(heads, "root").select("num", "head")
-    named = least.join(heads, "num", "left").select("cls", F.coalesce("head", "least").alias("head"))
-    rows = signed.select("doc_id", "th", "n_shingles", "cls")
-    linked = rows.where("cls is not null").join(named, "cls").select("doc_id", "th", "n_shingles", "head")
-    alone = rows.where("cls is null").select("doc_id", "th", "n_shingles", F.lit(None).cast(linked.schema["head"].dataType).alias("head"))
-    return linked.unionByName(alone)
+def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """``doc_id, th, n_shingles, head`` per row of ``(doc_id, text, th)``; head is the least (id, text hash) of the component."""
+    with scratch_tables() as scratch:
+        common = Commonness(*top_words(docs, RANKED_WORDS))  # fixed sizes: RANKED_WORDS words, MAX_FREQUENT shingles
+        order = _order(docs.sparkSession, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), common)
+        signed = materialize(docs.mapInArrow(
+            _signature(shingle, percent, order),
+            "doc_id long, th long, n_shingles long, cls binary, gkey long, prefix array<long>, bits array<long>"),
+            "shingle-signatures")
+        row = F.struct(F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("ord"), "th")
+        classes = materialize(signed.where("cls is not null").groupBy("cls").agg(
+            F.min(row).alias("least"), F.first("gkey").alias("gkey"), F.first("prefix").alias("prefix"),
+            F.first("bits").alias("bits"), F.first("n_shingles").alias("n")).withColumn(
+            "num", F.monotonically_increasing_id()), "shingle-classes")
+        rows = materialize(signed.select("doc_id", "th", "n_shingles", "cls"), "shingle-rows")
+        scratch.drop(signed)  # prefixes and bitmaps are wanted once per class from here on
+        keyed = docs.withColumn("ord", F.coalesce("doc_id", F.lit(int(NULL_ID))))
+
+        postings = _shared_postings(classes, keyed, common, shingle, percent)
+        # Classes of one family hold the same frequent token, which makes them one group; others group by their least shingles.
+        family = postings.groupBy("num").agg(F.max(F.struct("held", "token")).alias("most")).select(
+            "num", F.when(F.col("most.held") >= FREQUENT, F.col("most.token")).alias("family"))
+        wanted = materialize(classes.join(family, "num").select(
+            "num", "cls", F.when(F.col("family").isNull(), F.col("gkey")).otherwise(F.xxhash64("family", F.size("bits"))).alias("gkey"),
+            "n", "bits", "least.ord", "least.th"), "shingle-wanted")
+        least = materialize(classes.select("num", "cls", "least"), "shingle-least")
+        scratch.drop(classes)
+        roots = linked_classes(wanted, postings.select("num", "token"), keyed, shingle, percent)
+
+        heads = roots.join(least.select("num", "least"), "num").groupBy("root").agg(F.min("least").alias("head"))
+        heads = roots.join(heads, "root").select("num", "head")
+        named = least.join(heads, "num", "left").select("cls", F.coalesce("head", "least").alias("head"))
+        linked = rows.where("cls is not null").join(named, "cls").select("doc_id", "th", "n_shingles", "head")
+        alone = rows.where("cls is null").select(
+            "doc_id", "th", "n_shingles", F.lit(None).cast(linked.schema["head"].dataType).alias("head"))
+        return scratch.keep(materialize(linked.unionByName(alone), "shingle-heads"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
