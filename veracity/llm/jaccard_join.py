@@ -154,7 +154,8 @@ def _signature(size: int, percent: int, shared):
     return arrow_map(fn, _SIGNED)
 
 
-_MEMBERS = pa.schema([("cls", pa.binary()), ("num", pa.int64()), ("gkey", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary())])
+_MEMBERS = pa.schema([("num", pa.int64()), ("gkey", pa.int64()), ("block", pa.int64()), ("blocks", pa.int64()), ("n", pa.int64()),
+                      ("tokens", pa.binary())])
 
 
 def _members(size: int):
@@ -164,10 +165,10 @@ def _members(size: int):
         tokens, counts = _sets(Docs(batch.column("text"), lower=True), size)
         raw, ends = tokens.tobytes(), np.cumsum(counts) * 8
         wanted = batch.column("cls").to_pylist()
-        rows = {c: i for i, (c, d) in enumerate(zip(wanted, _digests(tokens, counts))) if c == d}  # once per slice
-        at = list(rows.values())
-        return {"cls": pa.array(list(rows), pa.binary()), "num": batch.column("num").take(pa.array(at, pa.int64())), "gkey": batch.column("gkey").take(pa.array(at, pa.int64())),
-                "n": counts[at], "tokens": pa.array([raw[ends[i] - 8 * counts[i]:ends[i]] for i in at], pa.binary())}
+        at = [i for i, (c, d) in enumerate(zip(wanted, _digests(tokens, counts))) if c == d]
+        rows = pa.array(at, pa.int64())
+        return {name: batch.column(name).take(rows) for name in ("num", "gkey", "block", "blocks")} | {
+            "n": counts[at], "tokens": pa.array([raw[ends[i] - 8 * counts[i]:ends[i]] for i in at], pa.binary())}
 
     return arrow_map(fn, _MEMBERS)
 
@@ -249,23 +250,32 @@ def _blocked(members: DataFrame) -> DataFrame:
 _LINKS = "a long, b long"
 
 
+def _texts_of(keyed: DataFrame, classes: DataFrame, *carried: str) -> DataFrame:
+    """``text, cls, num`` and the carried columns for the row that stands for each class, once per text.
+
+    Repeated rows are made distinct where the join has put them, before anything is built from the text.
+    """
+    keys, kept = ["ord", "th"], ["cls", "num", *carried]
+    rows = classes.select(*keys, *kept)
+    met = maybe_in(keyed, keys, rows).join(rows, keys)
+    return met.select(*keys, "text", *kept).distinct().select("text", *kept)
+
+
 def _whole_sets(keyed: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
-    """``(num, gkey, n, tokens)`` of the given classes, from the text of the row that stands for each."""
-    rows = classes.select("ord", "th", "num", "cls", "gkey")
-    near = maybe_in(keyed, ["ord", "th"], rows).join(rows, ["ord", "th"])
-    sets = near.select("text", "cls", "num", "gkey").mapInArrow(
-        _members(shingle), "cls binary, num long, gkey long, n long, tokens binary")
-    return materialize(sets.dropDuplicates(["num"]).drop("cls"), "shingle-sets")
+    """``(num, gkey, block, blocks, n, tokens)`` of the given classes."""
+    texts = _texts_of(keyed, classes, "gkey", "block", "blocks")
+    return materialize(texts.mapInArrow(
+        _members(shingle), "num long, gkey long, block long, blocks long, n long, tokens binary"), "shingle-sets")
 
 
 def _settled(wanted: DataFrame, keyed: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``(num, root)``: blocks of each group first, then their components' least members, until each key fits one block."""
     with scratch_tables() as scratch:
-        dealt, level = _blocked(wanted), 0
-        standing = _whole_sets(keyed, dealt.where("members > 1"), shingle)
+        # Dealt before the sets are built: they then move once, straight to their blocks.
+        dealt = standing = _whole_sets(keyed, _blocked(wanted).where("members > 1"), shingle)
+        level = 0
         roots = wanted.select("num", F.col("num").alias("root"))
         while True:
-            dealt = _blocked(standing)
             inner = materialize(dealt.select("gkey", "block", "num", "tokens").groupBy("gkey", "block")
                                 .applyInPandas(_settle(percent), _LINKS), "group-links")
             up = inner.distinct().select(F.col("a").alias("root"), F.col("b").alias("up"))
@@ -277,6 +287,7 @@ def _settled(wanted: DataFrame, keyed: DataFrame, shingle: int, percent: int) ->
                 standing.join(split, "gkey", "left_semi")
                 .join(up.select(F.col("root").alias("num")), "num", "left_anti"), "group-pivots")
             scratch.drop(earlier)
+            dealt = _blocked(standing.drop("block", "blocks"))
 
 
 def _asked(wanted: DataFrame, postings: DataFrame, roots: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -315,7 +326,8 @@ def linked_classes(wanted: DataFrame, postings: DataFrame, keyed: DataFrame, shi
         places = placed.select("num", "gkey", "block")
         opened = pairs.select("gkey", "block").distinct().join(places, ["gkey", "block"]).select("num")
         needed = opened.union(pairs.select(F.col("asker").alias("num"))).distinct()
-        sets = _whole_sets(keyed, wanted.join(needed, "num"), shingle).select("num", "tokens").join(roots, "num")
+        chosen = wanted.join(needed, "num").withColumns({"block": F.lit(0).cast("long"), "blocks": F.lit(1).cast("long")})
+        sets = _whole_sets(keyed, chosen, shingle).select("num", "tokens").join(roots, "num")
 
         load = pairs.groupBy("gkey", "block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts"))
         asking = pairs.join(load, ["gkey", "block"]).withColumn("part", _block("asker", F.col("parts"))).select(
@@ -360,9 +372,8 @@ def _shared_postings(classes: DataFrame, keyed: DataFrame, common: Commonness, s
             names = spark.createDataFrame([(int(t),) for t in found.view(np.int64)], "token long")
             moved = materialize(postings.join(F.broadcast(names), "token", "left_semi").select("num").distinct(), "moved-classes")
             again = classes.join(moved, "num").select("num", "cls", "least.ord", "least.th")
-            texts = maybe_in(keyed, ["ord", "th"], again).join(again, ["ord", "th"]).select("text", "cls", "num")
-            new = materialize(texts.mapInArrow(_reordered(shingle, percent, _order(spark, frequent, ranks, common)),
-                                               "num long, token long").distinct(), "moved-postings")
+            new = materialize(_texts_of(keyed, again).mapInArrow(
+                _reordered(shingle, percent, _order(spark, frequent, ranks, common)), "num long, token long"), "moved-postings")
             # Only tokens new to a prefix can have gained holders: recount those, with all who hold them.
             stay = postings.select("num", "token").join(moved, "num", "left_anti")
             gone = moved if earlier is None else earlier.unionByName(moved).distinct()
