@@ -32,7 +32,7 @@ from veracity.operators.extensions import castable_check, gate_split, repair_aud
 from veracity.plans import history  # noqa: E402
 from veracity.plans.fixtures import transactions_from_orders  # noqa: E402
 from veracity.plans.flow import clean_and_dedup, standard_suite  # noqa: E402
-from veracity.session import scratch_path  # noqa: E402
+from veracity.session import materialize, scratch_path  # noqa: E402
 from veracity.sources import sinks  # noqa: E402
 from veracity.sources.readers import read_table  # noqa: E402
 from veracity.streaming.microbatch import run_running_results, run_suite_on_stream  # noqa: E402
@@ -245,6 +245,22 @@ def q_suite_full(spark, sf):
     return _suite(_dedup(spark, sf), _full_suite(sf))
 
 
+def q_suite_full_eager(spark, sf):
+    """The same suite over an input deduplicated and written once."""
+    return compact(Suite(_full_suite(sf)).run(_dedup(spark, sf), materialize_input=True))
+
+
+def q_ref_mixed_types(spark, sf):
+    """References of other types than the checked column: a double with fractions, and text."""
+    c = _t(spark, sf, "customer")
+    half = c.select((F.col("c_custkey") + F.when(F.col("c_custkey") % 2 == 0, 0.5).otherwise(0.0)).alias("k"))
+    text = c.select(F.col("c_custkey").cast("string").alias("k"))
+    return _suite(_txn(spark, sf), [
+        _c("user_in_double", "consistency", "referential_integrity", column="user_id", reference=half, reference_column="k"),
+        _c("user_in_text", "consistency", "referential_integrity", column="user_id", reference=text, reference_column="k"),
+    ])
+
+
 def q_suite_error_isolation(spark, sf):
     return _suite(_txn(spark, sf), ISOLATION)
 
@@ -303,7 +319,7 @@ def q_failing_rows_ref(spark, sf):
 
 
 def q_report_roundtrip(spark, sf):
-    results = Suite(FUSED + UNIQUENESS).results(_txn(spark, sf))
+    results = materialize(Suite(FUSED + UNIQUENESS).results(_txn(spark, sf)), "results")
     base = scratch_path(spark, "report")
     parts = []
     for fmt in ("parquet", "json", "csv"):
@@ -466,6 +482,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mean_deviation_inf": q_mean_deviation_inf,
     "suite_fused": q_suite_fused,
     "suite_full": q_suite_full,
+    "suite_full_eager": q_suite_full_eager,
+    "ref_mixed_types": q_ref_mixed_types,
     "suite_error_isolation": q_suite_error_isolation,
     "clean_backup": q_clean_backup,
     "clean_clamp": q_clean_clamp,

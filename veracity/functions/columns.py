@@ -9,7 +9,7 @@ nested fields, unlike ``df.schema[name]``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,24 @@ def is_string(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StringType, T.VarcharType, T.CharType))
 
 
+def as_checked_type(ref: Column, ref_type: T.DataType, key_type: T.DataType, spark: SparkSession) -> Column:
+    """Reference values in the checked column's type; NULL for a value that no checked value can equal.
+
+    Values are equal when they are in the common type of both columns (1.5
+    equals no bigint); with text on one side, when the reference's value,
+    converted to the checked type, is the checked one.  Counting and drill-down
+    share this column, so they cannot disagree.
+    """
+    if ref_type == key_type:
+        return ref
+    converted = ref.try_cast(key_type)
+    if is_string(ref_type) or is_string(key_type):
+        return converted
+    both = F.coalesce(F.lit(None).cast(key_type), F.lit(None).cast(ref_type))
+    common = spark.range(0).select(both).schema[0].dataType  # analysis only; raises where there is none
+    return F.when(converted.try_cast(common) == ref.try_cast(common), converted)
+
+
 def is_finite(c: Column) -> Column:
     """True for a real number; NULL for NULL; false for NaN and ±Inf."""
     return ~F.isnan(c) & (c != F.lit(float("inf"))) & (c != F.lit(float("-inf")))

@@ -31,9 +31,18 @@ def missing(c: Column, dtype: T.DataType) -> Column:
     return c.isNull()
 
 
+def is_temporal(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType))
+
+
 def _bound(value: Any, dtype: T.DataType) -> Column:
-    if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+    if is_temporal(dtype):
         return F.lit(value).cast(dtype)
+    if isinstance(value, str):  # a number as text, as configuration files may give it
+        try:
+            return F.lit(float(value))
+        except ValueError as exc:
+            raise PredicateError(f"range bound {value!r} is not a number") from exc
     return F.lit(value)
 
 

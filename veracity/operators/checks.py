@@ -23,9 +23,10 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veracity.functions import predicates as P
-from veracity.functions.columns import col_ref, column_type, is_floating, is_numeric
+from veracity.functions.columns import as_checked_type, col_ref, column_type, is_floating, is_numeric
 from veracity.spec import CheckSpec
 
 
@@ -85,15 +86,24 @@ class CompileContext:
 
 Compiler = Callable[[DataFrame, CheckSpec, CompileContext], Shape]
 _REGISTRY: dict[tuple[str, str | None], Compiler] = {}
+_PARAMS: dict[Compiler, frozenset[str]] = {}
+ANY_SUB_TYPE = "*"
 
 
-def register(check_type: str, *sub_types: str | None) -> Callable[[Compiler], Compiler]:
-    """Register a compiler for ``check_type`` and each given ``sub_type`` (default: None)."""
+def register(check_type: str, *sub_types: str | None, params: str | None = None) -> Callable[[Compiler], Compiler]:
+    """Register a compiler for ``check_type`` and each given ``sub_type`` (default: None; ``ANY_SUB_TYPE``: every one).
+
+    ``params`` names the parameters the check takes besides ``threshold``; any
+    other is then an ERROR row, so a misspelt one cannot pass unseen.
+    Without it, every parameter is taken.
+    """
     keys = sub_types or (None,)
 
     def deco(fn: Compiler) -> Compiler:
         for sub in keys:
             _REGISTRY[(check_type, sub)] = fn
+        if params is not None:
+            _PARAMS[fn] = frozenset(params.split()) | {"threshold"}
         return fn
 
     return deco
@@ -104,7 +114,7 @@ def registered() -> list[tuple[str, str | None]]:
 
 
 def resolve(spec: CheckSpec) -> Compiler:
-    fn = _REGISTRY.get((spec.check_type, spec.sub_type))
+    fn = _REGISTRY.get((spec.check_type, spec.sub_type)) or _REGISTRY.get((spec.check_type, ANY_SUB_TYPE))
     if fn is None:
         if any(t == spec.check_type for t, _ in _REGISTRY):
             raise CheckError(f"unknown sub_type '{spec.sub_type}' for check_type '{spec.check_type}'")
@@ -113,7 +123,12 @@ def resolve(spec: CheckSpec) -> Compiler:
 
 
 def compile_check(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
-    return resolve(spec)(df, spec, ctx)
+    compiler = resolve(spec)
+    if compiler in _PARAMS and (unknown := sorted(set(spec.params) - _PARAMS[compiler])):
+        raise CheckError(f"unknown parameter {', '.join(map(repr, unknown))} for {spec.kind}")
+    if problem := spec.threshold_error():
+        raise CheckError(problem)
+    return compiler(df, spec, ctx)
 
 
 def _column(spec: CheckSpec) -> str:
@@ -150,6 +165,14 @@ def _probe(ctx: CompileContext, expr: Column, what: str, key: tuple) -> None:
     _PROBED.add(key)
 
 
+def _probe_dates(ctx: CompileContext, dtype: T.DataType, values: list) -> None:
+    """A date given as text is only parsed when a task runs: parse it now."""
+    if P.is_temporal(dtype):
+        for value in values:
+            _probe(ctx, F.lit(value).cast(dtype), f"invalid {dtype.simpleString()} {value!r}",
+                   ("literal", dtype.simpleString(), str(value)))
+
+
 def _wrap(fn: Callable[[], Any]) -> Any:
     try:
         return fn()
@@ -160,7 +183,7 @@ def _wrap(fn: Callable[[], Any]) -> Any:
 # --- completeness ---------------------------------------------------------
 
 
-@register("completeness")
+@register("completeness", None, ANY_SUB_TYPE, params="column")
 def _completeness(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     name = _column(spec)
     c, dtype = _resolve(df, name)
@@ -171,19 +194,20 @@ def _completeness(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
 # --- validity -------------------------------------------------------------
 
 
-@register("validity", "range")
+@register("validity", "range", params="column min_value max_value")
 def _range(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     name = _column(spec)
     c, dtype = _resolve(df, name)
     lo, hi = spec.param("min_value"), spec.param("max_value")
     pred = _wrap(lambda: P.outside_range(c, dtype, lo, hi))
+    _probe_dates(ctx, dtype, [v for v in (lo, hi) if v is not None])
     if pred is None:
         return RowCheck(F.lit(False), f"checked in '{name}' with no range given", name)
     bounds = ", ".join(s for s in (f"min={lo}" if lo is not None else "", f"max={hi}" if hi is not None else "") if s)
     return RowCheck(pred, f"fall outside [{bounds}] in '{name}'", name)
 
 
-@register("validity", "regex")
+@register("validity", "regex", params="column pattern")
 def _regex(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     name = _column(spec)
     c, dtype = _resolve(df, name)
@@ -193,19 +217,20 @@ def _regex(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     return RowCheck(pred, f"do not match regex '{pattern}' in '{name}'", name)
 
 
-@register("validity", "categorical")
+@register("validity", "categorical", params="column allowed_values")
 def _categorical(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     name = _column(spec)
     c, dtype = _resolve(df, name)
     allowed = spec.param("allowed_values")
     pred = _wrap(lambda: P.not_allowed(c, dtype, allowed))
+    _probe_dates(ctx, dtype, [v for v in allowed if v is not None])
     return RowCheck(pred, f"are not in {list(allowed)} in '{name}'", name)
 
 
 # --- consistency ----------------------------------------------------------
 
 
-@register("consistency", None, "custom_condition")
+@register("consistency", None, "custom_condition", params="condition_sql")
 def _custom(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     condition = spec.param("condition_sql")
     pred = _wrap(lambda: P.condition_fails(condition))
@@ -240,25 +265,26 @@ def _reference_frame(spec: CheckSpec, ctx: CompileContext) -> tuple[DataFrame, s
         raise CheckError(str(exc)) from exc
 
 
-@register("consistency", "referential_integrity")
+@register("consistency", "referential_integrity",
+          params="column reference reference_data_path reference_column nulls_are_violations")
 def _referential(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     name = _column(spec)
-    c, _ = _resolve(df, name)
+    c, dtype = _resolve(df, name)
     ref, label = _reference_frame(spec, ctx)
     ref_col = spec.param("reference_column") or name
     try:
-        rc = col_ref(ref, ref_col)
-        column_type(ref, ref_col)
+        rc, ref_type = col_ref(ref, ref_col), column_type(ref, ref_col)
     except Exception as exc:
         raise CheckError(f"reference column '{ref_col}' does not exist in {label}") from exc
     nulls = spec.param("nulls_are_violations", True)
+    rc = as_checked_type(rc, ref_type, dtype, ctx.spark)
     return ReferenceCheck(c, name, ref, rc, f"{label}.{ref_col}", bool(nulls))
 
 
 # --- format ---------------------------------------------------------------
 
 
-@register("format", "string_length")
+@register("format", "string_length", params="column min_length max_length fixed_length")
 def _length(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     name = _column(spec)
     c, dtype = _resolve(df, name)
@@ -273,7 +299,7 @@ def _length(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     return RowCheck(pred, f"have a length outside [{text}] in '{name}'", name)
 
 
-@register("format", "date_format")
+@register("format", "date_format", params="column expected_format")
 def _date_format(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     name = _column(spec)
     c, dtype = _resolve(df, name)
@@ -285,7 +311,7 @@ def _date_format(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     return RowCheck(pred, f"cannot be parsed as '{fmt}' in '{name}'", name)
 
 
-@register("format", "data_type")
+@register("format", "data_type", params="column expected_spark_type_str expected_type")
 def _data_type(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     name = _column(spec)
     _, dtype = _resolve(df, name)
@@ -300,7 +326,7 @@ def _data_type(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
 # --- stats ----------------------------------------------------------------
 
 
-@register("stats", "mean_deviation")
+@register("stats", "mean_deviation", params="column expected_mean max_deviation_stddevs")
 def _mean_deviation(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     name = _column(spec)
     c, dtype = _resolve(df, name)
@@ -320,7 +346,7 @@ def _mean_deviation(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shap
 # --- uniqueness -----------------------------------------------------------
 
 
-@register("uniqueness")
+@register("uniqueness", None, ANY_SUB_TYPE, params="column")
 def _uniqueness(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     name = _column(spec)
     c, _ = _resolve(df, name)

@@ -47,7 +47,9 @@ class ClampMin(Rule):
 
     def build(self, current, original):
         c = current[self.column]
-        return {self.column: F.when(c < F.lit(self.minimum), F.lit(self.minimum)).otherwise(c)}
+        whole = float(self.minimum).is_integer()  # a whole bound leaves integer and decimal columns their type
+        least = F.lit(int(self.minimum) if whole else self.minimum)
+        return {self.column: F.when(c < least, least).otherwise(c)}
 
 
 @dataclass(frozen=True)

@@ -6,7 +6,7 @@ many reference rows carry it.  So all uniqueness and referential checks on
 the same column share a single partial-first aggregate over the union of
 
 * the checked column (side 0), and
-* each reference table's key column (side j, cast to the checked type),
+* each reference table's key column (side j, in the checked type: ``columns.as_checked_type``),
 
 grouped by key with one count per side.  A second, global aggregate turns
 those per-key counts into every check's violations and totals, and the rows
@@ -32,12 +32,11 @@ KeyedItem = tuple[int, CheckSpec, GroupCheck | ReferenceCheck]
 
 
 def side_counts(df: DataFrame, key: Column, references: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
-    """``(__key, __n0, __n1, ...)``: rows per key value in ``df`` and in each reference."""
-    key_type = df.select(key).schema[0].dataType
+    """``(__key, __n0, __n1, ...)``: rows per key value in ``df`` and in each reference (keys of one type)."""
     parts = [df.select(key.alias(KEY), F.lit(0).alias(SIDE))]
     for j, (ref, ref_key) in enumerate(references, start=1):
         parts.append(
-            ref.select(ref_key.try_cast(key_type).alias(KEY), F.lit(j).alias(SIDE)).where(F.col(KEY).isNotNull())
+            ref.select(ref_key.alias(KEY), F.lit(j).alias(SIDE)).where(F.col(KEY).isNotNull())
         )
     union = parts[0]
     for p in parts[1:]:

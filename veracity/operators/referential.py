@@ -22,8 +22,8 @@ REF = "__ref_key"
 
 
 def reference_keys(ref: DataFrame, ref_key: Column) -> DataFrame:
-    """Non-NULL reference keys (no ``distinct``: an anti or semi join never multiplies rows)."""
-    return ref.select(ref_key.alias(REF)).where(F.col(REF).isNotNull())
+    """Distinct non-NULL reference keys: a key that holds much of the reference is combined before the shuffle."""
+    return ref.select(ref_key.alias(REF)).where(F.col(REF).isNotNull()).distinct()
 
 
 def orphan_rows(

@@ -32,6 +32,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veracity.functions.columns import quote
 from veracity.operators.clean import clean_transactions
 from veracity.operators.dedup import keep_latest
 from veracity.plans.suite import Suite
@@ -61,7 +62,7 @@ def _resolve(path: str, base_dir: str | None) -> str:
 
 def row_hash(df: DataFrame) -> Column:
     """A deterministic tie-break over all columns: equal rows hash equal, others almost never do."""
-    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    return F.xxhash64(*[F.col(quote(c)) for c in df.columns])
 
 
 def prepare(raw: DataFrame, cleaning: Any) -> DataFrame:

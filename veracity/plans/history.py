@@ -47,7 +47,7 @@ def non_passing(log: DataFrame, digits: int = 4, since: str | _dt.date | None =
             "message",
             ORDINAL,
         )
-        .orderBy("run_ts", ORDINAL)
+        .orderBy("run_ts", "run_id", ORDINAL)
     )
 
 
@@ -55,7 +55,7 @@ def latest_results(log: DataFrame, k: int = 18, since: str | _dt.date | None = N
     """The ``k`` most recent log rows (a top-k: ``TakeOrderedAndProject``, no full sort)."""
     return (
         _since(log, since)
-        .orderBy(F.col("run_ts").desc(), F.col(ORDINAL).desc())
+        .orderBy(F.col("run_ts").desc(), F.col("run_id").desc(), F.col(ORDINAL).desc())
         .limit(k)
         .select("run_id", "run_ts", "check_name", "status", "metric", "message")
     )

@@ -38,7 +38,7 @@ from veracity.operators.checks import (
 )
 from veracity.operators.fused import fused_results
 from veracity.operators.keyed import keyed_results
-from veracity.session import materialize
+from veracity.session import materialize, scratch_tables
 from veracity.spec import CheckSpec, build_specs
 
 
@@ -156,23 +156,24 @@ class Suite:
           the run (lost blocks are recomputed from lineage), unpersisted after.
         """
         spark = df.sparkSession
-        source = df
-        ours = False  # unpersist only what this run persisted
-        if materialize_input or materialize_path:
-            # Every column: a check may read any of them (size(array(*)), registered checks with own parameters).
-            source = materialize(df, "suite-input", materialize_path)
-        elif persist and not df.is_cached:
-            source = df.persist(StorageLevel.MEMORY_AND_DISK)
-            ours = True
-        try:
+        with scratch_tables():  # the written input goes when the results are here
+            source = df
+            ours = False  # unpersist only what this run persisted
+            if materialize_input or materialize_path:
+                # Every column: a check may read any of them (size(array(*)), registered checks with own parameters).
+                source = materialize(df, "suite-input", materialize_path)
+            elif persist and not df.is_cached:
+                source = df.persist(StorageLevel.MEMORY_AND_DISK)
+                ours = True
             try:
-                rows = self.results(source).collect()
-            except Exception:
-                rows = self._run_isolated(source)
-        finally:
-            if ours:
-                source.unpersist()
-        return spark.createDataFrame(rows, R.RESULTS_SCHEMA)
+                try:
+                    rows = self.results(source).collect()
+                except Exception:
+                    rows = self._run_isolated(source)
+            finally:
+                if ours:
+                    source.unpersist()
+            return spark.createDataFrame(rows, R.RESULTS_SCHEMA)
 
     def _run_isolated(self, df: DataFrame) -> list:
         """Check-by-check execution after a runtime failure of the fused job."""

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from veracity.functions.columns import non_finite_to_null
 from veracity.functions.render import ORDINAL, RESULT_COLUMNS, RESULTS_SCHEMA
+from veracity.session import materialize, scratch_tables
 
 REPORT_COLUMNS = ["check_name", "timestamp", "status", "metric", "message", "parameters", "details"]
 RUN_COLUMNS = ["run_id", "run_ts", "data_source"]
@@ -117,12 +118,13 @@ def write_report(
     A report has one row per check, so by default it is one file per format
     (``partitions=None`` keeps the frame's own partitioning).
     """
-    report = report_frame(results, run_ts)
     written = {}
-    for fmt in formats:
-        target = f"{directory.rstrip('/')}/{fmt}"
-        write_results(report, target, fmt, partitions=partitions)
-        written[fmt] = target
+    with scratch_tables():
+        report = materialize(report_frame(results, run_ts), "report")  # the suite runs once, whatever the formats
+        for fmt in formats:
+            target = f"{directory.rstrip('/')}/{fmt}"
+            write_results(report, target, fmt, partitions=partitions)
+            written[fmt] = target
     return written
 
 

@@ -10,6 +10,7 @@ silently overwriting an earlier result.
 from __future__ import annotations
 
 import json
+import math
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
@@ -28,7 +29,16 @@ class CheckSpec:
 
     @property
     def threshold(self) -> float:
-        return float(self.params.get("threshold", 0.0))
+        """The tolerance; 0.0 where ``threshold_error`` finds it unusable (such a check is an ERROR row)."""
+        return 0.0 if self.threshold_error() else float(self.params.get("threshold", 0.0))
+
+    def threshold_error(self) -> str | None:
+        value = self.params.get("threshold", 0.0)
+        try:
+            usable = math.isfinite(float(value))
+        except (TypeError, ValueError):
+            usable = False
+        return None if usable else f"parameter 'threshold' is not a finite number: {value!r}"
 
     @property
     def kind(self) -> str:
@@ -43,7 +53,15 @@ class CheckSpec:
         def fallback(obj: Any) -> str:
             return f"<{type(obj).__name__}>"
 
-        return json.dumps(dict(self.params), default=fallback)
+        def finite(obj: Any) -> Any:
+            """JSON has no NaN or infinity: such numbers are given by name."""
+            if isinstance(obj, float) and not math.isfinite(obj):
+                return str(obj)
+            if isinstance(obj, Mapping):
+                return {k: finite(v) for k, v in obj.items()}
+            return [finite(v) for v in obj] if isinstance(obj, (list, tuple)) else obj
+
+        return json.dumps(finite(dict(self.params)), default=fallback, allow_nan=False)
 
     @classmethod
     def from_dict(cls, entry: Mapping[str, Any], position: int | None = None) -> "CheckSpec":
