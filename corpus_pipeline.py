@@ -3,7 +3,7 @@
 1. quality: documents the classifier rejects go;
 2. near duplicates: one document (the least id) of each group of similar texts stays;
 3. decontamination: documents holding a benchmark passage go;
-4. secrets: every secret found is masked in the text;
+4. secrets: every secret found is masked in the text, widely copied or not;
 5. tokens: what is left is encoded and decoded again.
 
 Every stage but the last returns the columns of ``documents``.  Rows alike in
@@ -44,7 +44,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mask_secrets(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return mask_secrets(docs, copied=True).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -245,6 +245,24 @@ def test_secrets(spark):
     assert masked[12] == "🙂é [SECRET] Token == 'abcdefgh'" and mask_secrets(docs).count() == len(texts)
 
 
+def test_secrets_in_copies(spark):
+    rng = random.Random(5)
+    say = lambda n: " ".join(f"w{rng.randrange(500)}" for _ in range(n))
+    key, near, example, short = "Lk42live0000KEY77abc", "Nk42live0000KEY88abc", "Ex42ample000KEY99abc", "pw4short9"
+    one, other = f"{say(40)} password={key} {say(40)}", f"{say(200)} password={near} {say(200)}"
+    texts = [(one, f"o{i}") for i in range(3)] + [(f"{other} {i}", f"o{i}") for i in range(3)]
+    texts += [(f"{say(20)} token: {example} {say(20)}", f"o{i}") for i in range(3)]
+    texts += [(f"see {key} there", "o0"), (f"see {near} there", "o0"), (f"see {example} there", "o0"), (f"secret: {short}", "o1"), (f"has {short} too", "o1")]
+    docs = spark.createDataFrame([(i, t, "en", o, len(t), "", "", "", "") for i, (t, o) in enumerate(texts)], DOCS)
+    got = {r.doc_id: r for r in scan_secrets(docs).collect()}
+    assert [(got[i].n_live, got[i].n_copied) for i in range(9)] == [(1, 0)] * 6 + [(0, 1)] * 3
+    assert [got[i].spans for i in (9, 10, 11, 13)] == ["bare:4:24", "bare:4:24", "", "bare:4:13"]
+    every = {r.doc_id: r.text for r in mask_secrets(docs, copied=True).collect()}
+    assert not any(v in t for t in every.values() for v in (key, near, example, short))
+    many = docs.unionByName(spark.createDataFrame([(100 + i, "x", "en", f"p{i}", 1, "", "", "", "") for i in range(30)], DOCS))
+    assert all(r.n_copied == 0 for r in scan_secrets(many).collect())  # 3 of 33 owners
+
+
 def test_licenses(spark):
     files = [("a/LICENSE", "Released under the MIT License."), ("a/b/x", "int main;"), ("a/c/y", "Licensed under the Apache License, Version 2.0.\ncode"),
              ("q/z", "nothing"), (None, None), ("a/d/e/f/deep", ""), ("a/b/LICENSE", "This work is licensed under the GNU General Public License, version 3.")]

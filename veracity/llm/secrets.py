@@ -3,10 +3,17 @@
 Patterns give candidate spans; ``split`` gives the text between matches, so
 positions are running sums of lengths (a window per document and kind).  Each
 candidate value is a 128-bit digest, never the secret itself.  Digests are
-aggregated over the corpus by distinct owners and repositories: a value held
-by ``COPIED_OWNERS`` owners in ``COPIED_REPOS`` repositories or more is a widely
-copied example, any other is *live-looking*.  The method adds bare tokens: a long token with a digit whose
-value some base span confirms as a credential that is not widely copied.
+aggregated over the corpus by independent owners and repositories: copies of a
+text, exact or near, give one vote in all, to their first owner.  A value with
+votes of ``COPIED_OWNERS`` owners in ``COPIED_REPOS`` repositories or more, and
+of as many as the square root of their number in the corpus, is a widely copied
+example, any other is *live-looking*.  The method adds bare tokens: a token with
+a digit, as long as the least value a base span confirms, whose value some base
+span confirms as a credential that is not widely copied.
+
+Copies are told by ``SKETCHES`` least hashes over runs of three words: texts
+alike in a share of their runs agree in each hash with that probability.  Votes
+are counted by each hash, and the least count stands, so an undecided value is live.
 
 A hot value is counted per task before the shuffle; joins on values are sort
 merge joins whose large side Spark may split.
@@ -28,10 +35,10 @@ PATTERNS = (
     ("access", r"AKIA[A-Z0-9]{12,}", 0),
     ("hex", r"[0-9a-f]{32,}", 0),
 )
+ASSIGN_LENGTH, COPIED_OWNERS, COPIED_REPOS, SKETCHES = 8, 3, 3, 4
 #: Bare tokens the ownership join may add; a digit is required, so prose is passed over.
-BARE = ("bare", r"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*[0-9])[A-Za-z0-9+/_.=-]{16,}", 0)
+BARE = ("bare", rf"(?<![A-Za-z0-9+/_.=-])(?=[A-Za-z+/_.=-]*[0-9])[A-Za-z0-9+/_.=-]{{{ASSIGN_LENGTH},}}", 0)
 KINDS = [k for k, _, _ in (*PATTERNS, BARE)]
-ASSIGN_LENGTH, COPIED_OWNERS, COPIED_REPOS = 8, 3, 3
 _CANDIDATE = "array<struct<kind: int, step: int, size: int, value_size: int, value: string>>"
 
 
@@ -47,15 +54,19 @@ def _matches(text: Column, kind: int, pattern: str, group: int) -> Column:
 
 
 def _candidates(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_cols: list[str]) -> DataFrame:
-    """One row per document: id, owner, repository and its matches; no text."""
+    """One row per document: id, owner, repository, its matches and what tells copies of it; no text."""
     text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
     known = lambda c: F.coalesce(docs[c].cast("string"), F.lit(""))
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), known(owner_col).alias("owner"),
                        F.concat_ws("/", *map(known, repo_cols)).alias("repo"), text.alias("text"),
                        _row_key(docs, id_col, text_col, owner_col, repo_cols).alias("row_key"))
     every = [_matches(F.col("text"), i, pattern, group) for i, (_, pattern, group) in enumerate((*PATTERNS, BARE))]
-    return rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "owner", "repo", "row_key",
-                       F.concat(*every).alias("found"))
+    words = F.split("text", r"\s+")
+    runs = F.arrays_zip(words, F.slice(words, 2, F.size(words)), F.slice(words, 3, F.size(words)))
+    rows = rows.select("*", F.concat(*every).alias("found")).select("*", F.when(F.size("found") > 0, runs).alias("runs"))
+    sketches = F.array(*(F.array_min(F.transform("runs", lambda x, i=i: F.xxhash64(F.lit(i), x))) for i in range(SKETCHES)))
+    return rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "owner", "repo", "row_key", "found",
+                       sketches.alias("sketches"))
 
 
 def _row_key(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repo_cols: list[str]) -> Column:
@@ -68,23 +79,26 @@ def _joined(spans: str) -> Column:
         ":", F.element_at(F.array(*map(F.lit, KINDS)), x["kind"] + 1), x["start"], x["end"])), ",")
 
 
-def _judged_spans(rows: DataFrame) -> DataFrame:
-    """``rid, kind, start, end, base, copied`` of all spans: the base ones, and bare tokens the ownership join adds."""
-    each = rows.where(F.size("found") > 0).select("rid", "owner", "repo", F.posexplode("found").alias("at", "m")).select(
-        "rid", "owner", "repo", "at", "m.*")
+def _judged_spans(rows: DataFrame, copied: bool = False) -> DataFrame:
+    """``rid, kind, start, end, base, copied`` of all spans: the base ones, and bare tokens the ownership join adds (``copied`` ones too)."""
+    each = rows.where(F.size("found") > 0).select("rid", "owner", "repo", "sketches", F.posexplode("found").alias("at", "m")).select(
+        "rid", "owner", "repo", "sketches", "at", "m.*")
     spans = each.selectExpr(
-        "rid", "owner", "repo", "kind", "value", "value_size", f"kind < {len(PATTERNS)} as base",
+        "rid", "owner", "repo", "sketches", "kind", "value", "value_size", f"kind < {len(PATTERNS)} as base",
         "sum(step + size) over (partition by rid, kind order by at rows unbounded preceding) - size as start", "size")
     spans = spans.where(~((F.col("kind") == 0) & (F.col("value_size") < ASSIGN_LENGTH))).withColumn(
         "end", F.col("start") + F.col("size"))
     spans = materialize(spans, "secret-spans")
 
-    held = spans.groupBy("value", "owner", "repo").agg(F.max("base").alias("base"))
-    values = held.groupBy("value", "owner").agg(F.max("base").alias("base")).groupBy("value").agg(
-        F.max("base").alias("confirmed"), F.count(F.lit(1)).alias("owners"))
-    repos = held.groupBy("value", "repo").agg(F.lit(1).alias("one")).groupBy("value").agg(F.count("one").alias("repos"))
-    values = values.where("confirmed").join(repos, "value").select(
-        "value", ((F.col("owners") >= COPIED_OWNERS) & (F.col("repos") >= COPIED_REPOS)).alias("copied"))
+    confirmed = spans.where("base").select("value").distinct()
+    held = spans.join(confirmed, "value", "left_semi").select("value", "owner", "repo", F.posexplode("sketches").alias("by", "sketch"))
+    votes = held.groupBy("value", "by", "sketch").agg(F.min(F.struct("owner", "repo")).alias("first"))
+    limits = rows.agg(F.count_distinct("owner").alias("owners"), F.count_distinct("repo").alias("repos")).first()
+    count = lambda c: votes.groupBy("value", "by", f"first.{c}").agg(F.lit(1).alias("one")).groupBy("value", "by").agg(
+        F.count("one").alias("n")).groupBy("value").agg(F.min("n").alias(f"{c}s"))
+    enough = lambda c, least: F.col(c) >= max(least, limits[c] ** 0.5)
+    values = count("owner").join(count("repo"), "value").select(
+        "value", (enough("owners", COPIED_OWNERS) & enough("repos", COPIED_REPOS)).alias("copied"))
     judged = spans.join(values, "value")
 
     # A bare token inside or across a base span is already covered.  Tokens do not overlap each other, so it is enough
@@ -96,7 +110,7 @@ def _judged_spans(rows: DataFrame) -> DataFrame:
         "min(if(base, start, null)) over (partition by rid order by start, kind rows between current row and "
         "unbounded following) as following")
     clear = (F.coalesce("reached", F.lit(0)) <= F.col("start")) & (F.coalesce("following", F.col("end")) >= F.col("end"))
-    return judged.where(F.col("base") | (~F.col("copied") & clear)).drop("reached", "following")
+    return judged.where(F.col("base") | ((F.lit(copied) | ~F.col("copied")) & clear)).drop("reached", "following")
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
@@ -118,14 +132,15 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def mask_secrets(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", owner_col: str = "source",
-                 repo_cols: tuple[str, ...] = ("source", "lang"), mask: str = "[SECRET]") -> DataFrame:
-    """``docs`` with every live-looking secret replaced by ``mask``; widely copied examples and all columns stay.
+                 repo_cols: tuple[str, ...] = ("source", "lang"), mask: str = "[SECRET]",
+                 copied: bool = False) -> DataFrame:
+    """``docs`` with every live-looking secret replaced by ``mask``; all columns stay, and widely copied examples unless ``copied``.
 
     Only rows in which a pattern matches are joined with their spans;
     overlapping spans (a value seen by two patterns) are masked as one.
     """
     rows = materialize(_candidates(docs, id_col, text_col, owner_col, list(repo_cols)), "secret-candidates")
-    spans = _judged_spans(rows).where("not copied").groupBy("rid").agg(
+    spans = _judged_spans(rows, copied).where(F.lit(copied) | ~F.col("copied")).groupBy("rid").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("mask_spans"))
     spans = rows.select("rid", F.col("row_key").alias("mask_key")).join(spans, "rid").groupBy("mask_key").agg(
         F.first("mask_spans").alias("mask_spans"))
