@@ -8,13 +8,14 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from veracity.llm import queries as Q
 from veracity.llm.bpe import Bpe, encode_texts
 from veracity.llm.components import connected_components
-from veracity.llm.decontaminate import drop_leaks, find_leaks
+from veracity.llm.decontaminate import BUCKETS, COSINE, WINDOW, _search, _words, build_index, drop_leaks, find_leaks
 from veracity.llm.jaccard_join import keep_one_of_each, near_duplicates
 from veracity.llm.licenses import scan_licenses
 from veracity.llm.lm_score import CLASSES, LogBilinear, score_texts
@@ -292,6 +293,30 @@ def test_decontamination(spark):
     assert sorted(str(r.doc_id) for r in drop_leaks(docs, bench).collect()) == sorted(str(i) for i, _ in texts if i not in leaked)
 
 
+def _bench_of(spark, passages):
+    return spark.createDataFrame(list(enumerate(passages)), "item_id long, text string").repartition(4)
+
+
+def test_decontamination_beyond_the_rank(spark):
+    rng = random.Random(17)
+    say = lambda n: [rng.choice(("the", "of", "and")) if rng.random() < 0.3 else f"word{rng.randrange(9000)}" for _ in range(n)]
+    passages = [say(rng.randrange(15, 60)) for _ in range(2500)]
+    index = build_index(_bench_of(spark, [" ".join(p) for p in passages]))
+    exact, held = index.sparse, set(index.held.tolist())
+    assert exact is not None and len(held) < 2500
+    texts = [" ".join([*say(25), *p, *say(25)]) for p in passages[:600]]
+    found = {(d, i) for d, i, *_ in _search(index, _words(pa.array(texts)))}
+    assert all((i, i) in found for i in range(600))
+    term, w = windows = np.random.default_rng(1).integers(0, BUCKETS, (40, WINDOW)), np.ones((40, WINDOW))
+    term[:, :20] = [[exact.cell[k] % BUCKETS for k in np.random.default_rng(j).integers(0, len(exact.cell), 20)] for j in range(40)]
+    dense = np.zeros((len(exact.items), BUCKETS))
+    dense[exact.cell // BUCKETS, exact.cell % BUCKETS] = exact.value
+    norm = np.sqrt(np.einsum("ij,ijk,ik->i", w, term[:, :, None] == term[:, None, :], w))
+    brute = np.array([dense[:, t].sum(axis=1) for t in term]) / norm[:, None]
+    near = {(i, int(j)): c for i, j, c in exact.near(*windows, norm)}
+    assert near.keys() == {(int(i), int(exact.items[j])) for i, j in zip(*np.nonzero(brute >= COSINE))}
+
+
 def test_queries_and_pipeline(spark):
     import __spark_entry__ as E
     import corpus_pipeline as P

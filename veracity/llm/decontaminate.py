@@ -8,7 +8,10 @@
 * **Search.** Every document is cut into half-overlapping windows over its
   whole text.  A window whose weight on benchmark terms bounds its cosine
   below the threshold is passed over; the others are projected and compared
-  with all passages by one matrix product.
+  with all passages the basis holds by one matrix product.  Passages of which
+  it holds less than ``HELD`` (there are more than ``RANK`` of them) are
+  compared by their exact sparse TF-IDF cosine instead: their rarer terms are
+  looked up, and what the common ones could add bounds the rest.
 * **Checks.** Around each candidate, the longest common subsequence with the
   passage must cover most of it, and its answer (the last sentence) must be
   there too; a nearly complete subsequence is enough by itself.
@@ -38,6 +41,7 @@ BUCKETS, RANK, POWER_STEPS, WINDOW = 1 << 16, 256, 2, 32
 COSINE, SUBSEQUENCE, ANSWER, NEARLY_ALL = 0.22, 0.6, 0.5, 0.85
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 64 << 20
 STEP = WINDOW // 2
+HELD, COMMON, CELLS = 0.999, 1 / 64, 1 << 21
 
 _ITEM = "item_id long, text string"
 
@@ -101,12 +105,65 @@ class Index:
         latent = np.zeros((len(items), basis.shape[1]))
         np.add.at(latent, row, value[:, None] * self.basis[used[term]])
         energy = (latent * latent).sum(axis=1, keepdims=True)
-        self.latent = (latent / np.maximum(energy, 0.05)).T.astype(np.float32)
+        held = energy[:, 0] >= HELD
+        self.held = np.flatnonzero(held)
+        self.latent = (latent[held] / energy[held]).T.astype(np.float32)
+        self.sparse = Sparse(np.flatnonzero(~held), row, term, value) if not held.all() else None
         hashes = docs.hashes()
         self.words = [hashes[lo:hi].tolist() for lo, hi in zip(docs.first[:-1], docs.first[1:])]
         self.answers = [_answer(text, len(w)) for text, w in zip(self.texts, self.words)]
 
 
+class Sparse:
+    """Exact cosines of windows to the passages ``items``, whose rows are given: postings of a bounded number of items."""
+
+    def __init__(self, items: np.ndarray, row: np.ndarray, term: np.ndarray, value: np.ndarray):
+        mine = np.isin(row, items)
+        row, term, value = np.searchsorted(items, row[mine]), term[mine], value[mine]
+        self.items, self.cell, self.value = items, row * BUCKETS + term, value  # cells ascend
+        order = np.argsort(term, kind="stable")
+        self.posted, self.weight = row[order], value[order]
+        self.first = np.searchsorted(term[order], np.arange(BUCKETS + 1))
+        self.common = np.diff(self.first) > max(16, COMMON * len(items))
+        self.rest = np.sqrt(np.bincount(row, np.where(self.common[term], value * value, 0), len(items)))
+
+    def near(self, term: np.ndarray, w: np.ndarray, norm: np.ndarray):
+        """(window, item, cosine) of all that reach the threshold; rows of ``term`` and ``w`` are windows."""
+        at, width = [], max(1, CELLS // len(self.items))
+        for lo in range(0, len(term), width):
+            at += [(lo + i, self.items[j], c) for i, j, c in self._near(term[lo:lo + width], w[lo:lo + width], norm[lo:lo + width])]
+        return at
+
+    def _near(self, term, w, norm):
+        n, common = len(self.items), self.common[term]
+        spare = np.sqrt((np.where(common, w, 0) * _alike(term, w)).sum(axis=1))  # length of a window's common part
+        full = spare * self.rest.max() >= COSINE * norm  # common terms alone could reach the threshold
+        spare = np.where(full, 0, spare)
+        win, pos = np.nonzero((w > 0) & (~common | full[:, None]))
+        t, total = term[win, pos], np.zeros(len(term) * n)
+        count = self.first[t + 1] - self.first[t]
+        cut = np.searchsorted(np.cumsum(count), np.arange(0, int(count.sum()) + CELLS, CELLS), side="right")
+        for lo, hi in zip(cut[:-1], cut[1:]):
+            post = np.repeat(self.first[t[lo:hi]], count[lo:hi]) + segments(count[lo:hi])
+            total += np.bincount(np.repeat(win[lo:hi], count[lo:hi]) * n + self.posted[post],
+                                 np.repeat(w[win[lo:hi], pos[lo:hi]], count[lo:hi]) * self.weight[post], len(total))
+        least = COSINE * norm[:, None] - 1e-9
+        i, j = np.nonzero(total.reshape(-1, n) + spare[:, None] * self.rest >= least)
+        out = []
+        for lo in range(0, len(i), 1 << 15):
+            a, b = i[lo:lo + (1 << 15)], j[lo:lo + (1 << 15)]
+            cell = b[:, None] * BUCKETS + term[a]
+            place = np.minimum(np.searchsorted(self.cell, cell), len(self.cell) - 1)
+            cosine = (np.where(self.cell[place] == cell, self.value[place], 0) * w[a]).sum(axis=1) / np.maximum(norm[a], 1e-9)
+            out += [x for x in zip(a.tolist(), b.tolist(), cosine.tolist()) if x[2] >= COSINE]
+        return out
+
+
+def _alike(term: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Sum of the weights of each word's equals in its window."""
+    return np.einsum("ijk,ik->ij", term[:, :, None] == term[:, None, :], w)
+
+
 def _answer(text: str, n: int) -> int:
     """Number of words in the last sentence (at least three, at most all)."""
     sentences = [s for s in text.replace("!", ".").replace("?", ".").split(".") if s.strip()]
@@ -152,8 +209,12 @@ def _search(index: Index, docs: Docs):
         rows = np.where(inside, index.used[term[place]], len(index.basis) - 1)
         latent = np.einsum("ij,ijk->ik", w, index.basis[rows])
         cosine = (latent @ index.latent) / np.maximum(norm, 1e-9)[:, None]
-        for i, item in zip(*np.nonzero(cosine >= COSINE)):
-            found.setdefault((int(doc[at + i]), int(item)), []).append((float(cosine[i, item]), int(a[i]), int(b[i])))
+        i, j = np.nonzero(cosine >= COSINE)
+        near = list(zip(i, index.held[j], cosine[i, j]))
+        if index.sparse is not None:
+            near += index.sparse.near(term[place], w.astype(np.float64), norm)
+        for i, item, c in near:
+            found.setdefault((int(doc[at + i]), int(item)), []).append((float(c), int(a[i]), int(b[i])))
     out = []
     for (d, item), hits in found.items():
         passage, best = index.words[item], None
