@@ -3,8 +3,10 @@
 import collections
 import hashlib
 import math
+import pickle
 import random
 import re
+import types
 import zlib
 
 import numpy as np
@@ -12,6 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from veracity.llm import lm_score
 from veracity.llm import queries as Q
 from veracity.llm.bpe import Bpe, encode_texts
 from veracity.llm.components import connected_components
@@ -297,6 +300,18 @@ def _bench_of(spark, passages):
     return spark.createDataFrame(list(enumerate(passages)), "item_id long, text string").repartition(4)
 
 
+def test_lm_trains_on_every_position(monkeypatch):
+    vocab = lm_score.Vocabulary([], [], 3, 0, 3)
+    shared = types.SimpleNamespace(value=pickle.dumps((vocab, LogBilinear(vocab.noise))))
+    texts, met = ["a b c d e f g", "h", "", "i j k l m n o p q r s"], []
+    monkeypatch.setattr(lm_score, "_steps", lambda model, ctx, tokens, state, rng: met.extend(np.concatenate(tokens)) or 0)
+    batch = pa.RecordBatch.from_pydict({"text": texts, "phase": pa.array([5, 2, 8, 7], pa.int64())})
+    for turn in range(lm_score.ROUNDS):
+        assert not list(lm_score._train_task(shared, turn)([batch]))
+    tokens, _ = lm_score._with_ends(words := lm_score.Docs(pa.array(texts), lower=True), vocab.look_up(words)[2])
+    assert sorted(met) == sorted(tokens)
+
+
 def test_decontamination_beyond_the_rank(spark):
     rng = random.Random(17)
     say = lambda n: [rng.choice(("the", "of", "and")) if rng.random() < 0.3 else f"word{rng.randrange(9000)}" for _ in range(n)]

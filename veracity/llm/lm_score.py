@@ -10,8 +10,8 @@ per class.
 * **Log-bilinear.** The ``CONTEXT`` preceding class vectors, each weighted by
   its position, add up to a predicted vector; a class scores its inner product
   with it plus a bias.
-* **Training.** Every training text contributes one position in ``STRIDE``, so
-  the work grows with the corpus.  Each task takes numpy steps on
+* **Training.** Every position of every training text is trained on: each of the
+  ``ROUNDS`` takes one in ``ROUNDS``, the next round the next.  Each task takes numpy steps on
   noise-contrastive estimation (noise: class frequencies, shared by a batch);
   the tasks' parameters are averaged in two levels, ``ROUNDS`` times.  The
   model has a fixed size whatever the corpus.
@@ -41,7 +41,7 @@ from veracity.llm.words import Docs, HashIndex, arrow_map, byte_slices
 from veracity.session import materialize
 
 TOP, HEAD, SUFFIXES = 65_536, 192, 62
-CONTEXT, DIM, STRIDE, ROUNDS, BATCH, NOISE = 3, 16, 4, 2, 512, 96
+CONTEXT, DIM, ROUNDS, BATCH, NOISE = 3, 16, 2, 512, 96
 RATE, AVERAGERS, FLUSH_WORDS = 0.15, 32, 4_000_000
 END, OTHER = HEAD + SUFFIXES + 1, HEAD + SUFFIXES
 CLASSES = HEAD + SUFFIXES + 2
@@ -213,7 +213,7 @@ _PARAMS_ARROW = pa.schema([("part", pa.int32()), ("weight", pa.int64()), ("param
 _PARAMS = "part int, weight long, params binary"
 
 
-def _train_task(shared):
+def _train_task(shared, turn: int):
     def run(batches):
         vocab, model = pickle.loads(shared.value)
         state, rng, steps, seed = {}, np.random.default_rng(5), 0, 0
@@ -223,7 +223,7 @@ def _train_task(shared):
             tokens, place = _with_ends(docs, vocab.look_up(docs)[2])
             seed ^= int(part.column("phase")[0].as_py())
             phase = np.repeat(np.asarray(part.column("phase")), docs.n_words + 1)
-            at = np.flatnonzero((place + phase) % STRIDE == 0)
+            at = np.flatnonzero((place + phase + turn) % ROUNDS == 0)
             held_ctx.append(_contexts(tokens, place, at))
             held_tok.append(tokens[at])
             held += len(at)
@@ -269,9 +269,9 @@ def fit(train: DataFrame) -> tuple[Vocabulary, LogBilinear, DataFrame]:
     vocab = Vocabulary(top, mass, n_train, sum(r["kinds"] for r in mass) + (n_train > 0),
                        sum(r["c"] for r in mass) + n_train)
     model = LogBilinear(vocab.noise)
-    for _ in range(ROUNDS):
+    for turn in range(ROUNDS):
         shared = spark.sparkContext.broadcast(pickle.dumps((vocab, model)))
-        tuned = train.mapInArrow(_train_task(shared), _PARAMS).repartition(AVERAGERS, "part").mapInArrow(_average, _PARAMS)
+        tuned = train.mapInArrow(_train_task(shared, turn), _PARAMS).repartition(AVERAGERS, "part").mapInArrow(_average, _PARAMS)
         rows = tuned.collect()  # at most AVERAGERS rows of fixed size
         if rows:
             rows.sort(key=lambda r: (r["part"], r["weight"], bytes(r["params"])))
