@@ -516,15 +516,16 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def _llm_module(name: str):
-    """A module of the training-data subpackage, or None where the subpackage is not installed."""
+    """A module of the training-data subpackage, or None where it, or a package it needs, is not installed."""
     import importlib
 
     try:
         return importlib.import_module(name)
-    except ModuleNotFoundError as missing:
-        if (missing.name or "").startswith(("veracity.llm", "corpus_pipeline")):
-            return None
-        raise
+    except ModuleNotFoundError as error:
+        missing = error.name or ""
+        if missing.startswith("veracity") and not missing.startswith("veracity.llm"):
+            raise  # a fault of the library itself
+        return None
 
 
 _LLM, _PIPELINE = _llm_module("veracity.llm.queries"), _llm_module("corpus_pipeline")
@@ -551,4 +552,4 @@ from oracle_sql import oracle_queries  # noqa: E402
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries()
+    return oracle_queries() | (_LLM.ORACLES if _LLM else {})
