@@ -67,7 +67,7 @@ def ranking(rows, items, k):
     return collections.Counter(want)
 
 
-@pytest.mark.parametrize("segment,block", [(1 << 23, 1_000_000), (2000, 40)])
+@pytest.mark.parametrize("segment,block", [(1 << 23, 1_000_000), (2000, 200)])
 def test_lexical_search(spark, docs, rows, segment, block):
     rng = random.Random(1)
     items = [(i, " ".join(rng.choice((r[1] or "none").split() or ["none"]) for r in rng.sample(rows, 12))) for i in range(25)]
