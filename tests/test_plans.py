@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from veracity import Suite, failing_rows
 from veracity.operators.dedup import keep_latest
+from veracity.session import materialize as real
 
 
 def plan(df) -> str:
@@ -49,7 +50,7 @@ def test_uniqueness_is_partial_aggregate(spark):
     text = plan(Suite([c("u", "uniqueness", column="l_orderkey")]).results(li))
     tree = [ln.strip(" +-:") for ln in text.split("\n\n")[0].splitlines()]
     scan = next(i for i, ln in enumerate(tree) if ln.startswith("Scan parquet"))
-    above = [ln for ln in reversed(tree[:scan]) if not ln.startswith("Project")]
+    above = [ln for ln in reversed(tree[:scan]) if not ln.startswith(("Project", "Filter", "ColumnarToRow"))]
     assert above[0].startswith("HashAggregate")  # partial aggregate right above the scan
     assert above[1].startswith("Exchange")
     assert "ReadSchema: struct<l_orderkey:bigint>" in text
@@ -70,18 +71,55 @@ def test_unique_and_referential_on_one_column_share_a_shuffle(spark):
     assert tree.count("Exchange") == 2  # one key co-group, one single-row total
 
 
-def test_referential_count_is_a_cogroup_not_a_join(spark):
+def test_referential_count_needs_no_shuffle_of_present_keys(spark):
+    """An integer reference is a bitmap in the plan: the checked rows meet it in a broadcast join and only orphans go on."""
     orders = spark.read.parquet(f"{SF01}/orders.parquet")
     cust = spark.read.parquet(f"{SF01}/customer.parquet")
     text = plan(Suite([c("ri", "consistency", "referential_integrity", column="o_custkey",
                          reference=cust, reference_column="c_custkey")]).results(orders))
+    tree = text.split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1 and "ReadSchema: struct<o_custkey:bigint>" in text
+    assert tree.count("BroadcastHashJoin LeftOuter") == 1 and "SortMergeJoin" not in tree
+    exchanges = [ln for ln in tree.splitlines() if "Exchange" in ln and "Broadcast" not in ln]
+    assert len(exchanges) == 2  # one of pre-aggregated orphans, one of the single-row total
+
+
+def test_referential_count_on_text_is_a_cogroup_not_a_join(spark):
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    text = plan(Suite([c("ri", "consistency", "referential_integrity", column="o_orderpriority",
+                         reference=orders, reference_column="o_orderstatus")]).results(orders))
     tree = [ln.strip(" +-:") for ln in text.split("\n\n")[0].splitlines()]
     assert not any("Join" in ln for ln in tree)
     union = next(i for i, ln in enumerate(tree) if ln.startswith("Union"))
     assert tree[union - 1].startswith("HashAggregate")  # partial aggregate over both sides' keys
     assert tree[union - 2].startswith("Exchange")
     assert sum(ln.startswith("Exchange") for ln in tree) == 2  # key co-group + the one-row total
-    assert "ReadSchema: struct<o_custkey:bigint>" in text and "ReadSchema: struct<c_custkey:bigint>" in text
+
+
+def test_all_keyed_columns_share_one_read_and_one_shuffle(spark):
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    res = Suite([c("a", "uniqueness", column="o_orderkey"), c("b", "uniqueness", column="o_custkey"),
+                 c("d", "uniqueness", column="o_orderdate"), c("e", "uniqueness", column="o_orderpriority")]).results(orders)
+    tree = plan(res).split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1 and tree.count("Exchange") == 2
+
+
+def test_long_text_stays_out_of_the_exchange(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    text = plan(Suite([c("u", "uniqueness", column="text")]).results(docs))
+    assert "sha2" in text and not re.search(r"Exchange\nInput \[\d+\]: \[[^\]]*\btext#", text)
+
+
+def test_standard_suite_deduplicates_once(spark, txn, monkeypatch):
+    """The flagship: one dedup shuffle and two raw scans in the write, then two scans of the written table."""
+    import __spark_entry__ as E
+    from veracity.plans import flow
+
+    written = []
+    monkeypatch.setattr(flow, "materialize", lambda df, *a: written.append(plan(df).split("\n\n")[0]) or real(df, *a))
+    results = plan(flow.check_transactions(txn, E._full_suite(SF01))).split("\n\n")[0]
+    assert len(written) == 1 and written[0].count("Scan parquet") == 2 and written[0].count("Exchange") == 1
+    assert results.count("Scan parquet") == 3 and "Window" not in results  # fused, keyed, and the reference's keys
 
 
 def test_keep_latest_trims_before_shuffle(spark):

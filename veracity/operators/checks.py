@@ -60,6 +60,7 @@ class SchemaCheck:
 class GroupCheck:
     key: Column
     column: str
+    dtype: T.DataType | None = None
 
 
 @dataclass(frozen=True)
@@ -70,6 +71,7 @@ class ReferenceCheck:
     reference_key: Column
     reference_label: str
     nulls_violate: bool = True
+    dtype: T.DataType | None = None
 
 
 Shape = RowCheck | StatCheck | SchemaCheck | GroupCheck | ReferenceCheck
@@ -278,7 +280,7 @@ def _referential(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
         raise CheckError(f"reference column '{ref_col}' does not exist in {label}") from exc
     nulls = spec.param("nulls_are_violations", True)
     rc = as_checked_type(rc, ref_type, dtype, ctx.spark)
-    return ReferenceCheck(c, name, ref, rc, f"{label}.{ref_col}", bool(nulls))
+    return ReferenceCheck(c, name, ref, rc, f"{label}.{ref_col}", bool(nulls), dtype)
 
 
 # --- format ---------------------------------------------------------------
@@ -349,5 +351,5 @@ def _mean_deviation(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shap
 @register("uniqueness", None, ANY_SUB_TYPE, params="column")
 def _uniqueness(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     name = _column(spec)
-    c, _ = _resolve(df, name)
-    return GroupCheck(c, name)
+    c, dtype = _resolve(df, name)
+    return GroupCheck(c, name, dtype)

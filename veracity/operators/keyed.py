@@ -1,98 +1,216 @@
-"""Keyed checks: one co-grouped count per checked column.
+"""Keyed checks: one count of ``(column, key)`` for every keyed check of a suite.
 
 Uniqueness and referential integrity both need, per key value of a column,
-how many checked rows carry it; referential integrity additionally needs how
-many reference rows carry it.  So all uniqueness and referential checks on
-the same column share a single partial-first aggregate over the union of
-
-* the checked column (side 0), and
-* each reference table's key column (side j, in the checked type: ``columns.as_checked_type``),
-
-grouped by key with one count per side.  A second, global aggregate turns
-those per-key counts into every check's violations and totals, and the rows
-are unpivoted like the fused pass.  One shuffle of pre-aggregated keys per
-distinct checked column, no join, and a hot key on any side collapses to one
-row per map task.
+how many checked rows carry it; referential integrity also needs whether the
+reference carries it.  Each checked row becomes one small row per keyed
+column, ``(column number, key)``, the references add theirs, and a single
+partial-first aggregate counts them all: one read of the input and one shuffle
+of pre-aggregated keys, however many columns are keyed.  A hot key on any side
+collapses to one row per map task.  A second, global aggregate turns the
+counts into every check's violations, and the rows are unpivoted like the
+fused pass.
+
+* **Keys of a bounded size.**  Integers, dates and timestamps travel as
+  ``bigint``; other values as text, and text longer than ``INLINE_BYTES`` as its
+  length and 256-bit digest, so no long text enters the exchange.
+* **References of integer keys.**  A column that only referential checks use is
+  decided where it is read, by an exact bitmap of the reference's keys
+  (``bitmap.py``): only absent keys enter the aggregate.
+* Values that have no such form (arrays, structs, collated text) are counted by
+  value, one co-grouped aggregate per column (``side_counts``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from veracity.functions import render as R
+from veracity.operators.bitmap import is_integer, key_bitmap, with_presence
 from veracity.operators.checks import ReferenceCheck, GroupCheck
 from veracity.spec import CheckSpec
 
 KEY, SIDE = "__key", "__side"
+COLUMN, NUMBER, TEXT, PRESENT = "__column", "__number", "__text", "__present"
+INLINE_BYTES = 32
+_ROWS = -1  # the column number under which the rows themselves are counted
 
 KeyedItem = tuple[int, CheckSpec, GroupCheck | ReferenceCheck]
 
 
-def side_counts(df: DataFrame, key: Column, references: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
-    """``(__key, __n0, __n1, ...)``: rows per key value in ``df`` and in each reference (keys of one type)."""
-    parts = [df.select(key.alias(KEY), F.lit(0).alias(SIDE))]
-    for j, (ref, ref_key) in enumerate(references, start=1):
-        parts.append(
-            ref.select(ref_key.alias(KEY), F.lit(j).alias(SIDE)).where(F.col(KEY).isNotNull())
-        )
-    union = parts[0]
-    for p in parts[1:]:
-        union = union.unionByName(p)
-    return union.groupBy(KEY).agg(
-        *[F.count_if(F.col(SIDE) == j).alias(f"__n{j}") for j in range(len(references) + 1)]
-    )
-
-
-def keyed_results(df: DataFrame, column: str, items: Sequence[KeyedItem]) -> DataFrame:
-    """Result rows for every uniqueness / referential check on ``column``."""
-    key = items[0][2].key
-    refs: list[tuple[DataFrame, Column]] = []
-    side_of: dict[int, int] = {}
-    sides: dict[object, int] = {}  # the same reference key column is read once
+_NO_NUMBER, _NO_TEXT = "CAST(NULL AS BIGINT)", "CAST(NULL AS STRING)"
+
+
+def key_parts(k: str, dtype: T.DataType | None) -> tuple[str, str] | None:
+    """SQL for ``(bigint, string)``, equal exactly where values of ``k`` are one group; both NULL for NULL; None: no such form."""
+    if is_integer(dtype):
+        return f"CAST({k} AS BIGINT)", _NO_TEXT
+    if isinstance(dtype, T.DateType):
+        return f"CAST(unix_date({k}) AS BIGINT)", _NO_TEXT
+    if isinstance(dtype, T.TimestampType):
+        return f"unix_micros({k})", _NO_TEXT
+    if isinstance(dtype, (T.FloatType, T.DoubleType)):
+        return _NO_NUMBER, f"CAST({k} + CAST(0 AS {dtype.simpleString()}) AS STRING)"  # -0.0 and 0.0 are one value
+    if isinstance(dtype, (T.DecimalType, T.BooleanType, T.TimestampNTZType)):
+        return _NO_NUMBER, f"CAST({k} AS STRING)"
+    if dtype == T.StringType() or isinstance(dtype, (T.BinaryType, T.CharType, T.VarcharType)):
+        short = f"hex({k})" if isinstance(dtype, T.BinaryType) else k
+        return _NO_NUMBER, (f"CASE WHEN octet_length({k}) <= {INLINE_BYTES} THEN concat('=', {short}) WHEN {k} IS NOT NULL "
+                            f"THEN concat('#', CAST(octet_length({k}) AS STRING), ':', sha2(CAST({k} AS BINARY), 256)) END")
+    return None
+
+
+@dataclass
+class _Keyed:
+    """One keyed column: its number, key and the references it is compared with."""
+
+    number: int
+    key: Column
+    dtype: T.DataType | None
+    references: list[tuple[DataFrame, Column]] = field(default_factory=list)
+    side_of: dict[int, int] = field(default_factory=dict)  # ordinal of a check -> side of its reference
+    bitmaps: list[DataFrame] = field(default_factory=list)
+
+
+def _sides(items: Sequence[KeyedItem], column: _Keyed) -> None:
+    seen: dict[object, int] = {}  # the same reference key column is read once
     for ordinal, _, shape in items:
         if isinstance(shape, ReferenceCheck):
             table = id(shape.reference) if shape.reference_label.startswith("<") else shape.reference_label
             ident = (table, str(shape.reference_key))  # two columns of one table are two sides
-            if ident not in sides:
-                refs.append((shape.reference, shape.reference_key))
-                sides[ident] = len(refs)
-            side_of[ordinal] = sides[ident]
-    counts = side_counts(df, key, refs)
-
-    k, n = F.col(KEY), F.col("__n0")
-    aggs = [F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("__total")]
-    structs = []
+            if ident not in seen:
+                column.references.append((shape.reference, shape.reference_key))
+                seen[ident] = len(column.references)
+            column.side_of[ordinal] = seen[ident]
+
+
+def _bitmaps(column: _Keyed, items: Sequence[KeyedItem]) -> list[DataFrame]:
+    """A bitmap per reference when they can decide the column alone, else none."""
+    if not is_integer(column.dtype) or any(isinstance(shape, GroupCheck) for _, _, shape in items):
+        return []
+    bitmaps = []
+    for reference, key in column.references:
+        bitmap = key_bitmap(reference, key)
+        if bitmap is None:
+            return []
+        bitmaps.append(bitmap)
+    return bitmaps
+
+
+def _entry(number: int, parts: tuple[str, str], side: int, present: Sequence[str]) -> str:
+    fields = [(COLUMN, str(number)), (NUMBER, parts[0]), (TEXT, parts[1]), (SIDE, str(side)),
+              *[(f"{PRESENT}{j}", p) for j, p in enumerate(present, start=1)]]
+    return "named_struct(" + ", ".join(f"'{name}', {value}" for name, value in fields) + ")"
+
+
+def _spread(df: DataFrame, entries: Sequence[str]) -> DataFrame:
+    """One row per entry that is not NULL."""
+    if len(entries) == 1:
+        return df.selectExpr(f"{entries[0]} AS __e").where("__e IS NOT NULL").select("__e.*")
+    return df.selectExpr(f"inline(array_compact(array({', '.join(entries)})))")
+
+
+def _entries(df: DataFrame, columns: Sequence[_Keyed], sides: int) -> DataFrame:
+    """The small rows of the checked table and of every reference."""
+    unknown = "CAST(NULL AS BOOLEAN)"
+    marked, entries = df.select(*[c.key.alias(f"{KEY}{c.number}") for c in columns]), []
+    for c in columns:
+        k = f"{KEY}{c.number}"
+        for j, bitmap in enumerate(c.bitmaps, start=1):
+            marked = with_presence(marked, k, bitmap, f"{k}_{j}")
+        held = [f"{k}_{j}" if j <= len(c.bitmaps) else unknown for j in range(1, sides + 1)]
+        entry = _entry(c.number, key_parts(k, c.dtype), 0, held)
+        if c.bitmaps:  # a key every reference holds violates nothing
+            entry = f"CASE WHEN NOT coalesce({' AND '.join(held[:len(c.bitmaps)])}, false) THEN {entry} END"
+        entries.append(entry)
+    if all(c.bitmaps for c in columns):
+        entries.append(_entry(_ROWS, (_NO_NUMBER, _NO_TEXT), 0, [unknown] * sides))
+    out = _spread(marked, entries)
+    for c in columns:
+        for j, (reference, key) in enumerate([] if c.bitmaps else c.references, start=1):
+            entry = _entry(c.number, key_parts(KEY, c.dtype), j, [unknown] * sides)
+            out = out.unionByName(_spread(reference.select(key.alias(KEY)).where(f"{KEY} IS NOT NULL"), [entry]))
+    return out
+
+
+def _group_result(spec: CheckSpec, ordinal: int, column: str) -> str:
+    return R.ratio_result(spec, ordinal, f"__v{ordinal}", "__total", f"hold values that occur more than once in '{column}'",
+                          {"duplicate_values": f"__d{ordinal}"})
+
+
+def _reference_result(spec: CheckSpec, ordinal: int, column: str, shape: ReferenceCheck) -> str:
+    nulls = "" if shape.nulls_violate else " (NULL keys ignored)"
+    return R.ratio_result(spec, ordinal, f"__v{ordinal}", "__total",
+                          f"have a '{column}' not found in {shape.reference_label}{nulls}", {"missing_keys": f"__m{ordinal}"})
+
+
+def _sum(condition: str, rows: str) -> str:
+    return f"coalesce(sum(CASE WHEN {condition} THEN {rows} END), 0L)"
+
+
+def keyed_results(df: DataFrame, items_of: dict[str, list[KeyedItem]]) -> DataFrame:
+    """Result rows for every uniqueness / referential check, by column, in one pass over ``df``.
+
+    Every column must have a ``key_parts`` form.
+    """
+    columns: dict[str, _Keyed] = {}
+    for number, (name, items) in enumerate(items_of.items()):
+        shape = items[0][2]
+        column = columns[name] = _Keyed(number, shape.key, shape.dtype)
+        _sides(items, column)
+        column.bitmaps = _bitmaps(column, items)
+    sides = max(len(c.references) for c in columns.values())
+    counts = _entries(df, list(columns.values()), sides).groupBy(COLUMN, NUMBER, TEXT).agg(
+        *[F.expr(f"count_if({SIDE} = {j}) AS __n{j}") for j in range(sides + 1)],
+        *[F.expr(f"max({PRESENT}{j}) AS {PRESENT}{j}") for j in range(1, sides + 1)])  # equal for all rows of a key
+
+    real = f"({NUMBER} IS NOT NULL OR {TEXT} IS NOT NULL)"
+    counter = next((c.number for c in columns.values() if not c.bitmaps), _ROWS)
+    aggs, structs = [f"{_sum(f'{COLUMN} = {counter}', '__n0')} AS __total"], []
+    for name, items in items_of.items():
+        column = columns[name]
+        mine = f"{COLUMN} = {column.number}"
+        for ordinal, spec, shape in items:
+            if isinstance(shape, GroupCheck):
+                dup = f"{mine} AND {real} AND __n0 > 1"
+                aggs += [f"{_sum(dup, '__n0')} AS __v{ordinal}", f"count_if({dup}) AS __d{ordinal}"]
+                structs.append(_group_result(spec, ordinal, name))
+            else:
+                j = column.side_of[ordinal]
+                held = f"{PRESENT}{j}" if column.bitmaps else f"__n{j} > 0"
+                absent = f"{mine} AND {real} AND __n0 > 0 AND NOT ({held})"
+                counted = f"({absent}) OR ({mine} AND NOT {real})" if shape.nulls_violate else absent
+                aggs += [f"{_sum(counted, '__n0')} AS __v{ordinal}", f"count_if({absent}) AS __m{ordinal}"]
+                structs.append(_reference_result(spec, ordinal, name, shape))
+    return counts.agg(*map(F.expr, aggs)).selectExpr(f"inline(array({', '.join(structs)}))")
+
+
+def side_counts(df: DataFrame, key: Column, references: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
+    """``(__key, __n0, __n1, ...)``: rows per key value in ``df`` and in each reference (keys of one type)."""
+    union = df.select(key.alias(KEY), F.lit(0).alias(SIDE))
+    for j, (ref, ref_key) in enumerate(references, start=1):
+        union = union.unionByName(ref.select(ref_key.alias(KEY), F.lit(j).alias(SIDE)).where(F.col(KEY).isNotNull()))
+    return union.groupBy(KEY).agg(*[F.count_if(F.col(SIDE) == j).alias(f"__n{j}") for j in range(len(references) + 1)])
+
+
+def keyed_results_by_value(df: DataFrame, name: str, items: Sequence[KeyedItem]) -> DataFrame:
+    """Result rows for the checks on one column whose values are grouped as they are."""
+    column = _Keyed(0, items[0][2].key, None)
+    _sides(items, column)
+    counts = side_counts(df, column.key, column.references)
+    aggs, structs = ["coalesce(sum(__n0), 0L) AS __total"], []
     for ordinal, spec, shape in items:
         if isinstance(shape, GroupCheck):
-            dup = k.isNotNull() & (n > 1)
-            aggs += [
-                F.coalesce(F.sum(F.when(dup, n)), F.lit(0)).cast("bigint").alias(f"__v{ordinal}"),
-                F.count_if(dup).alias(f"__d{ordinal}"),
-            ]
-            structs.append(
-                R.ratio_result(
-                    spec, ordinal, f"__v{ordinal}", "__total",
-                    f"hold values that occur more than once in '{column}'",
-                    {"duplicate_values": f"__d{ordinal}"},
-                )
-            )
+            dup = f"{KEY} IS NOT NULL AND __n0 > 1"
+            aggs += [f"{_sum(dup, '__n0')} AS __v{ordinal}", f"count_if({dup}) AS __d{ordinal}"]
+            structs.append(_group_result(spec, ordinal, name))
         else:
-            absent = k.isNotNull() & (n > 0) & (F.col(f"__n{side_of[ordinal]}") == 0)
-            counted = absent | (k.isNull() & F.lit(bool(shape.nulls_violate)))
-            aggs += [
-                F.coalesce(F.sum(F.when(counted, n)), F.lit(0)).cast("bigint").alias(f"__v{ordinal}"),
-                F.count_if(absent).alias(f"__m{ordinal}"),
-            ]
-            nulls = "" if shape.nulls_violate else " (NULL keys ignored)"
-            structs.append(
-                R.ratio_result(
-                    spec, ordinal, f"__v{ordinal}", "__total",
-                    f"have a '{column}' not found in {shape.reference_label}{nulls}",
-                    {"missing_keys": f"__m{ordinal}"},
-                )
-            )
-    row = counts.agg(*aggs)
-    return row.selectExpr(f"explode(array({', '.join(structs)})) AS __r").select("__r.*")
+            absent = f"{KEY} IS NOT NULL AND __n0 > 0 AND __n{column.side_of[ordinal]} = 0"
+            counted = f"({absent}) OR {KEY} IS NULL" if shape.nulls_violate else absent
+            aggs += [f"{_sum(counted, '__n0')} AS __v{ordinal}", f"count_if({absent}) AS __m{ordinal}"]
+            structs.append(_reference_result(spec, ordinal, name, shape))
+    return counts.agg(*map(F.expr, aggs)).selectExpr(f"inline(array({', '.join(structs)}))")

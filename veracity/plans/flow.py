@@ -1,9 +1,8 @@
 """End-to-end flow: read → clean → keep-latest dedup → suite → results.
 
 ``standard_suite`` is the reference's 18-check suite (same names, kinds and
-thresholds); ``check_transactions`` runs cleaning, dedup and the suite as one
-lazy plan, or eagerly with the cleaned table materialized once in the shared
-folder.
+thresholds); ``check_transactions`` cleans and deduplicates once, into a table
+in the shared folder, and runs the suite on that.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from pyspark.sql import DataFrame
 from veracity.operators.clean import ALLOWED_COUNTRIES, ALLOWED_STATUSES, EMAIL_PATTERN, UNKNOWN, clean_transactions
 from veracity.operators.dedup import dedup_transactions
 from veracity.plans.suite import Suite
+from veracity.session import materialize
 
 
 def standard_suite(
@@ -79,16 +79,22 @@ def check_transactions(
     *,
     tiebreak: str | Sequence[str] = "row_key",
     eager: bool = False,
+    share: bool = True,
     materialize_path: str | None = None,
 ) -> DataFrame:
     """Clean, dedup and check ``raw``.
 
-    Lazy by default.  ``eager=True`` writes the cleaned, deduplicated table
-    once (to ``materialize_path`` or the shared folder) and runs the suite on
-    it, isolating runtime failures per check.
+    The cleaned, deduplicated table is written once (to ``materialize_path`` or
+    the shared folder) when this is called, so the dedup shuffle runs once for
+    all branches of the suite; the results over it are lazy.  ``eager=True``
+    runs the suite too, isolating runtime failures per check, and deletes a
+    table written to the shared folder.  ``share=False`` writes nothing: one
+    lazy plan, in which every branch cleans and deduplicates for itself.
     """
     cleaned = clean_and_dedup(raw, tiebreak)
     suite = Suite(checks)
     if eager:
         return suite.run(cleaned, materialize_input=True, materialize_path=materialize_path)
+    if share:
+        cleaned = materialize(cleaned, "cleaned", materialize_path)
     return suite.results(cleaned)

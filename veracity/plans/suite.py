@@ -1,15 +1,17 @@
 """Suite planning: compile checks, fuse them, and return results as a DataFrame.
 
-``Suite.results(df)`` is lazy: it returns the results DataFrame (one row per
-check, in suite order) whose plan is
+``Suite.results(df)`` returns the results DataFrame (one row per check, in
+suite order) whose plan is
 
 * one fused global aggregate for all row checks, statistics, schema checks
   and build-time errors,
-* one co-grouped key count per distinct column under uniqueness or
-  referential checks (the column's values unioned with each reference's
-  keys, counted per key and side),
+* one count of ``(column, key)`` for all uniqueness and referential checks,
+  whatever their columns,
 
-unioned together.  Nothing runs until an action.  ``Suite.run(df)`` is the
+unioned together: two reads of ``df``, each of its own columns.  ``df`` itself
+is not run until an action.  Building the plan may run small jobs of its own:
+patterns and date literals are tried on one row, and the keys of integer
+references are read into a bitmap.  ``Suite.run(df)`` is the
 eager form: it optionally materializes the input once in the shared folder,
 executes the plan and, if a runtime error (e.g. an ANSI failure inside a
 user's SQL condition) breaks the fused job, re-runs the checks one by one so
@@ -37,7 +39,7 @@ from veracity.operators.checks import (
     compile_check,
 )
 from veracity.operators.fused import fused_results
-from veracity.operators.keyed import keyed_results
+from veracity.operators.keyed import key_parts, keyed_results, keyed_results_by_value
 from veracity.session import materialize, scratch_tables
 from veracity.spec import CheckSpec, build_specs
 
@@ -97,27 +99,12 @@ class Suite:
     def results(self, df: DataFrame) -> DataFrame:
         """The results DataFrame (lazy), ordered by suite position."""
         compiled = self.compile(df)
-        # Uniqueness and referential checks on the same column share one
-        # co-grouped key count (one shuffle per distinct checked column).
+        # All uniqueness and referential checks share one count of (column, key).
         keyed: dict[str, list] = {}
         for ordinal, spec, shape in compiled:
             if isinstance(shape, (GroupCheck, ReferenceCheck)):
                 keyed.setdefault(shape.column, []).append((ordinal, spec, shape))
-        keyed_branches: list[DataFrame] = []
-        failed: list[tuple[int, CheckSpec, object]] = []
-        for column, items in keyed.items():
-            # Building the branch analyzes it (no job): a column that cannot be
-            # grouped, or a reference key that cannot be cast, is an ERROR row.
-            try:
-                keyed_branches.append(keyed_results(df, column, items))
-                continue
-            except Exception:
-                pass
-            for item in items:
-                try:
-                    keyed_branches.append(keyed_results(df, column, [item]))
-                except Exception as exc:
-                    failed.append((item[0], item[1], CheckError(_describe_error(exc))))
+        keyed_branches, failed = self._keyed_branches(df, keyed)
         fused_items = [c for c in compiled if not isinstance(c[2], (GroupCheck, ReferenceCheck))] + failed
         branches: list[DataFrame] = []
         if fused_items:
@@ -131,6 +118,38 @@ class Suite:
         # re-executes every branch.
         return union.coalesce(1).sortWithinPartitions(R.ORDINAL).select(*R.RESULT_COLUMNS, R.ORDINAL)
 
+    @staticmethod
+    def _keyed_branches(df: DataFrame, keyed: dict[str, list]) -> tuple[list[DataFrame], list]:
+        """One branch for all columns with a compact key form, one for each other; checks that cannot be analyzed apart.
+
+        Building a branch analyzes it: a column that cannot be grouped, or a
+        reference key that cannot be cast, is an ERROR row.
+        """
+        branches: list[DataFrame] = []
+        failed: list[tuple[int, CheckSpec, object]] = []
+        compact_form = {c: items for c, items in keyed.items() if key_parts("k", items[0][2].dtype)}
+
+        def attempt(build, items_of: dict[str, list]) -> None:
+            try:
+                branches.append(build(items_of))
+                return
+            except Exception as exc:
+                if len(items_of) == 1 and len(next(iter(items_of.values()))) == 1:
+                    ordinal, spec, _ = next(iter(items_of.values()))[0]
+                    failed.append((ordinal, spec, CheckError(_describe_error(exc))))
+                    return
+            for column, items in items_of.items():  # locate the one at fault
+                parts = [{column: items}] if len(items_of) > 1 else [{column: [item]} for item in items]
+                for part in parts:
+                    attempt(build, part)
+
+        if compact_form:
+            attempt(lambda items_of: keyed_results(df, items_of), compact_form)
+        for column, items in keyed.items():
+            if column not in compact_form:
+                attempt(lambda items_of: keyed_results_by_value(df, *next(iter(items_of.items()))), {column: items})
+        return branches, failed
+
     # -- eager run -------------------------------------------------------
 
     def run(
