@@ -99,3 +99,18 @@ def test_checks_without_a_type_are_counted_by_value(spark):
     df = spark.createDataFrame([(1,), (1,), (2,)], "k long")
     checks = [{"check_name": "x", "check_type": "test_keyed_untyped", "params": {"column": "k"}}, unique("k")]
     assert {v[0] for v in facts(df, checks).values()} == {2}
+
+
+def test_orphan_rows_agree_with_the_join(spark, monkeypatch):
+    from veracity import failing_rows
+    from veracity.operators import referential
+
+    df = spark.createDataFrame([(k, i, "x") for i, k in enumerate([1, 2, 2, None, -1, MIN, MAX, 70, 70])], "a long, __present int, __KEY_word string")
+    ref = spark.createDataFrame([(1,), (MAX,), (None,), (71,)], "k long")
+    for nulls in (True, False):
+        check = refers("a", ref, nulls_are_violations=nulls)
+        got = sorted(map(str, failing_rows(df, check).collect()))
+        with monkeypatch.context() as m:
+            m.setattr(referential, "key_bitmap", lambda *a: None)
+            assert got == sorted(map(str, failing_rows(df, check).collect()))
+        assert len(got) == 6 + nulls

@@ -146,13 +146,23 @@ def test_cleaning_is_one_projection(spark, txn):
     assert "Exchange" not in text and "Window" not in text
 
 
-def test_orphan_rows_are_a_left_anti_join_with_null_bypass(spark):
+def test_orphan_rows_of_an_integer_key_are_not_shuffled(spark):
     orders = spark.read.parquet(f"{SF01}/orders.parquet")
     cust = spark.read.parquet(f"{SF01}/customer.parquet")
     rows = failing_rows(orders, c("ri", "consistency", "referential_integrity", column="o_custkey",
                                   reference=cust, reference_column="c_custkey"))
+    tree = plan(rows).split("\n\n")[0]
+    assert rows.columns == orders.columns
+    assert tree.count("Scan parquet") == 1 and "BroadcastHashJoin" in tree
+    assert not any("Exchange" in ln and "Broadcast" not in ln for ln in tree.splitlines())
+
+
+def test_orphan_rows_are_a_left_anti_join_with_null_bypass(spark):
+    orders = spark.read.parquet(f"{SF01}/orders.parquet")
+    rows = failing_rows(orders, c("ri", "consistency", "referential_integrity", column="o_orderpriority",
+                                  reference=orders, reference_column="o_orderstatus"))
     text = plan(rows)
     tree = text.split("\n\n")[0]
     assert "LeftAnti" in tree
     assert "Union" in tree  # NULL-key rows come from a filter, outside the join
-    assert "IsNull(o_custkey)" in text and "IsNotNull(o_custkey)" in text  # both pushed to the scans
+    assert "IsNull(o_orderpriority)" in text and "IsNotNull(o_orderpriority)" in text  # both pushed to the scans

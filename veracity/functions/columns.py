@@ -26,6 +26,16 @@ def col_ref(df: DataFrame, name: str) -> Column:
     return F.col(name)
 
 
+def fresh_names(df: DataFrame, *names: str) -> list[str]:
+    """``names`` as they are where ``df`` has no such column, else with underscores added."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while any(c.startswith(name.lower()) for c in taken):  # helpers may extend a name
+            name += "_"
+        out.append(name)
+    return out
+
+
 class MissingColumn(LookupError):
     """The column does not exist in the DataFrame."""
 

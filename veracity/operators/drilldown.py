@@ -2,8 +2,9 @@
 
 ``failing_rows(df, spec)`` returns the violating rows of any row-level check
 (the same predicate the fused count used), the rows in duplicate groups for
-a uniqueness check, and the orphan rows for a referential check.  All are
-lazy DataFrames; nothing is printed or collected.
+a uniqueness check, and the orphan rows for a referential check.  The rows
+are lazy DataFrames and nothing is printed; for keyed checks the call itself
+reads keys (group sizes are written once, a reference's keys become a bitmap).
 """
 
 from __future__ import annotations
@@ -76,7 +77,7 @@ def failing_rows(
         return rows_in_duplicate_groups(df, shape.key, hot_rows=hot_rows)
     if isinstance(shape, ReferenceCheck):
         return orphan_rows(
-            df, shape.key, shape.reference, shape.reference_key, shape.nulls_violate, hot_rows=hot_rows
+            df, shape.key, shape.reference, shape.reference_key, shape.nulls_violate, hot_rows=hot_rows, dtype=shape.dtype
         )
     raise CheckError(f"check '{spec.name}' ({spec.kind}) has no row-level violations")
 
