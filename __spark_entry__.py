@@ -364,14 +364,25 @@ def q_results_log_latest(spark, sf):
         "metric", F.round("metric", 6))
 
 
+def _wall_clock(df: DataFrame, *columns: str) -> DataFrame:
+    """Instants as the text of the session's clock, the same in every engine."""
+    return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in columns})
+
+
 def q_gen_transactions(spark, sf):
     keys = _t(spark, sf, "orders").select("o_orderkey")
-    return synth.inject_transaction_errors(synth.generate_transactions(keys, "o_orderkey"))
+    return _wall_clock(synth.generate_transactions(keys, "o_orderkey"), "start_date", "end_date")
+
+
+def q_gen_errors(spark, sf):
+    """All six error kinds on generated rows with sparse keys."""
+    keys = _t(spark, sf, "orders").select((F.col("o_orderkey") * SPARSE).alias("k"))
+    return _wall_clock(synth.inject_transaction_errors(synth.generate_transactions(keys, "k")), "start_date", "end_date")
 
 
 def q_gen_reference(spark, sf):
     keys = _t(spark, sf, "orders").select("o_orderkey")
-    return synth.generate_reference(synth.generate_transactions(keys, "o_orderkey"))
+    return _wall_clock(synth.generate_reference(synth.generate_transactions(keys, "o_orderkey")), "signup_date")
 
 
 def _base(spark, sf):
@@ -411,6 +422,16 @@ def q_inject_duplicate(spark, sf):
         "row_key", "transaction_id")
 
 
+SPARSE, DUPLICATE_RATE, DUPLICATE_SEED = 7, 0.05, 3
+
+
+def q_inject_duplicates(spark, sf):
+    """Ids of other rows on keys 7, 14, 21, …: no key has a predecessor."""
+    sparse = _base(spark, sf).withColumn("row_key", F.col("row_key") * SPARSE)
+    return synth.inject_duplicates(sparse, "transaction_id", "row_key", DUPLICATE_RATE, DUPLICATE_SEED).select(
+        "row_key", "transaction_id")
+
+
 def q_inject_swap(spark, sf):
     return synth.inject_swap(_base(spark, sf), "start_date", "end_date", _sel(10, 4)).select(
         "row_key", "start_date", "end_date")
@@ -508,11 +529,13 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "results_log_failures": q_results_log_failures,
     "results_log_latest": q_results_log_latest,
     "gen_transactions": q_gen_transactions,
+    "gen_errors": q_gen_errors,
     "gen_reference": q_gen_reference,
     "inject_missing": q_inject_missing,
     "inject_negate": q_inject_negate,
     "inject_format": q_inject_format,
     "inject_duplicate": q_inject_duplicate,
+    "inject_duplicates": q_inject_duplicates,
     "inject_swap": q_inject_swap,
     "repair_audit": q_repair_audit,
     "gate_split": q_gate_split,

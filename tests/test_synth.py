@@ -76,6 +76,38 @@ def test_reference_pipeline_on_generated_data(spark):
     assert all(s == "PASS" for s in status.values()), status
 
 
+def test_duplicates_on_sparse_keys(spark):
+    """Every key is even, so no row has a predecessor; the former injector found no source for any of them."""
+    t = synth.generate_transactions(spark.range(0, 2 * N, 2), "id")
+    out = synth.inject_duplicates(t, "transaction_id", "user_id", 0.03)
+    assert out.columns == t.columns and out.count() == N
+    changed = out.alias("o").join(t.alias("t"), "user_id").where("o.transaction_id <> t.transaction_id").select(
+        "user_id", F.col("o.transaction_id").alias("now"))
+    assert abs(changed.count() / N - 0.03) < 0.002
+    sources = changed.join(t.withColumnRenamed("user_id", "source"), F.col("now") == F.col("transaction_id"))
+    assert sources.count() == changed.count() == sources.select("source").distinct().count()
+    assert sources.join(changed.select(F.col("user_id").alias("source")), "source").count() == 0  # disjoint from the targets
+
+
+def test_duplicates_at_the_edges(spark):
+    rows = [(None, "n", 1000), (None, None, 1001)] + [(f"k{i % 50}", f"v{i}" if i % 3 else None, i) for i in range(200)]
+    df = spark.createDataFrame(rows, "`my key` string, v string, `__rank` int")
+    out = synth.inject_duplicates(df, "v", "my key", 0.3, seed=1)
+    assert out.columns == df.columns and out.count() == len(rows)
+    after = {r["__rank"]: r["v"] for r in out.collect()}
+    assert sorted(after) == sorted(r[2] for r in rows) and after[1000] == "n" and after[1001] is None
+    assert {v for v in after.values() if v} <= {r[1] for r in rows}
+    assert any(after[r[2]] != r[1] for r in rows)
+    assert synth.inject_duplicates(df.limit(0), "v", "my key", 0.3).count() == 0
+    assert synth.inject_duplicates(df.withColumn("v", F.lit(None).cast("string")), "v", "my key", 0.3).where("v IS NOT NULL").count() == 0
+
+
+def test_digits_of_extreme_keys(spark):
+    keys = spark.createDataFrame([(-(2**63),), (2**63 - 1,), (0,), (-1,), (None,)], "k long")
+    got = [r[0] for r in keys.select(synth.uniform_int(F.col("k"), 5, 1000)).collect()]
+    assert got[-1] is None and all(0 <= g < 1000 for g in got[:-1])
+
+
 def test_modulus_injectors_exact(spark):
     df = spark.range(1, 1001).select(F.col("id").alias("k"), F.col("id").cast("double").alias("x"),
                                      F.lit("a@b.io").alias("e"), F.col("id").alias("s"), (F.col("id") + 1).alias("t"))

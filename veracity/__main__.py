@@ -54,8 +54,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         from veracity.operators import synth
 
         keys = spark.range(1, args.rows + 1)
-        txn = synth.inject_transaction_errors(synth.generate_transactions(keys, "id", seed=args.seed),
-                                              id_seed=args.seed)
+        txn = synth.inject_transaction_errors(synth.generate_transactions(keys, "id", seed=args.seed))
         users = synth.generate_reference(spark.range(1, args.rows + 1).withColumnRenamed("id", "user_id"),
                                          distinct=False)
         out = args.out_dir.rstrip("/")

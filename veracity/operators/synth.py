@@ -2,24 +2,27 @@
 
 Rows are born on the executors from an existing key column (any table's
 primary key, or ``spark.range``), and every value is a pure function of the
-key and a seed via ``xxhash64`` — no driver-side row building, no random
-state, and the same output on every re-run or task retry.
+key and a seed (``digits``: integer arithmetic that any SQL engine repeats
+exactly) — no driver-side row building, no random state, and the same output
+on every re-run or task retry.
 
 Injectors work on any DataFrame.  Each takes a boolean *selector* Column
 choosing the rows to corrupt; ``hash_selector(key, rate)`` picks a
 reproducible fraction, and tests pass modulus selectors (``key % 20 == 3``)
-so the expected counts are exact.  All injectors are single projections.
+so the expected counts are exact.  All injectors are single projections but
+``inject_duplicates``, which gives rows the key of another row of any table.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
-import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from veracity.functions.columns import col_ref
+from veracity.functions.columns import col_ref, column_type, fresh_names, quote
+from veracity.operators.bitmap import is_integer
+from veracity.session import materialize
 
 # The reference generator's domains and error rates.
 COUNTRY_CODES = ("US", "CA", "MX", "GB", "DE", "FR", "INVALID")
@@ -28,8 +31,8 @@ PRICE_MIN, PRICE_MAX = 5.0, 500.0
 QUANTITY_MAX = 9
 PRODUCT_MIN, PRODUCT_SPAN = 100, 100
 TXN_SUFFIX_MIN, TXN_SUFFIX_SPAN = 1000, 9000
-START_EPOCH = 1640995200  # 2022-01-01 00:00:00
-END_EPOCH = 1672531199  # 2022-12-31 23:59:59
+START = _dt.datetime(2022, 1, 1)
+START_SPAN_S = 365 * 24 * 60 * 60 - 1  # to the last second of the year
 MIN_DURATION_S = 3600
 MAX_DURATION_S = 60 * 60 * 24 * 60
 RATE_MISSING_PRICE = 0.05
@@ -44,15 +47,33 @@ SIGNUP_START = _dt.datetime(2021, 1, 1)
 SIGNUP_SPAN_DAYS = 365 * 2 + 1
 
 _BUCKETS = 1_000_000
+RANK_BUCKETS = 4096
+
+
+#: Modulus (a prime) and multipliers of the mixing rounds; every product stays within a bigint.
+_PRIME = 2_147_483_647
+_ROUNDS = ((48_271, 15), (69_621, 13), (16_807, 0))
+
+
+def digits(key: Column, seed: int) -> Column:
+    """31 well-mixed bits from an integer key and a seed: multiply modulo a prime, fold high bits onto low ones, thrice."""
+    k, prime = key.cast("bigint"), F.lit(_PRIME)
+    high = F.pmod(F.call_function("div", k, prime), prime)
+    h = F.pmod(F.pmod(k, prime) + high * 31 + F.lit(7919 * seed), prime)
+    for factor, shift in _ROUNDS:
+        h = F.pmod(h * factor, prime)
+        if shift:
+            h = h.bitwiseXOR(F.shiftright(h, shift))
+    return h
 
 
 def uniform_int(key: Column, seed: int, span: int) -> Column:
-    """Deterministic integer in ``[0, span)`` from ``key`` and ``seed``."""
-    return F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(span))
+    """Deterministic integer in ``[0, span)`` from an integer ``key`` (hash any other type first) and ``seed``."""
+    return F.pmod(digits(key, seed), F.lit(span))
 
 
 def hash_selector(key: Column, rate: float, seed: int = 42) -> Column:
-    """True for a reproducible ``rate`` fraction of keys."""
+    """True for a reproducible ``rate`` fraction of integer keys."""
     return uniform_int(key, seed, _BUCKETS) < F.lit(int(round(rate * _BUCKETS)))
 
 
@@ -119,6 +140,49 @@ def inject_duplicate_key(df: DataFrame, column: str, selector: Column, source_ke
     return df.withColumn(column, value_where(col_ref(df, column), selector, source_key))
 
 
+def _ranked(df: DataFrame, bucket: str, order: list[str], rank: str) -> DataFrame:
+    """0, 1, 2, … in ``rank`` by (bucket, order): places inside buckets plus the sizes of the buckets before."""
+    place = F.row_number().over(Window.partitionBy(bucket).orderBy(*order))
+    sizes = df.groupBy(bucket).agg(F.count(F.lit(1)).alias(f"{rank}_size"))  # one row per bucket: a fixed number
+    ahead = F.sum(f"{rank}_size").over(Window.orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1))
+    before = sizes.select(bucket, F.coalesce(ahead, F.lit(0)).alias(f"{rank}_before"))
+    return df.withColumn(rank, place).join(F.broadcast(before), bucket).withColumn(
+        rank, F.col(rank) - 1 + F.col(f"{rank}_before")).drop(f"{rank}_before")
+
+
+def inject_duplicates(df: DataFrame, column: str, key: str, rate: float, seed: int = 0, buckets: int = RANK_BUCKETS) -> DataFrame:
+    """A ``rate`` of the rows take the ``column`` of another row, whatever the keys look like.
+
+    Targets and, disjoint from them, sources (twice as many) are picked by
+    hashing ``key``; each side is ranked by (hash bucket, key), and target
+    ``i`` takes the value of source ``i``.  Ranking needs no global sort: rows
+    are placed inside their bucket, and the ``buckets`` sizes are added up.
+    Only picked rows are written (when this is called, to the shared folder)
+    and shuffled; all others pass through a projection.
+
+    A source's value is never NULL and no source serves two targets unless
+    targets outnumber sources; rows with a NULL key are never picked; without a
+    source nothing changes.  ``key`` should tell rows apart: equal keys share
+    a bucket.  A key that is no integer is hashed first.
+    """
+    k = col_ref(df, key)
+    if not is_integer(column_type(df, key)):
+        k = F.when(k.isNotNull(), F.xxhash64(k))
+    target = _on(hash_selector(k, rate, seed))
+    source = ~target & _on(hash_selector(k, 2 * rate, seed + 1)) & col_ref(df, column).isNotNull()
+    bucket, role, rank, value = fresh_names(df, "__bucket", "__role", "__rank", "__value")
+    picked = materialize(df.where(target | source).withColumns({bucket: uniform_int(k, seed + 2, buckets), role: target}), "picked")
+    sources = picked.where(~F.col(role))
+    n = sources.count()
+    if not n:
+        return df
+    order = [quote(key), quote(column)]
+    values = _ranked(sources, bucket, order, rank).select(F.col(rank), col_ref(sources, column).alias(value))
+    wanted = _ranked(picked.where(role), bucket, order, rank).withColumn(rank, F.col(rank) % F.lit(n))
+    changed = wanted.join(values, rank).withColumn(column, F.col(value))
+    return df.where(~target).unionByName(changed.select(*[quote(c) for c in df.columns]))
+
+
 def swapped_values(a: Column, b: Column, selector: Column) -> tuple[Column, Column]:
     """(new a, new b): both read from the pre-image."""
     return value_where(a, selector, b), value_where(b, selector, a)
@@ -151,19 +215,16 @@ def generate_transactions(keys: DataFrame, key: str = "id", seed: int = 7) -> Da
     output grows with that table.
     """
     k = col_ref(keys, key).cast("bigint")
-    span = END_EPOCH - MAX_DURATION_S - START_EPOCH
-    start = F.lit(_dt.datetime(2022, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(
-        secs=uniform_int(k, seed + 2, span).cast("int")
+    start = F.lit(START).cast("timestamp_ntz") + F.make_dt_interval(
+        secs=uniform_int(k, seed + 2, START_SPAN_S - MAX_DURATION_S).cast("int")
     )
     duration = uniform_int(k, seed + 3, MAX_DURATION_S - MIN_DURATION_S + 1) + MIN_DURATION_S
-    price = F.round(
-        F.lit(PRICE_MIN) + uniform_int(k, seed + 4, _BUCKETS).cast("double") / _BUCKETS * (PRICE_MAX - PRICE_MIN), 2
-    )
+    cents = uniform_int(k, seed + 4, round((PRICE_MAX - PRICE_MIN) * 100) + 1) + round(PRICE_MIN * 100)
     return keys.select(
         k.alias("user_id"),
         _txn_id(k, seed).alias("transaction_id"),
         F.concat(F.lit("P"), (uniform_int(k, seed + 5, PRODUCT_SPAN) + PRODUCT_MIN).cast("string")).alias("product_id"),
-        price.alias("price"),
+        (cents / 100).alias("price"),
         (uniform_int(k, seed + 6, QUANTITY_MAX) + 1).cast("double").alias("quantity"),
         F.concat(F.lit("user"), k.cast("string"), F.lit("@example.com")).alias("email"),
         _pick(COUNTRY_CODES, k, seed + 7).alias("country_code"),
@@ -174,25 +235,15 @@ def generate_transactions(keys: DataFrame, key: str = "id", seed: int = 7) -> Da
     )
 
 
-def inject_transaction_errors(df: DataFrame, seed: int = 11, id_seed: int = 7) -> DataFrame:
-    """The reference's six error kinds at its rates, selected by hashing ``user_id``.
-
-    ``id_seed`` must be the seed ``generate_transactions`` used, so a
-    duplicated id is exactly the predecessor's id.
-    """
+def inject_transaction_errors(df: DataFrame, seed: int = 11) -> DataFrame:
+    """The reference's six error kinds at its rates, selected by hashing ``user_id``, whichever ids there are."""
     k = F.col("user_id")
     df = inject_missing(df, "price", hash_selector(k, RATE_MISSING_PRICE, seed))
     df = inject_missing(df, "quantity", hash_selector(k, RATE_MISSING_QUANTITY, seed + 1))
     df = inject_negate(df, "price", hash_selector(k, RATE_NEGATIVE_PRICE, seed + 2))
     df = inject_bad_format(df, "email", hash_selector(k, RATE_BAD_EMAIL, seed + 3))
-    # Targets copy the id their predecessor key was generated with.  Sources
-    # and targets stay disjoint: a key whose predecessor is itself picked is
-    # not a target (its predecessor's original id is gone).  Picking with
-    # rate p where p * (1 - p) = RATE keeps the expected share of targets.
-    p = (1 - math.sqrt(1 - 4 * RATE_DUPLICATE_ID)) / 2
-    target = hash_selector(k, p, seed + 4) & ~hash_selector(k - 1, p, seed + 4)
-    df = inject_duplicate_key(df, "transaction_id", target, _txn_id(k - 1, id_seed))
-    return inject_swap(df, "start_date", "end_date", hash_selector(k, RATE_SWAPPED_DATES, seed + 5))
+    df = inject_swap(df, "start_date", "end_date", hash_selector(k, RATE_SWAPPED_DATES, seed + 4))
+    return inject_duplicates(df, "transaction_id", "user_id", RATE_DUPLICATE_ID, seed + 5)
 
 
 def generate_reference(
