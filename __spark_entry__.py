@@ -36,6 +36,7 @@ from veracity.session import materialize, scratch_path  # noqa: E402
 from veracity.sources import sinks  # noqa: E402
 from veracity.sources.readers import read_table  # noqa: E402
 from veracity.streaming.microbatch import run_running_results, run_suite_on_stream  # noqa: E402
+from veracity.streaming.state import check_stream_so_far  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -485,6 +486,38 @@ def q_streaming_running_totals(spark, sf):
     return compact(out)
 
 
+SO_FAR = STREAM_RUNNING + [
+    _c("custkey_unique", "uniqueness", column="o_custkey", threshold=1.0),
+    _c("custkey_in_customer", "consistency", "referential_integrity", column="o_custkey", reference_column="c_custkey"),
+    _c("status_in_line_status", "consistency", "referential_integrity", column="o_orderstatus", reference_column="l_linestatus"),
+]
+
+
+def _so_far(spark, sf):
+    return [c | {"params": c["params"] | {"reference": _t(spark, sf, r)}} if (r := {"c_custkey": "customer", "l_linestatus": "lineitem"}.get(
+        c["params"].get("reference_column"))) else c for c in SO_FAR]
+
+
+def q_stream_suite_so_far(spark, sf):
+    """The orders as a stream of five files, one a batch, the states merged half-way and two batches delivered twice."""
+    base = scratch_path(spark, "so-far")
+    orders = _t(spark, sf, "orders")
+    orders.repartition(5, "o_orderkey").write.parquet(f"{base}/in")
+    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    query, state = check_stream_so_far(stream, _so_far(spark, sf), f"{base}/state", f"{base}/checkpoint", compact_every=3)
+    query.awaitTermination()
+    for batch_id in (0, 4):  # 0 is merged already, 4 replaces itself
+        path = [f.path for f in _batch_files(spark, f"{base}/checkpoint", batch_id)]
+        state.add(spark.read.schema(orders.schema).parquet(*path), batch_id)
+    return compact(state.results())
+
+
+def _batch_files(spark, checkpoint, batch_id):
+    """The files a batch was made of, from the file source's own log."""
+    log = spark.read.text(f"{checkpoint}/sources/0/{batch_id}").where("value LIKE '{%'")
+    return log.select(F.get_json_object("value", "$.path").alias("path")).collect()
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "completeness": q_completeness,
     "uniqueness": q_uniqueness,
@@ -542,6 +575,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "castability": q_castability,
     "microbatch_suite": q_microbatch_suite,
     "streaming_running_totals": q_streaming_running_totals,
+    "stream_suite_so_far": q_stream_suite_so_far,
 }
 
 

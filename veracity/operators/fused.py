@@ -67,6 +67,53 @@ def result_structs(items: Sequence[FusedItem]) -> list[str]:
     return structs
 
 
+# --- mergeable states ------------------------------------------------------
+
+
+def fused_state(df: DataFrame, items: Sequence[FusedItem]) -> DataFrame:
+    """One row: the counts and moments (``valid``, ``mean``, squared deviations ``m2``) of every item over ``df``."""
+    aggs = [F.count(F.lit(1)).alias(TOTAL)]
+    for ordinal, _, shape in items:
+        if isinstance(shape, RowCheck):
+            aggs.append(F.count_if(shape.predicate).alias(_name("v", ordinal)))
+        elif isinstance(shape, StatCheck):
+            valid = F.count(shape.value)
+            aggs.append(F.struct(valid.alias("n"), F.avg(shape.value).alias("mean"),
+                                 (F.var_pop(shape.value) * valid).alias("m2")).alias(_name("s", ordinal)))
+    return df.agg(*aggs)
+
+
+#: Two sets of moments as those of all their values; a side without values leaves the other as it is.
+_MERGE = ("CASE WHEN y.n = 0 THEN x WHEN x.n = 0 THEN y ELSE named_struct('n', x.n + y.n, "
+          "'mean', x.mean + (y.mean - x.mean) * y.n / (x.n + y.n), "
+          "'m2', x.m2 + y.m2 + (y.mean - x.mean) * (y.mean - x.mean) * x.n / (x.n + y.n) * y.n) END")
+_NO_VALUES = "named_struct('n', 0L, 'mean', CAST(NULL AS DOUBLE), 'm2', CAST(NULL AS DOUBLE))"
+
+
+def merged_fused_state(states: DataFrame, items: Sequence[FusedItem], order_by: str) -> DataFrame:
+    """One state for all of ``states`` (few rows: one per batch), merged in the order of ``order_by``."""
+    aggs = [f"coalesce(sum({TOTAL}), 0L) AS {TOTAL}"]
+    for ordinal, _, shape in items:
+        if isinstance(shape, RowCheck):
+            aggs.append(f"coalesce(sum({_name('v', ordinal)}), 0L) AS {_name('v', ordinal)}")
+        elif isinstance(shape, StatCheck):
+            s = _name("s", ordinal)
+            aggs.append(f"reduce(transform(array_sort(collect_list(struct({order_by} AS o, {s} AS s))), e -> e.s), {_NO_VALUES}, "
+                        f"(x, y) -> {_MERGE}) AS {s}")
+    return states.agg(*map(F.expr, aggs))
+
+
+def fused_results_of_state(state: DataFrame, items: Sequence[FusedItem]) -> DataFrame:
+    """The results ``fused_results`` gives on the rows of a merged state."""
+    names = ["*"]
+    for ordinal, _, shape in items:
+        if isinstance(shape, StatCheck):
+            s = _name("s", ordinal)
+            names += [f"{s}.mean AS {_name('mean', ordinal)}", f"sqrt({s}.m2 / nullif({s}.n, 0L)) AS {_name('sd', ordinal)}",
+                      f"{s}.n AS {_name('valid', ordinal)}"]
+    return state.selectExpr(*names).selectExpr(f"inline(array({', '.join(result_structs(items))}))")
+
+
 def fused_results(df: DataFrame, items: Sequence[FusedItem]) -> DataFrame:
     """One result row per item; errors (any non-shape item) become ERROR rows."""
     row = df.agg(*fused_aggregates(items))

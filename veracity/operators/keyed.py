@@ -23,7 +23,7 @@ fused pass.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +35,7 @@ from veracity.operators.checks import ReferenceCheck, GroupCheck
 from veracity.spec import CheckSpec
 
 KEY, SIDE = "__key", "__side"
-COLUMN, NUMBER, TEXT, PRESENT = "__column", "__number", "__text", "__present"
+COLUMN, NUMBER, TEXT, PRESENT, ROWS = "__column", "__number", "__text", "__present", "__rows"
 INLINE_BYTES = 32
 _ROWS = -1  # the column number under which the rows themselves are counted
 
@@ -152,22 +152,16 @@ def _sum(condition: str, rows: str) -> str:
     return f"coalesce(sum(CASE WHEN {condition} THEN {rows} END), 0L)"
 
 
-def keyed_results(df: DataFrame, items_of: dict[str, list[KeyedItem]]) -> DataFrame:
-    """Result rows for every uniqueness / referential check, by column, in one pass over ``df``.
-
-    Every column must have a ``key_parts`` form.
-    """
-    columns: dict[str, _Keyed] = {}
+def _columns(items_of: dict[str, list[KeyedItem]]) -> dict[str, _Keyed]:
+    columns = {}
     for number, (name, items) in enumerate(items_of.items()):
-        shape = items[0][2]
-        column = columns[name] = _Keyed(number, shape.key, shape.dtype)
-        _sides(items, column)
-        column.bitmaps = _bitmaps(column, items)
-    sides = max(len(c.references) for c in columns.values())
-    counts = _entries(df, list(columns.values()), sides).groupBy(COLUMN, NUMBER, TEXT).agg(
-        *[F.expr(f"count_if({SIDE} = {j}) AS __n{j}") for j in range(sides + 1)],
-        *[F.expr(f"max({PRESENT}{j}) AS {PRESENT}{j}") for j in range(1, sides + 1)])  # equal for all rows of a key
+        columns[name] = _Keyed(number, items[0][2].key, items[0][2].dtype)
+        _sides(items, columns[name])
+    return columns
+
 
+def _finish(counts: DataFrame, columns: dict[str, _Keyed], items_of: dict[str, list[KeyedItem]]) -> DataFrame:
+    """Result rows from one row per ``(column, key)`` with ``__n0`` checked rows and what the references hold."""
     real = f"({NUMBER} IS NOT NULL OR {TEXT} IS NOT NULL)"
     counter = next((c.number for c in columns.values() if not c.bitmaps), _ROWS)
     aggs, structs = [f"{_sum(f'{COLUMN} = {counter}', '__n0')} AS __total"], []
@@ -189,6 +183,45 @@ def keyed_results(df: DataFrame, items_of: dict[str, list[KeyedItem]]) -> DataFr
     return counts.agg(*map(F.expr, aggs)).selectExpr(f"inline(array({', '.join(structs)}))")
 
 
+def keyed_results(df: DataFrame, items_of: dict[str, list[KeyedItem]]) -> DataFrame:
+    """Result rows for every uniqueness / referential check, by column, in one pass over ``df``.
+
+    Every column must have a ``key_parts`` form.
+    """
+    columns = _columns(items_of)
+    for name, items in items_of.items():
+        columns[name].bitmaps = _bitmaps(columns[name], items)
+    sides = max(len(c.references) for c in columns.values())
+    counts = _entries(df, list(columns.values()), sides).groupBy(COLUMN, NUMBER, TEXT).agg(
+        *[F.expr(f"count_if({SIDE} = {j}) AS __n{j}") for j in range(sides + 1)],
+        *[F.expr(f"max({PRESENT}{j}) AS {PRESENT}{j}") for j in range(1, sides + 1)])  # equal for all rows of a key
+    return _finish(counts, columns, items_of)
+
+
+def key_state(df: DataFrame, items_of: dict[str, list[KeyedItem]]) -> DataFrame:
+    """``(column, number, text, n)``: the checked rows of each key, to be added up with those of other rows."""
+    columns = [replace(c, references=[]) for c in _columns(items_of).values()]
+    return _entries(df, columns, 0).groupBy(COLUMN, NUMBER, TEXT).agg(F.count(F.lit(1)).alias(ROWS))
+
+
+def merged_key_state(states: DataFrame) -> DataFrame:
+    return states.groupBy(COLUMN, NUMBER, TEXT).agg(F.sum(ROWS).alias(ROWS))
+
+
+def keyed_results_of_state(states: DataFrame, items_of: dict[str, list[KeyedItem]]) -> DataFrame:
+    """The results ``keyed_results`` gives on all rows whose ``key_state`` is in ``states``."""
+    columns = _columns(items_of)
+    sides = max(len(c.references) for c in columns.values())
+    rows = states.select(COLUMN, NUMBER, TEXT, F.lit(0).alias(SIDE), ROWS)
+    for c in columns.values():
+        for j, (reference, key) in enumerate(c.references, start=1):
+            rows = rows.unionByName(_spread(reference.select(key.alias(KEY)).where(f"{KEY} IS NOT NULL"), [
+                _entry(c.number, key_parts(KEY, c.dtype), j, [])]).withColumn(ROWS, F.lit(1).cast("bigint")))
+    counts = rows.groupBy(COLUMN, NUMBER, TEXT).agg(*[
+        F.expr(f"coalesce(sum(CASE WHEN {SIDE} = {j} THEN {ROWS} END), 0L) AS __n{j}") for j in range(sides + 1)])
+    return _finish(counts, columns, items_of)
+
+
 def side_counts(df: DataFrame, key: Column, references: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
     """``(__key, __n0, __n1, ...)``: rows per key value in ``df`` and in each reference (keys of one type)."""
     union = df.select(key.alias(KEY), F.lit(0).alias(SIDE))

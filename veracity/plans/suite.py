@@ -100,12 +100,9 @@ class Suite:
         """The results DataFrame (lazy), ordered by suite position."""
         compiled = self.compile(df)
         # All uniqueness and referential checks share one count of (column, key).
-        keyed: dict[str, list] = {}
-        for ordinal, spec, shape in compiled:
-            if isinstance(shape, (GroupCheck, ReferenceCheck)):
-                keyed.setdefault(shape.column, []).append((ordinal, spec, shape))
+        keyed = keyed_items(compiled)
         keyed_branches, failed = self._keyed_branches(df, keyed)
-        fused_items = [c for c in compiled if not isinstance(c[2], (GroupCheck, ReferenceCheck))] + failed
+        fused_items = fused_only(compiled) + failed
         branches: list[DataFrame] = []
         if fused_items:
             branches.append(fused_results(df, fused_items))
@@ -113,10 +110,7 @@ class Suite:
         if not branches:
             return df.sparkSession.createDataFrame([], R.RESULTS_SCHEMA)
         union = reduce(lambda a, b: a.unionByName(b), branches)
-        # One row per check: gather into one partition and sort there.  A
-        # global orderBy would add a range-partition sampling job that
-        # re-executes every branch.
-        return union.coalesce(1).sortWithinPartitions(R.ORDINAL).select(*R.RESULT_COLUMNS, R.ORDINAL)
+        return in_suite_order(union)
 
     @staticmethod
     def _keyed_branches(df: DataFrame, keyed: dict[str, list]) -> tuple[list[DataFrame], list]:
@@ -222,6 +216,24 @@ class Suite:
         return fixed
 
 
+def keyed_items(compiled: Iterable[tuple[int, CheckSpec, object]]) -> dict[str, list]:
+    """The uniqueness and referential checks by column."""
+    keyed: dict[str, list] = {}
+    for item in compiled:
+        if isinstance(item[2], (GroupCheck, ReferenceCheck)):
+            keyed.setdefault(item[2].column, []).append(item)
+    return keyed
+
+
+def fused_only(compiled: Iterable[tuple[int, CheckSpec, object]]) -> list[tuple[int, CheckSpec, object]]:
+    return [c for c in compiled if not isinstance(c[2], (GroupCheck, ReferenceCheck))]
+
+
+def in_suite_order(results: DataFrame) -> DataFrame:
+    """One row per check: gathered into one partition and sorted there (a global sort would run every branch twice)."""
+    return results.coalesce(1).sortWithinPartitions(R.ORDINAL).select(*R.RESULT_COLUMNS, R.ORDINAL)
+
+
 def _expression(shape: object):
     if isinstance(shape, RowCheck):
         return shape.predicate

@@ -95,6 +95,14 @@ def delete_path(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder on whichever file system holds it; none where there is no such folder."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    return sorted(s.getPath().getName() for s in system.listStatus(folder)) if system.exists(folder) else []
+
+
 def materialize(df: DataFrame, label: str = "table", path: str | None = None) -> DataFrame:
     """Write ``df`` once as Parquet in the shared folder and read it back.
 
