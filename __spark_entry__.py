@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
@@ -370,6 +371,35 @@ def _wall_clock(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in columns})
 
 
+def q_results_log_table(spark, sf):
+    """A catalog table: a run repeated on another date takes the place of its first attempt."""
+    name = f"results_log_{uuid.uuid4().hex}"
+    suite, txn = Suite(FUSED), _txn(spark, sf)
+    tries = [("first", "2024-01-01 23:59:00", txn.limit(0)), ("second", "2024-01-02 08:00:00", txn), ("first", "2024-01-02 00:01:00", txn)]
+    for run_id, run_ts, data in tries:
+        sinks.append_results_log(suite.results(data), name, run_id, run_ts, "txn", kind="table")
+    log = sinks.read_results_log(spark, name, kind="table")
+    rows = materialize(log.select("run_id", F.date_format("run_ts", "yyyy-MM-dd HH:mm:ss").alias("run_ts"), "check_name", "status",
+                                  "violations", "total_rows", F.col("run_date").cast("string").alias("run_date")), "log-rows")
+    for table in (name, f"{name}_ledger"):
+        spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
+RUNTIME = FUSED[:3] + [
+    _c("not_a_date", "consistency", condition_sql="CAST(date_text AS DATE) > DATE'2020-01-01'"),
+    FUSED[4],
+    _c("by_zero", "consistency", condition_sql="100 / (row_key % 5) > 0"),
+    *UNIQUENESS,
+    FUSED[9],
+]
+
+
+def q_suite_runtime_isolation(spark, sf):
+    """Two conditions that only fail on data, among seven checks that do not."""
+    return compact(Suite(RUNTIME).run(_txn(spark, sf)))
+
+
 def q_gen_transactions(spark, sf):
     keys = _t(spark, sf, "orders").select("o_orderkey")
     return _wall_clock(synth.generate_transactions(keys, "o_orderkey"), "start_date", "end_date")
@@ -445,6 +475,21 @@ def q_repair_audit(spark, sf):
 GATE = [FUSED[4], FUSED[6], FUSED[10], FUSED[13]]
 
 
+GATE_KEYED = GATE + [
+    _c("transaction_id_unique", "uniqueness", column="transaction_id"),
+    _c("user_in_customer", "consistency", "referential_integrity", column="user_id", reference="customer", reference_column="c_custkey"),
+    _c("country_in_segments", "consistency", "referential_integrity", column="country_code", reference="customer",
+       reference_column="c_mktsegment", nulls_are_violations=False),
+]
+
+
+def q_gate_split_keyed(spark, sf):
+    """Rows with the names of the checks they fail; keys of more than 3 rows count as hot."""
+    accepted, quarantined = gate_split(_txn(spark, sf), GATE_KEYED, references={"customer": _t(spark, sf, "customer")}, hot_rows=3)
+    return accepted.select("row_key", F.lit("").alias("failed")).unionByName(
+        quarantined.select("row_key", F.array_join("failed_checks", ",").alias("failed")))
+
+
 def q_gate_split(spark, sf):
     accepted, quarantined = gate_split(_txn(spark, sf), GATE)
     return accepted.select("row_key", F.lit(False).alias("quarantined")).unionByName(
@@ -561,6 +606,8 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "results_log_runs": q_results_log_runs,
     "results_log_failures": q_results_log_failures,
     "results_log_latest": q_results_log_latest,
+    "results_log_table": q_results_log_table,
+    "suite_runtime_isolation": q_suite_runtime_isolation,
     "gen_transactions": q_gen_transactions,
     "gen_errors": q_gen_errors,
     "gen_reference": q_gen_reference,
@@ -572,6 +619,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "inject_swap": q_inject_swap,
     "repair_audit": q_repair_audit,
     "gate_split": q_gate_split,
+    "gate_split_keyed": q_gate_split_keyed,
     "castability": q_castability,
     "microbatch_suite": q_microbatch_suite,
     "streaming_running_totals": q_streaming_running_totals,

@@ -39,9 +39,10 @@ def test_table_log_keeps_earlier_runs(spark):
     for run in ("one", "two", "two"):
         sinks.append_results_log(results, name, run, "2024-01-01 00:00:00", "src", kind="table")
     try:
-        assert sorted(r.run_id for r in spark.table(name).collect()) == ["one", "two"]
+        assert sorted(r.run_id for r in sinks.read_results_log(spark, name, "table").collect()) == ["one", "two"]
     finally:
         spark.sql(f"drop table {name}")
+        spark.sql(f"drop table {name}_ledger")
 
 
 def test_materialized_input_keeps_every_column(spark):

@@ -45,7 +45,10 @@ def test_duplicate_rows_split_hot_key(spark, skewed):
     assert Suite([spec]).results(skewed).first()["violations"] == expected
 
 
-def test_orphan_rows_split_hot_key_and_nulls(spark, skewed):
+def test_orphan_rows_split_hot_key_and_nulls(spark, skewed, monkeypatch):
+    from veracity.operators import referential
+
+    monkeypatch.setattr(referential, "key_bitmap", lambda *a: None)  # as for keys that are no integers
     ref = spark.range(100, 2600).select(F.col("id").alias("rk"))  # key 7 and half the others are orphans
     spec = {"check_name": "ri", "check_type": "consistency", "sub_type": "referential_integrity",
             "params": {"column": "k", "reference": ref, "reference_column": "rk"}}
@@ -69,14 +72,22 @@ def test_keep_latest_hot_key(spark, skewed):
     assert out.where(F.col("k") == 7).first()["row"] == best
 
 
-def test_hot_set_is_capped_by_raising_the_threshold(spark):
+def test_hot_set_is_capped(spark):
     from veracity.operators.skew import hot_keys
     from veracity.operators.uniqueness import KEY, SIZE
 
     sizes = spark.createDataFrame([(k, 10 * k) for k in range(1, 101)] + [(None, 10_000)],
                                   f"{KEY} int, {SIZE} long")
-    hot = hot_keys(sizes, hot_rows=5, max_hot_keys=10)
-    keys = sorted(r[0] for r in hot.collect())
-    assert 0 < len(keys) <= 10
-    assert keys == list(range(101 - len(keys), 101))  # always the largest keys
+    assert sorted(r[0] for r in hot_keys(sizes, hot_rows=5, max_hot_keys=10).collect()) == list(range(91, 101))  # the largest
     assert hot_keys(sizes, hot_rows=10_000) is None  # NULL is never hot
+
+
+def test_hot_set_is_capped_in_bytes_and_with_equal_sizes(spark):
+    from veracity.operators.skew import hot_keys
+    from veracity.operators.uniqueness import KEY, SIZE
+
+    sizes = spark.createDataFrame([(str(k) * 100, 50) for k in range(10, 60)], f"{KEY} string, {SIZE} long")
+    assert hot_keys(sizes, hot_rows=5).count() == 50
+    assert hot_keys(sizes, hot_rows=5, max_hot_keys=7).count() == 7  # all of one size: some of them, not none
+    assert 1 <= hot_keys(sizes, hot_rows=5, max_bytes=1000).count() <= 4
+    assert hot_keys(sizes, hot_rows=5, max_bytes=1).count() == 1

@@ -36,6 +36,7 @@ from veracity.spec import CheckSpec
 
 KEY, SIDE = "__key", "__side"
 COLUMN, NUMBER, TEXT, PRESENT, ROWS = "__column", "__number", "__text", "__present", "__rows"
+FAILED = "__failed"
 INLINE_BYTES = 32
 _ROWS = -1  # the column number under which the rows themselves are counted
 
@@ -222,6 +223,25 @@ def keyed_results_of_state(states: DataFrame, items_of: dict[str, list[KeyedItem
     return _finish(counts, columns, items_of)
 
 
+def violating_keys(df: DataFrame, items_of: dict[str, list[KeyedItem]]) -> DataFrame:
+    """``(column, number, text, n, failed)``: keys whose rows fail checks, and the names of those; NULL keys too."""
+    columns = _columns(items_of)
+    sides = max(len(c.references) for c in columns.values())
+    counts = _entries(df, list(columns.values()), sides).groupBy(COLUMN, NUMBER, TEXT).agg(
+        *[F.expr(f"count_if({SIDE} = {j}) AS __n{j}") for j in range(sides + 1)])
+    real, failed = f"({NUMBER} IS NOT NULL OR {TEXT} IS NOT NULL)", []
+    for name, items in items_of.items():
+        for _, spec, shape in items:
+            if isinstance(shape, GroupCheck):
+                bad = f"{real} AND __n0 > 1"
+            else:
+                bad = f"{real} AND __n{columns[name].side_of[_]} = 0"
+                bad = f"({bad}) OR NOT {real}" if shape.nulls_violate else bad
+            failed.append(f"CASE WHEN {COLUMN} = {columns[name].number} AND ({bad}) THEN {R.s_str(spec.name)} END")
+    return counts.where("__n0 > 0").selectExpr(
+        COLUMN, NUMBER, TEXT, f"__n0 AS {ROWS}", f"array_compact(array({', '.join(failed)})) AS {FAILED}").where(f"size({FAILED}) > 0")
+
+
 def side_counts(df: DataFrame, key: Column, references: Sequence[tuple[DataFrame, Column]]) -> DataFrame:
     """``(__key, __n0, __n1, ...)``: rows per key value in ``df`` and in each reference (keys of one type)."""
     union = df.select(key.alias(KEY), F.lit(0).alias(SIDE))

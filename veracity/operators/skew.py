@@ -6,9 +6,9 @@ drill-down joins return *rows*, though, and a shuffled join sends every row
 of one key to one task.  ``split_hot`` separates such keys first:
 
 * keys with more than ``hot_rows`` rows are *hot*; there are at most
-  ``total_rows / hot_rows`` of them, and their number is checked (a small
-  job over the written group sizes) before they are broadcast — if more than
-  ``max_hot_keys`` qualify, the threshold doubles until the largest ones fit;
+  ``total_rows / hot_rows`` of them, and they are broadcast only as far as
+  ``max_hot_keys`` keys and ``MAX_HOT_BYTES`` bytes go (a small job over the
+  written group sizes says how many that is) — the largest keys first;
 * rows of hot keys are decided by a broadcast join against that small set
   (no shuffle); the remaining rows take the ordinary shuffled join, in which
   no key is larger than ``hot_rows``;
@@ -25,40 +25,26 @@ from veracity.operators.uniqueness import KEY, SIZE
 
 HOT_ROWS = 4_000_000
 MAX_HOT_KEYS = 100_000
+MAX_HOT_BYTES = 32 << 20
 
 
-def hot_keys(sizes: DataFrame, hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame | None:
+def hot_keys(sizes: DataFrame, hot_rows: int = HOT_ROWS, max_hot_keys: int = MAX_HOT_KEYS,
+             max_bytes: int = MAX_HOT_BYTES) -> DataFrame | None:
     """Non-NULL keys of ``(__key, __size)`` with more than ``hot_rows`` rows, or None.
 
-    If more than ``max_hot_keys`` keys qualify, the threshold is raised
-    (doubling, then bisecting) until the set fits, so the largest keys are
-    always the ones split off and the broadcast set never exceeds
-    ``max_hot_keys`` rows.  ``sizes`` is read once per probe: pass a written
-    (materialized) table.
+    Where that is more than ``max_hot_keys`` keys, or they could be more than
+    ``max_bytes`` bytes, the largest ones that fit.  ``sizes`` is read twice: pass
+    a written (materialized) table.
     """
-    def above(threshold: int) -> tuple[DataFrame, int]:
-        hot = sizes.where(F.col(KEY).isNotNull() & (F.col(SIZE) > threshold)).select(KEY)
-        return hot, hot.limit(max_hot_keys + 1).count()
-
-    low = max(int(hot_rows), 1)
-    hot, n = above(low)
-    if n <= max_hot_keys:
-        return hot if n else None
-    high = low * 2  # double until the set fits or empties, then bisect
-    while True:
-        hot, n = above(high)
-        if 0 < n <= max_hot_keys:
-            return hot
-        if n == 0:
-            break
-        low, high = high, high * 2
-    while high - low > 1:  # too many keys above `low`, none above `high`
-        mid = (low + high) // 2
-        hot, n = above(mid)
-        if 0 < n <= max_hot_keys:
-            return hot
-        low, high = (mid, high) if n > max_hot_keys else (low, mid)
-    return None  # more than max_hot_keys keys share the largest size: leave skew to AQE
+    above = sizes.where(F.col(KEY).isNotNull() & (F.col(SIZE) > max(int(hot_rows), 1)))
+    width = F.octet_length(F.to_json(F.struct(KEY)))
+    n, widest = above.agg(F.count(F.lit(1)), F.max(width)).first()
+    if not n:
+        return None
+    fit = max(1, min(max_hot_keys, max_bytes // max(widest, 1)))
+    if n > fit:
+        above = above.orderBy(F.desc(SIZE), F.xxhash64(KEY)).limit(fit)
+    return above.select(KEY)
 
 
 def split_rows(df: DataFrame, key: Column, hot: DataFrame) -> tuple[DataFrame, DataFrame]:

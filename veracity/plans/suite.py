@@ -13,9 +13,9 @@ is not run until an action.  Building the plan may run small jobs of its own:
 patterns and date literals are tried on one row, and the keys of integer
 references are read into a bitmap.  ``Suite.run(df)`` is the
 eager form: it optionally materializes the input once in the shared folder,
-executes the plan and, if a runtime error (e.g. an ANSI failure inside a
-user's SQL condition) breaks the fused job, re-runs the checks one by one so
-only the failing check becomes an ERROR row.
+executes the plan and, if the data breaks it (e.g. an ANSI failure inside a
+user's SQL condition), halves the checks until those at fault stand alone and
+become ERROR rows.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from functools import reduce
 from typing import Any
 
 from pyspark import StorageLevel
+from pyspark import errors as E
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -44,6 +45,11 @@ from veracity.session import materialize, scratch_tables
 from veracity.spec import CheckSpec, build_specs
 
 
+#: What a task raises because of the values it met.  Failures of the cluster have other classes.
+DATA_ERRORS = (E.ArithmeticException, E.ArrayIndexOutOfBoundsException, E.DateTimeException, E.NumberFormatException,
+               E.SparkRuntimeException, E.SparkUpgradeException, E.PythonException, E.IllegalArgumentException)
+
+
 def _describe_error(exc: BaseException) -> str:
     return str(exc).strip() or type(exc).__name__
 
@@ -179,41 +185,35 @@ class Suite:
                 source = df.persist(StorageLevel.MEMORY_AND_DISK)
                 ours = True
             try:
-                try:
-                    rows = self.results(source).collect()
-                except Exception:
-                    rows = self._run_isolated(source)
+                rows = self._collect(source, self.specs, written=source is not df)
             finally:
                 if ours:
                     source.unpersist()
-            return spark.createDataFrame(rows, R.RESULTS_SCHEMA)
-
-    def _run_isolated(self, df: DataFrame) -> list:
-        """Check-by-check execution after a runtime failure of the fused job."""
-        total = None
-        rows = []
-        for spec in self.specs:
-            one = Suite([spec], base_dir=self.base_dir, references=self.references)
-            try:
-                got = one.results(df).collect()
-            except Exception as exc:
-                if total is None:
-                    total = df.count()
-                row = (
-                    df.sparkSession.range(1)
-                    .selectExpr(f"{R.error_result(spec, 0, str(int(total)), _describe_error(exc))} AS __r")
-                    .select("__r.*")
-                    .collect()
-                )
-                got = row
-            rows.extend(got)
-        ordinal = {s.name: i for i, s in enumerate(self.specs)}
-        fixed = []
-        for r in rows:
-            d = r.asDict()
-            d[R.ORDINAL] = ordinal[d["check_name"]]
-            fixed.append(tuple(d[c] for c in R.RESULT_COLUMNS + [R.ORDINAL]))
-        return fixed
+            ordinal = {s.name: i for i, s in enumerate(self.specs)}
+            rows = [(*r[:-1], ordinal[r["check_name"]]) for r in rows]
+            return spark.createDataFrame(sorted(rows, key=lambda r: r[-1]), R.RESULTS_SCHEMA)
+
+    def _collect(self, df: DataFrame, specs: list[CheckSpec], written: bool) -> list:
+        """Rows for ``specs``; where data breaks the plan, its halves, until the check at fault stands alone.
+
+        A suite of n checks with f faulty ones takes about 2 f log2(n) plans.  The
+        input is written before the first of them, so they read files, and a
+        failure of the input itself is raised.  Anything that is no fault of
+        the data (a lost executor, a full disk, a cancelled job) is raised as it is.
+        """
+        part = Suite(specs, base_dir=self.base_dir, references=self.references)
+        try:
+            return part.results(df).collect()
+        except DATA_ERRORS as exc:
+            error = exc
+        if not written:
+            df = materialize(df, "suite-input")
+        if len(specs) == 1:
+            total = int(df.count())
+            row = R.error_result(specs[0], 0, str(total), _describe_error(error))
+            return df.sparkSession.range(1).selectExpr(f"{row} AS __r").select("__r.*").select(*R.RESULT_COLUMNS, R.ORDINAL).collect()
+        middle = len(specs) // 2
+        return self._collect(df, specs[:middle], True) + self._collect(df, specs[middle:], True)
 
 
 def keyed_items(compiled: Iterable[tuple[int, CheckSpec, object]]) -> dict[str, list]:

@@ -9,6 +9,7 @@ nor a SQL DOUBLE column round-trips them reliably.
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +32,7 @@ LOG_SCHEMA = T.StructType(
     ]
 )
 LOG_PARTITION = "run_date"
+ATTEMPT = "attempt"
 
 
 def sanitize(results: DataFrame) -> DataFrame:
@@ -138,46 +140,48 @@ def append_results_log(
     kind: str = "parquet",
     jdbc_properties: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Append one run to the results log (idempotent per ``run_id`` and run date) and return its rows.
-
-    ``kind``: ``parquet`` (``target`` is a path) or ``table`` (catalog
-    table, created on first append), both partitioned by ``run_date``; or
-    ``jdbc`` (``target`` is ``url|table``; rows are coalesced to one
-    partition so the append commits in one transaction).
+    """Append one run to the results log and return its rows.
+
+    ``kind``: ``parquet`` (``target`` is a folder) or ``table`` (a catalog table,
+    created on first append).  The rows are written as an *attempt* of their
+    own; the run counts once a line naming the attempt is in the ledger
+    (``<target>/ledger`` or the table ``<target>_ledger``).  Both writes only add
+    files, so a writer lost on the way leaves the log as it was, and a run
+    repeated under its id, on whatever date, takes the place of its earlier
+    attempt: ``read_results_log`` shows the last committed one.
+
+    ``jdbc`` (``target`` is ``url|table``) is a plain append in one transaction:
+    a run repeated there is there twice.
     """
     rows = with_run_columns(results, run_id, run_ts, data_source)
-    if kind in ("parquet", "table"):
-        # Partitioned by run date (history queries over a date range read only
-        # those folders, however long the log grows) and by run id, written
-        # with dynamic partition overwrite: re-running a failed or repeated
-        # run replaces its own partition instead of appending duplicates.
-        # One run is one row per check: a single file per run keeps the log
-        # free of small files however many runs accumulate.
-        dated = rows.withColumn(LOG_PARTITION, F.to_date("run_ts")).coalesce(1)
-        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        catalog = results.sparkSession.catalog
-        if kind == "parquet":
-            writer.partitionBy(LOG_PARTITION, "run_id").parquet(target)
-        elif catalog.tableExists(target):
-            # insertInto replaces only this run's partition; saveAsTable would replace the table.  It takes the
-            # overwrite mode from the session alone, so that is set for this one write.
-            conf, mode = results.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
-            before = conf.get(mode)
-            conf.set(mode, "dynamic")
-            try:
-                dated.select(*results.sparkSession.table(target).columns).write.insertInto(target, overwrite=True)
-            finally:
-                conf.set(mode, before)
-        else:
-            dated.write.partitionBy(LOG_PARTITION, "run_id").saveAsTable(target)
-    elif kind == "jdbc":
+    if kind == "jdbc":
         url, _, table = target.partition("|")
         rows.coalesce(1).write.jdbc(url, table, mode="append", properties=dict(jdbc_properties or {}))
-    else:
+        return rows
+    if kind not in ("parquet", "table"):
         raise ValueError(f"unknown results log kind '{kind}'")
+    spark, attempt = results.sparkSession, uuid.uuid4().hex
+    # One run is one row per check: a single file, in the folder of its date, so history over a range of dates reads only that.
+    dated = rows.withColumn(LOG_PARTITION, F.to_date("run_ts")).withColumn(ATTEMPT, F.lit(attempt)).coalesce(1)
+    writer = dated.write.mode("append").partitionBy(LOG_PARTITION)
+    line = spark.range(1, numPartitions=1).select(F.lit(run_id).alias("run_id"), F.lit(attempt).alias(ATTEMPT),
+                                                  F.current_timestamp().alias("committed"))
+    if kind == "parquet":
+        writer.parquet(f"{target.rstrip('/')}/rows")
+        line.write.mode("append").parquet(f"{target.rstrip('/')}/ledger")
+    else:
+        writer.saveAsTable(target)
+        line.write.mode("append").saveAsTable(f"{target}_ledger")
     return rows
 
 
-def read_results_log(spark: SparkSession, path: str) -> DataFrame:
-    """The log with its declared schema and column order (partition columns included)."""
-    return spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_SCHEMA.fieldNames())
+def read_results_log(spark: SparkSession, target: str, kind: str = "parquet") -> DataFrame:
+    """The last committed attempt of every run, with the log's declared columns."""
+    if kind == "table":
+        rows, ledger = spark.table(target), spark.table(f"{target}_ledger")
+    else:
+        schema = T.StructType([*LOG_SCHEMA.fields, T.StructField(ATTEMPT, T.StringType())])
+        rows = spark.read.schema(schema).parquet(f"{target.rstrip('/')}/rows")
+        ledger = spark.read.schema(f"run_id string, {ATTEMPT} string, committed timestamp").parquet(f"{target.rstrip('/')}/ledger")
+    last = ledger.groupBy("run_id").agg(F.max_by(ATTEMPT, F.struct("committed", ATTEMPT)).alias(ATTEMPT))
+    return rows.join(last, ["run_id", ATTEMPT], "left_semi").select(*LOG_SCHEMA.fieldNames())
