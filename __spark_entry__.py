@@ -16,6 +16,7 @@ import os
 import sys
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from veracity import Suite, compact  # noqa: E402
 from veracity.operators import synth  # noqa: E402
-from veracity.operators.clean import EMAIL_PATTERN, clean_transactions  # noqa: E402
+from veracity.operators.clean import EMAIL_PATTERN, ClampMin, apply_rules, clean_transactions  # noqa: E402
 from veracity.operators.dedup import keep_latest  # noqa: E402
 from veracity.operators.drilldown import failing_rows, preview  # noqa: E402
 from veracity.operators.extensions import castable_check, gate_split, repair_audit  # noqa: E402
@@ -35,7 +36,7 @@ from veracity.plans.fixtures import transactions_from_orders  # noqa: E402
 from veracity.plans.flow import check_transactions, clean_and_dedup, standard_suite  # noqa: E402
 from veracity.session import materialize, scratch_path  # noqa: E402
 from veracity.sources import sinks  # noqa: E402
-from veracity.sources.readers import read_table  # noqa: E402
+from veracity.sources.readers import read_dir_or_file, read_parquet, read_table, read_with_single_file_fallback  # noqa: E402
 from veracity.streaming.microbatch import run_running_results, run_suite_on_stream  # noqa: E402
 from veracity.streaming.state import check_stream_so_far  # noqa: E402
 
@@ -337,6 +338,54 @@ def q_report_roundtrip(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+REPORT_TS = "2024-01-01 00:00:00"
+
+
+def q_report_entries(spark, sf):
+    """What a reader of the report sees: every entry of the JSON and the CSV report, read back."""
+    base = scratch_path(spark, "report-entries")
+    written = sinks.write_report(Suite(FUSED + UNIQUENESS).results(_txn(spark, sf)), base, ("json", "csv"), REPORT_TS)
+    schema = "check_name string, timestamp timestamp, status string, metric double, message string, parameters string, details string, ordinal int"
+    parts = [sinks.read_results(spark, path, fmt, schema).withColumn("format", F.lit(fmt)) for fmt, path in written.items()]
+    return _wall_clock(parts[0].unionByName(parts[1]), "timestamp").withColumn("metric", F.round("metric", 6)).withColumn(
+        "details", F.regexp_replace("details", '"violations":.*"total_rows"', '"total_rows"'))
+
+
+def q_log_for_dashboard(spark, sf):
+    """The log's rows in the layout of the table that dashboards read."""
+    rows = sinks.with_run_columns(Suite(FUSED).results(_txn(spark, sf)), "run-1", REPORT_TS, "txn")
+    return _wall_clock(sinks.for_table(rows), "dq_check_timestamp", "check_run_timestamp").withColumn("metric", F.round("metric", 6)).drop("details")
+
+
+def q_reader_fallbacks(spark, sf):
+    """A missing path falls back to the single file beside it; a missing folder to the file inside; a present one is read."""
+    base = scratch_path(spark, "fallbacks")
+    _t(spark, sf, "customer").write.parquet(f"{base}/data/synthetic_data.parquet")
+    _t(spark, sf, "nation").write.parquet(f"{base}/parts")
+    found = {"beside": read_with_single_file_fallback(spark, f"{base}/data/missing"),
+             "inside": read_dir_or_file(spark, f"{base}/data/nothing", "../synthetic_data.parquet"),
+             "folder": read_dir_or_file(spark, f"{base}/parts"),
+             "third": read_parquet(spark, [f"{base}/no", f"{base}/none", f"{base}/parts"])}
+    counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("source"), "n") for name, df in found.items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def q_failing_rows_none(spark, sf):
+    """Drill-down where nothing fails, and on a table without rows: no rows, the table's columns."""
+    impossible = _c("price_floor", "validity", "range", column="price", min_value=-1e15)
+    none = failing_rows(_txn(spark, sf), impossible)
+    return none.unionByName(failing_rows(_txn(spark, sf).limit(0), FUSED[4]))
+
+
+def q_clean_clamp_types(spark, sf):
+    """A fractional bound on integer, decimal and floating columns, which keep their types."""
+    li = _t(spark, sf, "lineitem")
+    typed = li.select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("int").alias("n"),
+                      F.col("l_extendedprice").cast("decimal(12,1)").alias("d"), F.col("l_discount").alias("x"))
+    out = apply_rules(typed, [ClampMin("n", 10.5), ClampMin("d", 20000.25), ClampMin("x", 0.045)])
+    return out.withColumn("types", F.lit(",".join(t for _, t in out.dtypes[2:]))).withColumn("d", F.col("d").cast("double"))
+
+
 RUNS = (("run-raw", "2024-01-01 00:00:00"), ("run-clean", "2024-01-01 00:05:00"))
 
 
@@ -603,6 +652,11 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "failing_rows_preview": q_failing_rows_preview,
     "failing_rows_ref": q_failing_rows_ref,
     "report_roundtrip": q_report_roundtrip,
+    "report_entries": q_report_entries,
+    "log_for_dashboard": q_log_for_dashboard,
+    "reader_fallbacks": q_reader_fallbacks,
+    "failing_rows_none": q_failing_rows_none,
+    "clean_clamp_types": q_clean_clamp_types,
     "results_log_runs": q_results_log_runs,
     "results_log_failures": q_results_log_failures,
     "results_log_latest": q_results_log_latest,

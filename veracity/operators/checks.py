@@ -182,6 +182,11 @@ def _wrap(fn: Callable[[], Any]) -> Any:
         raise CheckError(str(exc)) from exc
 
 
+def _beyond(lo: Any, hi: Any) -> str:
+    """What lies outside the bounds given, in words."""
+    return " or ".join(words for words, bound in ((f"below {lo}", lo), (f"above {hi}", hi)) if bound is not None)
+
+
 # --- completeness ---------------------------------------------------------
 
 
@@ -205,8 +210,7 @@ def _range(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     _probe_dates(ctx, dtype, [v for v in (lo, hi) if v is not None])
     if pred is None:
         return RowCheck(F.lit(False), f"checked in '{name}' with no range given", name)
-    bounds = ", ".join(s for s in (f"min={lo}" if lo is not None else "", f"max={hi}" if hi is not None else "") if s)
-    return RowCheck(pred, f"fall outside [{bounds}] in '{name}'", name)
+    return RowCheck(pred, f"are {_beyond(lo, hi)} in '{name}'", name)
 
 
 @register("validity", "regex", params="column pattern")
@@ -294,11 +298,8 @@ def _length(df: DataFrame, spec: CheckSpec, ctx: CompileContext) -> Shape:
     pred = _wrap(lambda: P.length_violation(c, dtype, lo, hi, fixed))
     if pred is None:
         return RowCheck(F.lit(False), f"checked in '{name}' with no length constraint", name)
-    if fixed is not None:
-        text = f"fixed_length={fixed}"
-    else:
-        text = ", ".join(s for s in (f"min_length={lo}" if lo is not None else "", f"max_length={hi}" if hi is not None else "") if s)
-    return RowCheck(pred, f"have a length outside [{text}] in '{name}'", name)
+    off = f"other than {fixed}" if fixed is not None else _beyond(lo, hi)
+    return RowCheck(pred, f"have a length {off} in '{name}'", name)
 
 
 @register("format", "date_format", params="column expected_format")

@@ -10,14 +10,17 @@ extra pass.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import ROUND_CEILING, Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from veracity.functions.columns import col_ref
+from veracity.functions.columns import col_ref, column_type
 
 
 class Rule:
@@ -40,15 +43,23 @@ class Backup(Rule):
 
 @dataclass(frozen=True)
 class ClampMin(Rule):
-    """Values below ``minimum`` become ``minimum``; NULL and NaN are kept."""
+    """Values below ``minimum`` become ``minimum``; NULL and NaN are kept.
+
+    A column of integers or decimals keeps its type: it takes the least value of
+    that type which is not below ``minimum``.
+    """
 
     column: str
     minimum: float = 0.0
 
     def build(self, current, original):
-        c = current[self.column]
-        whole = float(self.minimum).is_integer()  # a whole bound leaves integer and decimal columns their type
-        least = F.lit(int(self.minimum) if whole else self.minimum)
+        c, dtype = current[self.column], original.type(self.column)
+        least = F.lit(self.minimum)
+        if isinstance(dtype, T.IntegralType):
+            least = F.lit(math.ceil(self.minimum)).cast(dtype)
+        elif isinstance(dtype, T.DecimalType):
+            step = Decimal(1).scaleb(-dtype.scale)
+            least = F.lit(str(Decimal(str(self.minimum)).quantize(step, ROUND_CEILING))).cast(dtype)
         return {self.column: F.when(c < least, least).otherwise(c)}
 
 
@@ -103,6 +114,8 @@ def apply_rules(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     def original(name: str) -> Column:
         return col_ref(df, name)
 
+    original.type = lambda name: column_type(df, name) if name in existing else None
+
     class _View(dict):
         def __missing__(self, key):
             return lookup(key)

@@ -13,8 +13,9 @@ A config is a mapping (YAML or JSON text, or a dict) with
 * optional ``reporting`` — ``output_formats`` (default ``["json"]``),
   ``report_dir``, ``report_filename_prefix``;
 * optional ``database_logging`` — ``enabled``, and where to append: ``path``
-  (Parquet), ``jdbc_url`` + ``table_name``, or just ``table_name`` (catalog
-  table).
+  (Parquet), ``jdbc_url`` + ``table_name`` (a JDBC URL in the environment variable
+  ``DB_CONNECTION_STRING`` comes before ``jdbc_url``; ``columns`` maps the table's
+  columns to the log's), or just ``table_name`` (catalog table).
 
 Reading the config file is the only driver-side I/O; everything else is a
 DataFrame job.
@@ -40,6 +41,11 @@ from veracity.sources import sinks
 from veracity.sources.readers import read_with_single_file_fallback
 
 
+# Where existing configs expect the log.
+LOG_TABLE = "dq_results_log"
+CONNECTION_VARIABLE = "DB_CONNECTION_STRING"
+
+
 def parse_config(text: str) -> dict:
     """YAML when PyYAML is installed (JSON is valid YAML), JSON otherwise."""
     try:
@@ -112,13 +118,13 @@ def run_config(
         sinks.write_report(results, f"{folder}/{prefix}_{stamp}", reporting.get("output_formats", ["json"]), run_ts)
     logging = config.get("database_logging") or {}
     if logging.get("enabled"):
+        table = logging.get("table_name", LOG_TABLE)
+        url = os.environ.get(CONNECTION_VARIABLE) or logging.get("jdbc_url")
         if logging.get("path"):
             sinks.append_results_log(results, _resolve(logging["path"], base_dir), run_id, run_ts, source)
-        elif logging.get("jdbc_url"):
-            target = f"{logging['jdbc_url']}|{logging.get('table_name', 'dq_results_log')}"
-            sinks.append_results_log(results, target, run_id, run_ts, source, kind="jdbc",
-                                     jdbc_properties=logging.get("properties"))
+        elif url:
+            sinks.append_results_log(results, f"{url}|{table}", run_id, run_ts, source, kind="jdbc",
+                                     jdbc_properties=logging.get("properties"), jdbc_columns=logging.get("columns"))
         else:
-            sinks.append_results_log(results, logging.get("table_name", "dq_results_log"), run_id, run_ts,
-                                     source, kind="table")
+            sinks.append_results_log(results, table, run_id, run_ts, source, kind="table")
     return results

@@ -29,7 +29,7 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not configured:
         master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        if master != "local" and not master.startswith("local["):  # local-cluster has executors of its own
             raise NoSharedFolder(f"set spark.checkpoint.dir to a folder all executors share (master is '{master}')")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="veracity-checkpoints-"))
         configured = spark.sparkContext.getCheckpointDir()

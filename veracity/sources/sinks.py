@@ -130,6 +130,19 @@ def write_report(
     return written
 
 
+# The columns of the log table that existing dashboards read, and what fills them.
+DASHBOARD_COLUMNS = {
+    "check_name": "check_name", "dq_check_timestamp": "run_ts", "status": "status", "metric": "metric", "message": "message",
+    "parameters": "parameters", "details": "details", "data_source": "data_source", "pipeline_run_id": "run_id",
+    "check_run_timestamp": "run_ts",
+}
+
+
+def for_table(rows: DataFrame, columns: Mapping[str, str] = DASHBOARD_COLUMNS) -> DataFrame:
+    """Log rows in the layout of an existing table: its column names, each from one of ours."""
+    return rows.select(*[F.col(ours).alias(theirs) for theirs, ours in columns.items()])
+
+
 def append_results_log(
     results: DataFrame,
     target: str,
@@ -139,6 +152,7 @@ def append_results_log(
     *,
     kind: str = "parquet",
     jdbc_properties: Mapping[str, str] | None = None,
+    jdbc_columns: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Append one run to the results log and return its rows.
 
@@ -151,11 +165,13 @@ def append_results_log(
     attempt: ``read_results_log`` shows the last committed one.
 
     ``jdbc`` (``target`` is ``url|table``) is a plain append in one transaction:
-    a run repeated there is there twice.
+    a run repeated there is there twice.  ``jdbc_columns`` maps the columns of
+    an existing table to ours (``for_table``).
     """
     rows = with_run_columns(results, run_id, run_ts, data_source)
     if kind == "jdbc":
         url, _, table = target.partition("|")
+        rows = for_table(rows, jdbc_columns) if jdbc_columns else rows
         rows.coalesce(1).write.jdbc(url, table, mode="append", properties=dict(jdbc_properties or {}))
         return rows
     if kind not in ("parquet", "table"):
