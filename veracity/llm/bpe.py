@@ -3,9 +3,16 @@
 The leaves of the tree hold the merge rank of each adjacent pair of symbols
 (with its position, so equal ranks go to the left); every inner node holds the
 least of its two children.  The root is the next merge; a merge changes three
-leaves, each updated in logarithmic time, until no mergeable pair is left.  A
-text is first cut at special tokens and into pretokens, as the vocabulary file
-prescribes; recurring pretokens are remembered in bounded tables.
+leaves, each updated in logarithmic time, until no mergeable pair is left.  The
+trees of many short pretokens are kept as rows of one numpy array and worked on
+together, one merge a row at a time; a long one has a tree of its own.  A text is first cut at special tokens and into pretokens, as the vocabulary file
+prescribes.
+
+A slice of texts is cut at every space between two characters that are no white
+space, where a pretoken always begins.  The pieces are made distinct by 64-bit
+hash in numpy; each is encoded and decoded once, and the ids and bytes of the
+texts are gathered from them.  Recurring pieces and pretokens are remembered in
+bounded tables, of which the older is forgotten when the newer is full.
 
 The vocabulary is read on the driver from a path given as a parameter and has
 a fixed size, so it is broadcast.
@@ -27,11 +34,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from veracity.llm.columns import doc_columns
-from veracity.llm.words import arrow_map
+from veracity.llm.words import RangeHash, _bytes_of, _seeded, arrow_map, segments
 
 #: Fixed value: how byte-level vocabularies split text before merging.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MAX_PRETOKENS, MAX_UNITS = 320_000, 160_000
+MAX_KEPT, KEPT_BYTES = 250_000, 64
+ROWS_AT_ONCE = 1 << 14
 _NONE = 1 << 62
 
 
@@ -43,6 +51,59 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
+_SPACES = np.zeros(256, dtype=bool)
+_SPACES[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    """Places of spaces whose neighbours, in UTF-8, are no white space."""
+    at = np.flatnonzero(data == 0x20)
+    at = at[(at > 2) & (at < len(data) - 3)]
+    at = at[~_SPACES[data[at - 1]] & ~_SPACES[data[at + 1]]]
+    if not len(at) or not (data > 0x7F).any():
+        return at
+    wide = np.zeros(len(at), dtype=bool)
+    before, after = (data[at - 3], data[at - 2], data[at - 1]), (data[at + 1], data[at + 2], data[at + 3])
+    for x, y in (before[1:], after[:2]):
+        wide |= (x == 0xC2) & ((y == 0x85) | (y == 0xA0))
+    for x, y, z in (before, after):
+        wide |= (x == 0xE1) & (y == 0x9A) & (z == 0x80)
+        wide |= (x == 0xE2) & (y == 0x80) & ((z >= 0x80) & (z <= 0x8A) | (z == 0xA8) | (z == 0xA9) | (z == 0xAF))
+        wide |= (x == 0xE2) & (y == 0x81) & (z == 0x9F)
+        wide |= (x == 0xE3) & (y == 0x80) & (z == 0x80)
+    return at[~wide]
+
+
+def _gathered(parts: list[bytes], dtype: str, which: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The values of ``parts[which]`` one after the other, and where each document ends in that (``first``: its first unit)."""
+    flat = np.frombuffer(b"".join(parts), dtype=dtype)
+    sizes = np.array(list(map(len, parts)), dtype=np.int64) // flat.itemsize
+    counts = sizes[which]
+    ends = np.concatenate([[0], np.cumsum(counts)])
+    shift = (np.cumsum(sizes) - sizes)[which] - ends[:-1]  # from a place in the result to one in ``flat``
+    return flat[np.repeat(shift, counts) + np.arange(ends[-1])], ends[first]
+
+
+class Remembered:
+    """Two bounded tables; what is still in use comes back from the older one."""
+
+    def __init__(self, limit: int):
+        self.limit, self.new, self.old = limit, {}, {}
+
+    def get(self, key):
+        value = self.new.get(key)
+        if value is None:
+            value = self.old.get(key)
+            if value is not None:
+                self.put(key, value)
+        return value
+
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.limit:
+            self.new, self.old = {}, self.new
+        self.new[key] = value
+
+
 class Bpe:
     """Encoder and decoder for one byte-level vocabulary (the JSON text of a tokenizer file)."""
 
@@ -56,10 +117,16 @@ class Bpe:
         self.first = [0] * 256
         for char, b in byte.items():
             self.first[b] = vocab[char]
-        self.merges = {}
+        self.merges: dict[int, tuple[int, int]] = {}
         for rank, pair in enumerate(model["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges[vocab[left], vocab[right]] = (rank << 32, vocab[left + right])
+            self.merges[vocab[left] << 32 | vocab[right]] = (rank << 32, vocab[left + right])
+        #: Rank of two single bytes, by both of them.
+        self.bytes_rank = [self.merges.get(self.first[i >> 8] << 32 | self.first[i & 255], (_NONE,))[0] for i in range(1 << 16)]
+        self.first_of = np.array(self.first, dtype=np.int64)
+        self.rank_of_bytes = np.array(self.bytes_rank, dtype=np.int64)
+        self.pair_keys = np.array(sorted(self.merges), dtype=np.int64)
+        self.pair_ranks, self.pair_made = np.array([self.merges[k] for k in self.pair_keys.tolist()], dtype=np.int64).reshape(-1, 2).T.copy()
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text = [b""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for token, i in vocab.items():
@@ -69,22 +136,20 @@ class Bpe:
         names = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.split = regex.compile(PRETOKEN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
-        # Cutting at every space is safe unless a run of white space holds an inner space or ends the text with one.
-        self.unsafe = regex.compile(r"\p{White_Space} (?:\p{White_Space}|\Z)")
-        self.pretokens: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
+        self.pretokens, self.units = Remembered(MAX_KEPT), Remembered(MAX_KEPT)
 
-    def merge(self, symbols: list[int]) -> list[int]:
+    def merge(self, raw: bytes) -> list[int]:
         """All merges of one pretoken, lowest rank first, leftmost among equals."""
-        n = len(symbols)
+        n, first = len(raw), self.first
+        symbols = [first[b] for b in raw]
         if n < 2:
             return symbols
-        merges, leaves = self.merges, 1 << (n - 2).bit_length() if n > 2 else 1
+        merges, ranks, leaves = self.merges, self.bytes_rank, 1 << (n - 2).bit_length() if n > 2 else 1
         tree = [_NONE] * (2 * leaves)
         for i in range(n - 1):
-            found = merges.get((symbols[i], symbols[i + 1]))
-            if found:
-                tree[leaves + i] = found[0] + i
+            rank = ranks[raw[i] << 8 | raw[i + 1]]
+            if rank != _NONE:
+                tree[leaves + i] = rank + i
         for k in range(leaves - 1, 0, -1):
             a, b = tree[2 * k], tree[2 * k + 1]
             tree[k] = a if a < b else b
@@ -93,63 +158,169 @@ class Bpe:
             i = tree[1] & 0xFFFFFFFF
             j = after[i]
             k = after[j]
-            symbols[i] = merges[symbols[i], symbols[j]][1]
+            new = symbols[i] = merges[symbols[i] << 32 | symbols[j]][1]
             symbols[j] = -1
             after[i] = k
-            changed = [(j, _NONE)]
+            here = left = _NONE
             if k < n:
                 before[k] = i
-                found = merges.get((symbols[i], symbols[k]))
-                changed.append((i, found[0] + i if found else _NONE))
-            else:
-                changed.append((i, _NONE))
+                found = merges.get(new << 32 | symbols[k])
+                if found:
+                    here = found[0] + i
+            changed = [(j, _NONE), (i, here)]
             h = before[i]
             if h >= 0:
-                found = merges.get((symbols[h], symbols[i]))
-                changed.append((h, found[0] + h if found else _NONE))
+                found = merges.get(symbols[h] << 32 | new)
+                if found:
+                    left = found[0] + h
+                changed.append((h, left))
             for at, value in changed:
                 at += leaves
                 if at >= 2 * leaves or tree[at] == value:
                     continue
                 tree[at] = value
                 while at > 1:
+                    other = tree[at ^ 1]
                     at >>= 1
-                    a, b = tree[2 * at], tree[2 * at + 1]
-                    least = a if a < b else b
+                    least = value if value < other else other
                     if tree[at] == least:
                         break
-                    tree[at] = least
+                    tree[at] = value = least
         return [s for s in symbols if s >= 0]
 
-    def _pretoken(self, text: str) -> bytes:
-        ids = self.pretokens.get(text)
-        if ids is None:
-            if len(self.pretokens) >= MAX_PRETOKENS:
-                self.pretokens.clear()
-            ids = np.array(self.merge([self.first[b] for b in text.encode()]), dtype="<u4").tobytes()
-            if len(text) < 64:
-                self.pretokens[text] = ids
-        return ids
-
-    def _unit(self, text: str) -> bytes:
-        ids = self.units.get(text)
-        if ids is None:
-            if len(self.units) >= MAX_UNITS:
-                self.units.clear()
-            ids = b"".join(map(self._pretoken, self.split.findall(text)))
-            if len(text) < 64:
-                self.units[text] = ids
-        return ids
+    def merge_all(self, raws: list[bytes]) -> list[bytes]:
+        """``merge`` for many pretokens of 2 to ``KEPT_BYTES`` bytes, as little-endian ids: one tree a row, all rows at once."""
+        out: list[bytes] = [b""] * len(raws)
+        sizes = np.array([len(r) for r in raws], dtype=np.int64)
+        width = 1 << np.ceil(np.log2(np.maximum(sizes - 1, 1))).astype(np.int64)  # leaves: a power of two for the pairs
+        for leaves in np.unique(width).tolist():
+            rows = np.flatnonzero(width == leaves)
+            for at in range(0, len(rows), ROWS_AT_ONCE):
+                some = rows[at:at + ROWS_AT_ONCE]
+                ids, ends = self._merge_rows([raws[r] for r in some], sizes[some], leaves)
+                for r, a, b in zip(some.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
+                    out[r] = ids[4 * a:4 * b]
+        return out
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rank of the merge of two symbols (none: ``_NONE``) and the symbol it makes."""
+        key = left << 32 | right
+        at = np.searchsorted(self.pair_keys, key)
+        at[at == len(self.pair_keys)] = 0
+        hit = self.pair_keys[at] == key
+        return np.where(hit, self.pair_ranks[at], _NONE), self.pair_made[at]
+
+    def _merge_rows(self, raws: list[bytes], n: np.ndarray, leaves: int) -> tuple[bytes, np.ndarray]:
+        m, column = len(raws), np.arange(leaves)
+        data = np.zeros((m, leaves + 1), dtype=np.int64)
+        data[np.repeat(np.arange(m), n), segments(n)] = np.frombuffer(b"".join(raws), dtype=np.uint8)
+        symbols = self.first_of[data]
+        ranks = self.rank_of_bytes[data[:, :-1] << 8 | data[:, 1:]]
+        tree = np.full((m, 2 * leaves), _NONE, dtype=np.int64)
+        tree[:, leaves:] = np.where((column < n[:, None] - 1) & (ranks != _NONE), ranks + column, _NONE)
+        level = leaves
+        while level > 1:
+            tree[:, level // 2:level] = np.minimum(tree[:, level:2 * level:2], tree[:, level + 1:2 * level:2])
+            level //= 2
+        after = np.tile(np.arange(1, leaves + 2), (m, 1))
+        before = np.tile(np.arange(-1, leaves), (m, 1))
+        row = np.arange(m)
+        while True:
+            root = tree[row, 1]
+            row, root = row[root != _NONE], root[root != _NONE]
+            if not len(row):
+                break
+            i = root & 0xFFFFFFFF
+            j = after[row, i]
+            k = after[row, j]
+            made = self._rank(symbols[row, i], symbols[row, j])[1]
+            symbols[row, i] = made
+            symbols[row, j] = -1
+            after[row, i] = k
+            here, left = np.full(len(row), _NONE), np.full(len(row), _NONE)
+            more = np.flatnonzero(k < n[row])
+            before[row[more], k[more]] = i[more]
+            rank = self._rank(made[more], symbols[row[more], k[more]])[0]
+            here[more] = np.where(rank != _NONE, rank + i[more], _NONE)
+            h = before[row, i]
+            some = np.flatnonzero(h >= 0)
+            rank = self._rank(symbols[row[some], h[some]], made[some])[0]
+            left[some] = np.where(rank != _NONE, rank + h[some], _NONE)
+            inside = j < leaves
+            for r, place, value in ((row, i, here), (row[inside], j[inside], _NONE), (row[some], h[some], left[some])):
+                node = place + leaves
+                tree[r, node] = value
+                for _ in range(leaves.bit_length() - 1):
+                    node = node >> 1
+                    tree[r, node] = np.minimum(tree[r, 2 * node], tree[r, 2 * node + 1])
+        kept = (symbols >= 0) & (np.arange(leaves + 1) < n[:, None])
+        return symbols[kept].astype("<u4").tobytes(), np.cumsum(kept.sum(axis=1))
+
+    def _one(self, text: str) -> bytes:
+        return np.array(self.merge(text.encode()), dtype="<u4").tobytes()
 
     def _plain(self, text: str) -> bytes:
         if self.prefix_space and text and not text.startswith(" "):
             text = " " + text
-        if self.unsafe.search(text):
-            return b"".join(map(self._pretoken, self.split.findall(text)))
-        head, *rest = text.split(" ")
-        known = self.units.get
-        return b"".join([self._unit(head) if head else b"",
-                         *[known(u) or self._unit(u) for u in map(" ".__add__, rest)]])
+        return b"".join(map(self._one, self.split.findall(text)))
+
+    def _pretokens(self, texts: set[str]) -> dict[str, tuple[bytes, bytes]]:
+        """Ids of each pretoken, and the bytes they decode to; those not remembered are merged together."""
+        known, wanted = {}, []
+        for text in texts:
+            value = self.pretokens.get(text)
+            if value is None:
+                wanted.append((text, text.encode()))
+            else:
+                known[text] = value
+        short = [(text, raw) for text, raw in wanted if 2 <= len(raw) <= KEPT_BYTES]
+        merged = dict(zip([text for text, _ in short], self.merge_all([raw for _, raw in short])))
+        pieces = self.text
+        for text, raw in wanted:
+            ids = merged.get(text)
+            if ids is None:
+                ids = self._one(text)
+            known[text] = ids, b"".join([pieces[i] for i in memoryview(ids).cast("I")])
+            if len(raw) <= KEPT_BYTES:
+                self.pretokens.put(text, known[text])
+        return known
+
+    def _units(self, raws: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """Ids of each piece of text, and the bytes they decode to."""
+        found = list(map(self.units.new.get, raws))
+        missing = [i for i, f in enumerate(found) if f is None]
+        for i in missing:
+            found[i] = self.units.get(raws[i])
+        missing = [i for i in missing if found[i] is None]
+        cut = [self.split.findall(raws[i].decode()) for i in missing]
+        known = self._pretokens({text for texts in cut for text in texts})
+        for i, texts in zip(missing, cut):
+            parts = [known[t] for t in texts]
+            found[i] = parts[0] if len(parts) == 1 else (b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts]))
+            if len(raws[i]) <= KEPT_BYTES:
+                self.units.put(raws[i], found[i])
+        return found
+
+    def encode_all(self, texts: pa.Array) -> tuple[list[np.ndarray], list[str]]:
+        """The ids of every text and what they decode to."""
+        data, offsets = _bytes_of(texts)
+        whole = data.tobytes()
+        if self.prefix_space or any(name.encode() in whole for name in self.special):
+            rows = [self.encode(t or "") for t in texts.to_pylist()]
+            return rows, [self.decode(ids.tolist()) for ids in rows]
+        if not whole:
+            return [np.zeros(0, dtype="<u4")] * len(texts), [""] * len(texts)
+        start = np.unique(np.concatenate([_cuts(data), offsets[:-1][offsets[:-1] < len(data)]]))
+        end = np.append(start[1:], len(data))
+        _, where, which = np.unique(RangeHash(_seeded(0)[0][data], 0)(start, end), return_index=True, return_inverse=True)
+        raws = [whole[a:b] for a, b in zip(start[where].tolist(), end[where].tolist())]
+        units = self._units(raws)
+        first = np.searchsorted(start, offsets)
+        ids, id_ends = _gathered([u[0] for u in units], "<u4", which, first)
+        raw, raw_ends = _gathered([u[1] for u in units], "u1", which, first)
+        spans = lambda ends: zip(ends[:-1].tolist(), ends[1:].tolist())
+        return ([ids[a:b] for a, b in spans(id_ends)],
+                [raw[a:b].tobytes().decode("utf-8", errors="replace") for a, b in spans(raw_ends)])
 
     def encode(self, text: str) -> np.ndarray:
         """Token ids, as little-endian unsigned 32-bit integers."""
@@ -169,9 +340,8 @@ _ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("d
 _CODERS: dict[str, Bpe] = {}
 
 
-def _coder(source: str) -> Bpe:
-    """One coder, with its remembered pretokens, per worker process and vocabulary."""
-    key = hashlib.sha256(source.encode()).hexdigest()
+def _coder(key: str, source: str) -> Bpe:
+    """One coder, with its remembered pieces, per worker process and vocabulary."""
     if key not in _CODERS:
         _CODERS.clear()
         _CODERS[key] = Bpe(source)
@@ -180,9 +350,7 @@ def _coder(source: str) -> Bpe:
 
 def _encode(shared, digest: bool):
     def fn(batch: pa.RecordBatch):
-        coder = _coder(shared.value)
-        rows = [coder.encode(t or "") for t in batch.column("text").to_pylist()]
-        decoded = [coder.decode(ids.tolist()) for ids in rows]
+        rows, decoded = _coder(*shared.value).encode_all(batch.column("text"))
         if not digest:
             return {"doc_id": batch.column("doc_id"), "ids": pa.array([x.astype(np.int32) for x in rows], pa.list_(pa.int32())),
                     "decoded": pa.array(decoded, pa.string())}
@@ -199,7 +367,8 @@ def encode_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
     """``doc_id, ids, decoded`` per document; with ``digest``, ``doc_id, n_tokens, ids_sha256, decoded_sha256``."""
     docs = doc_columns(docs, id_col, text_col)
     with open(vocabulary, encoding="utf-8") as f:
-        shared = docs.sparkSession.sparkContext.broadcast(f.read())
+        source = f.read()
+    shared = docs.sparkSession.sparkContext.broadcast((hashlib.sha256(source.encode()).hexdigest(), source))
     schema = ("doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digest
               else "doc_id long, ids array<int>, decoded string")
     return docs.mapInArrow(_encode(shared, digest), schema)
