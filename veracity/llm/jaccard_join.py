@@ -36,14 +36,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veracity.functions.columns import fresh_names
 from veracity.llm.bloom import maybe_in
 from veracity.llm.columns import doc_columns
 from veracity.llm.components import connected_components
-from veracity.llm.words import NULL_ID, Docs, HashIndex, RangeHash, arrow_map, lists, mix, segments, top_words
+from veracity.llm.words import NULL_ID, Docs, HashIndex, RangeHash, arrow_map, arrow_rows, lists, mix, segments, top_words
 from veracity.session import materialize, scratch_tables
 
 BLOCK, BLOCK_WORK, LEVELS = 256, 1 << 18, 6
 FREQUENT, MAX_FREQUENT, REORDERINGS, RANKED_WORDS = 12, 1 << 17, 2, 1 << 16
+BATCH_ROWS = 1000  # rows of one Arrow batch of texts: twice its bytes are held next to the heap
 LEAST_WORDS, MOST_WORDS = 4, 1 << 12  # 64-bit words of a bitmap: two bits or more for each shingle in between
 
 
@@ -394,8 +396,8 @@ def _order(spark, frequent: np.ndarray, ranks: np.ndarray, common: Commonness):
 
 def _components(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
     """``doc_id, th, n_shingles, head`` per row of ``(doc_id, text, th)``; head is the least (id, text hash) of the component."""
-    with scratch_tables() as scratch:
-        common = Commonness(*top_words(docs, RANKED_WORDS))  # fixed sizes: RANKED_WORDS words, MAX_FREQUENT shingles
+    with scratch_tables() as scratch, arrow_rows(docs.sparkSession, BATCH_ROWS):
+        common = Commonness(*top_words(docs, RANKED_WORDS, exact=False))  # fixed sizes: RANKED_WORDS words, MAX_FREQUENT shingles
         order = _order(docs.sparkSession, np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), common)
         signed = materialize(docs.mapInArrow(
             _signature(shingle, percent, order),
@@ -441,20 +443,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                      percent: int = 80) -> DataFrame:
     """``docs`` with one row, of the least id, from each component; texts without words stay.  All columns are kept."""
-    own = [F.coalesce(docs[id_col].cast("long"), F.lit(int(NULL_ID))).alias("own_ord"),
-           F.xxhash64(docs[text_col].cast("string")).alias("own_th")]
+    # Own names for everything added, whatever columns the table has.
+    o, t, n, stay, maybe = fresh_names(docs, "own_ord", "own_th", "own_rows", "own_stays", "own_maybe")
+    own = [F.coalesce(docs[id_col].cast("long"), F.lit(int(NULL_ID))).alias(o), F.xxhash64(docs[text_col].cast("string")).alias(t)]
     slim = doc_columns(docs, id_col, text_col).withColumn("th", F.xxhash64("text"))
     rows = _components(slim, shingle, percent).where("head is not null").select(
-        F.coalesce("doc_id", F.lit(int(NULL_ID))).alias("own_ord"), F.col("th").alias("own_th"), "head")
-    rows = rows.groupBy("own_ord", "own_th", "head").agg(F.count(F.lit(1)).alias("rows"))
-    is_head = (F.col("head.ord") == F.col("own_ord")) & (F.col("head.th") == F.col("own_th"))
-    decided = materialize(rows.select("own_ord", "own_th", "rows", is_head.alias("stays")), "near-duplicate-rows")
-    changed = decided.where("not stays or rows > 1")  # all other rows simply stay
-
-    keys, keyed = ["own_ord", "own_th"], docs.select("*", *own)
-    marked = maybe_in(keyed, keys, changed, flag="own_maybe")
-    sure = marked.where("not own_maybe").select(*docs.columns)
-    met = marked.where("own_maybe").join(changed, keys, "left")
-    stays = met.where("stays is null").select(*docs.columns)
-    heads = met.where("stays").dropDuplicates(keys).select(*docs.columns)
+        F.coalesce("doc_id", F.lit(int(NULL_ID))).alias(o), F.col("th").alias(t), "head")
+    rows = rows.groupBy(o, t, "head").agg(F.count(F.lit(1)).alias(n))
+    is_head = (F.col("head.ord") == F.col(o)) & (F.col("head.th") == F.col(t))
+    decided = materialize(rows.select(o, t, n, is_head.alias(stay)), "near-duplicate-rows")
+    changed = decided.where(~F.col(stay) | (F.col(n) > 1))  # all other rows simply stay
+
+    marked = maybe_in(docs.select("*", *own), [o, t], changed, flag=maybe)
+    sure = marked.where(~F.col(maybe)).select(*docs.columns)
+    met = marked.where(maybe).join(changed, [o, t], "left")
+    stays = met.where(F.col(stay).isNull()).select(*docs.columns)
+    heads = met.where(stay).dropDuplicates([o, t]).select(*docs.columns)
     return sure.unionByName(stays).unionByName(heads)

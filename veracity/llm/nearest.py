@@ -12,15 +12,16 @@
 
 The centres come from at most ``SAMPLE`` vectors (least hashes of their ids);
 every vector is indexed.  A query visits as many nearest cells as hold
-``TARGET`` of the sample's own neighbours (or ``probes``).  Cells
-are dealt into blocks of about ``BLOCK`` vectors and queries into parts, so a
+``TARGET`` of the sample's own neighbours (or ``probes``); empty cells do not
+count, and it goes on until the visited cells hold as many vectors as that
+number of average cells, and ``k`` others in any case.  Cells are dealt into blocks of about ``BLOCK`` vectors and queries into parts, so a
 vector held by a third of all rows fills many small tasks; each block returns
 its ten best per query, merged by an aggregate that never gathers more.
 
 Defined cases: null, zero or non-finite vectors take no part, nor do null ids;
 vectors of another length than the commonest are left out; a repeated id is a
-candidate for every other id, once per id and vector; extra columns are
-ignored; fewer than ``k`` candidates are all returned.
+candidate for every other id, once per id and vector, and asks with the least
+of its vectors; extra columns are ignored; fewer than ``k`` candidates are all returned.
 """
 
 from __future__ import annotations
@@ -121,17 +122,21 @@ def _code(shared):
     return run
 
 
-def _visits(shared, probes: int):
+def _visits(shared, probes: int, load: np.ndarray, least: int):
+    """Cells a query visits, nearest first: at least ``probes`` that hold something, and on until they hold ``least`` vectors."""
+
     def run(batches):
         quantizer = shared.value
         for batch in batches:
             if batch.num_rows:
                 x = _matrix(batch.column("v"), quantizer.dim)
-                cells = quantizer.cells(x, probes)
-                rows = [r.tobytes() for r in x]
-                at = np.repeat(np.arange(len(x)), cells.shape[1])
+                cells = quantizer.cells(x, len(quantizer.centres))
+                held = load[cells]
+                before = np.cumsum(held, axis=1) - held
+                wanted = (held > 0) & ((np.cumsum(held > 0, axis=1) <= probes) | (before < least))
+                rows, (at, place) = [r.tobytes() for r in x], np.nonzero(wanted)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(cells.ravel(), pa.int32()), batch.column("vec_id").take(pa.array(at)),
+                    [pa.array(cells[at, place], pa.int32()), batch.column("vec_id").take(pa.array(at)),
                      pa.array([rows[i] for i in at], pa.binary())], schema=_VISIT)
 
     return run
@@ -186,8 +191,14 @@ def nearest(table: DataFrame, query_mod: int = 100, k: int = 10, id_col: str = "
 
     coded = rows.mapInArrow(_code(shared), "cell int, vec_id long, v binary, code binary, length double, own double")
     coded = materialize(coded.dropDuplicates(["vec_id", "v"]), "vector-codes")
-    queries = rows.where(F.col("vec_id") % query_mod == 0).dropDuplicates(["vec_id"])
-    visits = queries.mapInArrow(_visits(shared, probes), "cell int, query_id long, v binary")
+    queries = rows.where(F.col("vec_id") % query_mod == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    load, own = np.zeros(len(quantizer.centres), dtype=np.int64), 1
+    for r in coded.groupBy("cell").count().collect():  # at most MAX_CENTRES rows
+        load[r["cell"]] = r["count"]
+    if not queries.isEmpty():  # vectors that share a query's id are none of its candidates
+        own = coded.where(F.col("vec_id") % query_mod == 0).groupBy("vec_id").count().agg(F.max("count")).first()[0]
+    least = max(k + own, probes * int(np.ceil(load.sum() / max(1, (load > 0).sum()))))
+    visits = queries.select("vec_id", "v").mapInArrow(_visits(shared, probes, load, least), "cell int, query_id long, v binary")
     visits = materialize(visits, "vector-visits")
     load = coded.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks")).join(
         visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / QUERY_PART).cast("long").alias("parts")), "cell")

@@ -46,6 +46,15 @@ def _index_vectors(rows: int, dim: int, seed: int) -> np.ndarray:
     return out
 
 
+def _word_index_vectors(words: np.ndarray, dim: int) -> np.ndarray:
+    """Sparse ternary rows like those of ``_index_vectors``, each from the hash of its own word: no other word moves them."""
+    out = np.zeros((len(words), dim), dtype=np.float64)
+    for i in range(4):
+        drawn = mix(words + np.uint64(2 * i + 1))
+        out[np.arange(len(words)), (drawn % np.uint64(dim)).astype(np.int64)] += np.where(drawn >> np.uint64(63), 0.5, -0.5)
+    return out
+
+
 _NEAR = pa.schema([("part", pa.int32()), ("sums", pa.binary())])
 
 
@@ -67,7 +76,7 @@ def _neighbours(shared):
             rows += batch.num_rows
         if rows:
             table = pairs.reshape(len(words) + 1, -1).astype(np.float64)
-            sums = (table + table.T)[:-1, :-1] @ _index_vectors(len(words), WORD_DIM, 3)
+            sums = (table + table.T)[:-1, :-1] @ _word_index_vectors(words, WORD_DIM)
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 16], pa.int32()), pa.array([sums.tobytes()], pa.binary())],
                                              schema=_NEAR)
 

@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veracity.functions.columns import fresh_names
 from veracity.session import materialize
 
 #: The base patterns (kind, pattern, group holding the value).
@@ -142,20 +143,20 @@ def mask_secrets(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id"
     rows = materialize(_candidates(docs, id_col, text_col, owner_col, list(repo_cols)), "secret-candidates")
     spans = _judged_spans(rows, copied).where(F.lit(copied) | ~F.col("copied")).groupBy("rid").agg(
         F.array_sort(F.collect_list(F.struct("start", "end"))).alias("mask_spans"))
-    spans = rows.select("rid", F.col("row_key").alias("mask_key")).join(spans, "rid").groupBy("mask_key").agg(
-        F.first("mask_spans").alias("mask_spans"))
+    key, found = fresh_names(docs, "mask_key", "mask_spans")
+    spans = rows.select("rid", F.col("row_key").alias(key)).join(spans, "rid").groupBy(key).agg(F.first("mask_spans").alias(found))
 
     any_match = F.lit(False)
     for _, pattern, _ in (*PATTERNS, BARE):
         any_match = any_match | F.coalesce(docs[text_col].cast("string").rlike(pattern), F.lit(False))
-    hit = docs.where(any_match).withColumn("mask_key", _row_key(docs, id_col, text_col, owner_col, list(repo_cols)))
+    hit = docs.where(any_match).withColumn(key, _row_key(docs, id_col, text_col, owner_col, list(repo_cols)))
     text, start, end = F.col(text_col).cast("string"), lambda x: x["start"], lambda x: x["end"]
     cut = F.aggregate(
-        "mask_spans", F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
+        found, F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
         lambda acc, x: F.struct(
             F.greatest(acc["at"], end(x)).alias("at"),
             F.when(start(x) >= acc["at"], F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), (start(x) - acc["at"])
                                                                           .cast("int")), F.lit(mask))).otherwise(acc["out"]).alias("out")),
         lambda acc: F.concat(acc["out"], F.substring(text, (acc["at"] + 1).cast("int"), F.length(text))))
-    done = hit.join(spans, "mask_key", "left").withColumn(text_col, F.when(F.col("mask_spans").isNull(), text).otherwise(cut))
+    done = hit.join(spans, key, "left").withColumn(text_col, F.when(F.col(found).isNull(), text).otherwise(cut))
     return docs.where(~any_match).unionByName(done.select(*docs.columns))

@@ -10,6 +10,7 @@ independent hashes.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import numpy as np
@@ -146,6 +147,21 @@ def arrow_map(fn: Callable[[pa.RecordBatch], dict | None], schema: pa.Schema,
     return run
 
 
+@contextmanager
+def arrow_rows(spark, rows: int):
+    """Python stages planned in this block get Arrow batches of at most ``rows`` rows (fewer where the session says so)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    if 0 < int(before) <= rows:
+        yield
+        return
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def segments(counts: np.ndarray) -> np.ndarray:
     """0..c-1 for each count c, concatenated."""
     total = int(counts.sum())
@@ -201,11 +217,38 @@ def _repeated_words(batch: pa.RecordBatch):
     return {"word": words[often].view(np.int64), "c": counts[often]} if often.any() else None
 
 
-def top_words(texts, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes (ascending) and counts of the ``n`` most frequent lower-cased words of all ``text``: a fixed size."""
+FLUSH_WORDS = 1 << 21
+
+
+def _all_words(batches):
+    """Every word of a task with its count, handed on whenever ``FLUSH_WORDS`` words have been read."""
+
+    def counted(parts):
+        words, counts = np.unique(np.concatenate(parts), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(counts, pa.int64())], schema=_COUNTED)
+
+    parts, held = [], 0
+    for part in byte_slices(batches):
+        parts.append(Docs(part.column("text"), lower=True).hashes())
+        held += len(parts[-1])
+        if held >= FLUSH_WORDS:
+            yield counted(parts)
+            parts, held = [], 0
+    if held:
+        yield counted(parts)
+
+
+def top_words(texts, n: int, exact: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes (ascending) and counts of the ``n`` most frequent lower-cased words of all ``text``: a fixed size.
+
+    Not ``exact``, words are counted only in slices that repeat them, which is
+    cheaper and depends on how the table is cut: enough where the words decide
+    costs and no result.
+    """
     from pyspark.sql import functions as F
 
-    counted = texts.select("text").mapInArrow(arrow_map(_repeated_words, _COUNTED), "word long, c long")
+    count = _all_words if exact else arrow_map(_repeated_words, _COUNTED)
+    counted = texts.select("text").mapInArrow(count, "word long, c long")
     rows = counted.groupBy("word").agg(F.sum("c").alias("c")).orderBy(F.desc("c"), "word").limit(n).collect()
     words = np.array([r["word"] for r in rows], dtype=np.int64).view(np.uint64)
     order = np.argsort(words)
