@@ -12,7 +12,7 @@ A slice of texts is cut at every space between two characters that are no white
 space, where a pretoken always begins.  The pieces are made distinct by 64-bit
 hash in numpy; each is encoded and decoded once, and the ids and bytes of the
 texts are gathered from them.  Recurring pieces and pretokens are remembered in
-bounded tables, of which the older is forgotten when the newer is full.
+bounded tables for the length of a task; the older is forgotten when the newer is full.
 
 The vocabulary is read on the driver from a path given as a parameter and has
 a fixed size, so it is broadcast.
@@ -38,7 +38,7 @@ from veracity.llm.words import RangeHash, _bytes_of, _seeded, arrow_map, segment
 
 #: Fixed value: how byte-level vocabularies split text before merging.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MAX_KEPT, KEPT_BYTES = 250_000, 64
+MAX_KEPT, KEPT_BYTES = 100_000, 64
 ROWS_AT_ONCE = 1 << 14
 _NONE = 1 << 62
 
@@ -136,6 +136,9 @@ class Bpe:
         names = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.split = regex.compile(PRETOKEN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+        self.forget()
+
+    def forget(self) -> None:
         self.pretokens, self.units = Remembered(MAX_KEPT), Remembered(MAX_KEPT)
 
     def merge(self, raw: bytes) -> list[int]:
@@ -359,7 +362,15 @@ def _encode(shared, digest: bool):
                 "ids_sha256": pa.array([sha(x.tobytes()) for x in rows], pa.string()),
                 "decoded_sha256": pa.array([sha(t.encode()) for t in decoded], pa.string())}
 
-    return arrow_map(fn, _DIGEST if digest else _ENCODED)
+    encode = arrow_map(fn, _DIGEST if digest else _ENCODED)
+
+    def run(batches):
+        try:
+            yield from encode(batches)
+        finally:  # the worker process lives on, for other stages too
+            _coder(*shared.value).forget()
+
+    return run
 
 
 def encode_texts(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: str = "text",

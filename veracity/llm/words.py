@@ -217,7 +217,7 @@ def _repeated_words(batch: pa.RecordBatch):
     return {"word": words[often].view(np.int64), "c": counts[often]} if often.any() else None
 
 
-FLUSH_WORDS = 1 << 21
+FLUSH_WORDS = 1 << 19
 
 
 def _all_words(batches):
