@@ -44,7 +44,8 @@ from veracity.llm.words import NULL_ID, Docs, HashIndex, RangeHash, arrow_map, a
 from veracity.session import materialize, scratch_tables
 
 BLOCK, BLOCK_WORK, LEVELS = 256, 1 << 18, 6
-FREQUENT, MAX_FREQUENT, REORDERINGS, RANKED_WORDS = 12, 1 << 17, 2, 1 << 16
+FREQUENT, MAX_FREQUENT, REORDERINGS, RANKED_WORDS = 12, 1 << 17, 1, 1 << 16
+SALTS = 16  # places in which the size of a much asked block is looked up
 BATCH_ROWS = 1000  # rows of one Arrow batch of texts: twice its bytes are held next to the heap
 LEAST_WORDS, MOST_WORDS = 4, 1 << 12  # 64-bit words of a bitmap: two bits or more for each shingle in between
 
@@ -292,6 +293,16 @@ def _settled(wanted: DataFrame, keyed: DataFrame, shingle: int, percent: int) ->
             dealt = _blocked(standing.drop("block", "blocks"))
 
 
+def _dealt(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(asker, gkey, block, part)``: the askers of a block in parts of about ``BLOCK``; and ``(gkey, block, part)``, all parts."""
+    load = pairs.groupBy("gkey", "block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts"))
+    salted = load.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+    spread = pairs.withColumn("salt", F.pmod(F.xxhash64("asker", F.lit(11)), F.lit(SALTS).cast("long")))
+    asking = spread.join(salted, ["gkey", "block", "salt"]).select(
+        "asker", "gkey", "block", _block("asker", F.col("parts")).alias("part"))
+    return asking, load.select("gkey", "block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+
+
 def _asked(wanted: DataFrame, postings: DataFrame, roots: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Where each class is placed, and ``(asker, gkey, block)``: the groups of other components it must open."""
     sizes = roots.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
@@ -313,7 +324,9 @@ def _asked(wanted: DataFrame, postings: DataFrame, roots: DataFrame, percent: in
     unions = words.groupBy("gkey", "block").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("at", "word"))), lambda x: x["word"]).alias("union_bits"))
     missing = "aggregate(zip_with(bits, union_bits, (x, y) -> bit_count(x & ~y)), 0, (s, v) -> s + v)"
-    bound = pairs.join(sets.withColumnRenamed("num", "asker"), "asker").join(unions, ["gkey", "block"]).where(  # bitmaps of unlike length (sizes astride a power of two) pass
+    asking, parts = _dealt(pairs)
+    unions = unions.join(parts, ["gkey", "block"])
+    bound = asking.join(sets.withColumnRenamed("num", "asker"), "asker").join(unions, ["gkey", "block", "part"]).where(  # bitmaps of unlike length (sizes astride a power of two) pass
         f"size(bits) <> size(union_bits) or 100 * {missing} <= n * {100 - percent}")
     return placed, materialize(bound.select("asker", "gkey", "block"), "group-pairs")
 
@@ -331,11 +344,9 @@ def linked_classes(wanted: DataFrame, postings: DataFrame, keyed: DataFrame, shi
         chosen = wanted.join(needed, "num").withColumns({"block": F.lit(0).cast("long"), "blocks": F.lit(1).cast("long")})
         sets = _whole_sets(keyed, chosen, shingle).select("num", "tokens").join(roots, "num")
 
-        load = pairs.groupBy("gkey", "block").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("parts"))
-        asking = pairs.join(load, ["gkey", "block"]).withColumn("part", _block("asker", F.col("parts"))).select(
-            "gkey", "block", "part", F.col("asker").alias("num")).join(sets, "num")
-        opened = load.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).join(
-            places, ["gkey", "block"]).join(sets, "num").select("gkey", "block", "part", "num", "root", "tokens")
+        asking, parts = _dealt(pairs)
+        asking = asking.withColumnRenamed("asker", "num").join(sets, "num")
+        opened = parts.join(places, ["gkey", "block"]).join(sets, "num").select("gkey", "block", "part", "num", "root", "tokens")
         keys = ["gkey", "block", "part"]
         asking = asking.toDF(*asking.columns)  # names of its own: both sides come from one table
         links = opened.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(_open(percent), _LINKS)
