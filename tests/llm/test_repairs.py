@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from veracity.llm import queries as Q
 from veracity.llm.bpe import KEPT_BYTES, Bpe
 from veracity.llm.jaccard_join import keep_one_of_each
+from veracity.llm.licenses import TEXTS, scan_licenses
 from veracity.llm.nearest import nearest
 from veracity.llm.quality import score_quality
 from veracity.llm.secrets import mask_secrets
@@ -97,3 +98,22 @@ def test_trees_in_rows_agree_with_one_tree():
     rng = random.Random(2)
     raws = [bytes(rng.choice(b" aeinrstlhoundTHE.123\xc3\xa9") for _ in range(rng.randrange(2, KEPT_BYTES + 1))) for _ in range(3000)]
     assert coder.merge_all(raws) == [np.array(coder.merge(r), dtype="<u4").tobytes() for r in raws]
+
+
+def test_licences_of_any_length_and_place(spark):
+    """Whole licence texts, within long texts too; a declaration inside a sentence; licence files by name; nothing where none is."""
+    rng = random.Random(4)
+    prose = lambda n: " ".join(rng.choice(["alpha", "river", "stone", "cloud", "seven", "table", "and", "of"]) for _ in range(n))
+    mit = "MIT License\n\nCopyright (c) 2020 Some One\n\n" + TEXTS["MIT"]
+    files = [
+        ("p/LICENSE", mit), ("p/src/a", "code"), ("q/LICENSE.txt", "Released under the MIT License. " + prose(500)), ("q/b", None),
+        ("r/long.md", prose(2000) + "\n" + TEXTS["BSD-3-Clause"] + "\n" + prose(9000)), ("r/c", ""),
+        ("s/d.py", "# This module, written in 2019, is licensed under the Apache License, Version 2.0, like all others\n" + prose(50)),
+        ("s/e.py", "nothing"), ("t/f.md", prose(300) + " the copyright of a river " + prose(300)), ("p/src/a", "code"),
+        *((f"u/{k}", v) for k, v in TEXTS.items())]
+    table = spark.createDataFrame([(i, p, x, "c") for i, (p, x) in enumerate(files)], "doc_id long, path string, text string, words string")
+    got = {r.doc_id: (r.licence, r.origin) for r in scan_licenses(table.repartition(3), F.col("path")).collect()}
+    assert [got[i] for i in range(10)] == [
+        ("MIT", "file"), ("MIT", "inherited"), ("MIT", "header"), ("MIT", "inherited"), ("BSD-3-Clause", "file"),
+        ("BSD-3-Clause", "inherited"), ("Apache-2.0", "header"), (None, "none"), (None, "none"), ("MIT", "inherited")]
+    assert [got[10 + i] for i in range(len(TEXTS))] == [(k, "file") for k in TEXTS]
