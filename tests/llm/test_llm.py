@@ -337,7 +337,7 @@ def test_queries_and_pipeline(spark):
     import corpus_pipeline as P
 
     sf = "/root/testdata/sf0.001"
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in Q.QUERIES} and set(Q.QUERIES) <= set(E.queries())
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in Q.QUERIES} and set(Q.QUERIES) <= set(E.queries())
     assert 4 <= len(P.STAGES) <= 5 and E.queries()["pipeline"] is P.run
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     out, at = P.run(spark, sf), docs
