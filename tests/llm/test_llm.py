@@ -14,11 +14,11 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from veracity.llm import lm_score
+from veracity.llm import decontaminate, lm_score
 from veracity.llm import queries as Q
 from veracity.llm.bpe import Bpe, encode_texts
 from veracity.llm.components import connected_components
-from veracity.llm.decontaminate import BUCKETS, COSINE, WINDOW, _search, _words, build_index, drop_leaks, find_leaks
+from veracity.llm.decontaminate import BUCKETS, COSINE, RANK, REWORDED, WINDOW, _common, _search, _words, build_index, drop_leaks, find_leaks
 from veracity.llm.jaccard_join import keep_one_of_each, near_duplicates
 from veracity.llm.licenses import scan_licenses
 from veracity.llm.lm_score import CLASSES, LogBilinear, score_texts
@@ -267,6 +267,18 @@ def test_secrets_in_copies(spark):
     assert all(r.n_copied == 0 for r in scan_secrets(many).collect())  # 3 of 33 owners
 
 
+def test_secrets_shared_surroundings_are_no_copies(spark):
+    rng = random.Random(8)
+    say = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    shared, mine = say(30), "Qk77own0000KEY"
+    texts = [(f"{say(60)} {shared} password=Ex42ample000KEY99abc {shared[::-1]} {say(60)}", f"o{i}") for i in range(20)]
+    base = f"{say(90)} password={mine} {say(90)}"
+    texts += [(base.replace(" w1", f" v{i}", 1), f"o{i}") for i in range(20)]  # near copies of one text: one vote
+    docs = spark.createDataFrame([(i, t, "en", o, len(t), "", "", "", "") for i, (t, o) in enumerate(texts)], DOCS)
+    got = {r.doc_id: (r.n_live, r.n_copied) for r in scan_secrets(docs).collect()}
+    assert [got[i] for i in range(40)] == [(0, 1)] * 20 + [(1, 0)] * 20
+
+
 def test_licenses(spark):
     files = [("a/LICENSE", "Released under the MIT License."), ("a/b/x", "int main;"), ("a/c/y", "Licensed under the Apache License, Version 2.0.\ncode"),
              ("q/z", "nothing"), (None, None), ("a/d/e/f/deep", ""), ("a/b/LICENSE", "This work is licensed under the GNU General Public License, version 3.")]
@@ -317,19 +329,80 @@ def test_decontamination_beyond_the_rank(spark):
     say = lambda n: [rng.choice(("the", "of", "and")) if rng.random() < 0.3 else f"word{rng.randrange(9000)}" for _ in range(n)]
     passages = [say(rng.randrange(15, 60)) for _ in range(2500)]
     index = build_index(_bench_of(spark, [" ".join(p) for p in passages]))
-    exact, held = index.sparse, set(index.held.tolist())
-    assert exact is not None and len(held) < 2500
+    exact, pieces = index.sparse, index.latent.shape[1]
+    assert pieces == exact.n == 2500 and index.basis.shape[1] == RANK
     texts = [" ".join([*say(25), *p, *say(25)]) for p in passages[:600]]
     found = {(d, i) for d, i, *_ in _search(index, _words(pa.array(texts)))}
     assert all((i, i) in found for i in range(600))
     term, w = windows = np.random.default_rng(1).integers(0, BUCKETS, (40, WINDOW)), np.ones((40, WINDOW))
     term[:, :20] = [[exact.cell[k] % BUCKETS for k in np.random.default_rng(j).integers(0, len(exact.cell), 20)] for j in range(40)]
-    dense = np.zeros((len(exact.items), BUCKETS))
+    dense = np.zeros((exact.n, BUCKETS))
     dense[exact.cell // BUCKETS, exact.cell % BUCKETS] = exact.value
     norm = np.sqrt(np.einsum("ij,ijk,ik->i", w, term[:, :, None] == term[:, None, :], w))
     brute = np.array([dense[:, t].sum(axis=1) for t in term]) / norm[:, None]
     near = {(i, int(j)): c for i, j, c in exact.near(*windows, norm)}
-    assert near.keys() == {(int(i), int(exact.items[j])) for i, j in zip(*np.nonzero(brute >= COSINE))}
+    assert near.keys() == {(int(i), int(j)) for i, j in zip(*np.nonzero(brute >= COSINE))}
+
+
+def topics(rng, n_topics=30, each=8):
+    """Passages whose topic has a vocabulary of its own, each with an answer of its own."""
+    words = [[f"t{t}w{i}" for i in range(14)] for t in range(n_topics)]
+    out = []
+    for t in range(n_topics):
+        for k in range(each):
+            out.append((t, [rng.choice(words[t]) for _ in range(26)], [f"answer{t}x{k}", "is", f"value{k}y{t}", "here"]))
+    return words, out
+
+
+def test_decontamination_finds_paraphrases(spark, monkeypatch):
+    rng = random.Random(31)
+    words, passages = topics(rng)
+    bench = spark.createDataFrame([(i, " ".join(p) + ". " + " ".join(a) + ".") for i, (_, p, a) in enumerate(passages)], "item_id long, text string")
+    index, texts = build_index(bench), []
+    for t, passage, answer in passages:  # reordered, half of the words replaced by others of the topic
+        mixed = [w if rng.random() < 0.5 else rng.choice(words[t]) for w in passage]
+        rng.shuffle(mixed)
+        texts.append([f"pad{rng.randrange(999)}" for _ in range(40)] + mixed + answer + [f"pad{rng.randrange(999)}" for _ in range(40)])
+    clean = [[f"pad{rng.randrange(999)}" for _ in range(60)] + rng.choices(words[t % 30], k=20) for t in range(60)]
+    assert index.basis.shape[1] < len(passages) // 2
+    shares = [_common(index.words[i], _words(pa.array([" ".join(x)])).hashes().tolist()) / len(index.words[i]) for i, x in enumerate(texts)]
+    reworded = {i for i, s in enumerate(shares) if s < 0.5}
+    assert len(reworded) > 120
+    docs = _words(pa.array([" ".join(x) for x in texts + clean]))
+    found = {(d, i) for d, i, *_ in _search(index, docs)}
+    assert all(d == i for d, i in found)
+    able = {i for i in reworded if shares[i] >= REWORDED}
+    assert len(able) > 100 and len({d for d, _ in found} & able) >= 0.9 * len(able)
+    monkeypatch.setattr(decontaminate, "MEANING", 2.0)  # without the latent space they are lost
+    assert not {d for d, *_ in _search(index, docs)} & reworded
+
+
+def test_decontamination_of_long_passages_and_texts(spark):
+    rng = random.Random(41)
+    say = lambda n, k="w": [f"{k}{rng.randrange(3000)}" for _ in range(n)]
+    passages = [say(1500), say(97), say(40), say(15)]
+    index = build_index(_bench_of(spark, [" ".join(p) for p in passages]))
+    assert [int(x) for x in np.bincount(index.passage)] == [16, 1, 1, 1]
+    texts = [" ".join([*say(9000, "x"), *p, *say(9000, "x")]) for p in passages] + [" ".join(say(20000)), "", None]
+    found = _search(index, _words(pa.array(texts)))
+    assert sorted((d, i) for d, i, *_ in found if d != 4) == [(i, i) for i in range(4)]
+    for d, i, _, share, answer in found:
+        brute = _lcs(passages[i], texts[d].split())
+        assert share * len(passages[i]) <= brute and answer <= 1
+    repeated = spark.createDataFrame([(1, texts[2], "k", 0)] * 3 + [(2, "clean", None, 1)], "doc_id long, text string, part string, rows long")
+    assert [(r.doc_id, r.item_id) for r in find_leaks(repeated, _bench_of(spark, [" ".join(p) for p in passages])).collect()] == [(1, 2)]
+    assert [r.doc_id for r in drop_leaks(repeated, _bench_of(spark, [" ".join(p) for p in passages])).collect()] == [2]
+
+
+def _lcs(a, b):
+    row = [0] * (len(a) + 1)
+    for w in b:
+        if w in a:
+            new = [0]
+            for i, x in enumerate(a):
+                new.append(row[i] + 1 if x == w else max(row[i + 1], new[i]))
+            row = new
+    return row[-1]
 
 
 def test_queries_and_pipeline(spark):

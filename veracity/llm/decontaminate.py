@@ -1,20 +1,25 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-* **Index.** Benchmark passages become TF-IDF rows over hashed terms (a fixed
-  number of buckets); a randomised SVD, its products computed by Spark over
-  the passages, gives a latent basis of at most ``RANK`` dimensions.  The
-  inverse frequencies are those of the benchmark, so a passage leaked into a
-  third of the corpus loses no weight.
+* **Index.** Benchmark passages, in pieces of about ``PIECE`` words, become
+  TF-IDF rows over hashed terms (a fixed number of buckets); a randomised SVD,
+  its products computed by Spark over the passages, gives a latent basis: the
+  fewest dimensions that hold ``ENERGY`` of the rows' squared length, at most
+  half as many as there are rows and at most ``RANK``.  The inverse frequencies
+  are those of the benchmark, so a passage leaked into a third of the corpus
+  loses no weight.
 * **Search.** Every document is cut into half-overlapping windows over its
   whole text.  A window whose weight on benchmark terms bounds its cosine
   below the threshold is passed over; the others are projected and compared
-  with all passages the basis holds by one matrix product.  Passages of which
-  it holds less than ``HELD`` (there are more than ``RANK`` of them) are
-  compared by their exact sparse TF-IDF cosine instead: their rarer terms are
-  looked up, and what the common ones could add bounds the rest.
+  with all pieces in the latent space by one matrix product; a cosine of
+  ``MEANING`` makes a candidate, so a window meets pieces whose terms go
+  together with its own.  What the reduced space hides of a piece cannot be
+  lost: the exact sparse TF-IDF cosine adds the pieces that reach ``COSINE`` by it (rarer terms are looked up, and what the
+  common ones could add bounds the rest), however large the benchmark is.
 * **Checks.** Around each candidate, the longest common subsequence with the
   passage must cover most of it, and its answer (the last sentence) must be
-  there too; a nearly complete subsequence is enough by itself.
+  there too; a nearly complete subsequence is enough by itself.  A paraphrase
+  keeps less of the order: a latent candidate is confirmed by a subsequence of
+  ``REWORDED`` and nearly the whole answer, too.
 
 A document takes part in one task only, so nothing is shuffled but matches.
 The benchmark is taken in blocks of ``BLOCK_ITEMS`` passages, each broadcast
@@ -29,6 +34,7 @@ are reported once per id; extra columns are ignored (and kept by
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -37,13 +43,15 @@ from pyspark.sql import functions as F
 from veracity.llm.columns import doc_columns
 from veracity.llm.words import LETTERS, Docs, arrow_map, byte_slices, segments
 
-BUCKETS, RANK, POWER_STEPS, WINDOW = 1 << 16, 256, 2, 32
+BUCKETS, RANK, POWER_STEPS, WINDOW = 1 << 16, 256, 3, 32
 COSINE, SUBSEQUENCE, ANSWER, NEARLY_ALL = 0.22, 0.6, 0.5, 0.85
+MEANING, REWORDED, WHOLE_ANSWER = 0.4, 0.3, 0.8
+ENERGY, PIECE = 0.6, 96
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 64 << 20
 STEP = WINDOW // 2
-HELD, COMMON, CELLS = 0.999, 1 / 64, 1 << 21
+COMMON, CELLS, SUM_TERMS, SUM_TASKS = 1 / 64, 1 << 21, 1 << 10, 8
 
-_ITEM = "item_id long, text string"
+_SUM_SCHEMA = "part int, rows long, sums binary"
 
 
 def _words(texts: pa.Array) -> Docs:
@@ -55,17 +63,27 @@ def _terms(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(20)).astype(np.int64) & (BUCKETS - 1)
 
 
+def _pieces(docs: Docs):
+    """(piece of each word, passage of each piece): passages in even pieces of about ``PIECE`` words, at least one each."""
+    n = docs.n_words
+    count = np.maximum((n + PIECE // 2) // PIECE, 1)
+    doc = docs.doc_of_word()
+    at = np.arange(len(doc)) - docs.first[doc]
+    return (np.cumsum(count) - count)[doc] + at * count[doc] // np.maximum(n, 1)[doc], np.repeat(np.arange(len(n)), count)
+
+
 def _rows(docs: Docs, idf: np.ndarray):
-    """TF-IDF rows of unit length: (row, term, value) of the distinct terms of each passage."""
-    cell, tf = np.unique(docs.doc_of_word() * BUCKETS + _terms(docs.hashes()), return_counts=True)
+    """TF-IDF rows of unit length: (row, term, value) of the distinct terms of each piece, and the passage of each row."""
+    piece, passage = _pieces(docs)
+    cell, tf = np.unique(piece * BUCKETS + _terms(docs.hashes()), return_counts=True)
     row, term = cell // BUCKETS, cell % BUCKETS
     value = tf * idf[term]
-    norm = np.sqrt(np.bincount(row, value * value, len(docs.first) - 1))
-    return row, term, value / np.maximum(norm, 1e-12)[row]
+    norm = np.sqrt(np.bincount(row, value * value, len(passage)))
+    return row, term, value / np.maximum(norm, 1e-12)[row], passage
 
 
 _DF = pa.schema([("term", pa.int32()), ("df", pa.int64())])
-_SUM = pa.schema([("part", pa.int32()), ("sums", pa.binary())])
+_SUM = pa.schema([("part", pa.int32()), ("rows", pa.int64()), ("sums", pa.binary())])
 
 
 def _df(batch: pa.RecordBatch):
@@ -76,22 +94,31 @@ def _df(batch: pa.RecordBatch):
 
 
 def _gram_product(shared):
-    """A' (A q) over the passages of a task: the one pass a randomised SVD repeats."""
+    """A' (A q) over the passages of a task, in parts of ``SUM_TERMS`` terms: the one pass a randomised SVD repeats."""
 
     def run(batches):
         used, idf, q = shared.value
-        total = np.zeros(q.shape)
+        total, n = np.zeros(q.shape), 0
         for batch in byte_slices(batches):
-            row, term, value = _rows(_words(batch.column("text")), idf)
-            term = used[term]
-            projected = np.zeros((batch.num_rows, q.shape[1]))
+            row, term, value, passage = _rows(_words(batch.column("text")), idf)
+            term, n = used[term], n + len(passage)
+            projected = np.zeros((len(passage), q.shape[1]))
             np.add.at(projected, row, value[:, None] * q[term])
             np.add.at(total, term, value[:, None] * projected[row])
-        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([total.tobytes()], pa.binary())], schema=_SUM)
+        for part, lo in enumerate(range(0, len(total), SUM_TERMS)):
+            yield pa.RecordBatch.from_arrays([
+                pa.array([part], pa.int32()), pa.array([n if part == 0 else 0], pa.int64()),
+                pa.array([total[lo:lo + SUM_TERMS].tobytes()], pa.binary())], schema=_SUM)
 
     return run
 
 
+def _sum_parts(group: pd.DataFrame) -> pd.DataFrame:
+    """Sums of one part over all tasks, added in an order of their own."""
+    sums = sum(np.frombuffer(b) for b in sorted(group["sums"]))
+    return pd.DataFrame({"part": group["part"].iloc[:1], "rows": [group["rows"].sum()], "sums": [sums.tobytes()]})
+
+
 class Index:
     """Latent basis, projected passages and the passages themselves for the checks: bounded by a block of items."""
 
@@ -101,41 +128,36 @@ class Index:
         self.idf, self.used, self.unseen = idf.astype(np.float32), used, unseen
         self.basis = np.vstack([basis, np.zeros((1, basis.shape[1]))]).astype(np.float32)  # last row: unknown terms
         docs = _words(pa.array(self.texts, pa.string()))
-        row, term, value = _rows(docs, idf)
-        latent = np.zeros((len(items), basis.shape[1]))
+        row, term, value, self.passage = _rows(docs, idf)
+        latent = np.zeros((len(self.passage), basis.shape[1]))
         np.add.at(latent, row, value[:, None] * self.basis[used[term]])
-        energy = (latent * latent).sum(axis=1, keepdims=True)
-        held = energy[:, 0] >= HELD
-        self.held = np.flatnonzero(held)
-        self.latent = (latent[held] / energy[held]).T.astype(np.float32)
-        self.sparse = Sparse(np.flatnonzero(~held), row, term, value) if not held.all() else None
+        self.latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-12)).T.astype(np.float32)
+        self.sparse = Sparse(len(self.passage), row, term, value)
         hashes = docs.hashes()
         self.words = [hashes[lo:hi].tolist() for lo, hi in zip(docs.first[:-1], docs.first[1:])]
         self.answers = [_answer(text, len(w)) for text, w in zip(self.texts, self.words)]
 
 
 class Sparse:
-    """Exact cosines of windows to the passages ``items``, whose rows are given: postings of a bounded number of items."""
+    """Exact cosines of windows to the ``n`` pieces whose rows are given: postings of a bounded number of pieces."""
 
-    def __init__(self, items: np.ndarray, row: np.ndarray, term: np.ndarray, value: np.ndarray):
-        mine = np.isin(row, items)
-        row, term, value = np.searchsorted(items, row[mine]), term[mine], value[mine]
-        self.items, self.cell, self.value = items, row * BUCKETS + term, value  # cells ascend
+    def __init__(self, n: int, row: np.ndarray, term: np.ndarray, value: np.ndarray):
+        self.n, self.cell, self.value = n, row * BUCKETS + term, value  # cells ascend
         order = np.argsort(term, kind="stable")
         self.posted, self.weight = row[order], value[order]
         self.first = np.searchsorted(term[order], np.arange(BUCKETS + 1))
-        self.common = np.diff(self.first) > max(16, COMMON * len(items))
-        self.rest = np.sqrt(np.bincount(row, np.where(self.common[term], value * value, 0), len(items)))
+        self.common = np.diff(self.first) > max(16, COMMON * n)
+        self.rest = np.sqrt(np.bincount(row, np.where(self.common[term], value * value, 0), n))
 
     def near(self, term: np.ndarray, w: np.ndarray, norm: np.ndarray):
-        """(window, item, cosine) of all that reach the threshold; rows of ``term`` and ``w`` are windows."""
-        at, width = [], max(1, CELLS // len(self.items))
+        """(window, piece, cosine) of all that reach the threshold; rows of ``term`` and ``w`` are windows."""
+        at, width = [], max(1, CELLS // self.n)
         for lo in range(0, len(term), width):
-            at += [(lo + i, self.items[j], c) for i, j, c in self._near(term[lo:lo + width], w[lo:lo + width], norm[lo:lo + width])]
+            at += [(lo + i, j, c) for i, j, c in self._near(term[lo:lo + width], w[lo:lo + width], norm[lo:lo + width])]
         return at
 
     def _near(self, term, w, norm):
-        n, common = len(self.items), self.common[term]
+        n, common = self.n, self.common[term]
         spare = np.sqrt((np.where(common, w, 0) * _alike(term, w)).sum(axis=1))  # length of a window's common part
         full = spare * self.rest.max() >= COSINE * norm  # common terms alone could reach the threshold
         spare = np.where(full, 0, spare)
@@ -209,22 +231,24 @@ def _search(index: Index, docs: Docs):
         rows = np.where(inside, index.used[term[place]], len(index.basis) - 1)
         latent = np.einsum("ij,ijk->ik", w, index.basis[rows])
         cosine = (latent @ index.latent) / np.maximum(norm, 1e-9)[:, None]
-        i, j = np.nonzero(cosine >= COSINE)
-        near = list(zip(i, index.held[j], cosine[i, j]))
-        if index.sparse is not None:
-            near += index.sparse.near(term[place], w.astype(np.float64), norm)
-        for i, item, c in near:
-            found.setdefault((int(doc[at + i]), int(item)), []).append((float(c), int(a[i]), int(b[i])))
+        i, j = np.nonzero(cosine >= MEANING)
+        near = zip(i.tolist(), j.tolist(), cosine[i, j].tolist())
+        for latent_hit, hits in ((True, near), (False, index.sparse.near(term[place], w.astype(np.float64), norm))):
+            for i, j, c in hits:
+                best = found.setdefault((int(doc[at + i]), int(index.passage[j])), {}).setdefault((int(a[i]), int(b[i])), [0.0, 0.0])
+                best[not latent_hit] = max(best[not latent_hit], c)
     out = []
     for (d, item), hits in found.items():
         passage, best = index.words[item], None
-        for cosine, a, b in hits:
+        for (a, b), (latent, exact) in sorted(hits.items(), key=lambda hit: (-max(hit[1]), hit[0])):
             region = hashes[max(docs.first[d], a - len(passage)):min(docs.first[d + 1], b + len(passage))].tolist()
             share = _common(passage, region) / len(passage)
-            if share >= SUBSEQUENCE and (best is None or share > best[1]):
+            if share >= (REWORDED if latent else SUBSEQUENCE) and (best is None or share > best[1]):
                 answer = _common(passage[-index.answers[item]:], region) / index.answers[item]
-                if answer >= ANSWER or share >= NEARLY_ALL:
-                    best = (cosine, share, answer)
+                if share >= NEARLY_ALL or answer >= (ANSWER if share >= SUBSEQUENCE else WHOLE_ANSWER):
+                    best = (max(latent, exact), share, answer)
+                    if share >= NEARLY_ALL:
+                        break
         if best:
             out.append((d, item, *best))
     return out
@@ -251,15 +275,21 @@ def build_index(items: DataFrame) -> Index | None:
     if not df.any():
         return None
     idf = np.where(df > 0, np.log(1 + len(rows) / np.maximum(df, 1)), 0)
-    used = np.full(BUCKETS, int((df > 0).sum()))
-    used[df > 0] = np.arange(int((df > 0).sum()))
     terms = int((df > 0).sum())
-    q = np.linalg.qr(np.random.default_rng(23).normal(size=(terms, min(RANK, len(rows), terms))))[0]
+    used = np.full(BUCKETS, terms)
+    used[df > 0] = np.arange(terms)
+    q = np.linalg.qr(np.random.default_rng(23).normal(size=(terms, min(RANK, terms))))[0]
     for _ in range(POWER_STEPS):
         shared = spark.sparkContext.broadcast((used, idf, q))
-        parts = items.select("text").mapInArrow(_gram_product(shared), "part int, sums binary").coalesce(8).collect()
-        total = sum(np.frombuffer(r["sums"]).reshape(q.shape) for r in parts)
-        q = np.linalg.qr(total)[0]
+        parts = items.select("text").coalesce(SUM_TASKS).mapInArrow(_gram_product(shared), _SUM_SCHEMA)
+        parts = parts.groupBy("part").applyInPandas(_sum_parts, _SUM_SCHEMA).orderBy("part").collect()  # one matrix like q
+        shared.unpersist()
+        total = np.concatenate([np.frombuffer(r["sums"]) for r in parts]).reshape(q.shape)
+        energy, turn = np.linalg.eigh(q.T @ total)
+        energy, q = np.maximum(energy[::-1], 0), np.linalg.qr(total @ turn[:, ::-1])[0]
+    pieces = sum(r["rows"] for r in parts)  # as many as the squared length of all rows
+    rank = int(np.searchsorted(np.cumsum(energy), ENERGY * pieces)) + 1
+    q = q[:, :max(1, min(rank, pieces // 2))]
     return Index(rows, idf, used, q, float(np.log(1 + len(rows))))
 
 
