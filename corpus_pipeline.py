@@ -21,7 +21,7 @@ from veracity.llm.jaccard_join import keep_one_of_each
 from veracity.llm.quality import keep_good
 from veracity.llm.queries import vocabulary_path
 from veracity.llm.secrets import mask_secrets
-from veracity.session import scratch_path
+from veracity.session import materialize, scratch_tables
 
 #: The rows depend on trained weights and a tokenizer, which SQL cannot express.
 ORACLE_SQL = None
@@ -56,9 +56,13 @@ STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("decontam
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    """The last stage over its predecessor's table; earlier tables, and those stages leave, go once their successor is written."""
+    with scratch_tables() as tables:
+        docs = _table(spark, sf_dir, "documents")
+        for name, stage in STAGES[:-1]:
+            before = docs
+            with scratch_tables() as own:
+                docs = own.keep(materialize(stage(spark, before, sf_dir), f"pipeline-{name}"))
+            tables.drop(before)
+        tables.keep(docs)
     return STAGES[-1][1](spark, docs, sf_dir)
