@@ -27,6 +27,7 @@ from veracity.llm.quality import keep_good, score_quality
 from veracity.llm.secrets import mask_secrets, scan_secrets
 from veracity.llm.sharding import assign_shards, write_shards
 from veracity.llm.substring_dedup import remove_repeats
+from veracity.session import list_folder, shared_dir
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, anchor string, key string, root string, num string"
 
@@ -413,7 +414,10 @@ def test_queries_and_pipeline(spark):
     assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in Q.QUERIES} and set(Q.QUERIES) <= set(E.queries())
     assert 4 <= len(P.STAGES) <= 5 and E.queries()["pipeline"] is P.run
     docs = spark.read.parquet(f"{sf}/documents.parquet")
+    kept = lambda: {x for x in list_folder(spark, shared_dir(spark)) if x.startswith("veracity-")}
+    earlier = kept()
     out, at = P.run(spark, sf), docs
+    assert [x.split("-")[:3] for x in kept() - earlier] == [["veracity", "pipeline", "secrets"]]  # what the lazy last stage reads
     assert out.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     for name, stage in P.STAGES[:-1]:
         at = stage(spark, at, sf)
