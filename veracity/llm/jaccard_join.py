@@ -33,6 +33,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -119,6 +120,24 @@ def _reordered(size: int, percent: int, shared):
     return arrow_map(fn, _PREFIX)
 
 
+def _untouched(shared):
+    """Prefix tokens of the classes whose prefix holds no frequent shingle, in place: these keep their prefix."""
+
+    def run(batches):
+        frequent = shared.value[0]
+        for batch in batches:
+            prefix = batch.column("prefix")
+            counts = np.asarray(pc.list_value_length(prefix))
+            tokens = np.asarray(prefix.flatten())
+            hot = frequent(tokens.view(np.uint64)) < len(frequent.table)
+            held = np.bincount(np.repeat(np.arange(len(counts)), counts)[hot], minlength=len(counts))
+            stays = np.repeat(held == 0, counts)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(np.asarray(batch.column("num")), counts)[stays]), pa.array(tokens[stays])], schema=_PREFIX)
+
+    return run
+
+
 def _digests(tokens: np.ndarray, counts: np.ndarray) -> list[bytes | None]:
     """128-bit digest of each set; None for an empty one."""
     some = counts > 0
@@ -372,31 +391,26 @@ def _shared_postings(classes: DataFrame, keyed: DataFrame, common: Commonness, s
     frequent, ranks = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)
     every = classes.select("num", F.explode("prefix").alias("token"))
     with scratch_tables() as scratch:
-        postings, earlier, fresh = _met(every), None, None
+        postings, fresh = _met(every), None
         for turn in range(REORDERINGS):
             hot = postings.where(F.col("held") >= FREQUENT).groupBy("token").agg(F.first("held").alias("held"))
-            hot = hot.orderBy(F.desc("held"), "token").limit(MAX_FREQUENT).collect()
-            found = np.array([r["token"] for r in hot], dtype=np.int64).view(np.uint64)
+            found = np.asarray(hot.orderBy(F.desc("held"), "token").limit(MAX_FREQUENT).toArrow()["token"]).view(np.uint64)
             found = found[~np.isin(found, frequent)][:MAX_FREQUENT - len(frequent)]
             if not len(found):
                 break
             frequent, ranks = np.append(frequent, found), np.append(
                 ranks, (REORDERINGS - turn) * 2 * MAX_FREQUENT + np.arange(len(found), 0, -1))
-            names = spark.createDataFrame([(int(t),) for t in found.view(np.int64)], "token long")
+            names = spark.createDataFrame(pa.table({"token": found.view(np.int64)}))
             moved = materialize(postings.join(F.broadcast(names), "token", "left_semi").select("num").distinct(), "moved-classes")
+            scratch.drop(postings)
             again = classes.join(moved, "num").select("num", "cls", "least.ord", "least.th")
+            order = _order(spark, frequent, ranks, common)
             new = materialize(_texts_of(keyed, again).mapInArrow(
-                _reordered(shingle, percent, _order(spark, frequent, ranks, common)), "num long, token long"), "moved-postings")
-            # Only tokens new to a prefix can have gained holders: recount those, with all who hold them.
-            stay = postings.select("num", "token").join(moved, "num", "left_anti")
-            gone = moved if earlier is None else earlier.unionByName(moved).distinct()
-            others = maybe_in(every, ["token"], new.select("token").distinct()).join(gone, "num", "left_anti")
-            if fresh is not None:
-                others = others.unionByName(fresh.join(moved, "num", "left_anti"))
-                new = new.unionByName(fresh.join(moved, "num", "left_anti"))
-            before, postings = postings, _met(stay.unionByName(others).unionByName(new).distinct())
-            scratch.drop(before)
-            earlier, fresh = gone, new
+                _reordered(shingle, percent, order), "num long, token long"), "moved-postings")
+            fresh = new if fresh is None else new.unionByName(fresh.join(moved, "num", "left_anti"))
+            # Who holds a frequent shingle has moved, so who stays is known in place: no shuffle but that of the counts.
+            stay = classes.select("num", "prefix").mapInArrow(_untouched(order), "num long, token long")
+            postings = _met(stay.unionByName(fresh))
         return scratch.keep(postings)
 
 
