@@ -2,7 +2,10 @@
 
 import collections
 
+import numpy as np
+
 from veracity.llm import jaccard_join as J
+from veracity.llm import lm_score as L
 
 
 def test_recount_after_reordering_shuffles_counts_only(spark, monkeypatch):
@@ -30,3 +33,37 @@ def test_recount_after_reordering_shuffles_counts_only(spark, monkeypatch):
         holders = collections.Counter(r.token for r in rows)
         assert all(r.held == holders[r.token] > 1 for r in rows)
         assert len(rows) == len({(r.num, r.token) for r in rows})
+
+
+def test_normaliser_of_a_context_is_worked_out_once(monkeypatch):
+    """Also where scores are so large or so unlike that exponentials leave the range, probabilities of each context sum to 1."""
+    for scale in (1, 200):
+        model = L.LogBilinear(np.full(L.CLASSES, 1 / L.CLASSES))
+        model.bias[::7] += 10 * scale
+        model.context[:9] *= scale
+        ctx = np.repeat(np.random.default_rng(2).integers(0, L.CLASSES, (50, L.CONTEXT)), L.CLASSES, axis=0)
+        ctx[:9 * L.CLASSES] = np.repeat(np.arange(9), L.CLASSES)[:, None]
+        tokens, totals, worked = np.tile(np.arange(L.CLASSES), 50), np.zeros(L.CLASSES ** L.CONTEXT, dtype=np.float32), []
+        plain = L.LogBilinear._log_totals
+        monkeypatch.setattr(L.LogBilinear, "_log_totals", lambda self, h, t: worked.append(len(h)) or plain(self, h, t))
+        first, again = (model.log10_probs(ctx, tokens, totals) for _ in range(2))
+        monkeypatch.undo()
+        assert sum(worked) == len(np.unique(ctx, axis=0)) and (first == again).all()
+        sums = (10 ** first).reshape(50, L.CLASSES).sum(axis=1)
+        assert np.abs(sums - 1).max() < 0.01
+
+
+def test_training_draws_and_steps_as_plain_numpy_does():
+    rng = np.random.default_rng(4)
+    noise = rng.random(L.CLASSES) + 0.01
+    noise /= noise.sum()
+    ctx, tokens = rng.integers(0, L.CLASSES, (700, L.CONTEXT)), rng.integers(0, L.CLASSES, 700)
+    model, plain = L.LogBilinear(noise), L.LogBilinear(noise)
+    model.train(ctx[:L.BATCH], tokens[:L.BATCH], {}, np.random.default_rng(5))
+    c, w, drawn = ctx[:L.BATCH], tokens[:L.BATCH], np.random.default_rng(5).choice(L.CLASSES, L.NOISE, p=noise)
+    h = sum(plain.context[c[:, i]] * plain.position[i] for i in range(L.CONTEXT))
+    log_noise = np.log(L.NOISE * noise).astype(np.float32)
+    real = (h * plain.target[w]).sum(axis=1) + plain.bias[w] - log_noise[w]
+    fake = h @ plain.target[drawn].T + plain.bias[drawn] - log_noise[drawn]
+    v = (np.bincount(w, -1 / (1 + np.exp(real)), L.CLASSES) + np.bincount(drawn, (1 / (1 + np.exp(-fake))).sum(axis=0), L.CLASSES)) / len(w)
+    assert np.allclose(model.bias, plain.bias - L.RATE * v / np.sqrt(1e-6 + v * v), atol=1e-4)

@@ -16,7 +16,8 @@ per class.
   the tasks' parameters are averaged in two levels, ``ROUNDS`` times.  The
   model has a fixed size whatever the corpus.
 * **Scoring.** Batched matrix products over all classes give exactly
-  normalised log-probabilities of every token of every text.
+  normalised log-probabilities of every token of every text; a task works out
+  the normaliser of a context once.
 
 Counts come from all training texts.  The ``TOP`` most frequent words (a fixed
 number) go to every task; the rest meet their counts in a join on the 64-bit
@@ -62,9 +63,12 @@ def _count_words(batches):
 
     def flush(words, codes):
         words, codes = np.concatenate(words), np.concatenate(codes)
-        distinct, at, counts = np.unique(words, return_index=True, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(distinct.view(np.int64)), pa.array(counts),
-                                           pa.array(codes[at])], schema=_COUNTS_ARROW)
+        order = np.argsort(words)  # any occurrence tells a word's suffix
+        words, new = words[order], np.ones(len(words), dtype=bool)
+        np.not_equal(words[1:], words[:-1], out=new[1:])
+        at = np.flatnonzero(new)
+        return pa.RecordBatch.from_arrays([pa.array(words[at].view(np.int64)), pa.array(np.diff(np.append(at, len(words)))),
+                                           pa.array(codes[order[at]])], schema=_COUNTS_ARROW)
 
     words, codes, held = [], [], 0
     for part in byte_slices(batches):
@@ -140,12 +144,21 @@ def _by_class(classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
     """Sum of the rows of each class."""
     order = np.argsort(classes.astype(np.uint8 if CLASSES <= 256 else np.uint16), kind="stable")
     sorted_ = classes[order]
-    head = np.flatnonzero(np.concatenate([[True], sorted_[1:] != sorted_[:-1]]))
+    new = np.ones(len(order), dtype=bool)
+    np.not_equal(sorted_[1:], sorted_[:-1], out=new[1:])
+    head = np.flatnonzero(new)
     out = np.zeros((CLASSES, rows.shape[1]), dtype=np.float32)
-    out[sorted_[head]] = np.add.reduceat(rows[order], head, axis=0)
+    out[sorted_[head]] = np.add.reduceat(rows.take(order, axis=0), head, axis=0)
     return out
 
 
+def _predicted(weighted: list[np.ndarray], ctx: np.ndarray) -> np.ndarray:
+    h = weighted[0].take(ctx[:, 0], axis=0)
+    for i in range(1, CONTEXT):
+        h += weighted[i].take(ctx[:, i], axis=0)
+    return h
+
+
 class LogBilinear:
     def __init__(self, noise: np.ndarray):
         rng = np.random.default_rng(11)
@@ -157,42 +170,64 @@ class LogBilinear:
 
     NAMES = ("context", "target", "position", "bias")
 
-    def predicted(self, ctx: np.ndarray) -> np.ndarray:
-        return sum(self.context[ctx[:, i]] * self.position[i] for i in range(CONTEXT))
-
-    def log10_probs(self, ctx: np.ndarray, tokens: np.ndarray, block: int = 2048) -> np.ndarray:
-        out, ones, target = np.empty(len(tokens)), np.ones(CLASSES, dtype=np.float32), np.ascontiguousarray(self.target.T)
+    def log10_probs(self, ctx: np.ndarray, tokens: np.ndarray, totals: np.ndarray | None = None, block: int = 2048) -> np.ndarray:
+        """``totals`` holds the log of the normaliser of each context met so far, at its classes read as digits (0: not yet)."""
+        target, digits = np.ascontiguousarray(self.target.T), CLASSES ** np.arange(CONTEXT)
         weighted = [self.context * p for p in self.position]
+        at = ctx @ digits
+        totals = np.zeros(CLASSES ** CONTEXT, dtype=np.float32) if totals is None else totals
+        fresh = np.unique(at[totals[at] == 0])
+        for lo in range(0, len(fresh), block):
+            new = fresh[lo:lo + block]
+            totals[new] = self._log_totals(_predicted(weighted, new[:, None] // digits % CLASSES), target)
+        out = np.empty(len(tokens))
         for lo in range(0, len(tokens), block):
-            c = ctx[lo:lo + block]
-            score = sum(w[c[:, i]] for i, w in enumerate(weighted)) @ target
-            score += self.bias
-            score -= min(float(score.max()), 60.0)  # one shift per block: rows of a normalised model differ little
-            np.clip(score, -80, 80, out=score)
-            own = score[np.arange(len(score)), tokens[lo:lo + block]]
-            np.exp(score, out=score)
-            out[lo:lo + block] = own - np.log(score @ ones)
+            w = tokens[lo:lo + block]
+            own = np.einsum("ij,ij->i", _predicted(weighted, ctx[lo:lo + block]), self.target.take(w, axis=0)) + self.bias[w]
+            out[lo:lo + block] = own - totals[at[lo:lo + block]]
         return out / np.log(10)
 
+    def _log_totals(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
+        score, ones = h @ target, np.ones(CLASSES, dtype=np.float32)
+        score += self.bias
+        longest = float(np.sqrt((h ** 2).sum(axis=1).max() * (target ** 2).sum(axis=0).max()))
+        if longest + float(np.abs(self.bias).max()) <= 80:  # neither the exponentials nor their sums leave the range
+            return np.log(np.exp(score, out=score) @ ones)
+        most = score.max(axis=1)
+        score -= most[:, None]
+        return most + np.log(np.exp(score, out=score) @ ones)
+
     def train(self, ctx: np.ndarray, tokens: np.ndarray, state: dict, rng) -> None:
         """One adaptive-gradient step per batch on noise-contrastive estimation."""
         log_noise = np.log(NOISE * self.noise).astype(np.float32)
+        below = self.noise.cumsum()
+        below /= below[-1]
         for lo in range(0, len(tokens), BATCH):
-            c, w = ctx[lo:lo + BATCH], tokens[lo:lo + BATCH]
-            drawn = rng.choice(CLASSES, NOISE, p=self.noise)
-            h = self.predicted(c)
-            real = (h * self.target[w]).sum(axis=1) + self.bias[w] - log_noise[w]
-            fake = h @ self.target[drawn].T + self.bias[drawn] - log_noise[drawn]
+            c, w = np.ascontiguousarray(ctx[lo:lo + BATCH].T), tokens[lo:lo + BATCH]
+            drawn = below.searchsorted(rng.random(NOISE), side="right")  # as rng.choice(CLASSES, NOISE, p=noise) draws
+            before = [self.context.take(x, axis=0) for x in c]
+            target_w, target_d = self.target.take(w, axis=0), self.target.take(drawn, axis=0)
+            h = before[0] * self.position[0]
+            for i in range(1, CONTEXT):
+                h += before[i] * self.position[i]
+            real = (h * target_w).sum(axis=1) + self.bias[w] - log_noise[w]
+            fake = h @ target_d.T
+            fake += self.bias[drawn]
+            fake -= log_noise[drawn]
             e_real = -1 / (1 + np.exp(np.clip(real, -30, 30)))
-            e_fake = 1 / (1 + np.exp(-np.clip(fake, -30, 30)))
+            e_fake = np.clip(fake, -30, 30, out=fake)
+            np.exp(np.negative(e_fake, out=e_fake), out=e_fake)
+            e_fake += 1
+            np.divide(1, e_fake, out=e_fake)
             size = np.float32(1 / len(w))
-            d = e_real[:, None] * self.target[w] + e_fake @ self.target[drawn]
+            d = e_real[:, None] * target_w
+            d += e_fake @ target_d
             g = {"target": _by_class(w, e_real[:, None] * h) + _by_class(drawn, e_fake.T @ h),
                  "bias": (np.bincount(w, e_real, CLASSES) + np.bincount(drawn, e_fake.sum(axis=0), CLASSES)),
                  "context": 0, "position": np.empty_like(self.position)}
             for i in range(CONTEXT):
-                g["context"] = g["context"] + _by_class(c[:, i], d * self.position[i])
-                g["position"][i] = np.einsum("ij,ij->j", d, self.context[c[:, i]])
+                g["context"] = g["context"] + _by_class(c[i], d * self.position[i])
+                g["position"][i] = np.einsum("ij,ij->j", d, before[i])
             for k, v in g.items():
                 v = v * size
                 state[k] = state.get(k, 1e-6) + v * v
@@ -289,8 +324,9 @@ def _score_task(shared):
 
     def fn(batch: pa.RecordBatch):
         if not cache:
-            cache.append(pickle.loads(shared.value))
-        vocab, model = cache[0]
+            # Of a fixed size: one number for each possible context.
+            cache.append((*pickle.loads(shared.value), np.zeros(CLASSES ** CONTEXT, dtype=np.float32)))
+        vocab, model, totals = cache[0]
         docs = Docs(batch.column("text"), lower=True)
         hashes, counts, classes = vocab.look_up(docs)
         tokens, place = _with_ends(docs, classes)
@@ -299,7 +335,7 @@ def _score_task(shared):
         lm = np.zeros(len(tokens))
         for lo in range(0, len(tokens), 1 << 16):
             at = np.arange(lo, min(lo + (1 << 16), len(tokens)))
-            lm[at] = model.log10_probs(_contexts(tokens, place, at), tokens[at])
+            lm[at] = model.log10_probs(_contexts(tokens, place, at), tokens[at], totals)
         lm -= vocab.log_z[tokens]
         word_owner = docs.doc_of_word()
         top = counts >= 0
