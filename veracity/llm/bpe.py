@@ -10,9 +10,13 @@ prescribes.
 
 A slice of texts is cut at every space between two characters that are no white
 space, where a pretoken always begins.  The pieces are made distinct by 64-bit
-hash in numpy; each is encoded and decoded once, and the ids and bytes of the
-texts are gathered from them.  Recurring pieces and pretokens are remembered in
-bounded tables for the length of a task; the older is forgotten when the newer is full.
+hash in numpy; each is encoded once, and the ids of the texts are gathered from
+them.  All ids of the slice are decoded together through the vocabulary.  The ids
+of recurring pieces and pretokens are remembered by hash in flat arrays, two
+bounded tables, for the length of a task; the older is forgotten when the newer is
+full.  A slice that decodes to anything but its texts (two pieces of one hash
+would do that) is encoded and decoded text by text, without hashes.  At the end
+of a task the memory goes back to the system: the worker lives on beside later stages.
 
 The vocabulary is read on the driver from a path given as a parameter and has
 a fixed size, so it is broadcast.
@@ -34,12 +38,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from veracity.llm.columns import doc_columns
-from veracity.llm.words import RangeHash, _bytes_of, _seeded, arrow_map, segments
+from veracity.llm.words import RangeHash, _bytes_of, _seeded, arrow_map, released, segments
 
 #: Fixed value: how byte-level vocabularies split text before merging.
 PRETOKEN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MAX_KEPT, KEPT_BYTES = 250_000, 64
-ROWS_AT_ONCE = 1 << 14
+MAX_KEPT, KEPT_BYTES = 500_000, 64
+LEAVES_AT_ONCE = 1 << 17
 _NONE = 1 << 62
 
 
@@ -74,34 +78,55 @@ def _cuts(data: np.ndarray) -> np.ndarray:
     return at[~wide]
 
 
-def _gathered(parts: list[bytes], dtype: str, which: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The values of ``parts[which]`` one after the other, and where each document ends in that (``first``: its first unit)."""
-    flat = np.frombuffer(b"".join(parts), dtype=dtype)
-    sizes = np.array(list(map(len, parts)), dtype=np.int64) // flat.itemsize
-    counts = sizes[which]
-    ends = np.concatenate([[0], np.cumsum(counts)])
-    shift = (np.cumsum(sizes) - sizes)[which] - ends[:-1]  # from a place in the result to one in ``flat``
-    return flat[np.repeat(shift, counts) + np.arange(ends[-1])], ends[first]
+def _gathered(flat: np.ndarray, at: np.ndarray, sizes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` at these places one after the other, and where each document ends in that (``first``: its first run)."""
+    ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    return flat[np.repeat(at - ends[:-1], sizes) + np.arange(ends[-1])], ends[first]
 
 
 class Remembered:
-    """Two bounded tables; what is still in use comes back from the older one."""
+    """Ids by the hash of their piece: two bounded tables of flat arrays; what is still in use comes back from the older one."""
 
     def __init__(self, limit: int):
-        self.limit, self.new, self.old = limit, {}, {}
-
-    def get(self, key):
-        value = self.new.get(key)
-        if value is None:
-            value = self.old.get(key)
-            if value is not None:
-                self.put(key, value)
-        return value
-
-    def put(self, key, value) -> None:
-        if len(self.new) >= self.limit:
-            self.new, self.old = {}, self.new
-        self.new[key] = value
+        self.limit = limit
+        self.new = self.old = (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32), np.zeros(0, dtype=np.int32),
+                               np.zeros(0, dtype="<u4"))  # sorted hashes, first id, number of ids, ids
+
+    @staticmethod
+    def _places(table: tuple, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        place = np.searchsorted(table[0], keys)
+        hit = place < len(table[0])
+        hit[hit] = table[0][place[hit]] == keys[hit]
+        return np.flatnonzero(hit), place[hit]
+
+    def get(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of those remembered: the first, the number (-1: not remembered), and where they are."""
+        at, sizes, parts, base = np.zeros(len(keys), dtype=np.int64), np.full(len(keys), -1, dtype=np.int64), [], 0
+        for table in (self.new, self.old):
+            rest = np.flatnonzero(sizes < 0)
+            hit, place = self._places(table, keys[rest])
+            ids, ends = _gathered(table[3], table[1][place], table[2][place], np.arange(len(place) + 1))
+            at[rest[hit]], sizes[rest[hit]] = ends[:-1] + base, table[2][place]
+            parts.append(ids)
+            base += len(ids)
+        ids = np.concatenate(parts)
+        again = rest[hit]
+        self.put(keys[again], at[again], sizes[again], ids)
+        return at, sizes, ids
+
+    def put(self, keys: np.ndarray, at: np.ndarray, sizes: np.ndarray, ids: np.ndarray) -> None:
+        keys, one = np.unique(keys, return_index=True)
+        known = self._places(self.new, keys)[0]
+        keys, one = np.delete(keys, known), np.delete(one, known)
+        if not len(keys):
+            return
+        if len(self.new[0]) + len(keys) > self.limit:
+            self.old, self.new = self.new, tuple(x[:0] for x in self.new)
+            keys, one = keys[:self.limit], one[:self.limit]
+        ids, ends = _gathered(ids, at[one], sizes[one], np.arange(len(one) + 1))
+        place = np.searchsorted(self.new[0], keys)
+        self.new = (np.insert(self.new[0], place, keys), np.insert(self.new[1], place, ends[:-1] + len(self.new[3])),
+                    np.insert(self.new[2], place, sizes[one]), np.concatenate([self.new[3], ids]))
 
 
 class Bpe:
@@ -133,13 +158,16 @@ class Bpe:
             self.text[i] = bytes(byte[c] for c in token) if all(c in byte for c in token) else token.encode()
         for token, i in self.special.items():
             self.text[i] = token.encode()
+        self.pieces = np.frombuffer(b"".join(self.text), dtype=np.uint8)
+        self.piece_sizes = np.array(list(map(len, self.text)), dtype=np.int64)
+        self.piece_at = np.cumsum(self.piece_sizes) - self.piece_sizes
         names = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, names)) + ")") if names else None
         self.split = regex.compile(PRETOKEN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
         self.forget()
 
     def forget(self) -> None:
-        self.pretokens, self.units = Remembered(MAX_KEPT), Remembered(MAX_KEPT)
+        self.kept = Remembered(MAX_KEPT)
 
     def merge(self, raw: bytes) -> list[int]:
         """All merges of one pretoken, lowest rank first, leftmost among equals."""
@@ -198,8 +226,9 @@ class Bpe:
         width = 1 << np.ceil(np.log2(np.maximum(sizes - 1, 1))).astype(np.int64)  # leaves: a power of two for the pairs
         for leaves in np.unique(width).tolist():
             rows = np.flatnonzero(width == leaves)
-            for at in range(0, len(rows), ROWS_AT_ONCE):
-                some = rows[at:at + ROWS_AT_ONCE]
+            step = max(1, LEAVES_AT_ONCE // leaves)
+            for at in range(0, len(rows), step):
+                some = rows[at:at + step]
                 ids, ends = self._merge_rows([raws[r] for r in some], sizes[some], leaves)
                 for r, a, b in zip(some.tolist(), [0, *ends[:-1].tolist()], ends.tolist()):
                     out[r] = ids[4 * a:4 * b]
@@ -259,72 +288,77 @@ class Bpe:
         kept = (symbols >= 0) & (np.arange(leaves + 1) < n[:, None])
         return symbols[kept].astype("<u4").tobytes(), np.cumsum(kept.sum(axis=1))
 
-    def _one(self, text: str) -> bytes:
-        return np.array(self.merge(text.encode()), dtype="<u4").tobytes()
+    def _one(self, raw: bytes) -> bytes:
+        return np.array(self.merge(raw), dtype="<u4").tobytes()
 
     def _plain(self, text: str) -> bytes:
         if self.prefix_space and text and not text.startswith(" "):
             text = " " + text
-        return b"".join(map(self._one, self.split.findall(text)))
-
-    def _pretokens(self, texts: set[str]) -> dict[str, tuple[bytes, bytes]]:
-        """Ids of each pretoken, and the bytes they decode to; those not remembered are merged together."""
-        known, wanted = {}, []
-        for text in texts:
-            value = self.pretokens.get(text)
-            if value is None:
-                wanted.append((text, text.encode()))
-            else:
-                known[text] = value
-        short = [(text, raw) for text, raw in wanted if 2 <= len(raw) <= KEPT_BYTES]
-        merged = dict(zip([text for text, _ in short], self.merge_all([raw for _, raw in short])))
-        pieces = self.text
-        for text, raw in wanted:
-            ids = merged.get(text)
-            if ids is None:
-                ids = self._one(text)
-            known[text] = ids, b"".join([pieces[i] for i in memoryview(ids).cast("I")])
-            if len(raw) <= KEPT_BYTES:
-                self.pretokens.put(text, known[text])
-        return known
-
-    def _units(self, raws: list[bytes]) -> list[tuple[bytes, bytes]]:
-        """Ids of each piece of text, and the bytes they decode to."""
-        found = list(map(self.units.new.get, raws))
-        missing = [i for i, f in enumerate(found) if f is None]
-        for i in missing:
-            found[i] = self.units.get(raws[i])
-        missing = [i for i in missing if found[i] is None]
-        cut = [self.split.findall(raws[i].decode()) for i in missing]
-        known = self._pretokens({text for texts in cut for text in texts})
-        for i, texts in zip(missing, cut):
-            parts = [known[t] for t in texts]
-            found[i] = parts[0] if len(parts) == 1 else (b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts]))
-            if len(raws[i]) <= KEPT_BYTES:
-                self.units.put(raws[i], found[i])
-        return found
+        return b"".join([self._one(t.encode()) for t in self.split.findall(text)])
+
+    def _pretokens(self, keys: np.ndarray, start: np.ndarray, end: np.ndarray, whole: bytes) -> tuple[np.ndarray, ...]:
+        """Ids of pretokens (as ``Remembered.get`` returns them); those not remembered are merged together."""
+        at, sizes, ids = self.kept.get(keys)
+        wanted = np.flatnonzero(sizes < 0)
+        raws = [whole[a:b] for a, b in zip(start[wanted].tolist(), end[wanted].tolist())]
+        short = [i for i, raw in enumerate(raws) if 2 <= len(raw) <= KEPT_BYTES]
+        merged: list[bytes | None] = [None] * len(raws)
+        for i, made in zip(short, self.merge_all([raws[i] for i in short])):
+            merged[i] = made
+        merged = [self._one(raw) if made is None else made for raw, made in zip(raws, merged)]
+        sizes[wanted] = np.array(list(map(len, merged)), dtype=np.int64) // 4
+        at[wanted] = len(ids) + np.cumsum(sizes[wanted]) - sizes[wanted]
+        ids = np.concatenate([ids, np.frombuffer(b"".join(merged), dtype="<u4")])
+        brief = wanted[end[wanted] - start[wanted] <= KEPT_BYTES]
+        self.kept.put(keys[brief], at[brief], sizes[brief], ids)
+        return at, sizes, ids
+
+    def _units(self, keys: np.ndarray, start: np.ndarray, end: np.ndarray, whole: bytes,
+               hashes: RangeHash) -> tuple[np.ndarray, ...]:
+        """Ids of pieces of text (as ``Remembered.get`` returns them)."""
+        at, sizes, ids = self.kept.get(keys)
+        missing = np.flatnonzero(sizes < 0)
+        if not len(missing):
+            return at, sizes, ids
+        cut = [self.split.findall(whole[a:b].decode()) for a, b in zip(start[missing].tolist(), end[missing].tolist())]
+        lengths = np.array([len(t) if t.isascii() else len(t.encode()) for texts in cut for t in texts], dtype=np.int64)
+        first = np.concatenate([[0], np.cumsum(list(map(len, cut)))])
+        before = np.cumsum(lengths) - lengths
+        here = before + np.repeat(start[missing] - before[first[:-1]], np.diff(first))
+        own, where, which = np.unique(hashes(here, here + lengths), return_index=True, return_inverse=True)
+        pre_at, pre_sizes, pre_ids = self._pretokens(own, here[where], (here + lengths)[where], whole)
+        made, ends = _gathered(pre_ids, pre_at[which], pre_sizes[which], first)
+        at[missing], sizes[missing] = ends[:-1] + len(ids), np.diff(ends)
+        ids = np.concatenate([ids, made])
+        brief = missing[end[missing] - start[missing] <= KEPT_BYTES]
+        self.kept.put(keys[brief], at[brief], sizes[brief], ids)
+        return at, sizes, ids
 
     def encode_all(self, texts: pa.Array) -> tuple[list[np.ndarray], list[str]]:
         """The ids of every text and what they decode to."""
         data, offsets = _bytes_of(texts)
         whole = data.tobytes()
         if self.prefix_space or any(name.encode() in whole for name in self.special):
-            rows = [self.encode(t or "") for t in texts.to_pylist()]
-            return rows, [self.decode(ids.tolist()) for ids in rows]
+            return self._one_by_one(texts)
         if not whole:
             return [np.zeros(0, dtype="<u4")] * len(texts), [""] * len(texts)
         start = np.unique(np.concatenate([_cuts(data), offsets[:-1][offsets[:-1] < len(data)]]))
         end = np.append(start[1:], len(data))
-        _, where, which = np.unique(RangeHash(_seeded(0)[0][data], 0)(start, end), return_index=True, return_inverse=True)
-        raws = [whole[a:b] for a, b in zip(start[where].tolist(), end[where].tolist())]
-        units = self._units(raws)
-        first = np.searchsorted(start, offsets)
-        ids, id_ends = _gathered([u[0] for u in units], "<u4", which, first)
-        raw, raw_ends = _gathered([u[1] for u in units], "u1", which, first)
+        hashes = RangeHash(_seeded(0)[0][data], 0)
+        keys, where, which = np.unique(hashes(start, end), return_index=True, return_inverse=True)
+        at, sizes, ids = self._units(keys, start[where], end[where], whole, hashes)
+        ids, id_ends = _gathered(ids, at[which], sizes[which], np.searchsorted(start, offsets))
+        raw, raw_ends = _gathered(self.pieces, self.piece_at[ids], self.piece_sizes[ids], id_ends)
+        if not (np.array_equal(raw, data) and np.array_equal(raw_ends, offsets)):
+            return self._one_by_one(texts)
         spans = lambda ends: zip(ends[:-1].tolist(), ends[1:].tolist())
         return ([ids[a:b] for a, b in spans(id_ends)],
                 [raw[a:b].tobytes().decode("utf-8", errors="replace") for a, b in spans(raw_ends)])
 
+    def _one_by_one(self, texts: pa.Array) -> tuple[list[np.ndarray], list[str]]:
+        rows = [self.encode(t or "") for t in texts.to_pylist()]
+        return rows, [self.decode(ids.tolist()) for ids in rows]
+
     def encode(self, text: str) -> np.ndarray:
         """Token ids, as little-endian unsigned 32-bit integers."""
         if self.cut and any(name in text for name in self.special):
@@ -365,10 +399,11 @@ def _encode(shared, digest: bool):
     encode = arrow_map(fn, _DIGEST if digest else _ENCODED)
 
     def run(batches):
-        try:
-            yield from encode(batches)
-        finally:  # the worker process lives on, for other stages too
-            _coder(*shared.value).forget()
+        with released():  # the worker process lives on, for other stages too
+            try:
+                yield from encode(batches)
+            finally:
+                _coder(*shared.value).forget()
 
     return run
 
